@@ -70,12 +70,13 @@ class WordCodes(dict):
         return code
 
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Unrelated odd multipliers, one for each place of a window.
+_ODD = [np.uint64(xxhash.xxh3_64_intdigest(b"place %d" % k) | 1) for k in range(64)]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    return h ^ (h >> np.uint64(29))
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
 
 def rolled(codes: np.ndarray, size: int) -> np.ndarray:
@@ -86,10 +87,14 @@ def rolled(codes: np.ndarray, size: int) -> np.ndarray:
     size = min(size, n)
     h = np.full(n - size + 1, size, dtype=np.uint64)
     for k in range(size):
-        h = mixed(h) + codes[k : n - size + 1 + k]
+        h += codes[k : n - size + 1 + k] * _ODD[k]
     return mixed(h)
 
 
+def coded(words: list[bytes], codes: WordCodes) -> np.ndarray:
+    return np.array(list(map(codes.__getitem__, words)), dtype=np.uint64)
+
+
 def ascii_words(text: bytes) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased."""
     return text.lower().split()
