@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quire.llm import decontaminate, jaccard, language, licenses, packing, quality, toxicity
+from quire.llm import decontaminate, html, jaccard, language, licenses, lm, packing, quality, secrets, toxicity
 
-_MODULES = (decontaminate, jaccard, toxicity, quality, language, packing, licenses)
+_MODULES = (decontaminate, secrets, jaccard, toxicity, quality, language, html, lm, packing, licenses)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
