@@ -1,4 +1,9 @@
 """All queries of the library by name, with the SQL that checks them."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from quire.plans import streams, words
+
+_MODULES = (words, streams)
+QUERIES = {name: query for module in _MODULES for name, query in module.R.queries.items()}
+ORACLES = {name: sql for module in _MODULES for name, sql in module.R.oracles.items()}
