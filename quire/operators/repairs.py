@@ -38,7 +38,7 @@ def fixed(rows: DataFrame, fixes: DataFrame, on: list[str], value: str) -> DataF
     out = rows.join(fixes, on, "left")
     todo = F.col("old").isNotNull() & F.col(raw).isNull()
     changed = F.when(todo, X.replaced_once(F.col(value), F.col("old"), F.col("new"))).otherwise(F.col(value))
-    return out.withColumn(raw, F.when(todo, F.col(value)).otherwise(F.col(raw))).withColumn(value, changed).drop("old", "new")
+    return out.withColumns({raw: F.when(todo, F.col(value)).otherwise(F.col(raw)), value: changed}).drop("old", "new")
 
 
 def reverted(rows: DataFrame, value: str, wrong: DataFrame | None = None, on: list[str] | None = None) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quire.plans import streams, words
+from quire.plans import repairs, streams, words
 
-_MODULES = (words, streams)
+_MODULES = (words, streams, repairs)
 QUERIES = {name: query for module in _MODULES for name, query in module.R.queries.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.R.oracles.items()}
