@@ -8,7 +8,10 @@ a bounded number of tokens, so nothing is shuffled and no task holds more than a
 
 from __future__ import annotations
 
+import functools
 import heapq
+import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,32 +31,59 @@ END_ID = 1
 POOL_TOKENS = 1 << 21
 #: Cost of a token, and of the square of a piece's tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
+#: How a byte-level vocabulary writes bytes: printable ones as they are, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: b if b in _PRINTED else 256 + sum(o not in _PRINTED for o in range(b)) for b in range(256)}
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-class WordTokens(dict):
-    """Ids by pre-token. A byte-level BPE merges inside pre-tokens only, so their ids can be remembered."""
+class WordTokens:
+    """Ids of texts by their pre-tokens, remembered: a byte-level BPE merges inside pre-tokens only.
 
-    def __init__(self, path: str, limit: int = 600_000) -> None:
-        super().__init__()
+    Texts that hold a special token are encoded whole.
+    """
+
+    def __init__(self, path: str, limit: int = 1_000_000) -> None:
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.find = regex.compile(public_tokenizers.PATTERN).findall
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        if len(word) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = ids
-        return ids
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.start, self.length, self.ids = array("q"), array("q"), array("I")
+
+    def learn(self, word: str) -> int:
+        """The place of a pre-token: the model's ids of its bytes as the vocabulary writes them."""
+        at = self.place.get(word)
+        if at is None:
+            at = self.place[word] = len(self.start)
+            ids = [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(BYTES))]
+            self.start.append(len(self.ids))
+            self.length.append(len(ids))
+            self.ids.extend(ids)
+        return at
 
     def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = [i for word in self.find(text) for i in self[word]]
-        return np.array([*ids, END_ID], dtype="<u4")
+        if not text or any(s in text for s in self.special):
+            return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4")
+        if len(self.place) > self.limit:
+            self.forget()
+        words = self.find(text)
+        places = list(map(self.place.get, words))
+        if None in places:
+            places = [self.learn(w) if p is None else p for w, p in zip(words, places, strict=True)]
+        at = np.array(places, np.int64)
+        n = np.frombuffer(self.length, np.int64)[at]
+        index = np.repeat(np.frombuffer(self.start, np.int64)[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.append(np.frombuffer(self.ids, np.uint32)[index], np.uint32(END_ID)).astype("<u4")
+
+
+@functools.cache
+def word_tokens(path: str) -> WordTokens:
+    """One for each worker process, which tasks share one after the other."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return WordTokens(path)
 
 
 def capacities(total: int, length: int = LENGTH) -> list[int]:
@@ -91,7 +121,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(path or public_tokenizers.path("byte_bpe_50k.json"))
+        words = word_tokens(path or public_tokenizers.path("byte_bpe_50k.json"))
         first = TaskContext.get().partitionId() << 33
         made = 0
 
