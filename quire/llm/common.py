@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -56,18 +57,42 @@ def once(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select("*", packed).select(*df.columns, "_once.*")
 
 
-class WordCodes(dict):
-    """64-bit codes of words given as bytes; forgets them all when it has grown to ``limit``."""
+_SEED = [xxhash.xxh3_64_intdigest(b"byte %d" % b) for b in range(256)]
+_BYTE = np.array(_SEED, np.uint64)
+_BASE = xxhash.xxh3_64_intdigest(b"base") | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
+_CHUNK = 1 << 20
 
-    def __init__(self, limit: int = 1_000_000) -> None:
-        super().__init__()
-        self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
+@functools.cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, x, np.uint64)])) for x in (_BASE, _INVERSE))
+
+
+def word_codes(text: bytes) -> np.ndarray:
+    """64-bit codes of the words between ASCII white space, in order; the text in pieces of bounded size.
+
+    A code is the sum of a random number for each byte times a power of an odd base, taken for all words at
+    once from running sums (modulo 2**64), and mixed with the length.
+    """
+    out = []
+    at = 0
+    while at < len(text):
+        end = at + _CHUNK
+        if end < len(text):
+            cut = max(text.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            # A word longer than a piece is taken whole.
+            end = cut if cut > at else min([len(text), *(p for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c") if (p := text.find(c, at + 1)) > 0)])
+        b = np.frombuffer(b" " + text[at:end] + b" ", np.uint8)
+        power, inverse = _powers(1 << max(12, (len(b) - 1).bit_length()))
+        word = _WORD[b]
+        edges = np.flatnonzero(word[1:] != word[:-1]) + 1
+        start, stop = edges[::2], edges[1::2]
+        total = np.cumsum(_BYTE[b] * power[: len(b)])
+        out.append(mixed((total[stop - 1] - total[start - 1]) * inverse[start] + (stop - start).astype(np.uint64)))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 #: Unrelated odd multipliers, one for each place of a window.
@@ -91,8 +116,10 @@ def rolled(codes: np.ndarray, size: int) -> np.ndarray:
     return mixed(h)
 
 
-def coded(words: list[bytes], codes: WordCodes) -> np.ndarray:
-    return np.array(list(map(codes.__getitem__, words)), dtype=np.uint64)
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted and without repeats; quicker than np.unique on short arrays."""
+    s = np.sort(values)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
 
 
 def ascii_words(text: bytes) -> list[bytes]:

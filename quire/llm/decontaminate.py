@@ -15,11 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import WordCodes, rolled, table
+from quire.llm.common import distinct, rolled, table, word_codes
 
 SHINGLE, LEAST = 5, 0.8
-#: Bits that may differ; so many that a pair of similarity LEAST is lost once in thousands of windows.
-RADIUS = 24
+#: Bits that may differ. A window of similarity LEAST differs in 13 of 64 on average, in more than these once in
+#: a hundred; the windows beside it, and any closer one, seldom differ in so many.
+RADIUS = 20
 #: Characters of benchmark text that one pass over the documents looks for.
 BLOCK_CHARS = 4_000_000
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -44,72 +45,83 @@ class ItemIndex:
     """Items by length, with fingerprints in one sorted list for each block of bits."""
 
     def __init__(self, items: list[tuple[int | None, bytes]], least: float = LEAST) -> None:
-        self.least, codes = least, WordCodes()
+        self.least = least
         self.ids, sets, self.length = [], [], []
         for key, text in items:
-            words = plain_words(text)
+            words = word_codes(text.translate(_PLAIN))
             if len(words) >= SHINGLE:
                 self.ids.append(key)
                 self.length.append(len(words))
-                sets.append(np.unique(rolled(np.array([codes[w] for w in words], np.uint64), SHINGLE)))
+                sets.append(distinct(rolled(words, SHINGLE)))
         self.known, df = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[(self.known & np.uint64(0xFFFF)).astype(np.int64)] = True
         #: A shingle that many items share says less; one that no item has weighs most.
         self.weight = np.log1p(len(sets) / df).astype(np.float32) if len(df) else np.zeros(0, np.float32)
         self.foreign = np.float32(np.log1p(len(sets)))
         self.sets = [np.searchsorted(self.known, s) for s in sets]
         self.total = np.array([self.weight[s].sum() for s in self.sets])
         prints = np.array([packed((signs(self.known[s]) * self.weight[s][:, None]).sum(0, keepdims=True))[0] for s in self.sets], np.uint64)
-        self.by_length = {}
-        for n in sorted(set(self.length)):
-            own = np.array([i for i, m in enumerate(self.length) if m == n])
-            need = min(self._fewest(i) for i in own)
-            blocks = []
-            for lo, hi in zip(_EDGES, _EDGES[1:], strict=False):
-                part = (prints[own] >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)
-                order = np.argsort(part, kind="stable")
-                blocks.append((lo, hi, part[order], own[order]))
-            self.by_length[n] = (need, blocks)
-        self.prints = prints
+        lengths = sorted(set(self.length))
+        #: Shingles that a window of so many words must share at least with one of its items.
+        self.need = {n: min(self._fewest(i) for i, m in enumerate(self.length) if m == n) for n in lengths}
+        self.order = {n: k for k, n in enumerate(lengths)}
+        rank = np.array([self.order[n] for n in self.length], np.uint64)
+        self.prints, self.blocks = prints, []
+        for lo, hi in zip(_EDGES, _EDGES[1:], strict=False):
+            keys = self._keys(rank, prints, lo, hi)
+            order = np.argsort(keys, kind="stable")
+            self.blocks.append((lo, hi, keys[order], order))
+
+    @staticmethod
+    def _keys(rank: np.ndarray, prints: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """Length and the bits of one block: a window meets items of its own length only."""
+        return (rank << np.uint64(16)) | ((prints >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1))
 
     def _fewest(self, i: int) -> int:
         """Shingles that a window must share with item i at least to reach the similarity."""
         heavy = np.cumsum(np.sort(self.weight[self.sets[i]])[::-1])
         return int(np.searchsorted(heavy, self.least * self.total[i] - 1e-4) + 1)
 
-    def near(self, n: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All (window, item of n words) whose fingerprints differ in RADIUS bits at most."""
+    def near(self, rank: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All (window, item of its length) whose fingerprints differ in RADIUS bits at most."""
         found = []
-        for lo, hi, keys, own in self.by_length[n][1]:
-            part = (prints >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)
+        for lo, hi, keys, items in self.blocks:
+            part = self._keys(rank, prints, lo, hi)
             a, b = np.searchsorted(keys, part, "left"), np.searchsorted(keys, part, "right")
             w = np.repeat(np.arange(len(prints)), b - a)
-            at = np.arange(len(w)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
-            found.append(w * np.int64(len(self.ids)) + own[at])
+            i = items[np.arange(len(w)) - np.repeat(np.cumsum(b - a) - b, b - a)]
+            close = np.bitwise_count(prints[w] ^ self.prints[i]) <= RADIUS
+            found.append(w[close] * np.int64(len(self.ids)) + i[close])
         pairs = np.unique(np.concatenate(found))
-        w, i = pairs // len(self.ids), pairs % len(self.ids)
-        close = np.bitwise_count(prints[w] ^ self.prints[i]) <= RADIUS
-        return w[close], i[close]
+        return pairs // len(self.ids), pairs % len(self.ids)
 
-    def matches(self, text: bytes, codes: WordCodes) -> list[dict]:
+    def matches(self, text: bytes) -> list[dict]:
         """The best window of each item that the text holds."""
-        words = plain_words(text)
+        words = word_codes(text.translate(_PLAIN))
         if len(words) < SHINGLE or not len(self.known):
             return []
-        shingles = rolled(np.array([codes[w] for w in words], np.uint64), SHINGLE)
+        shingles = rolled(words, SHINGLE)
+        # Most texts share no shingle with any item, so no window of theirs can be similar.
+        spots = shingles[self.maybe[(shingles & np.uint64(0xFFFF)).astype(np.int64)]]
+        if not (self.known[np.minimum(np.searchsorted(self.known, spots), len(self.known) - 1)] == spots).any():
+            return []
         at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
         hit = self.known[at] == shingles
-        if not hit.any():
-            return []
         held = np.concatenate([[0], np.cumsum(hit)])
         sums = np.concatenate([np.zeros((1, 64), np.float32), np.cumsum(signs(shingles) * np.where(hit, self.weight[at], self.foreign)[:, None], axis=0, dtype=np.float64)])
-        best: dict[int, tuple[float, int, int]] = {}
-        for n, (need, _) in self.by_length.items():
+        starts, sizes, ranks = [], [], []
+        for n, need in self.need.items():
             m = min(n, len(words)) - SHINGLE + 1
-            starts = np.flatnonzero(held[m:] - held[:-m] >= need)
-            if not len(starts):
-                continue
-            for w, i in zip(*self.near(n, packed(sums[starts + m] - sums[starts])), strict=True):
-                s = int(starts[w])
+            own = np.flatnonzero(held[m:] - held[:-m] >= need)
+            starts.append(own)
+            sizes.append(np.full(len(own), m))
+            ranks.append(np.full(len(own), self.order[n], np.uint64))
+        start, size = np.concatenate(starts), np.concatenate(sizes)
+        best: dict[int, tuple[float, int, int]] = {}
+        if len(start):
+            for w, i in zip(*self.near(np.concatenate(ranks), packed(sums[start + size] - sums[start])), strict=True):
+                s, m = int(start[w]), int(size[w])
                 shared = np.intersect1d(at[s : s + m][hit[s : s + m]], self.sets[i])
                 similar = float(self.weight[shared].sum() / self.total[i])
                 if similar >= self.least - 1e-6 and (i not in best or (-similar, s) < (-best[i][0], best[i][1])):
@@ -145,9 +157,8 @@ def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", least:
         index = ItemIndex(items, least)
 
         def run(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
-            codes = WordCodes()
             for batch in batches:
-                found = [index.matches(raw.as_py(), codes) if raw.is_valid else [] for raw in batch.column(batch.num_columns - 1)]
+                found = [index.matches(raw.as_py()) if raw.is_valid else [] for raw in batch.column(batch.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, _MATCHES)], [*batch.schema.names[:-1], "_found"])
 
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema]
