@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import stored
 
 
+EDGES = 200_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of ``edges``: the smallest node id of its component.
 
@@ -16,13 +19,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     both = edges.select(F.col(a).alias("node"), F.col(b).alias("other")).where("node <> other")
     both = stored(both.union(both.select("other", "node")).distinct(), "edges")
-    labels = stored(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
+    # Few edges need few tasks; every task gets EDGES of them at most.
+    tasks = both.count() // EDGES + 1
+    labels = stored(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")).coalesce(tasks), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("seen")), "other").groupBy("node").agg(F.min("seen").alias("seen"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "seen").alias("next"))
-        lower = stored(lower, "lower")
+        lower = stored(lower.coalesce(tasks), "lower")
         jump = lower.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        after = stored(lower.join(jump, "next").select("node", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("moved")), "labels")
+        after = stored(lower.join(jump, "next").select("node", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("moved")).coalesce(tasks), "labels")
         labels = after.select("node", "label")
         if after.where("moved").isEmpty():
             return labels

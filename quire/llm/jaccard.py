@@ -16,12 +16,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import WordCodes, ascii_words, coded, rolled, stored, table
+from quire.llm.common import distinct, rolled, stored, table, word_codes
 from quire.llm.components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -31,11 +32,13 @@ SMALL = 24
 #: shingles are among them changes the cost, never the result.
 FREQUENT = 65_536
 PIVOT_ROUNDS = 3
+#: Classes of a large region that meet another such number in one group.
+TILE = 512
 BITS = 1 << 24
 
 
-def shingle_set(text: bytes | None, codes: WordCodes) -> np.ndarray:
-    return np.unique(rolled(coded(ascii_words(text or b""), codes), SHINGLE))
+def shingle_set(text: bytes | None) -> np.ndarray:
+    return distinct(rolled(word_codes((text or b"").lower()), SHINGLE))
 
 
 def digest(shingles: np.ndarray) -> bytes:
@@ -54,7 +57,7 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, seen, sets, held = WordCodes(), set(), [], 0
+        seen, sets, held = set(), [], 0
 
         def told() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
@@ -62,7 +65,7 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
         for batch in batches:
             for raw in batch.column(0):
-                s = shingle_set(raw.as_py(), codes)
+                s = shingle_set(raw.as_py())
                 if len(s) and (d := digest(s)) not in seen:
                     seen.add(d)
                     sets.append(s)
@@ -84,11 +87,10 @@ def _sketches(rows: DataFrame) -> DataFrame:
     keys, counts = frequent_shingles(rows.select("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
         for batch in batches:
             n, digests, prefixes, density = [], [], [], []
             for raw in batch.column("raw"):
-                s = shingle_set(raw.as_py(), codes)
+                s = shingle_set(raw.as_py())
                 n.append(len(s))
                 digests.append(digest(s) if len(s) else None)
                 at = np.searchsorted(keys, s)
@@ -118,12 +120,12 @@ def _fetched(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     packed_bits = np.packbits(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, done = WordCodes(), set()
+        done = set()
         bits = np.unpackbits(packed_bits).view(bool)
         for batch in batches:
             out = []
             for raw in batch.column(0):
-                s = shingle_set(raw.as_py(), codes)
+                s = shingle_set(raw.as_py())
                 if len(s) and (d := digest(s)) not in done and bits[spark_hash(d) % BITS]:
                     done.add(d)
                     out.append((d, s.tobytes()))
@@ -206,7 +208,10 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     links = compared.where("linked").select("a", "b")
     label = components(links)
 
-    region = stored(large.select("key", "class", "n", "p", "density"), "large")
+    # others: keys that the class shares in small regions.
+    few = small.groupBy("class").agg(F.count("*").alias("others"))
+    region = large.select("key", "class", "n", "p", "density", "members").join(few, "class", "left").withColumn("others", F.coalesce("others", F.lit(0)))
+    region = stored(region, "large")
     if not region.isEmpty():
         links, label = _pivoted(region, sets, links, label)
 
@@ -248,17 +253,52 @@ def _pivoted(region: DataFrame, sets: DataFrame, links: DataFrame, label: DataFr
     own = F.when(F.col("class") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
     now = now.withColumn("lo", F.coalesce(own, 1 - F.least("n", "np") / F.greatest("n", "np"))).withColumn("hi", F.coalesce(own, F.lit(1.0)))
     mixed = now.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("key")
-    now = stored(now.join(mixed, "key", "left_semi").select("key", "class", "n", "p", "label", "lo", "hi"), "mixed")
+    shared = region.groupBy("class").agg(F.collect_list("key").alias("keys"))
+    now = stored(now.join(mixed, "key", "left_semi").select("key", "class", "n", "p", "label", "lo", "hi", "members", "others").join(shared, "class"), "mixed")
     if now.isEmpty():
         return links, label
-    x, y = (now.select("key", *[F.col(k).alias(v) for k, v in (("class", s), ("n", f"n{s}"), ("p", f"p{s}"), ("label", f"l{s}"), ("lo", f"lo{s}"), ("hi", f"hi{s}"))]) for s in "ab")
-    within = (F.col("loa") - F.col("hib") <= 1 - PERCENT / 100 + 1e-9) & (F.col("lob") - F.col("hia") <= 1 - PERCENT / 100 + 1e-9)
-    pairs = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _sizes_fit(F.col("na"), F.col("nb")) & within).select("a", "b").distinct()
+    pairs = _across(now)
     pairs = stored(pairs if done is None else pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     links = links.union(_compared(pairs, sets).where("linked").select("a", "b"))
     return links, components(stored(links, "links"))
 
 
+def _across(now: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a region's classes of different components that may link, each from one region.
+
+    A region is cut into tiles of TILE classes by hash; a group holds two tiles and counts, for all of its
+    pairs at once, the keys they share. Pairs whose sizes, distances to the pivot or counts rule a link out
+    are never made. A pair that meets in several regions comes from that of the smallest key.
+    """
+    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    rows = now.withColumn("tile", F.pmod(F.xxhash64("class"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    rows = rows.withColumns({"t": F.least("tile", "other"), "u": F.greatest("tile", "other")})
+    radius = 1 - PERCENT / 100 + 1e-9
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        this = group["key"].iloc[0]
+        places: dict[int, int] = {}
+        at = [[places.setdefault(k, len(places)) for k in keys] for keys in group["keys"]]
+        has = np.zeros((len(group), len(places)), np.float32)
+        for i, own in enumerate(at):
+            has[i, own] = 1
+        v = {k: group[k].to_numpy() for k in ("class", "n", "p", "label", "lo", "hi", "others", "tile")}
+        n, room, more = v["n"].astype(float), (v["n"] - v["p"]).astype(float), v["others"].astype(float)
+        out = []
+        for i in range(len(group)):
+            c = has @ has[i] + np.minimum(more, more[i])
+            most = c + np.maximum(np.minimum(room[i], n - c), np.minimum(room, n[i] - c))
+            good = (v["class"] > v["class"][i]) & (v["label"] != v["label"][i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * PERCENT)
+            good &= (v["lo"] - v["hi"][i] <= radius) & (v["lo"][i] - v["hi"] <= radius) & (most * 100 >= (n + n[i] - most) * PERCENT)
+            # Pairs of one tile meet in the group of that tile alone.
+            good &= (v["tile"] != v["tile"][i]) | (group["t"].iloc[0] == group["u"].iloc[0])
+            own = set(group["keys"].iloc[i])
+            out += [(int(v["class"][i]), int(v["class"][j])) for j in np.flatnonzero(good) if min(own.intersection(group["keys"].iloc[j])) == this]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return rows.select("key", "t", "u", "tile", "class", "n", "p", "label", "lo", "hi", "others", "keys").groupBy("key", "t", "u").applyInPandas(meet, "a bigint, b bigint")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_copies")
 

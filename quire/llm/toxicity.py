@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import remainder, table
+from quire.llm.common import remainder, stored, table
 from quire.llm.decontaminate import plain_words
 
 #: Bounds of the fitted classifier: labelled examples (smallest hash of the key), and words.
@@ -24,6 +24,8 @@ MAX_EXAMPLES, MAX_WORDS = 16_384, 4_096
 #: Least chi-square of a word against the labels, and least examples that have it.
 LEAST_CHI2, LEAST_EXAMPLES = 24.0, 3
 NEIGHBOURS, BLOCK = 16, 128
+#: Blocks that are looked into at a time, best bounds first.
+GROUP = 16
 
 
 class Index:
@@ -67,22 +69,21 @@ class Index:
         bound = values @ self.most[terms]
         order = np.argsort(-bound, kind="stable")
         best, at = np.zeros(0), np.zeros(0, np.int64)
-        for first in range(0, len(order), 8):
-            part = order[first : first + 8]
+        for first in range(0, len(order), GROUP):
+            part = order[first : first + GROUP]
             least = best[-1] if len(best) == NEIGHBOURS else 0.0
             part = part[bound[part] >= max(least - 1e-12, 1e-12)]
             if not len(part):
                 break
-            sums = np.zeros((len(part), BLOCK))
-            for t, v in zip(terms, values, strict=True):
-                for row, b in enumerate(part):
-                    lo, hi = self.start[t * self.blocks + b], self.start[t * self.blocks + b + 1]
-                    if hi > lo:
-                        sums[row, self.owner[lo:hi] - b * BLOCK] += v * self.value[lo:hi]
-            found = (part[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            flat = np.round(sums.ravel(), 9)
-            good = (flat > 0) & (found != skip)
-            best, at = np.concatenate([best, flat[good]]), np.concatenate([at, found[good]])
+            # The postings of all terms in these blocks, in one pass.
+            cells = (terms[:, None] * self.blocks + part).ravel()
+            lo = self.start[cells]
+            n = self.start[cells + 1] - lo
+            index = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+            sums = np.bincount(self.owner[index], np.repeat(np.repeat(values, len(part)), n) * self.value[index])
+            found = np.flatnonzero(sums > 0)
+            found = found[found != skip]
+            best, at = np.concatenate([best, np.round(sums[found], 9)]), np.concatenate([at, found])
             keep = np.lexsort((at, -best))[:NEIGHBOURS]
             best, at = best[keep], at[keep]
         return at, best
@@ -137,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     own = labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where("k is not null and y is not null").groupBy("k").agg(F.max("y").alias("y"))
     own = own.orderBy(F.xxhash64("k"), "k").limit(MAX_EXAMPLES)
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    examples = rows.join(F.broadcast(own), "k")
+    # Copies of a text are one example, with the highest of their labels.
+    examples = stored(rows.join(F.broadcast(own), "k").groupBy("t").agg(F.min("k").alias("k"), F.max("y").alias("y")).select("k", "t", "y"), "examples")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -151,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         yield pa.RecordBatch.from_arrays([pa.array([*words, None], pa.binary()), pa.array([*clean, total[0]], pa.int64()), pa.array([*bad, total[1]], pa.int64())], ["w", "clean", "bad"])
 
     told = examples.mapInArrow(tell, "w binary, clean bigint, bad bigint").groupBy("w").agg(F.sum("clean").alias("c"), F.sum("bad").alias("b"))
-    ends = own.agg(F.sum((F.col("y") > 0).cast("bigint")), F.count("*")).first()
+    ends = examples.agg(F.sum((F.col("y") > 0).cast("bigint")), F.count("*")).first()
     bad, clean = float(ends[0] or 0), float((ends[1] or 0) - (ends[0] or 0))
     n = F.col("c") + F.col("b")
     off = F.col("b") * clean - F.col("c") * bad

@@ -96,12 +96,15 @@ def _parsed(raw: str | None) -> list[dict]:
     return parser.blocks
 
 
-@F.pandas_udf(schemas.BLOCKS)
-def blocks(raw: pd.Series) -> pd.Series:
-    """Labelled blocks of a page's layout HTML, however broken; null and empty pages have none."""
+def _all_parsed(raw: pd.Series) -> pd.Series:
     return raw.map(_parsed)
 
 
+def blocks(raw: Column | str) -> Column:
+    """Labelled blocks of a page's layout HTML, however broken; null and empty pages have none."""
+    return F.pandas_udf(_all_parsed, schemas.BLOCKS)(raw)
+
+
 def boxed(c: Column) -> Column:
     """The blocks with their boxes read."""
     return F.transform(c, lambda b: b.withField("box", X.box(b["bbox"])))
@@ -118,18 +121,23 @@ def page_head(c: Column, whole_words: Column) -> Column:
     """Struct of a page's number, mode (dict, treatise, plate, unknown), running head and trigram."""
     heads = F.filter(F.transform(F.filter(c, lambda b: b["label"] == "Page-Header"), lambda b: F.trim(b["text"])), lambda t: t != "")
     is_number = lambda t: t.rlike(r"^[\[(]?\s*\d{1,4}\s*[\])]?\.?$")
-    number = F.regexp_extract(F.element_at(F.concat(F.array(F.lit("")), F.filter(heads, is_number)), -1), r"(\d+)", 1)
-    names = F.transform(F.filter(heads, lambda t: ~is_number(t) & t.rlike("[A-Za-z]")), X.unspaced)
-    first = lambda p: F.get(F.filter(names, p), F.lit(0))
     volume = lambda a: X.key(a).rlike("^VOL[IVXLC]+$")
-    word = first(lambda a: (F.length(X.key(a)) >= 4) & ~volume(a))
-    vol_like, plate_like = F.exists(names, volume), F.exists(names, lambda a: a.rlike("(?i)^PLATE"))
-    three = first(lambda a: a.rlike("^[A-Z]{3}$"))
-    trigram = F.coalesce(three, F.when(whole_words & word.isNotNull() & ~vol_like, F.left(X.key(word), F.lit(3))))
     texts, images = F.size(F.filter(c, lambda b: b["label"] == "Text")), F.size(F.filter(c, lambda b: b["label"].isin("Image", "Figure", "Diagram")))
-    mode = F.when(vol_like, "plate").when(trigram.isNotNull(), "dict").when(plate_like | ((images > 0) & (texts <= 1)), "plate").when(word.isNotNull(), "treatise").otherwise("unknown")
-    running = F.coalesce(trigram, word, F.get(names, F.lit(0)), F.lit(""))
-    return F.struct(F.when(number != "", number.cast("int")).alias("page_no"), mode.alias("mode"), running.alias("running"), trigram.alias("trigram"))
+
+    def read(numbers: Column, names: Column) -> Column:
+        first = lambda p: F.get(F.filter(names, p), F.lit(0))
+        number = F.nullif(F.regexp_extract(F.element_at(F.concat(F.array(F.lit("")), numbers), -1), r"(\d+)", 1), F.lit(""))
+        vol_like, plate_like = F.exists(names, volume), F.exists(names, lambda a: a.rlike("(?i)^PLATE"))
+
+        def judged(word: Column) -> Column:
+            trigram = F.coalesce(first(lambda a: a.rlike("^[A-Z]{3}$")), F.when(whole_words & word.isNotNull() & ~vol_like, F.left(X.key(word), F.lit(3))))
+            mode = lambda t: F.when(vol_like, "plate").when(t.isNotNull(), "dict").when(plate_like | ((images > 0) & (texts <= 1)), "plate").when(word.isNotNull(), "treatise").otherwise("unknown")
+            return X.let(trigram, lambda t: F.struct(number.cast("int").alias("page_no"), mode(t).alias("mode"), F.coalesce(t, word, F.get(names, F.lit(0)), F.lit("")).alias("running"), t.alias("trigram")))
+
+        return X.let(first(lambda a: (F.length(X.key(a)) >= 4) & ~volume(a)), judged)
+
+    named = lambda h: F.transform(F.filter(h, lambda t: ~is_number(t) & t.rlike("[A-Za-z]")), X.unspaced)
+    return X.let(heads, lambda h: X.let(named(h), lambda names: read(F.filter(h, is_number), names)))
 
 
 def banner(c: Column, title_key: Column) -> Column:
