@@ -106,39 +106,29 @@ def _sketches(rows: DataFrame) -> DataFrame:
 
 
 def _fetched(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(digest, shingles) of the digests in ``wanted``, computed again from the texts.
+    """(class, shingles) of the classes in ``wanted`` (class, digest), computed again from the texts of the rows that stand for them.
 
-    A bitmap of a fixed size, whatever the number of digests, keeps most other sets from moving; the join
-    then keeps exactly the wanted ones.
+    A bitmap of a fixed size, whatever the number of classes, tells the tasks which rows these may be, so no
+    set moves here. Where two rows share a bit the other's set comes along, which no pair asks for.
     """
-    place = F.pmod(F.xxhash64("digest"), F.lit(BITS))
+    place = F.pmod(F.xxhash64("class"), F.lit(BITS))
     words = wanted.select(place.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(p % 64)))").alias("bits"))
     bitmap = np.zeros(BITS // 64, np.int64)
     got = words.toPandas()
     bitmap[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
-    held = np.unpackbits(bitmap.view(np.uint8), bitorder="little").astype(bool)
-    packed_bits = np.packbits(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = set()
-        bits = np.unpackbits(packed_bits).view(bool)
+        bits = np.unpackbits(bitmap.view(np.uint8), bitorder="little").view(bool)
         for batch in batches:
-            out = []
-            for raw in batch.column(0):
-                s = shingle_set(raw.as_py())
-                if len(s) and (d := digest(s)) not in done and bits[spark_hash(d) % BITS]:
-                    done.add(d)
-                    out.append((d, s.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.binary()), pa.array([s for _, s in out], pa.binary())], ["digest", "shingles"])
-
-    found = rows.select("raw").mapInArrow(run, "digest binary, shingles binary").join(wanted, "digest")
-    return stored(found.groupBy("class").agg(F.min("shingles").alias("shingles")), "sets")
-
+            mine = pa.array(bits[batch.column("p").to_numpy()])
+            sets = [shingle_set(raw.as_py()) for raw in batch.column("raw").filter(mine)]
+            yield pa.RecordBatch.from_arrays([batch.column("class").filter(mine), pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["class", "digest", "shingles"])
 
-def spark_hash(data: bytes) -> int:
-    """Spark's xxhash64 of a binary value, as a signed number."""
-    h = xxhash.xxh64_intdigest(data, seed=42)
-    return h - (1 << 64) if h >> 63 else h
+    found = rows.withColumnRenamed("row", "class").select("class", place.alias("p"), "raw").mapInArrow(run, "class bigint, digest binary, shingles binary")
+    found = stored(found, "sets")
+    if not wanted.join(found.select("class", "digest"), ["class", "digest"], "left_anti").isEmpty():
+        raise ValueError("the documents came in another order when they were read again; write them as a table first")
+    return found.select("class", "shingles")
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
@@ -152,7 +142,8 @@ def _may_link(pairs: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, distance, linked) of pairs of classes, from their whole sets."""
+    """(a, b, distance, linked) of pairs of classes, from their whole sets; the sets of other classes stay where they are."""
+    sets = sets.join(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "class", "left_semi")
     left, right = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,16 +171,18 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     component_id is the smallest doc_id reachable by links, its own included. Null texts and texts without
     words have no shingles and are linked with nothing; a text of fewer than five words is one shingle.
     Repeated rows are copies of each other. Null ids are passed over as component ids unless a component
-    has no other. ``row`` numbers the rows of ``docs`` as monotonically_increasing_id() does.
+    has no other. ``row`` numbers the rows of ``docs`` as monotonically_increasing_id() does; ``docs`` is read
+    twice and must come in the same order (a table does, anything else has to be written first): a ValueError
+    tells if it did not.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("raw"))
     sketches = _sketches(rows)
     filled = sketches.where("n > 0")
     classes = filled.groupBy("digest").agg(F.min("row").alias("class"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies"))
     classes = stored(classes, "classes")
-    own = filled.join(classes.select(F.col("class").alias("row")), "row").select(F.col("row").alias("class"), "n", F.size("keys").alias("p"), "density", F.explode("keys").alias("key"))
+    own = filled.join(classes.select(F.col("class").alias("row")), "row").select(F.col("row").alias("class"), F.col("n").cast("int").alias("n"), F.col("density").cast("float").alias("density"), F.explode("keys").alias("key"))
     counts = own.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    regions = stored(own.join(counts, "key"), "regions")
+    regions = stored(own.join(counts, "key").withColumn("p", F.expr(f"n - ({PERCENT} * bigint(n) + 99) div 100 + 1")), "regions")
 
     small, large = regions.where(F.col("members") <= SMALL), regions.where(F.col("members") > SMALL)
     x = small.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
@@ -203,7 +196,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     near = stored(_may_link(near).select("a", "b"), "near")
 
     wanted = near.select(F.col("a").alias("class")).union(near.select("b")).union(rest.select("class")).distinct()
-    sets = _fetched(rows, stored(wanted.join(classes, "class").select("digest", "class"), "wanted"))
+    sets = _fetched(rows, stored(wanted.join(classes, "class").select("class", "digest"), "wanted"))
     compared = stored(_compared(near, sets), "compared")
     links = compared.where("linked").select("a", "b")
     label = components(links)
