@@ -26,14 +26,18 @@ PREFIXES = "AKIA|ASIA|ghp_|gho_|github_pat_|glpat-|xox[abp]-|sk_live_|sk-|AIza|e
 #: Bounds of the classifier: findings that train it, trees and depth.
 FINDINGS, TREES, DEPTH = 6_000, 30, 7
 LEAST = 0.5
+#: Signs that part the values of a query string, of JSON or of a CSV line; a value that something is assigned to.
+PARTS = r"[,;&?|<>(){}\[\]]+"
+VALUE = "[:=][\"']?([A-Za-z0-9+/_=.~!@^-]{6,})"
 FEATURES = ["length", "digits", "upper", "lower", "signs", "switches", "letter_runs", "hexadecimal", "covered", "prefixed", "assigned", "named", "against", "path"]
 
 
 def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
     """``docs`` with one row for each candidate: word (its place, from 0), candidate, before, own, after, path.
 
-    A word is a candidate if it has sixteen characters or more with letters and digits, if it assigns
-    something to one of NAMES, or if it follows such a name and a sign of assignment.
+    A word holds candidates if it has sixteen characters or more with letters and digits, if it assigns
+    something to one of NAMES, or if it follows such a name and a sign of assignment. Every assigned value and
+    every other run in each part of the word is one; ``own`` is the part that it stands in.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.withColumn("_path", F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit(""))
@@ -46,12 +50,16 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> Dat
     rows = once(rows, F.when(F.size("_words") > 0, places).otherwise(F.array().cast("array<int>")).alias("_places"))
     rows = rows.withColumn("word", F.explode("_places"))
     around = lambda lo, hi: F.lower(F.array_join(F.filter(F.array(*[at(F.col("word") + k) for k in range(lo, hi)]), lambda x: x.isNotNull()), " "))
-    own = at(F.col("word"))
-    rows = once(rows, own.alias("own"), around(-3, 0).alias("before"), around(1, 4).alias("after"))
-    value = F.regexp_extract("own", "(?:[:=][\"']?)([A-Za-z0-9+/_=.~!@^-]{6,})", 1)
-    bare = F.regexp_extract("own", "([A-Za-z0-9+/_=.-]{6,})", 1)
-    rows = rows.withColumn("candidate", F.rtrim(F.when(value != "", value).otherwise(bare), F.lit(".,;:!")))
-    return rows.where(F.length("candidate") >= 6).drop("_words", "_places")
+    rows = once(rows, at(F.col("word")).alias("_word"), around(-3, 0).alias("before"), around(1, 4).alias("after"))
+    rows = rows.withColumn("own", F.explode(F.split("_word", PARTS))).where(F.length("own") >= 6)
+    # Assigned values, and their pieces where more signs stand in them; then bare runs of what values leave.
+    values = F.regexp_extract_all("own", F.lit(VALUE), F.lit(1))
+    pieces = F.flatten(F.transform(F.col("_values"), lambda v: F.split(v, "[=@]+(?=[^=@])")))
+    bare = F.regexp_extract_all(F.regexp_replace("own", VALUE, " "), F.lit("([A-Za-z0-9+/_=.-]{6,})"), F.lit(1))
+    rows = once(rows, values.alias("_values"), bare.alias("_bare"))
+    runs = F.when(F.size("_values") == 0, F.col("_bare")).otherwise(F.filter("_bare", long))
+    rows = rows.withColumn("candidate", F.explode(F.array_distinct(F.transform(F.concat("_values", pieces, runs), lambda c: F.rtrim(c, F.lit(".,;:!"))))))
+    return rows.where(F.length("candidate") >= 6).drop("_words", "_places", "_word", "_values", "_bare")
 
 
 def featured(found: DataFrame) -> DataFrame:
@@ -64,6 +72,10 @@ def featured(found: DataFrame) -> DataFrame:
     for pattern, one in (("[a-z]+", "a"), ("[A-Z]+", "B"), ("[0-9]+", "0"), ("[^a-zA-Z0-9]+", "-")):
         runs = F.regexp_replace(runs, pattern, one)
     lower = F.lower(c)
+    # What stands before the candidate in its part, and the name that it is assigned to there.
+    lead = F.expr("lower(substring_index(own, candidate, 1))")
+    name = F.regexp_extract(lead, "([^:=]*[:=][\"']?)$", 1)
+    near = F.when(name != "", F.concat(name, lower)).otherwise(F.lower("own"))
     features: dict[str, Column] = {
         "length": F.least(n, F.lit(200)),
         "digits": share("0-9"),
@@ -75,9 +87,9 @@ def featured(found: DataFrame) -> DataFrame:
         "hexadecimal": lower.rlike("^[0-9a-f]+$"),
         "covered": 1 - F.length(F.regexp_replace(lower, f"(?:{DICTIONARY})", "")) / n,
         "prefixed": c.rlike(f"^(?:{PREFIXES})"),
-        "assigned": F.contains(F.col("own"), F.lit("=")) | F.col("before").rlike("[:=]$"),
-        "named": F.concat_ws(" ", "before", F.expr("lower(substring_index(own, candidate, 1))")).rlike(f"(?:{NAMES})"),
-        "against": F.concat_ws(" ", "before", F.lower("own")).rlike(f"(?:^|[ \"'=:_-])(?:{AGAINST})(?:[ \"'=:_-]|$)|@[^ ]*$"),
+        "assigned": (name != "") | F.contains(F.col("own"), F.lit("=")) | F.col("before").rlike("[:=]$"),
+        "named": F.concat_ws(" ", "before", F.when(name != "", name).otherwise(lead)).rlike(f"(?:{NAMES})"),
+        "against": F.concat_ws(" ", "before", near).rlike(f"(?:^|[ \"'=:_-])(?:{AGAINST})(?:[ \"'=:_-]|$)|@[^ ]*$"),
         "path": F.lower("_path").rlike(f"(?:^|[^a-z])(?:{PATHS})s?(?:[^a-z]|$)"),
     }
     return found.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in features.items()})
@@ -165,7 +177,10 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     found = findings(numbered, trained(labelled_findings(spark)), keep=("_row",)).where("is_secret")
-    masks = stored(found.groupBy("_row").agg(F.sort_array(F.collect_set("candidate"), asc=False).alias("_masks")), "masks")
+    # Longer masks first: a shorter one may be part of them.
+    masks = stored(found.groupBy("_row").agg(F.collect_set("candidate").alias("_masks")), "masks")
+    longest = F.sort_array(F.transform("_masks", lambda m: F.struct(F.length(m).alias("n"), m.alias("m"))), asc=False)
+    masks = masks.withColumn("_masks", F.transform(longest, lambda x: x["m"]))
     few = masks.count() <= BROADCAST_ROWS
     out = numbered.join(F.broadcast(masks) if few else masks, "_row", "left")
     text = F.when(F.col("_masks").isNull(), F.col("text")).otherwise(F.aggregate("_masks", F.col("text"), lambda t, m: F.replace(t, m, F.lit(MASK))))
