@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +27,8 @@ FREQUENT = 100_000
 #: Tokens with vectors of their own (the end among them); one more class stands for all others.
 KNOWN, SIZE = 511, 24
 NOISE, BATCH, RATE = 128, 256, 0.08
-#: A task trains on one position in so many of every text, at an offset that depends on the text.
-STRIDE = 6
+#: Positions that are mixed before a task trains on them.
+MIXED = 200_000
 
 
 @dataclass
@@ -139,6 +138,7 @@ def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]
         model, rng, n = Bilinear(sizes), np.random.default_rng(5), 0
         noise = np.cumsum(model.noise)
         held: list[np.ndarray] = []
+        waiting = 0
 
         def learn(stack: np.ndarray) -> None:
             stack = stack[:, rng.permutation(stack.shape[1])]
@@ -148,14 +148,13 @@ def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]
 
         for batch in batches:
             for raw in batch.column(0):
-                text = raw.as_py() or b""
-                a = np.concatenate([[0, 0], classed(ascii_words(text), ids, len(ids)), [0]])
-                pick = np.arange(2 + xxhash.xxh32_intdigest(text) % STRIDE, len(a), STRIDE)
-                held.append(np.stack([a[pick - 1], a[pick - 2], a[pick]]))
-                n += len(pick)
-                if sum(map(len, held)) > 2048:
+                a = np.concatenate([[0, 0], classed(ascii_words(raw.as_py() or b""), ids, len(ids)), [0]])
+                held.append(np.stack([a[1:-1], a[:-2], a[2:]]))
+                n += len(a) - 2
+                waiting += len(a) - 2
+                if waiting >= MIXED:
                     learn(np.concatenate(held, axis=1))
-                    held = []
+                    held, waiting = [], 0
         if held:
             learn(np.concatenate(held, axis=1))
         if n:

@@ -47,3 +47,14 @@ def test_no_training_texts(spark):
     assert rows[1].n_tokens == 3 and rows[2].n_tokens == 1 and rows[1].n_known == 0 and rows[1].train_tokens == 0
     assert math.isclose(rows[1].base_score, 0.0, abs_tol=1e-9) and math.isfinite(rows[1].score)
     assert L.scored(docs.limit(0), docs).collect() == []
+
+
+def test_every_position_is_trained_on(spark):
+    # A position moves the vectors of the words before it, however short its text.
+    texts = spark.createDataFrame([(b"a b c",), (b"d",), (b"e f",), (None,)], "raw binary")
+    _, counts = L.counted(texts)
+    model, ids = L.fitted(texts, counts)
+    fresh = L.Bilinear([counts.frequent[w] for w in ids] + [0])
+    moved = {w for w, i in ids.items() if not np.allclose(model.Q[i], fresh.Q[i], atol=1e-7)}
+    # Every token is the word before some position; the end stands before the first.
+    assert moved == set(ids)
