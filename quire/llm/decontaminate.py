@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import distinct, rolled, table, word_codes
+from quire.llm.common import distinct, rolled, stored, table, word_codes
 
 SHINGLE, LEAST = 5, 0.8
 #: Bits that may differ. A window of similarity LEAST differs in 13 of 64 on average, in more than these once in
@@ -44,24 +44,31 @@ def packed(sums: np.ndarray) -> np.ndarray:
 class ItemIndex:
     """Items by length, with fingerprints in one sorted list for each block of bits."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], least: float = LEAST) -> None:
+    def __init__(self, items: list[tuple[int | None, bytes]], least: float = LEAST, whole: tuple[int, np.ndarray, np.ndarray] | None = None) -> None:
+        """whole: items of the whole benchmark, its shingles in order (those of ``items`` at least) and in how
+        many items each stands; by default ``items`` are the whole."""
         self.least = least
-        self.ids, sets, self.length = [], [], []
+        self.ids, sets, runs, self.length = [], [], [], []
         for key, text in items:
             words = word_codes(text.translate(_PLAIN))
             if len(words) >= SHINGLE:
                 self.ids.append(key)
                 self.length.append(len(words))
-                sets.append(distinct(rolled(words, SHINGLE)))
+                runs.append(rolled(words, SHINGLE))
+                sets.append(distinct(runs[-1]))
         self.known, df = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.known & np.uint64(0xFFFF)).astype(np.int64)] = True
         #: A shingle that many items share says less; one that no item has weighs most.
-        self.weight = np.log1p(len(sets) / df).astype(np.float32) if len(df) else np.zeros(0, np.float32)
-        self.foreign = np.float32(np.log1p(len(sets)))
+        n_items = len(sets)
+        if whole:
+            n_items, df = whole[0], whole[2][np.searchsorted(whole[1], self.known)]
+        self.weight = np.log1p(n_items / df).astype(np.float32) if len(df) else np.zeros(0, np.float32)
+        self.foreign = np.float32(np.log1p(n_items))
         self.sets = [np.searchsorted(self.known, s) for s in sets]
         self.total = np.array([self.weight[s].sum() for s in self.sets])
-        prints = np.array([packed((signs(self.known[s]) * self.weight[s][:, None]).sum(0, keepdims=True))[0] for s in self.sets], np.uint64)
+        # Fingerprints count repeats, as those of windows do.
+        prints = np.array([packed((signs(r) * self.weight[np.searchsorted(self.known, r)][:, None]).sum(0, keepdims=True, dtype=np.float64))[0] for r in runs], np.uint64)
         lengths = sorted(set(self.length))
         #: Shingles that a window of so many words must share at least with one of its items.
         self.need = {n: min(self._fewest(i) for i, m in enumerate(self.length) if m == n) for n in lengths}
@@ -132,14 +139,35 @@ class ItemIndex:
 _MATCHES = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int64()), ("n_words", pa.int64())]))
 
 
-def item_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[list[tuple[int | None, bytes]]]:
-    """The benchmark in blocks of about BLOCK_CHARS characters; the driver holds one at a time."""
+def item_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[tuple[list[tuple[int | None, bytes]], tuple[int, np.ndarray, np.ndarray] | None]]:
+    """The benchmark in blocks of about BLOCK_CHARS characters, each with the numbers of items that hold its
+    shingles in the whole benchmark (None where one block is the whole); the driver holds one at a time."""
     items = benchmark.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null").distinct()
     size = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = int(size // BLOCK_CHARS) + 1
+    items = items.select("k", F.col("t").cast("binary").alias("t"), F.pmod(F.xxhash64("k", "t"), F.lit(n)).alias("b"))
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw, b in zip(batch.column("t"), batch.column("b").to_pylist(), strict=True):
+                words = word_codes(raw.as_py().translate(_PLAIN))
+                own = distinct(rolled(words, SHINGLE)) if len(words) >= SHINGLE else np.zeros(0, np.uint64)
+                first = np.arange(len(own)) == 0
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(len(own), b, np.int64)), pa.array(first.astype(np.int64))], ["s", "b", "first"])
+
+    if n > 1:
+        held = items.select("t", "b").mapInArrow(shingles, "s bigint, b bigint, first bigint")
+        whole = stored(held.groupBy("s").agg(F.count("*").alias("df"), F.collect_set("b").alias("blocks"), F.sum("first").alias("first")), "shingles")
+        n_items = whole.agg(F.sum("first")).first()[0] or 0
     for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == b).select("k", F.col("t").cast("binary").alias("t")).collect()
-        yield sorted(((r.k, bytes(r.t)) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        rows = items.where(F.col("b") == b).select("k", "t").collect()
+        counts = None
+        if n > 1:
+            own = whole.where(F.array_contains("blocks", F.lit(b).cast("bigint"))).select("s", "df").toArrow()
+            known, df = own.column("s").to_numpy().view(np.uint64), own.column("df").to_numpy()
+            order = np.argsort(known)
+            counts = (n_items, known[order], df[order])
+        yield sorted(((r.k, bytes(r.t)) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])), counts
 
 
 def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", least: float = LEAST) -> DataFrame:
@@ -153,8 +181,8 @@ def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", least:
     docs = docs.drop("matches")
     columns = docs.columns
     out = docs
-    for part, items in enumerate(item_blocks(benchmark)):
-        index = ItemIndex(items, least)
+    for part, (items, whole) in enumerate(item_blocks(benchmark)):
+        index = ItemIndex(items, least, whole)
 
         def run(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -57,3 +57,24 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b c d e f", "x")], SCHEMA)
     assert D.annotated(docs, bench).collect() == []
     assert [r.matches for r in D.annotated(some, bench).collect()] == [[]]
+
+
+def test_copies_of_repetitive_items_are_found():
+    random.seed(8)
+    word = lambda: "".join(random.choice("abcdefghijklm") for _ in range(random.randint(3, 8)))
+    items = [(k, " ".join([" ".join(word() for _ in range(9)) + " "] * 20 + [word() for _ in range(44)]).encode()) for k in range(12)]
+    index = D.ItemIndex(items)
+    assert [[m["item_id"] for m in index.matches(b"before it " + t + b" after it")] for _, t in items] == [[k] for k, _ in items]
+
+
+def test_weights_count_items_of_all_blocks(spark, monkeypatch):
+    random.seed(9)
+    word = lambda: "".join(random.choice("abcdefghijklm") for _ in range(random.randint(3, 8)))
+    shared = " ".join(word() for _ in range(30))
+    items = [(k, f"{shared} " + " ".join(word() for _ in range(20))) for k in range(12)] + [(20, "too short"), (21, None)]
+    docs = [(k, f"{shared} " + " ".join([*t.split()[30 : 30 + n], *(word() for _ in range(20 - n))]), "x") for k, t in items[:12] for n in (15, 17, 20)]
+    frame, bench = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id bigint, text string")
+    found = lambda: sorted((r.doc_id, r.text, m.item_id, m.similarity) for r in D.annotated(frame, bench).collect() for m in r.matches)
+    whole = found()
+    monkeypatch.setattr(D, "BLOCK_CHARS", 1000)
+    assert found() == whole and len(whole) >= 12
