@@ -188,7 +188,7 @@ def paren_qualifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """select doc_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(left(text, 2000), '\\s+', ' ', 'g')), '([\\pL\\pN_])[­-]\\s+([a-z])', '\\1\\2', 'g'), '\\s+([,.;:)])', '\\1', 'g')) as cleaned from documents"""
 )
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", X.clean(F.left("text", F.lit(2000))).alias("cleaned"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.clean(F.col("text")).alias("cleaned"))
 
 
 @R.query("select doc_id, count(*) as n_roman from (select doc_id, unnest(string_split_regex(text, '[\\x20\\x09-\\x0D]+')) as w from documents) where regexp_matches(w, '^[IVXLCDM]+\\.?$') group by doc_id")

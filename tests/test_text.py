@@ -109,3 +109,18 @@ def test_spelling_distance_equals_a_plain_loop(spark):
     pairs = list(zip(words[::2], words[1::2], strict=True))
     got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", X.near(F.col("a"), F.col("b"), 2).alias("d")).collect()
     assert [r.d for r in got] == [slow(a, b) for a, b in pairs]
+
+
+def test_whole_texts_are_cleaned(spark, tmp_path):
+    import re
+
+    from quire.plans.repairs import clean_text
+
+    texts = {1: "one  two-\n three , " * 500, 2: "short  text .", 3: "x" * 1999 + "  y-\n z", 4: ""}
+    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def brute(t):
+        t = re.sub(r"(\w)[\u00ad-]\s+([a-z])", r"\1\2", re.sub(r"\s+", " ", t).strip())
+        return re.sub(r"\s+([,.;:)])", r"\1", t).strip()
+
+    assert {r.doc_id: r.cleaned for r in clean_text(spark, str(tmp_path)).collect()} == {k: brute(t) for k, t in texts.items()}
