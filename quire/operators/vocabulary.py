@@ -106,8 +106,11 @@ def oversized(sizes: DataFrame, word: str, edition: str, size: str, times: float
 def contained(bodies: DataFrame, words: DataFrame) -> DataFrame:
     """(id, key): words whose first letters (all but one, five at least) begin a word of the body.
 
-    Both sides meet on the first three letters, so no body is held against all words.
+    Different words of the bodies meet the heads on their first three letters, once for all bodies, so neither
+    a body nor a frequent word is held against all words.
     """
     heads = words.select("key", F.left("key", F.greatest(F.lit(5), F.length("key") - 1)).alias("head"), F.left("key", F.lit(3)).alias("block"))
-    tokens = bodies.select("id", F.col("key").alias("token"), F.left("key", F.lit(3)).alias("block")).distinct()
-    return tokens.join(heads, "block").where(F.startswith("token", F.col("head"))).select("id", "key").distinct()
+    tokens = bodies.select("id", F.col("key").alias("token")).distinct()
+    different = bodies.select(F.col("key").alias("token"), F.left("key", F.lit(3)).alias("block")).distinct()
+    begun = different.join(heads, "block").where(F.startswith("token", F.col("head"))).select("token", "key")
+    return tokens.join(begun, "token").select("id", "key").distinct()

@@ -115,5 +115,5 @@ def reference_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
 select distinct o.id, w.key from (select distinct id, key from occ) o join words w on left(o.key, 3) = left(w.key, 3) and starts_with(o.key, left(w.key, greatest(5, length(w.key) - 1)))"""
 )
 def body_token_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = V.occurrences(table(spark, sf_dir, "benchmark").withColumn("edition", F.lit("")), edition="edition", id="item_id").select("key").where(F.length("key") >= 9).distinct()
+    words = V.occurrences(table(spark, sf_dir, "benchmark").withColumn("edition", F.lit("")), edition="edition", id="item_id").select("key").distinct()
     return V.contained(_occurrences(spark, sf_dir), words)
