@@ -1,14 +1,16 @@
 """Exact n-gram Jaccard join as a metric-space join.
 
-Jaccard distance is a metric, so distances to a pivot bound distances between documents. Documents of equal
-shingle sets are one class. Classes meet in regions: those that share a rare shingle of their prefixes (two
-sets of similarity 0.8 share one at least, whatever the order of shingles, so no link is lost). In a region
-the densest class is the pivot; whatever lies within the radius of it belongs to its cell and needs no
-further comparison inside, since all of the cell is in the pivot's component. What remains gets pivots of
-its own, again and again; last, classes of different components in a region are compared, unless their
-distances to the region's pivot differ by more than the radius (the triangle inequality). Small regions skip
-the pivots. Pairs are counted before they are compared: those that can't share enough shingles are gone
-before any set moves.
+Jaccard distance is a metric, so distances to pivots bound distances between documents. Documents of equal
+shingle sets are one class. Most texts have nothing in common, so all distances between them are 1 and cells
+around pivots would part nothing; supports are split first: two sets within the radius share a shingle of
+their prefixes (in one common order, rare shingles first). The class with most shared shingles among those
+that hold a prefix shingle is its pivot, and the region of a pivot takes in every class that shares such a
+shingle with it, so any two classes that may link meet in a region. A region of bounded size is joined
+exactly in one task. A larger one gets pivots of its own: every class goes to the cell of the nearest,
+classes within the window of the triangle inequality (twice the radius) of another cell are replicated into
+it, the core of a cell (within the radius of its pivot, so in one component) goes no further unless the
+boundary may reach it, and cells are joined in the same way again. Where pivots part nothing, pairs of tiles
+of the region are joined instead.
 """
 
 from __future__ import annotations
@@ -16,33 +18,41 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import distinct, rolled, stored, table, word_codes
 from quire.llm.components import components
 
 SHINGLE, PERCENT = 5, 80
-#: Regions of so many classes at most are compared pair by pair; larger ones get pivots.
-SMALL = 24
+RADIUS = 1 - PERCENT / 100
+#: Regions of so many classes (and shingles) at most are joined in one task; larger ones get pivots.
+SMALL, SMALL_SHINGLES = 48, 2_000_000
+#: Pivots of a large region, and how often its cells are divided before tiles of TILE classes meet.
+PIVOTS, DEPTH = 16, 6
+TILE = 32
 #: Frequent shingles that the order of prefixes puts last. A bound of what travels to the tasks; which
 #: shingles are among them changes the cost, never the result.
 FREQUENT = 65_536
-PIVOT_ROUNDS = 3
-#: Classes of a large region that meet another such number in one group.
-TILE = 512
-BITS = 1 << 24
+#: Shingles that a task counts at a time, postings that it holds, and postings of a bucket.
+COUNTED, HELD, BUCKET = 2_000_000, 1_000_000, 1_000_000
+#: A shingle of so many sets is hot: its pivot is found by an aggregate and sent to its classes.
+HOT = 200_000
+#: Classes of one shingle that are checked against each other before texts move; more are kept unchecked.
+CHECKED = 64
+#: Rows of 8 bytes that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
     return distinct(rolled(word_codes((text or b"").lower()), SHINGLE))
 
 
-def digest(shingles: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(shingles.tobytes())
+def class_code(shingles: np.ndarray) -> int:
+    """64-bit code of a set, as a signed number."""
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
 def prefix_length(n: int) -> int:
@@ -50,267 +60,393 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
-def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The FREQUENT shingles that most documents have, by hash, and their counts; counted over all texts.
+def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """The most frequent shingles in order of hash, FREQUENT at most, their counts, and the prefix shingles of all
+    texts; counted over all texts.
 
     A task passes on what it saw in two different sets at least, so one that is rare everywhere costs nothing.
+    A histogram of the counts gives the least count that stays, so no more than FREQUENT rows are collected.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, sets, held = set(), [], 0
+        seen: set[int] = set()
+        sets: list[np.ndarray] = []
+        held = total = 0
 
         def told() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys[n > 1].view(np.int64)), pa.array(n[n > 1])], ["key", "n"])
+            s = np.sort(np.concatenate([*sets, np.zeros(0, np.uint64)]))
+            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(s)))
+            return pa.RecordBatch.from_arrays([pa.array(s[first[n > 1]].view(np.int64)), pa.array(n[n > 1])], ["key", "n"])
 
         for batch in batches:
             for raw in batch.column(0):
                 s = shingle_set(raw.as_py())
-                if len(s) and (d := digest(s)) not in seen:
-                    seen.add(d)
+                if len(s) and (code := class_code(s)) not in seen:
+                    seen.add(code)
                     sets.append(s)
                     held += len(s)
-                    if held > 8_000_000:
+                    total += prefix_length(len(s))
+                    if held > COUNTED:
                         yield told()
+                        seen.clear()
                         sets, held = [], 0
         yield told()
-
-    n = F.sum("n").alias("n")
-    rows = texts.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(n).orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([total], pa.int64())], ["key", "n"])
+
+    counts = stored(texts.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")), "shingle-counts")
+    whole = counts.where("key is null").agg(F.sum("n")).first()[0] or 0
+    bin_ = F.floor(F.log2("n") * 64)
+    bins = counts.where("key is not null").groupBy(bin_.alias("bin")).agg(F.count("*").alias("c")).orderBy(F.desc("bin")).collect()
+    kept, least = 0, None
+    for r in bins:
+        kept += r.c
+        if kept > FREQUENT:
+            break
+        least = r.bin
+    rows = counts.where("key is not null").where(bin_ >= least).collect() if least is not None else []
     keys = np.array([r.key for r in rows], np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], np.array([r.n for r in rows], np.int64)[order]
+    return keys[order], np.array([r.n for r in rows], np.int64)[order], whole
 
 
-def _sketches(rows: DataFrame) -> DataFrame:
-    """row, doc_id, n, digest, keys (the prefix in a common order, rare shingles first), density."""
-    keys, counts = frequent_shingles(rows.select("raw"))
+def sketched(texts: DataFrame) -> DataFrame:
+    """``texts`` (column raw and others) with n and class (null without shingles) in the place of raw."""
+    keep = [c for c in texts.columns if c != "raw"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digests, prefixes, density = [], [], [], []
+            n, codes = [], []
             for raw in batch.column("raw"):
                 s = shingle_set(raw.as_py())
                 n.append(len(s))
-                digests.append(digest(s) if len(s) else None)
-                at = np.searchsorted(keys, s)
-                often = keys[np.minimum(at, len(keys) - 1)] == s if len(keys) else np.zeros(len(s), bool)
-                last = s[often][np.lexsort((s[often], counts[at[often]]))] if len(s) else s
-                prefixes.append(np.concatenate([s[~often], last])[: prefix_length(len(s)) if len(s) else 0].view(np.int64))
-                density.append(float(np.log(counts[at[often]]).sum() / len(s)) if len(s) else 0.0)
-            lengths = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            flat = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate([*prefixes, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), flat, pa.array(density, pa.float64())], ["row", "doc_id", "n", "digest", "keys", "density"])
+                codes.append(class_code(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(n, pa.int64()), pa.array(codes, pa.int64())], [*keep, "n", "class"])
 
-    return stored(rows.mapInArrow(run, "row bigint, doc_id bigint, n bigint, digest binary, keys array<bigint>, density double"), "sketches")
+    kinds = dict(texts.dtypes)
+    return texts.mapInArrow(run, ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "n bigint, class bigint"]))
 
 
-def _fetched(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, shingles) of the classes in ``wanted`` (class, digest), computed again from the texts of the rows that stand for them.
+def shared_keys(texts: DataFrame, keys: np.ndarray, counts: np.ndarray, total: int) -> DataFrame:
+    """(key, class, n): prefix shingles that two classes or more have, with these classes.
 
-    A bitmap of a fixed size, whatever the number of classes, tells the tasks which rows these may be, so no
-    set moves here. Where two rows share a bit the other's set comes along, which no pair asks for.
+    Tasks send postings in sorted runs, a run for each bucket of shingles, and each bucket is one group whose
+    size does not depend on the input: there are as many buckets as postings ask for. Hot shingles are salted
+    by class; their parts may hold single classes.
     """
-    place = F.pmod(F.xxhash64("class"), F.lit(BITS))
-    words = wanted.select(place.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(p % 64)))").alias("bits"))
-    bitmap = np.zeros(BITS // 64, np.int64)
-    got = words.toPandas()
-    bitmap[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    buckets = total // BUCKET + 1
+    salts = np.maximum(1, counts // HOT)
+    place = np.arange(len(keys))[np.lexsort((keys, counts))].argsort() if len(keys) else np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(bitmap.view(np.uint8), bitorder="little").view(bool)
-        for batch in batches:
-            mine = pa.array(bits[batch.column("p").to_numpy()])
-            sets = [shingle_set(raw.as_py()) for raw in batch.column("raw").filter(mine)]
-            yield pa.RecordBatch.from_arrays([batch.column("class").filter(mine), pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["class", "digest", "shingles"])
-
-    found = rows.withColumnRenamed("row", "class").select("class", place.alias("p"), "raw").mapInArrow(run, "class bigint, digest binary, shingles binary")
-    found = stored(found, "sets")
-    if not wanted.join(found.select("class", "digest"), ["class", "digest"], "left_anti").isEmpty():
-        raise ValueError("the documents came in another order when they were read again; write them as a table first")
-    return found.select("class", "shingles")
-
-
-def _sizes_fit(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+        seen: set[int] = set()
+        prefixes: list[np.ndarray] = []
+        codes: list[int] = []
+        sizes: list[int] = []
+        held = 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            key = np.concatenate([*prefixes, np.zeros(0, np.uint64)])
+            who = np.repeat(np.arange(len(codes)), list(map(len, prefixes)))
+            code, size = np.array(codes, np.int64), np.array(sizes, np.int32)
+            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            parts = np.where(keys[at] == key, salts[at], 1) if len(keys) else np.ones(len(key), np.int64)
+            salt = code[who].view(np.uint64) % parts.astype(np.uint64)
+            bucket = ((key + salt * np.uint64(0x9E3779B1)) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((key, bucket))
+            key, who, bucket, salted = key[order], who[order], bucket[order], parts[order] > 1
+            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            rows = []
+            for b in np.flatnonzero(np.diff(edges)):
+                own, back = np.unique(who[edges[b] : edges[b + 1]], return_inverse=True)
+                part = slice(edges[b], edges[b + 1])
+                rows.append((int(b), key[part].tobytes(), np.packbits(salted[part]).tobytes(), back.astype(np.uint32).tobytes(), code[own].tobytes(), size[own].tobytes()))
+            for at in range(0, len(rows), 64):
+                columns = list(zip(*rows[at : at + 64], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", "keys", "salted", "who", "codes", "sizes"])
 
-
-def _may_link(pairs: DataFrame) -> DataFrame:
-    """Pairs that can still be similar enough: ``c`` is the most prefix shingles they can share."""
-    most = F.col("c") + F.greatest(F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("c")), F.least(F.col("nb") - F.col("pb"), F.col("na") - F.col("c")))
-    return pairs.where(most * 100 >= (F.col("na") + F.col("nb") - most) * PERCENT)
-
-
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, distance, linked) of pairs of classes, from their whole sets; the sets of other classes stay where they are."""
-    sets = sets.join(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "class", "left_semi")
-    left, right = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            distance, linked = [], []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                u, v = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                shared = len(np.intersect1d(u, v, assume_unique=True))
-                union = len(u) + len(v) - shared
-                distance.append(1 - shared / union)
-                linked.append(100 * shared >= PERCENT * union)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], ["a", "b", "distance", "linked"])
-
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint, distance double, linked boolean")
-
+            for raw in batch.column(0):
+                s = shingle_set(raw.as_py())
+                # Fewer than four shingles: only an equal set is similar enough.
+                if len(s) < 4 or (code := class_code(s)) in seen:
+                    continue
+                seen.add(code)
+                at = np.minimum(np.searchsorted(keys, s), max(len(keys) - 1, 0))
+                often = keys[at] == s if len(keys) else np.zeros(len(s), bool)
+                prefixes.append(np.concatenate([s[~often], s[often][np.argsort(place[at[often]])]])[: prefix_length(len(s))])
+                codes.append(code)
+                sizes.append(len(s))
+                held += len(prefixes[-1])
+                if held > HELD:
+                    yield from told()
+                    seen.clear()
+                    prefixes, codes, sizes, held = [], [], [], 0
+        if prefixes:
+            yield from told()
+
+    def meet(group: pa.Table) -> pa.Table:
+        key, code, size, hot = [], [], [], []
+        for r in group.to_pylist():
+            key.append(np.frombuffer(r["keys"], np.uint64))
+            who = np.frombuffer(r["who"], np.uint32)
+            code.append(np.frombuffer(r["codes"], np.int64)[who])
+            size.append(np.frombuffer(r["sizes"], np.int32)[who])
+            hot.append(np.unpackbits(np.frombuffer(r["salted"], np.uint8), count=len(who)).astype(bool))
+        key, code, size, hot = map(np.concatenate, (key, code, size, hot))
+        order = np.lexsort((code, key))
+        key, code, size, hot = key[order], code[order], size[order], hot[order]
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (code[1:] != code[:-1])])
+        key, code, size, hot = key[fresh], code[fresh], size[fresh], hot[fresh]
+        same = key[1:] == key[:-1]
+        good = hot | np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        return pa.table([pa.array(key[good].view(np.int64)), pa.array(code[good]), pa.array(size[good]), pa.array(hot[good])], ["key", "class", "n", "hot"])
+
+    runs = texts.mapInArrow(run, "bucket bigint, keys binary, salted binary, who binary, codes binary, sizes binary")
+    return stored(runs.groupBy("bucket").applyInArrow(meet, "key bigint, class bigint, n int, hot boolean"), "shared-keys")
+
+
+def _may_link(na: np.ndarray, nb: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Sets of sizes na and nb that share c prefix shingles at most can still be similar enough."""
+    pa_, pb = na - -(-PERCENT * na // 100) + 1, nb - -(-PERCENT * nb // 100) + 1
+    most = c + np.maximum(np.minimum(na - pa_, nb - c), np.minimum(nb - pb, na - c))
+    return (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * PERCENT) & (most * 100 >= (na + nb - most) * PERCENT)
+
+
+def first_regions(shared: DataFrame) -> DataFrame:
+    """(pivot, class): of each prefix shingle the class with most shared shingles is the pivot of the others.
+
+    Classes that no other class of the shingle can be similar to, as sizes and numbers of shared shingles
+    tell, are left out. Rows of a shingle come in order with its pivot first, so they pass one by one.
+    """
+    own = shared.groupBy("class").agg(F.max("n").alias("n"), F.collect_list(F.when(~F.col("hot"), F.col("key"))).alias("keys"), F.collect_list(F.when(F.col("hot"), F.col("key"))).alias("hots"), F.count("*").alias("s"))
+    own = stored(own, "own-keys")
+    rows = own.select(F.explode("keys").alias("key"), "class", "n", "s")
+    rows = rows.repartition(F.col("key")).sortWithinPartitions("key", F.desc("s"), "class")
+
+    def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "class", "n", "s")
+        held = {k: np.zeros(0, np.int64) for k in names}
+        open_key = open_pivot = None
+
+        def pairs(key: np.ndarray, code: np.ndarray, n: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+            nonlocal open_key, open_pivot
+            first = np.concatenate([[True], key[1:] != key[:-1]])
+            size = np.diff(np.append(np.flatnonzero(first), len(key)))
+            wide = np.repeat(size > CHECKED, size) | (key == open_key if open_key is not None else np.zeros(len(key), bool))
+            ok = wide.copy()
+            for off in range(1, min(int(size.max()), CHECKED)):
+                a = np.flatnonzero((key[:-off] == key[off:]) & ~wide[:-off])
+                a = a[_may_link(n[a], n[a + off], np.minimum(s[a], s[a + off]))]
+                ok[a] = ok[a + off] = True
+            key, code = key[ok], code[ok]
+            if not len(key):
+                return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64())], ["pivot", "class"])
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            pivot = np.repeat(code[start], np.diff(np.append(start, len(key))))
+            if open_key is not None:
+                pivot[key == open_key] = open_pivot
+            open_key, open_pivot = int(key[-1]), int(pivot[-1])
+            both = np.stack([pivot, code], 1)[pivot != code]
+            both = both[np.lexsort((both[:, 1], both[:, 0]))]
+            both = both[np.concatenate([[True], (both[1:] != both[:-1]).any(1)])] if len(both) else both
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["pivot", "class"])
 
-def _ordered(a: str, b: str) -> list[Column]:
-    """The pair with the smaller class first."""
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+        for batch in batches:
+            held = {k: np.concatenate([held[k], batch.column(k).to_numpy().astype(np.int64)]) for k in names}
+            last = int(np.searchsorted(held["key"], held["key"][-1])) if len(held["key"]) else 0
+            # The last shingle may go on; where it is long already, what came of it goes ahead of the rest.
+            cut = len(held["key"]) if len(held["key"]) - last > 100_000 else last
+            if cut:
+                yield pairs(*[held[k][:cut] for k in names])
+                held = {k: v[cut:] for k, v in held.items()}
+        if len(held["key"]):
+            yield pairs(*[held[k] for k in names])
+
+    found = rows.mapInArrow(attach, "pivot bigint, class bigint")
+    hot = own.where(F.size("hots") > 0).select(F.explode("hots").alias("key"), "class", "s")
+    leaders = hot.groupBy("key").agg(F.max(F.struct("s", "class")).alias("t")).select("key", F.col("t.class").alias("pivot"))
+    # As many leaders as FREQUENT at most.
+    found = found.union(hot.join(F.broadcast(leaders), "key").where("pivot <> class").select("pivot", "class"))
+    return stored(found.distinct(), "regions")
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> tuple[float, bool]:
+    """Distance of two sets, and whether they link."""
+    shared = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    union = len(a) + len(b) - shared
+    return 1 - shared / union, 100 * shared >= PERCENT * union
+
+
+def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that hold the components of ``sets`` together (a spanning forest), all pairs compared."""
+    m = len(sets)
+    if m == 2:
+        return [(0, 1)] if _similar(*sets)[1] else []
+    size = np.array(list(map(len, sets)))
+    value, owner = np.concatenate(sets), np.repeat(np.arange(m), size)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    column = np.cumsum(np.concatenate([[0], value[1:] != value[:-1]]))
+    often = np.bincount(column)[column] > 1
+    column, owner = column[often], owner[often]
+    shared = np.zeros((m, m), np.float64)
+    at = 0
+    while at < len(column):
+        end = int(np.searchsorted(column, column[at] + 4096))
+        has = np.zeros((m, 4096), np.float32)
+        has[owner[at:end], column[at:end] - column[at]] = 1
+        shared += has @ has.T
+        at = end
+    near = 100 * shared >= PERCENT * (size[:, None] + size[None] - shared)
+    out, seen = [], np.zeros(m, bool)
+    for root in range(m):
+        todo = [] if seen[root] else [root]
+        seen[root] = True
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero(near[i] & ~seen):
+                seen[j] = True
+                out.append((i, int(j)))
+                todo.append(int(j))
+    return out
+
+
+def _joined_whole(group: pa.Table) -> pa.Table:
+    group = group.combine_chunks().sort_by("class")
+    codes = group.column("class").to_numpy()
+    found = linked([shingle_set(raw.as_py()) for raw in group.column("raw")])
+    return pa.table([pa.array([int(codes[i]) for i, _ in found], pa.int64()), pa.array([int(codes[j]) for _, j in found], pa.int64())], ["a", "b"])
+
+
+def _celled(group: pa.Table) -> pa.Table:
+    """Classes of one part of a region in the cells of its pivots: the nearest one's, and those within the window."""
+    rows = group.to_pylist()
+    pivots: list[tuple[int, np.ndarray]] = []
+    for r in sorted((r for r in rows if r["is_pivot"]), key=lambda r: r["class"]):
+        s = shingle_set(r["raw"])
+        # Pivots within the radius of each other would have the same cell.
+        if not any(_similar(p, s)[1] for _, p in pivots):
+            pivots.append((r["class"], s))
+    out = []
+    for r in rows:
+        if r["is_pivot"]:
+            continue
+        s = shingle_set(r["raw"])
+        told = [(*_similar(p, s), code) for code, p in pivots]
+        nearest = min(told)
+        out += [(r["region"], code, r["class"], r["n"], d, near, code == nearest[2]) for d, near, code in told if code == nearest[2] or d <= nearest[0] + 2 * RADIUS + 1e-9]
+    columns = list(zip(*out, strict=True)) or [()] * 7
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.bool_()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["region", "pivot", "class", "n", "d", "near", "home"])
+
+
+def region_links(regions: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links that hold the components together, from ``regions`` (region, class, n) joined recursively.
+
+    ``texts`` (class, raw) has one text of each class. Each level writes the cells of regions that are still
+    too large; their number is that of classes in such regions, not of all.
+    """
+    links = None
+    whole = []
+    tiled = []
+    now = regions
+    for level in range(DEPTH + 1):
+        sizes = now.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
+        fits = (F.col("m") <= SMALL) & (F.col("total") <= SMALL_SHINGLES) | (F.col("m") == 2)
+        now = stored(now.join(sizes, "region").withColumn("fits", fits), "level")
+        whole.append(now.where("fits").select("region", "class"))
+        large = now.where("not fits")
+        if large.isEmpty():
+            break
+        if level == DEPTH:
+            tiled.append(large.select("region", "class", "n", "m", "total"))
+            break
+        h = F.xxhash64("class", F.lit(level))
+        parts = F.greatest(F.ceil(F.col("m") / TILE), F.ceil(F.col("total") / SMALL_SHINGLES)).cast("int")
+        chosen = large.groupBy("region", F.pmod(h, F.lit(PIVOTS)).alias("bin")).agg(F.min(F.struct(h.alias("h"), "class")).alias("t"), F.max(parts).alias("parts")).select("region", F.col("t.class").alias("class"), "parts")
+        members = large.select("region", F.pmod(F.xxhash64("class", F.lit(-1)), parts).cast("int").alias("part"), "class", "n", F.lit(False).alias("is_pivot"))
+        leaders = chosen.select("region", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "class", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("is_pivot"))
+        told = members.union(leaders).join(texts, "class").groupBy("region", "part").applyInArrow(_celled, "region string, pivot bigint, class bigint, n bigint, d double, near boolean, home boolean")
+        cells = stored(told, "cells")
+        own = cells.where("near and class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
+        links = own if links is None else links.union(own)
+        # The boundary of a cell, and how much of its core the boundary can reach.
+        cell = ["region", "pivot"]
+        reach = cells.groupBy(*cell).agg(F.min(F.when(~F.col("near"), F.col("d"))).alias("edge"))
+        rows = cells.join(reach, cell).where("not near or d >= edge - %r" % (RADIUS + 1e-9))
+        span = rows.where("home").groupBy(*cell).agg(*[f(F.when(c, F.col("d"))).alias(n) for n, f, c in (("lo", F.min, F.lit(True)), ("hi", F.max, F.lit(True)), ("far_lo", F.min, ~F.col("near")), ("far_hi", F.max, ~F.col("near")))])
+        lo, hi = (F.when(F.col("near"), F.col(f"far_{k}")).otherwise(F.col(k)) for k in ("lo", "hi"))
+        rows = rows.join(span, cell).where(F.col("home") | F.col("d").between(lo - (RADIUS + 1e-9), hi + (RADIUS + 1e-9)))
+        rows = stored(rows.select("region", "pivot", "class", "n"), "left")
+        grown = rows.groupBy("region", "pivot").agg(F.count("*").alias("c")).groupBy("region").agg(F.sum("c").alias("all"), F.max("c").alias("most"))
+        before = sizes.join(grown, "region")
+        stuck = before.where("all > 2 * m or most > 0.9 * m").select("region")
+        tiled.append(large.join(stuck, "region", "left_semi").select("region", "class", "n", "m", "total"))
+        now = rows.join(stuck, "region", "left_anti").select(F.concat_ws("/", "region", "pivot").alias("region"), "class", "n")
+
+    groups = [w.select("region", F.lit(0).alias("t"), F.lit(0).alias("u"), "class") for w in whole]
+    for t in tiled:
+        tiles = F.greatest(F.ceil(F.col("m") / TILE), F.ceil(F.col("total") * 2 / SMALL_SHINGLES)).cast("int")
+        mine = F.pmod(F.xxhash64("class", F.lit(-2)), tiles).cast("int")
+        each = t.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        groups.append(each.select("region", F.least("mine", "other").alias("t"), F.greatest("mine", "other").alias("u"), "class"))
+    every = groups[0]
+    for g in groups[1:]:
+        every = every.union(g)
+    found = every.join(texts, "class").groupBy("region", "t", "u").applyInArrow(_joined_whole, "a bigint, b bigint")
+    return stored((found if links is None else found.union(links)).distinct(), "links")
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a row of ``docs``: row, doc_id, n_shingles, n_copies (rows of the same set), component_id.
+    """One row a row of ``docs``: row, doc_id, n_shingles, n_copies (rows of the same set), component_id, component.
 
     component_id is the smallest doc_id reachable by links, its own included. Null texts and texts without
     words have no shingles and are linked with nothing; a text of fewer than five words is one shingle.
     Repeated rows are copies of each other. Null ids are passed over as component ids unless a component
-    has no other. ``row`` numbers the rows of ``docs`` as monotonically_increasing_id() does; ``docs`` is read
-    twice and must come in the same order (a table does, anything else has to be written first): a ValueError
-    tells if it did not.
+    has no other. ``row`` numbers the rows as monotonically_increasing_id() does; ``component`` is null without
+    shingles. Words, shingles and sets are told apart by 64-bit codes. Texts are found again by their
+    content, so the rows may come in another order when ``docs`` is read again.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("raw"))
-    sketches = _sketches(rows)
-    filled = sketches.where("n > 0")
-    classes = filled.groupBy("digest").agg(F.min("row").alias("class"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies"))
-    classes = stored(classes, "classes")
-    own = filled.join(classes.select(F.col("class").alias("row")), "row").select(F.col("row").alias("class"), F.col("n").cast("int").alias("n"), F.col("density").cast("float").alias("density"), F.explode("keys").alias("key"))
-    counts = own.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    regions = stored(own.join(counts, "key").withColumn("p", F.expr(f"n - ({PERCENT} * bigint(n) + 99) div 100 + 1")), "regions")
-
-    small, large = regions.where(F.col("members") <= SMALL), regions.where(F.col("members") > SMALL)
-    x = small.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    y = small.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    near = x.join(y, "key").where((F.col("a") < F.col("b")) & _sizes_fit(F.col("na"), F.col("nb")))
-    near = near.groupBy("a", "b").agg(F.count("*").alias("c"), *[F.first(k).alias(k) for k in ("na", "nb", "pa", "pb")])
-    # Shared keys in large regions aren't counted pair by pair; at most so many can come on top.
-    rest = large.groupBy("class").agg(F.count("*").alias("more"))
-    near = near.join(rest.withColumnRenamed("class", "a").withColumnRenamed("more", "ma"), "a", "left").join(rest.withColumnRenamed("class", "b").withColumnRenamed("more", "mb"), "b", "left")
-    near = near.withColumn("c", F.col("c") + F.coalesce(F.least("ma", "mb"), F.lit(0)))
-    near = stored(_may_link(near).select("a", "b"), "near")
-
-    wanted = near.select(F.col("a").alias("class")).union(near.select("b")).union(rest.select("class")).distinct()
-    sets = _fetched(rows, stored(wanted.join(classes, "class").select("class", "digest"), "wanted"))
-    compared = stored(_compared(near, sets), "compared")
-    links = compared.where("linked").select("a", "b")
-    label = components(links)
-
-    # others: keys that the class shares in small regions.
-    few = small.groupBy("class").agg(F.count("*").alias("others"))
-    region = large.select("key", "class", "n", "p", "density", "members").join(few, "class", "left").withColumn("others", F.coalesce("others", F.lit(0)))
-    region = stored(region, "large")
-    if not region.isEmpty():
-        links, label = _pivoted(region, sets, links, label)
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(body).alias("h"), body.cast("binary").alias("raw"))
+    sketches = stored(sketched(rows), "sketches")
+    classes = stored(sketches.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_copies"), F.min("h").alias("h"), F.max("n").alias("n")), "classes")
+
+    frequent, counts, total = frequent_shingles(rows.select("raw"))
+    regions = first_regions(shared_keys(rows.select("raw"), frequent, counts, total))
+    member = regions.select("pivot", "class").union(regions.select("pivot", F.col("pivot").alias("class")).distinct())
+    wanted = stored(member.select("class").distinct().join(classes, "class").select("class", "h", "n"), "wanted")
+    few = wanted.count() <= BROADCAST_ROWS
+    found = rows.select("h", "raw").join(F.broadcast(wanted.select("class", "h")) if few else wanted.select("class", "h"), "h")
+    texts = stored(found.groupBy("class").agg(F.min("raw").alias("raw")), "texts")
+    regions = member.join(wanted, "class").select(F.col("pivot").cast("string").alias("region"), "class", "n")
+    label = components(region_links(regions, texts))
 
     named = classes.join(label.select(F.col("node").alias("class"), "label"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = stored(named.join(least, "label").select("digest", "n_copies", "component_id", "label"), "named")
-    out = sketches.select("row", "doc_id", "n", "digest").join(named, "digest", "left")
-    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"), F.coalesce("label", "row").alias("component"))
-
-
-def _pivoted(region: DataFrame, sets: DataFrame, links: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and labels after the classes of large regions have met their pivots, and then each other."""
-    first = None
-    done = None
-    for _ in range(PIVOT_ROUNDS):
-        now = region.join(label.select(F.col("node").alias("class"), "label"), "class", "left").withColumn("label", F.coalesce("label", "class"))
-        # The pivot of a round: the densest class outside the cell of the region's first pivot.
-        rest = now if first is None else now.join(first.select("key", F.col("pivot").alias("class0")), "key").join(label.select(F.col("node").alias("class0"), F.col("label").alias("cell")), "class0", "left").where(F.col("label") != F.coalesce("cell", "class0"))
-        pivots = rest.groupBy("key").agg(F.max(F.struct("density", "n", F.col("class"), "label")).alias("t")).select("key", F.col("t.class").alias("pivot"), F.col("t.n").alias("np"), F.col("t.label").alias("lp"))
-        stars = now.join(pivots, "key").where((F.col("class") != F.col("pivot")) & (F.col("label") != F.col("lp")) & _sizes_fit(F.col("n"), F.col("np")))
-        stars = stars.select(*_ordered("class", "pivot")).distinct()
-        stars = stored(stars if done is None else stars.join(done.select("a", "b"), ["a", "b"], "left_anti"), "stars")
-        if first is None:
-            first = stored(pivots.select("key", "pivot", "np"), "pivots")
-        if stars.isEmpty():
-            break
-        compared = stored(_compared(stars, sets), "compared")
-        done = compared if done is None else done.unionByName(compared)
-        links = links.union(compared.where("linked").select("a", "b"))
-        label = components(links)
-
-    now = region.join(label.select(F.col("node").alias("class"), "label"), "class", "left").withColumn("label", F.coalesce("label", "class"))
-    now = now.join(first, "key")
-    if done is not None:
-        now = now.withColumns({"a": F.least("class", "pivot"), "b": F.greatest("class", "pivot")}).join(done.select("a", "b", "distance"), ["a", "b"], "left").drop("a", "b")
-    else:
-        now = now.withColumn("distance", F.lit(None).cast("double"))
-    # Bounds of the distance to the region's pivot: known, or at least what the sizes tell.
-    own = F.when(F.col("class") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
-    now = now.withColumn("lo", F.coalesce(own, 1 - F.least("n", "np") / F.greatest("n", "np"))).withColumn("hi", F.coalesce(own, F.lit(1.0)))
-    mixed = now.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("key")
-    shared = region.groupBy("class").agg(F.collect_list("key").alias("keys"))
-    now = stored(now.join(mixed, "key", "left_semi").select("key", "class", "n", "p", "label", "lo", "hi", "members", "others").join(shared, "class"), "mixed")
-    if now.isEmpty():
-        return links, label
-    pairs = _across(now)
-    pairs = stored(pairs if done is None else pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_compared(pairs, sets).where("linked").select("a", "b"))
-    return links, components(stored(links, "links"))
-
-
-def _across(now: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a region's classes of different components that may link, each from one region.
-
-    A region is cut into tiles of TILE classes by hash; a group holds two tiles and counts, for all of its
-    pairs at once, the keys they share. Pairs whose sizes, distances to the pivot or counts rule a link out
-    are never made. A pair that meets in several regions comes from that of the smallest key.
-    """
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
-    rows = now.withColumn("tile", F.pmod(F.xxhash64("class"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    rows = rows.withColumns({"t": F.least("tile", "other"), "u": F.greatest("tile", "other")})
-    radius = 1 - PERCENT / 100 + 1e-9
-
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        this = group["key"].iloc[0]
-        places: dict[int, int] = {}
-        at = [[places.setdefault(k, len(places)) for k in keys] for keys in group["keys"]]
-        has = np.zeros((len(group), len(places)), np.float32)
-        for i, own in enumerate(at):
-            has[i, own] = 1
-        v = {k: group[k].to_numpy() for k in ("class", "n", "p", "label", "lo", "hi", "others", "tile")}
-        n, room, more = v["n"].astype(float), (v["n"] - v["p"]).astype(float), v["others"].astype(float)
-        out = []
-        for i in range(len(group)):
-            c = has @ has[i] + np.minimum(more, more[i])
-            most = c + np.maximum(np.minimum(room[i], n - c), np.minimum(room, n[i] - c))
-            good = (v["class"] > v["class"][i]) & (v["label"] != v["label"][i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * PERCENT)
-            good &= (v["lo"] - v["hi"][i] <= radius) & (v["lo"][i] - v["hi"] <= radius) & (most * 100 >= (n + n[i] - most) * PERCENT)
-            # Pairs of one tile meet in the group of that tile alone.
-            good &= (v["tile"] != v["tile"][i]) | (group["t"].iloc[0] == group["u"].iloc[0])
-            own = set(group["keys"].iloc[i])
-            out += [(int(v["class"][i]), int(v["class"][j])) for j in np.flatnonzero(good) if min(own.intersection(group["keys"].iloc[j])) == this]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return rows.select("key", "t", "u", "tile", "class", "n", "p", "label", "lo", "hi", "others", "keys").groupBy("key", "t", "u").applyInPandas(meet, "a bigint, b bigint")
+    named = named.join(least, "label").select("class", "n_copies", "component_id", "label")
+    out = sketches.select("row", "doc_id", "n", "class").join(named, "class", "left")
+    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"), F.col("label").alias("component"))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join over all documents, as ``joined`` gives it."""
     return joined(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_copies")
 
 
-#: Dropped rows that may be broadcast: 8 bytes each.
-BROADCAST_ROWS = 2_000_000
-
-
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the row of the smallest doc_id (of its smallest row number) stays.
 
-    ``docs`` is a stored table, so its rows are numbered alike each time it is read.
+    Rows without shingles (null and empty texts) stay; repeated rows are copies, of which one stays. ``docs``
+    is a stored table, so its rows are numbered alike each time it is read.
     """
     columns = docs.columns
-    found = joined(docs)
+    found = stored(joined(docs).where("component is not null").select("row", "doc_id", "component"), "joined")
     stay = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("m")).select("component", F.col("m.row").alias("stays"))
     gone = stored(found.join(stay, "component").where("row <> stays").select("row"), "gone")
     few = gone.count() <= BROADCAST_ROWS
-    return docs.select("*", F.monotonically_increasing_id().alias("row")).join(F.broadcast(gone) if few else gone, "row", "left_anti").select(*columns)
+    return docs.select("*", F.monotonically_increasing_id().alias("_row")).join(F.broadcast(gone.withColumnRenamed("row", "_row")) if few else gone.withColumnRenamed("row", "_row"), "_row", "left_anti").select(*columns)
 
 
 _ORACLE = """
