@@ -37,7 +37,7 @@ TILE = 32
 #: shingles are among them changes the cost, never the result.
 FREQUENT = 65_536
 #: Shingles that a task counts at a time, postings that it holds, and postings of a bucket.
-COUNTED, HELD, BUCKET = 2_000_000, 1_000_000, 1_000_000
+COUNTED, HELD, BUCKET = 2_000_000, 1_500_000, 1_500_000
 #: A shingle of so many sets is hot: its pivot is found by an aggregate and sent to its classes.
 HOT = 200_000
 #: Classes of one shingle that are checked against each other before texts move; more are kept unchecked.
@@ -158,9 +158,11 @@ def shared_keys(texts: DataFrame, keys: np.ndarray, counts: np.ndarray, total: i
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = []
             for b in np.flatnonzero(np.diff(edges)):
-                own, back = np.unique(who[edges[b] : edges[b + 1]], return_inverse=True)
                 part = slice(edges[b], edges[b + 1])
-                rows.append((int(b), key[part].tobytes(), np.packbits(salted[part]).tobytes(), back.astype(np.uint32).tobytes(), code[own].tobytes(), size[own].tobytes()))
+                own, back = np.unique(who[part], return_inverse=True)
+                # The upper halves are mostly zeros, which compression takes away.
+                back = back.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()
+                rows.append((int(b), key[part].tobytes(), np.packbits(salted[part]).tobytes(), back, code[own].tobytes(), size[own].tobytes()))
             for at in range(0, len(rows), 64):
                 columns = list(zip(*rows[at : at + 64], strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", "keys", "salted", "who", "codes", "sizes"])
@@ -189,7 +191,7 @@ def shared_keys(texts: DataFrame, keys: np.ndarray, counts: np.ndarray, total: i
         key, code, size, hot = [], [], [], []
         for r in group.to_pylist():
             key.append(np.frombuffer(r["keys"], np.uint64))
-            who = np.frombuffer(r["who"], np.uint32)
+            who = np.frombuffer(r["who"], "<u2").reshape(2, -1).T.copy().view("<u4").ravel()
             code.append(np.frombuffer(r["codes"], np.int64)[who])
             size.append(np.frombuffer(r["sizes"], np.int32)[who])
             hot.append(np.unpackbits(np.frombuffer(r["salted"], np.uint8), count=len(who)).astype(bool))
@@ -341,6 +343,12 @@ def _celled(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["region", "pivot", "class", "n", "d", "near", "home"])
 
 
+def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` with the text of their class; where they are few they go to the texts, not the texts to them."""
+    few = rows.count() <= BROADCAST_ROWS
+    return texts.join(F.broadcast(rows) if few else rows, "class")
+
+
 def region_links(regions: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): links that hold the components together, from ``regions`` (region, class, n) joined recursively.
 
@@ -367,7 +375,7 @@ def region_links(regions: DataFrame, texts: DataFrame) -> DataFrame:
         chosen = large.groupBy("region", F.pmod(h, F.lit(PIVOTS)).alias("bin")).agg(F.min(F.struct(h.alias("h"), "class")).alias("t"), F.max(parts).alias("parts")).select("region", F.col("t.class").alias("class"), "parts")
         members = large.select("region", F.pmod(F.xxhash64("class", F.lit(-1)), parts).cast("int").alias("part"), "class", "n", F.lit(False).alias("is_pivot"))
         leaders = chosen.select("region", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "class", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("is_pivot"))
-        told = members.union(leaders).join(texts, "class").groupBy("region", "part").applyInArrow(_celled, "region string, pivot bigint, class bigint, n bigint, d double, near boolean, home boolean")
+        told = _with_texts(stored(members.union(leaders), "asked"), texts).groupBy("region", "part").applyInArrow(_celled, "region string, pivot bigint, class bigint, n bigint, d double, near boolean, home boolean")
         cells = stored(told, "cells")
         own = cells.where("near and class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
         links = own if links is None else links.union(own)
@@ -394,7 +402,7 @@ def region_links(regions: DataFrame, texts: DataFrame) -> DataFrame:
     every = groups[0]
     for g in groups[1:]:
         every = every.union(g)
-    found = every.join(texts, "class").groupBy("region", "t", "u").applyInArrow(_joined_whole, "a bigint, b bigint")
+    found = _with_texts(every, texts).groupBy("region", "t", "u").applyInArrow(_joined_whole, "a bigint, b bigint")
     return stored((found if links is None else found.union(links)).distinct(), "links")
 
 
@@ -416,11 +424,14 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     frequent, counts, total = frequent_shingles(rows.select("raw"))
     regions = first_regions(shared_keys(rows.select("raw"), frequent, counts, total))
     member = regions.select("pivot", "class").union(regions.select("pivot", F.col("pivot").alias("class")).distinct())
-    wanted = stored(member.select("class").distinct().join(classes, "class").select("class", "h", "n"), "wanted")
+    wanted = stored(member.select("class").distinct().join(classes, "class").select("class", "h", "n", (F.col("n_copies") == 1).alias("alone")), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
-    found = rows.select("h", "raw").join(F.broadcast(wanted.select("class", "h")) if few else wanted.select("class", "h"), "h")
-    texts = stored(found.groupBy("class").agg(F.min("raw").alias("raw")), "texts")
-    regions = member.join(wanted, "class").select(F.col("pivot").cast("string").alias("region"), "class", "n")
+    asked = wanted.select("class", "h", "alone")
+    found = rows.select("h", "raw").join(F.broadcast(asked) if few else asked, "h")
+    # Of copies one text is enough; those that have none need no exchange.
+    copies = found.where("not alone").groupBy("class").agg(F.min("raw").alias("raw"))
+    texts = stored(found.where("alone").select("class", "raw").union(copies), "texts")
+    regions = stored(member.join(wanted, "class").select(F.col("pivot").cast("string").alias("region"), "class", "n"), "members")
     label = components(region_links(regions, texts))
 
     named = classes.join(label.select(F.col("node").alias("class"), "label"), "class", "left").withColumn("label", F.coalesce("label", "class"))
