@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, the separator of words in most contracts (Java and RE2 read it alike).
@@ -24,10 +27,41 @@ def remainder(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, after which the worker gives freed memory back: workers live on for later stages."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # Not glibc: its own allocator decides.
+
+
+def raw_text(batch: pa.RecordBatch, text: str) -> pa.Array:
+    """The column ``text`` as bytes, without a copy."""
+    return batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where none is named."""
+    """The folder that the cluster names in spark.checkpoint.dir.
+
+    Where none is named a temporary one of this machine serves, in local mode only: on a cluster executors would
+    not see it, so that is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="quire-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -57,6 +91,23 @@ def once(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select("*", packed).select(*df.columns, "_once.*")
 
 
+def most_frequent(counts: DataFrame, count: str, most: int) -> list[Row]:
+    """Rows of ``counts`` with the highest counts, ``most`` of them at most, collected.
+
+    A histogram in steps of a hundredth finds the least count that stays, so what reaches the driver is bounded
+    by ``most`` in all, not for each task. Rows of the step that would go beyond stay out together.
+    """
+    step = F.floor(F.log2(count) * 64)
+    bins = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    kept, least = 0, None
+    for r in sorted(bins, key=lambda r: -r.step):
+        kept += r.n
+        if kept > most:
+            break
+        least = r.step
+    return counts.where(step >= least).collect() if least is not None else []
+
+
 _SEED = [xxhash.xxh3_64_intdigest(b"byte %d" % b) for b in range(256)]
 _BYTE = np.array(_SEED, np.uint64)
 _BASE = xxhash.xxh3_64_intdigest(b"base") | 1

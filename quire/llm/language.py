@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import remainder, table
+from quire.llm.common import raw_text, released, remainder, table
 
 WINDOW = 256
 #: Filters of each width.
@@ -137,7 +137,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], ["l", "w"])
 
     picked = rows.join(F.broadcast(chosen), ["k", "l"], "left_semi").select("l", F.col("t").cast("binary").alias("t"))
-    got = sorted((r.l, bytes(r.w)) for r in picked.mapInArrow(cut, "l string, w binary").collect())
+    got = sorted((r.l, bytes(r.w)) for r in picked.mapInArrow(released(cut), "l string, w binary").collect())
     langs = sorted({name for name, _ in got})
     net = ByteNet(langs)
     if len(langs) > 1:
@@ -158,11 +158,11 @@ def identify(docs: DataFrame, net: ByteNet, text: str = "text", keep: list[str]
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(batch.num_columns - 1)
+            raw = raw_text(batch, text)
             pred: list[str] = []
             score: list[float] = []
-            for at in range(0, len(raw), 256):
-                texts = raw[at : at + 256].to_pylist()
+            for at in range(0, len(raw), 64):
+                texts = raw[at : at + 64].to_pylist()
                 sound = [i for i, t in enumerate(texts) if t and net.langs and has_letter(t.decode("utf-8", "replace"))]
                 names, sure = [UNKNOWN] * len(texts), [0.0] * len(texts)
                 for i0 in range(0, len(sound), 16):
@@ -180,11 +180,11 @@ def identify(docs: DataFrame, net: ByteNet, text: str = "text", keep: list[str]
                         names[i], sure[i] = net.langs[best[j]], float(p[j, best[j]])
                 pred += names
                 score += sure
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    ready = docs.select(*keep, F.col(text).cast("binary").alias("_raw"))
-    return ready.mapInArrow(classify, f"{fields}{', ' if keep else ''}lang_pred string, score double")
+    ready = docs.select(*keep, *([] if text in keep else [text]))
+    return ready.mapInArrow(released(classify), f"{fields}{', ' if keep else ''}lang_pred string, score double")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quire.llm.common import table
+from quire.llm.common import released, table
 
 LENGTH = 2048
 END_ID = 1
@@ -40,10 +40,13 @@ SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens big
 class WordTokens:
     """Ids of texts by their pre-tokens, remembered: a byte-level BPE merges inside pre-tokens only.
 
+    ``limit`` pre-tokens of ``LONG`` characters at most are remembered; longer ones are worked out each time.
     Texts that hold a special token are encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000) -> None:
+    LONG, PIECE = 64, 20_000
+
+    def __init__(self, path: str, limit: int = 150_000) -> None:
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.find = regex.compile(public_tokenizers.PATTERN).findall
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
@@ -57,7 +60,9 @@ class WordTokens:
         """The place of a pre-token: the model's ids of its bytes as the vocabulary writes them."""
         at = self.place.get(word)
         if at is None:
-            at = self.place[word] = len(self.start)
+            at = len(self.start)
+            if len(word) <= self.LONG:
+                self.place[word] = at
             ids = [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(BYTES))]
             self.start.append(len(self.ids))
             self.length.append(len(ids))
@@ -67,16 +72,25 @@ class WordTokens:
     def encode(self, text: str) -> np.ndarray:
         if not text or any(s in text for s in self.special):
             return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4")
-        if len(self.place) > self.limit:
-            self.forget()
         words = self.find(text)
+        if len(words) > self.PIECE:
+            # A very long text, piece by piece: pre-tokens don't reach over its ends.
+            parts = [self._ids(words[at : at + self.PIECE]) for at in range(0, len(words), self.PIECE)]
+        else:
+            parts = [self._ids(words)]
+        return np.concatenate([*parts, np.array([END_ID], np.uint32)]).astype("<u4")
+
+    def _ids(self, words: list[str]) -> np.ndarray:
+        if len(self.start) > self.limit:
+            self.forget()
         places = list(map(self.place.get, words))
         if None in places:
             places = [self.learn(w) if p is None else p for w, p in zip(words, places, strict=True)]
         at = np.array(places, np.int64)
         n = np.frombuffer(self.length, np.int64)[at]
         index = np.repeat(np.frombuffer(self.start, np.int64)[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.append(np.frombuffer(self.ids, np.uint32)[index], np.uint32(END_ID)).astype("<u4")
+        # A copy, which lets the arrays grow again.
+        return np.frombuffer(self.ids, np.uint32)[index]
 
 
 @functools.cache
@@ -168,7 +182,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
         if pool:
             yield from flush(pool)
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(released(run), SCHEMA)
 
 
 def packed_digest(docs: DataFrame) -> DataFrame:
