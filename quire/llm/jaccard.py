@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import distinct, rolled, stored, table, word_codes
+from quire.llm.common import distinct, give_back, most_frequent, released, rolled, stored, table, word_codes
 from quire.llm.components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -94,17 +94,9 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
         yield told()
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([total], pa.int64())], ["key", "n"])
 
-    counts = stored(texts.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")), "shingle-counts")
+    counts = stored(texts.mapInArrow(released(count), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")), "shingle-counts")
     whole = counts.where("key is null").agg(F.sum("n")).first()[0] or 0
-    bin_ = F.floor(F.log2("n") * 64)
-    bins = counts.where("key is not null").groupBy(bin_.alias("bin")).agg(F.count("*").alias("c")).orderBy(F.desc("bin")).collect()
-    kept, least = 0, None
-    for r in bins:
-        kept += r.c
-        if kept > FREQUENT:
-            break
-        least = r.bin
-    rows = counts.where("key is not null").where(bin_ >= least).collect() if least is not None else []
+    rows = most_frequent(counts.where("key is not null"), "n", FREQUENT)
     keys = np.array([r.key for r in rows], np.int64).view(np.uint64)
     order = np.argsort(keys)
     return keys[order], np.array([r.n for r in rows], np.int64)[order], whole
@@ -124,7 +116,18 @@ def sketched(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(n, pa.int64()), pa.array(codes, pa.int64())], [*keep, "n", "class"])
 
     kinds = dict(texts.dtypes)
-    return texts.mapInArrow(run, ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "n bigint, class bigint"]))
+    return texts.mapInArrow(released(run), ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "n bigint, class bigint"]))
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte: all their first bytes, all second ones and so on. Sorted or small numbers are alike in
+    some, which compression takes away."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _joined_planes(planes: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
 
 
 def shared_keys(texts: DataFrame, keys: np.ndarray, counts: np.ndarray, total: int) -> DataFrame:
@@ -160,9 +163,7 @@ def shared_keys(texts: DataFrame, keys: np.ndarray, counts: np.ndarray, total: i
             for b in np.flatnonzero(np.diff(edges)):
                 part = slice(edges[b], edges[b + 1])
                 own, back = np.unique(who[part], return_inverse=True)
-                # The upper halves are mostly zeros, which compression takes away.
-                back = back.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()
-                rows.append((int(b), key[part].tobytes(), np.packbits(salted[part]).tobytes(), back, code[own].tobytes(), size[own].tobytes()))
+                rows.append((int(b), _planes(key[part]), np.packbits(salted[part]).tobytes(), _planes(back.astype(np.uint32)), code[own].tobytes(), size[own].tobytes()))
             for at in range(0, len(rows), 64):
                 columns = list(zip(*rows[at : at + 64], strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", "keys", "salted", "who", "codes", "sizes"])
@@ -190,8 +191,8 @@ def shared_keys(texts: DataFrame, keys: np.ndarray, counts: np.ndarray, total: i
     def meet(group: pa.Table) -> pa.Table:
         key, code, size, hot = [], [], [], []
         for r in group.to_pylist():
-            key.append(np.frombuffer(r["keys"], np.uint64))
-            who = np.frombuffer(r["who"], "<u2").reshape(2, -1).T.copy().view("<u4").ravel()
+            key.append(_joined_planes(r["keys"], np.uint64))
+            who = _joined_planes(r["who"], np.uint32)
             code.append(np.frombuffer(r["codes"], np.int64)[who])
             size.append(np.frombuffer(r["sizes"], np.int32)[who])
             hot.append(np.unpackbits(np.frombuffer(r["salted"], np.uint8), count=len(who)).astype(bool))
@@ -202,9 +203,11 @@ def shared_keys(texts: DataFrame, keys: np.ndarray, counts: np.ndarray, total: i
         key, code, size, hot = key[fresh], code[fresh], size[fresh], hot[fresh]
         same = key[1:] == key[:-1]
         good = hot | np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        return pa.table([pa.array(key[good].view(np.int64)), pa.array(code[good]), pa.array(size[good]), pa.array(hot[good])], ["key", "class", "n", "hot"])
+        out = pa.table([pa.array(key[good].view(np.int64)), pa.array(code[good]), pa.array(size[good]), pa.array(hot[good])], ["key", "class", "n", "hot"])
+        give_back()
+        return out
 
-    runs = texts.mapInArrow(run, "bucket bigint, keys binary, salted binary, who binary, codes binary, sizes binary")
+    runs = texts.mapInArrow(released(run), "bucket bigint, keys binary, salted binary, who binary, codes binary, sizes binary")
     return stored(runs.groupBy("bucket").applyInArrow(meet, "key bigint, class bigint, n int, hot boolean"), "shared-keys")
 
 
@@ -265,7 +268,7 @@ def first_regions(shared: DataFrame) -> DataFrame:
         if len(held["key"]):
             yield pairs(*[held[k] for k in names])
 
-    found = rows.mapInArrow(attach, "pivot bigint, class bigint")
+    found = rows.mapInArrow(released(attach), "pivot bigint, class bigint")
     hot = own.where(F.size("hots") > 0).select(F.explode("hots").alias("key"), "class", "s")
     leaders = hot.groupBy("key").agg(F.max(F.struct("s", "class")).alias("t")).select("key", F.col("t.class").alias("pivot"))
     # As many leaders as FREQUENT at most.
@@ -314,10 +317,23 @@ def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of classes, compressed: they are exchanged once or more."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        packed = [None if raw.as_py() is None else len(raw.as_py()).to_bytes(8, "little") + codec.compress(raw.as_py(), asbytes=True) for raw in batch.column("raw")]
+        yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(packed, pa.binary())], ["class", "raw"])
+
+
+def _packed_set(packed: bytes) -> np.ndarray:
+    """The shingles of a text that _packed compressed."""
+    return shingle_set(pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True))
+
+
 def _joined_whole(group: pa.Table) -> pa.Table:
     group = group.combine_chunks().sort_by("class")
     codes = group.column("class").to_numpy()
-    found = linked([shingle_set(raw.as_py()) for raw in group.column("raw")])
+    found = linked([_packed_set(raw.as_py()) for raw in group.column("raw")])
     return pa.table([pa.array([int(codes[i]) for i, _ in found], pa.int64()), pa.array([int(codes[j]) for _, j in found], pa.int64())], ["a", "b"])
 
 
@@ -326,7 +342,7 @@ def _celled(group: pa.Table) -> pa.Table:
     rows = group.to_pylist()
     pivots: list[tuple[int, np.ndarray]] = []
     for r in sorted((r for r in rows if r["is_pivot"]), key=lambda r: r["class"]):
-        s = shingle_set(r["raw"])
+        s = _packed_set(r["raw"])
         # Pivots within the radius of each other would have the same cell.
         if not any(_similar(p, s)[1] for _, p in pivots):
             pivots.append((r["class"], s))
@@ -334,7 +350,7 @@ def _celled(group: pa.Table) -> pa.Table:
     for r in rows:
         if r["is_pivot"]:
             continue
-        s = shingle_set(r["raw"])
+        s = _packed_set(r["raw"])
         told = [(*_similar(p, s), code) for code, p in pivots]
         nearest = min(told)
         out += [(r["region"], code, r["class"], r["n"], d, near, code == nearest[2]) for d, near, code in told if code == nearest[2] or d <= nearest[0] + 2 * RADIUS + 1e-9]
@@ -352,7 +368,7 @@ def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
 def region_links(regions: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): links that hold the components together, from ``regions`` (region, class, n) joined recursively.
 
-    ``texts`` (class, raw) has one text of each class. Each level writes the cells of regions that are still
+    ``texts`` (class, raw) has one text of each class, compressed. Each level writes the cells of regions that are still
     too large; their number is that of classes in such regions, not of all.
     """
     links = None
@@ -427,10 +443,10 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     wanted = stored(member.select("class").distinct().join(classes, "class").select("class", "h", "n", (F.col("n_copies") == 1).alias("alone")), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
     asked = wanted.select("class", "h", "alone")
-    found = rows.select("h", "raw").join(F.broadcast(asked) if few else asked, "h")
+    found = rows.select("h", "raw").join(F.broadcast(asked) if few else asked, "h").select("class", "alone", "raw")
     # Of copies one text is enough; those that have none need no exchange.
-    copies = found.where("not alone").groupBy("class").agg(F.min("raw").alias("raw"))
-    texts = stored(found.where("alone").select("class", "raw").union(copies), "texts")
+    single, copies = (found.where(c).select("class", "raw").mapInArrow(released(_packed), "class bigint, raw binary") for c in ("alone", "not alone"))
+    texts = stored(single.union(copies.groupBy("class").agg(F.min("raw").alias("raw"))), "texts")
     regions = stored(member.join(wanted, "class").select(F.col("pivot").cast("string").alias("region"), "class", "n"), "members")
     label = components(region_links(regions, texts))
 

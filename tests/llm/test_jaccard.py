@@ -86,3 +86,28 @@ def test_one_of_each_keeps_columns_and_one_row_a_component(spark, tmp_path):
     wanted = {c for k, n, c in brute(docs) if n} | {51, None}
     assert kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted((r.doc_id for r in kept), key=str) == sorted(wanted, key=str)
+
+
+def test_hot_shingles_are_salted_and_meet_their_leader(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT", 3)
+    monkeypatch.setattr(J, "SMALL", 6)
+    monkeypatch.setattr(J, "TILE", 4)
+    docs = families(21, 2, 30) + [(500 + i, t) for i, t in families(22, 8, 2)]
+    assert run(spark, docs) == brute(docs)
+
+
+def test_regions_without_inner_structure_are_joined_by_tiles(spark, monkeypatch):
+    # Chains: each text links with the next alone, so no pivot parts them well.
+    monkeypatch.setattr(J, "SMALL", 3)
+    monkeypatch.setattr(J, "TILE", 3)
+    monkeypatch.setattr(J, "DEPTH", 1)
+    random.seed(5)
+    words = ["".join(random.choice("abcdefghij") for _ in range(5)) for _ in range(100)]
+    docs = [(i, " ".join([*words[i * 2 :], *(f"x{k}" for k in range(i * 2))])) for i in range(30)]
+    assert run(spark, docs) == brute(docs)
+
+
+def test_rows_may_come_in_another_order(spark):
+    docs = families(31, 5, 4)
+    df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in docs], SCHEMA).repartition(3)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.joined(df.orderBy(J.F.rand())).collect()), key=str) == brute(docs)
