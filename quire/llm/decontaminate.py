@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import distinct, rolled, stored, table, word_codes
+from quire.llm.common import distinct, raw_text, released, rolled, stored, table, word_codes
 
 SHINGLE, LEAST = 5, 0.8
 #: Bits that may differ. A window of similarity LEAST differs in 13 of 64 on average, in more than these once in
@@ -49,9 +49,13 @@ class ItemIndex:
         many items each stands; by default ``items`` are the whole."""
         self.least = least
         self.ids, sets, runs, self.length = [], [], [], []
+        #: Items of fewer words than a shingle, by their words: each is one shingle, which a text holds or not.
+        self.short: dict[int, dict[int, list[int | None]]] = {}
         for key, text in items:
             words = word_codes(text.translate(_PLAIN))
-            if len(words) >= SHINGLE:
+            if 0 < len(words) < SHINGLE:
+                self.short.setdefault(len(words), {}).setdefault(int(rolled(words, SHINGLE)[0]), []).append(key)
+            elif len(words):
                 self.ids.append(key)
                 self.length.append(len(words))
                 runs.append(rolled(words, SHINGLE))
@@ -106,6 +110,20 @@ class ItemIndex:
     def matches(self, text: bytes) -> list[dict]:
         """The best window of each item that the text holds."""
         words = word_codes(text.translate(_PLAIN))
+        return [*self._short(words), *self._long(words)] if len(words) else []
+
+    def _short(self, words: np.ndarray) -> list[dict]:
+        out = []
+        for n, known in sorted(self.short.items()):
+            if n <= len(words):
+                codes = rolled(words, n)
+                found, at = np.unique(codes, return_index=True)
+                some = np.isin(found, np.fromiter(known, np.uint64, len(known)))
+                for code, start in zip(found[some].tolist(), at[some].tolist(), strict=True):
+                    out += [{"item_id": key, "similarity": 1.0, "start_word": start, "n_words": n} for key in known[code]]
+        return out
+
+    def _long(self, words: np.ndarray) -> list[dict]:
         if len(words) < SHINGLE or not len(self.known):
             return []
         shingles = rolled(words, SHINGLE)
@@ -151,6 +169,7 @@ def item_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text")
         for batch in batches:
             for raw, b in zip(batch.column("t"), batch.column("b").to_pylist(), strict=True):
                 words = word_codes(raw.as_py().translate(_PLAIN))
+                # Shorter items have no part in the weights.
                 own = distinct(rolled(words, SHINGLE)) if len(words) >= SHINGLE else np.zeros(0, np.uint64)
                 first = np.arange(len(own)) == 0
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(len(own), b, np.int64)), pa.array(first.astype(np.int64))], ["s", "b", "first"])
@@ -174,8 +193,8 @@ def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", least:
     """``docs`` with ``matches``: for each benchmark item found in the whole text its id, similarity (the
     weighted share of the item's shingles in the window), first word and words of the best window.
 
-    Null and empty texts match nothing; items of fewer than five words can't be told from chance and are
-    passed over, like null ones. Repeated rows are matched each. A column named matches is replaced. The
+    Null and empty texts match nothing, null and empty items nothing either; an item of fewer than five words is
+    one shingle, found wherever its words stand one after the other. Repeated rows are matched each. A column named matches is replaced. The
     benchmark is looked for in blocks of bounded size, one narrow pass for each.
     """
     docs = docs.drop("matches")
@@ -186,12 +205,12 @@ def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", least:
 
         def run(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = [index.matches(raw.as_py()) if raw.is_valid else [] for raw in batch.column(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, _MATCHES)], [*batch.schema.names[:-1], "_found"])
+                found = [index.matches(raw.as_py()) if raw.is_valid else [] for raw in raw_text(batch, text)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _MATCHES)], [*batch.schema.names, "_found"])
 
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema]
         kind = "array<struct<item_id:bigint,similarity:double,start_word:bigint,n_words:bigint>>"
-        got = out.withColumn("_raw", F.col(text).cast("binary")).mapInArrow(run, ", ".join([*fields, f"_found {kind}"]))
+        got = out.mapInArrow(released(run), ", ".join([*fields, f"_found {kind}"]))
         out = got.withColumn("matches", F.concat("matches", "_found") if part else F.col("_found")).select(*columns, "matches")
     return out
 
