@@ -1,14 +1,16 @@
 """Language-model scores of documents: smoothed unigrams, and a log-bilinear neural model.
 
 Token counts cover all training documents. The neural model predicts the next token from the vectors of the
-two before it, among the most frequent tokens and one class for all others (inside which the smoothed
-counts decide, so the probabilities of all tokens sum to one). It is trained with noise-contrastive
-estimation in numpy: each Spark task trains a copy on its own documents and the copies are averaged by the
-tokens they saw. Scores use exact normalisers, made by batched matrix products for all contexts at once.
+two before it. The most frequent tokens are classes of their own; every other token, however rare, belongs to
+the class of its ending, inside which the smoothed counts decide, so the probabilities of all tokens sum to
+one. It is trained with noise-contrastive estimation in numpy: each Spark task trains a copy on its own
+documents and the copies are averaged by the tokens they saw, so scores depend a little on how the table is
+cut into tasks. Scores use exact normalisers, made by batched matrix products for all contexts at once.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,14 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import ascii_words, remainder, stored, table
+from quire.llm.common import ascii_words, most_frequent, released, remainder, stored, table
 
 #: The end token; no word is empty.
 END = b""
 #: Counts of so many tokens travel to the tasks; the rest are joined.
 FREQUENT = 100_000
-#: Tokens with vectors of their own (the end among them); one more class stands for all others.
-KNOWN, SIZE = 511, 24
+#: Tokens with vectors of their own (the end among them), classes of the others by their last three bytes, and the
+#: length of vectors.
+KNOWN, ENDINGS, SIZE = 1_023, 512, 24
 NOISE, BATCH, RATE = 128, 256, 0.08
 #: Positions that are mixed before a task trains on them.
 MIXED = 200_000
@@ -33,9 +36,22 @@ MIXED = 200_000
 
 @dataclass
 class Counts:
+    """Of training tokens: all, different ones, the frequent with their counts, ids of tokens with vectors of their
+    own, and tokens and different ones of each class of endings."""
+
     total: int
     distinct: int
     frequent: dict[bytes, int]
+    ids: dict[bytes, int]
+    ending_tokens: np.ndarray
+    ending_words: np.ndarray
+
+    def class_sizes(self) -> list[int]:
+        return [*[self.frequent.get(w, 0) for w in self.ids], *self.ending_tokens.tolist()]
+
+
+def ending(word: bytes) -> int:
+    return zlib.crc32(word[-3:]) % ENDINGS
 
 
 def counted(texts: DataFrame) -> tuple[DataFrame, Counts]:
@@ -53,10 +69,25 @@ def counted(texts: DataFrame) -> tuple[DataFrame, Counts]:
                     seen.clear()
         yield out()
 
-    vocabulary = stored(texts.mapInArrow(count, "w binary, c bigint").groupBy("w").agg(F.sum("c").alias("c")), "vocabulary")
-    total = vocabulary.agg(F.sum("c"), F.count("*")).first()
-    top = vocabulary.orderBy(F.desc("c"), "w").limit(FREQUENT).collect()
-    return vocabulary, Counts(total[0] or 0, total[1], {bytes(r.w): r.c for r in top})
+    vocabulary = stored(texts.mapInArrow(released(count), "w binary, c bigint").groupBy("w").agg(F.sum("c").alias("c")), "vocabulary")
+    total = vocabulary.agg(F.sum("c"), F.count("*"), F.max(F.when(F.col("w") == F.lit(END), F.col("c")))).first()
+    frequent = {bytes(r.w): r.c for r in most_frequent(vocabulary, "c", FREQUENT)} | ({END: total[2]} if total[2] else {})
+    top = sorted(frequent, key=lambda w: (-frequent[w], w))
+    ids = {w: i for i, w in enumerate([END, *[w for w in top if w != END][: KNOWN - 1]])}
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, words = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
+        for batch in batches:
+            at = np.array([-1 if w in ids else ending(w) for w in batch.column(0).to_pylist()], np.int64)
+            np.add.at(n, at[at >= 0], batch.column(1).to_numpy()[at >= 0])
+            np.add.at(words, at[at >= 0], 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(ENDINGS)), pa.array(n), pa.array(words)], ["k", "n", "words"])
+
+    sums = vocabulary.mapInArrow(released(classes), "k bigint, n bigint, words bigint").groupBy("k").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
+    n, words = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
+    for r in sums:
+        n[r.k], words[r.k] = r.n, r.words
+    return vocabulary, Counts(total[0] or 0, total[1], frequent, ids, n, words)
 
 
 class Bilinear:
@@ -120,17 +151,14 @@ class Bilinear:
         return t1, t2, norm
 
 
-def classed(words: list[bytes], ids: dict[bytes, int], other: int) -> np.ndarray:
-    return np.array([ids.get(w, other) for w in words], np.int64)
+def classed(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
+    known = len(ids)
+    return np.array([known + zlib.crc32(w[-3:]) % ENDINGS if (i := ids.get(w)) is None else i for w in words], np.int64)
 
 
 def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]]:
     """The averaged model and the ids of its tokens. Each task returns its parameters once, in small blocks."""
-    top = sorted(counts.frequent, key=lambda w: (-counts.frequent[w], w))
-    chosen = [END, *[w for w in top if w != END][: KNOWN - 1]]
-    ids = {w: i for i, w in enumerate(chosen)}
-    sizes = [counts.frequent.get(w, 0) for w in chosen]
-    sizes.append(max(0, counts.total - sum(sizes)))
+    ids, sizes = counts.ids, counts.class_sizes()
     start = Bilinear(sizes)
     size, width = len(start.flat()), 512
 
@@ -148,7 +176,7 @@ def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]
 
         for batch in batches:
             for raw in batch.column(0):
-                a = np.concatenate([[0, 0], classed(ascii_words(raw.as_py() or b""), ids, len(ids)), [0]])
+                a = np.concatenate([[0, 0], classed(ascii_words(raw.as_py() or b""), ids), [0]])
                 held.append(np.stack([a[1:-1], a[:-2], a[2:]]))
                 n += len(a) - 2
                 waiting += len(a) - 2
@@ -162,7 +190,7 @@ def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]
             parts = [flat[i : i + width].astype("<f4").tobytes() for i in range(0, size, width)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([n] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["part", "n", "moved"])
 
-    trained = texts.mapInArrow(train, "part int, n bigint, moved binary")
+    trained = texts.mapInArrow(released(train), "part int, n bigint, moved binary")
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Weighted sums within a task; each part's rows may come from any number of tasks."""
@@ -174,7 +202,7 @@ def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]
                 own[1] = own[1] + n * np.frombuffer(moved, "<f4").astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v[0] for v in sums.values()], pa.int64()), pa.array([(v[1] / v[0]).astype("<f4").tobytes() for v in sums.values()], pa.binary())], ["part", "n", "moved"])
 
-    merged = trained.repartition(F.col("part")).mapInArrow(average, "part int, n bigint, moved binary")
+    merged = trained.repartition(F.col("part")).mapInArrow(released(average), "part int, n bigint, moved binary")
     rows = sorted((r.part, r.moved) for r in merged.collect())
     if rows:
         start.load(start.flat() + np.concatenate([np.frombuffer(m, "<f4") for _, m in rows]))
@@ -192,11 +220,10 @@ def scored(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "
     vocabulary, counts = counted(train.select(F.col(text).cast("binary").alias("raw")))
     model, ids = fitted(train.select(F.col(text).cast("binary").alias("raw")), counts)
     t1, t2, norm = model.tables()
-    frequent, other = counts.frequent, len(ids)
+    frequent, own_classes = counts.frequent, len(ids)
     all_log = float(np.log10(counts.total + 0.1 * (counts.distinct + 1)))
-    known = sum(frequent.get(w, 0) for w in ids)
-    rest = counts.total - known + 0.1 * (counts.distinct - sum(w in frequent for w in ids) + 1)
-    rest_log = float(np.log10(rest))
+    # Inside a class of endings; its unseen words share one more place.
+    class_log = np.concatenate([np.zeros(own_classes), np.log10(counts.ending_tokens + 0.1 * (counts.ending_words + 1))])
     part = {w: float(np.log10(c + 0.1)) for w, c in frequent.items()}
     columns = [key, *keep]
     kinds = dict(docs.select(*columns).dtypes)
@@ -208,7 +235,7 @@ def scored(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "
             rare_rows, rare_words, rare_n = [], [], []
             for row, raw in zip(batch.column(0).to_pylist(), batch.column(batch.num_columns - 1), strict=True):
                 words = [*ascii_words(raw.as_py() or b""), END]
-                a = np.concatenate([[0, 0], classed(words, ids, other)])
+                a = np.concatenate([[0, 0], classed(words, ids)])
                 one, two, goal = a[1:-1], a[:-2], a[2:]
                 model_log = float((t1[one, goal].astype(np.float64) + t2[two, goal] - norm[one, two]).sum() / np.log(10))
                 own = [part.get(w) for w in words]
@@ -220,8 +247,7 @@ def scored(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "
                 known_n.append(len(found))
                 # Tokens of the joined kind bring the logarithm of their counts later, to both scores.
                 base.append(sum(found) + lost_end * unseen_end - len(words) * all_log)
-                inside = [x for x, g in zip(own, goal, strict=True) if g == other]
-                lm.append(model_log + sum(x for x in inside if x is not None) - len(inside) * rest_log)
+                lm.append(model_log + sum(x for x, g in zip(own, goal.tolist(), strict=True) if g >= own_classes and x is not None) - float(class_log[goal].sum()))
                 rare_rows += [row] * len(rare)
                 rare_words += rare.keys()
                 rare_n += rare.values()
@@ -244,7 +270,7 @@ def scored(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "
             )
 
     schema = ", ".join(["row bigint, w binary, times bigint", *[f"`{c}` {kinds[c]}" for c in columns], "n_tokens bigint, known bigint, base double, lm double"])
-    pieces = docs.select(F.monotonically_increasing_id().alias("row"), *columns, F.col(text).cast("binary").alias("_raw")).mapInArrow(run, schema)
+    pieces = docs.select(F.monotonically_increasing_id().alias("row"), *columns, F.col(text).cast("binary").alias("_raw")).mapInArrow(released(run), schema)
     met = pieces.join(vocabulary, "w", "left")
     late = F.when(F.col("times") > 0, F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).otherwise(F.lit(0.0))
     out = met.groupBy("row").agg(

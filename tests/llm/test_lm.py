@@ -54,7 +54,7 @@ def test_every_position_is_trained_on(spark):
     texts = spark.createDataFrame([(b"a b c",), (b"d",), (b"e f",), (None,)], "raw binary")
     _, counts = L.counted(texts)
     model, ids = L.fitted(texts, counts)
-    fresh = L.Bilinear([counts.frequent[w] for w in ids] + [0])
+    fresh = L.Bilinear(counts.class_sizes())
     moved = {w for w, i in ids.items() if not np.allclose(model.Q[i], fresh.Q[i], atol=1e-7)}
     # Every token is the word before some position; the end stands before the first.
     assert moved == set(ids)
