@@ -13,19 +13,31 @@ from quire.functions import text as X
 from quire.operators import layout as L
 from quire.operators import sequences as S
 
-# Labels of blocks that carry a record's text, and editions by what sets them apart.
+# Labels of blocks that carry a record's text.
 BODY_LABELS = ["Text", "List-Group", "Complex-Block", "Table", "Equation-Block", "Caption", "Footnote", "Section-Header"]
 PARAGRAPH_LABELS = ["Text", "List-Group", "Complex-Block"]
-WITH_MARGIN_NOTES = ["EB.4", "EB.5", "EB.7", "EB.9", "EB.10", "EB.11", "EB.12", "EB.15", "EB.16"]
-WITH_WORD_HEADS = ["EB.12", "EB.15", "EB.16"]
+# What sets editions apart; others have neither margin notes nor heads of whole words, and one volume.
+EDITIONS = [
+    # code, margin notes, several volumes, heads are whole words
+    ("EB.4", True, True, False),
+    ("EB.5", True, True, False),
+    ("EB.7", True, True, False),
+    ("EB.9", True, True, False),
+    ("EB.10", True, True, False),
+    ("EB.11", True, True, False),
+    ("EB.12", True, True, True),
+    ("EB.15", True, True, True),
+    ("EB.16", True, True, True),
+]
 
 _V = ["identifier"]
 
 
 def profiled(volumes: DataFrame) -> DataFrame:
     """Volumes with the switches of their editions; unknown editions have none."""
-    code = F.coalesce("eb_code", F.lit(""))
-    return volumes.withColumns({"margin_notes": code.isin(WITH_MARGIN_NOTES), "multivol": code.isin(WITH_MARGIN_NOTES), "word_heads": code.isin(WITH_WORD_HEADS)})
+    known = volumes.sparkSession.createDataFrame(EDITIONS, "eb_code string, margin_notes boolean, multivol boolean, word_heads boolean")
+    switches = ["margin_notes", "multivol", "word_heads"]
+    return volumes.join(F.broadcast(known), "eb_code", "left").withColumns({k: F.coalesce(k, F.lit(False)) for k in switches})
 
 
 def is_index(volume_num: Column, label: Column, title: Column) -> Column:
@@ -36,12 +48,12 @@ def is_dissertation(alpha: Column, label: Column) -> Column:
     return F.concat_ws(" ", alpha, label).rlike("(?i)dissertation")
 
 
-def page_table(pages: DataFrame, volumes: DataFrame) -> DataFrame:
+def page_table(pages: DataFrame, volumes: DataFrame, whole_words: bool = True) -> DataFrame:
     """Pages with their boxed blocks and heads; margin notes are gone where the edition has them, but a page's
-    head is read before."""
+    head is read before. Unless ``whole_words``, heads are never shortened to trigrams."""
     rows = pages.join(profiled(volumes).select("identifier", "margin_notes", "multivol", "word_heads", "alpha_range", "volume_label"), "identifier")
     rows = rows.withColumn("blocks", L.boxed(L.blocks(F.coalesce("raw", F.lit("")))))
-    rows = rows.withColumn("head", L.page_head(F.col("blocks"), F.col("word_heads")))
+    rows = rows.withColumn("head", L.page_head(F.col("blocks"), F.col("word_heads") & F.lit(whole_words)))
     return rows.withColumn("blocks", F.when(F.col("margin_notes"), L.without_margin_notes(F.col("blocks"))).otherwise(F.col("blocks")))
 
 
@@ -57,7 +69,7 @@ def opening_letters(pages: DataFrame) -> DataFrame:
 def paragraphs(pages: DataFrame) -> DataFrame:
     """One row a paragraph: its place, page, block and text; run-on paragraphs one row a line."""
     rows = pages.select("identifier", "idx", "image", "head", F.posexplode("blocks").alias("block", "b")).where(F.col("b.label").isin(PARAGRAPH_LABELS))
-    rows = rows.select("identifier", "idx", "image", "head", "block", F.col("b.label").alias("label"), F.posexplode("b.paras").alias("para", "p"))
+    rows = rows.select("identifier", "idx", "image", "head", "block", F.col("b.label").alias("label"), F.col("b.box").alias("box"), F.posexplode("b.paras").alias("para", "p"))
     lines = F.coalesce(X.run_on_lines(F.col("p.text")), F.array(F.col("p.text")))
     rows = rows.withColumn("n_lines", F.size(lines)).select("*", F.posexplode(lines).alias("line", "text"))
     whole = X.headword(F.col("p.text"), F.col("p.bold"), F.col("p.bold_tail"), F.col("p.lead"), F.col("head.trigram"))
@@ -91,9 +103,11 @@ def treatise_spans(pages: DataFrame, starts: DataFrame) -> DataFrame:
     second = ~named & (F.col("hi") - F.col("lo") >= 3)
     large1, large0 = _capital("blocks1"), _capital("blocks0")
     title = F.when(first, F.coalesce(before, here, F.col("name"))).when(second, F.coalesce(large1, large0))
+    title_key = F.when(first, F.col("name")).otherwise(X.key(title))
     start = F.when(first & before.isNotNull(), F.col("lo") - 1).when(second & large1.isNull() & large0.isNotNull(), F.col("lo") - 1).otherwise(F.col("lo"))
-    out = spans.select("identifier", start.alias("start"), F.col("hi").alias("end"), X.display_title(title).alias("title")).where("title is not null")
-    return S.merged_spans(out, _V, "title").select("identifier", "start", "end", "title")
+    out = spans.select("identifier", start.alias("start"), F.col("hi").alias("end"), title_key.alias("title_key"), X.display_title(title).alias("title")).where("title is not null")
+    merged = S.merged_spans(out.select("identifier", "start", "end", "title_key"), _V, "title_key")
+    return merged.join(out.select("identifier", "start", "title"), ["identifier", "start"]).select("identifier", "start", "end", "title")
 
 
 def _banner(blocks: str) -> Column:
@@ -127,6 +141,8 @@ def records(pages: DataFrame, spans: DataFrame, starts: DataFrame) -> DataFrame:
     out = found.groupBy("identifier", F.col("segment").alias("seq")).agg(
         first("hw").alias("hw"),
         first("title").alias("title"),
+        first("image").alias("headword_image"),
+        first("box").alias("box"),
         first("in_span").alias("treatise"),
         F.bool_or("closed").alias("closed"),
         first(page_no).alias("opening_page"),
@@ -156,9 +172,19 @@ def records(pages: DataFrame, spans: DataFrame, starts: DataFrame) -> DataFrame:
         X.clean(text).alias("body_text"),
         F.array_join(F.array_distinct(F.transform("parts", lambda x: x["h"])), "\n").alias("body_html"),
         F.array_distinct(F.filter("image_files", lambda i: i.isNotNull())).alias("image_files"),
+        F.when(F.col("box").isNotNull(), F.array(*[F.col(f"box.{k}") for k in ("x1", "y1", "x2", "y2")])).alias("headword_bbox"),
+        "headword_image",
     )
 
 
+def outlines(pages: DataFrame, spans: DataFrame) -> DataFrame:
+    """(identifier, start, outline): the lower headings of a span's pages in order."""
+    own = pages.join(spans.select("identifier", "start", "end"), "identifier").where((F.col("idx") >= F.col("start")) & (F.col("idx") <= F.col("end")))
+    own = own.select("identifier", "start", F.struct("idx", L.outline(F.col("blocks"), F.col("head.page_no"), F.col("idx") + 1).alias("o")).alias("e"))
+    listed = own.groupBy("identifier", "start").agg(F.array_sort(F.collect_list("e")).alias("l"))
+    return listed.select("identifier", "start", F.flatten(F.transform("l", lambda x: x["o"])).alias("outline"))
+
+
 def cleaned(rows: DataFrame) -> DataFrame:
     """Records without repeats, catchwords and stubs; errata lists become records of their own."""
     rows = rows.withColumns({"is_cross_reference": X.is_redirect(F.col("headword"), F.col("body_text")) & (F.col("type") != "treatise"), "cross_refs": F.slice(X.cross_references(F.col("body_text")), 1, 50)})
@@ -184,9 +210,47 @@ def volume_articles(pages: DataFrame, volumes: DataFrame) -> DataFrame:
     starts = starts.select("identifier", F.when(F.col("multivol"), F.lit(0)).otherwise(F.coalesce("first", F.lit(0))).alias("body_start"))
     spans = treatise_spans(table, starts)
     out = cleaned(records(table, spans, starts))
+    told = outlines(table, spans).select("identifier", (F.col("start") + 1).alias("image_page_start"), F.lit("treatise").alias("type"), "outline")
+    out = out.join(told, ["identifier", "image_page_start", "type"], "left")
     return out.join(wanted.select("identifier", "eb_code", "volume_num", "alpha_range"), "identifier")
 
 
+def volume_dissertations(pages: DataFrame, volumes: DataFrame) -> DataFrame:
+    """One treatise for each dissertation of the volumes of dissertations, with the columns of volume_articles.
+
+    Everything but page heads and feet belongs to it; nothing is cleaned up after, as such volumes have no entries.
+    """
+    wanted = volumes.where(is_dissertation(F.col("alpha_range"), F.col("volume_label")) & ~is_index(F.col("volume_num"), F.col("volume_label"), F.col("title")))
+    # A dissertation is known by its whole head, which a trigram would hide.
+    table = page_table(pages, wanted, whole_words=False)
+    bounds = dissertations(table)
+    own = table.join(bounds, "identifier").where((F.col("idx") >= F.col("start")) & (F.col("idx") <= F.col("end")))
+    held = F.filter("blocks", lambda b: ~b["label"].isin("Page-Header", "Page-Footer"))
+    page = F.struct("idx", F.col("head.page_no").alias("page_no"), "image", held.alias("blocks"))
+    told = own.groupBy("identifier", "ordinal", "start", "end").agg(F.array_sort(F.collect_list(page)).alias("pages"))
+    told = told.join(outlines(table, bounds), ["identifier", "start"], "left")
+    blocks = F.flatten(F.transform("pages", lambda p: p["blocks"]))
+    numbers = F.filter(F.transform("pages", lambda p: p["page_no"]), lambda n: n.isNotNull())
+    box = F.get(blocks, F.lit(0))["box"]
+    name = F.concat(F.lit("DISSERTATION "), F.get(F.array(*[F.lit(o.upper()) for o in X.ORDINALS]), F.col("ordinal") - 1))
+    body = X.clean(F.array_join(F.transform(blocks, lambda b: b["text"]), " "))
+    told = told.select(
+        "identifier", F.col("ordinal").cast("bigint").alias("seq"), F.lit(0).alias("sub_seq"), name.alias("headword"), name.alias("base_headword"), F.lit(None).cast("string").alias("qualifier"),
+        F.lit("treatise").alias("type"), F.lit("treatise").alias("detected_by"), F.get(numbers, F.lit(0)).alias("printed_page_start"), F.element_at(F.concat(F.array(F.lit(None).cast("int")), numbers), -1).alias("printed_page_end"),
+        (F.col("start") + 1).alias("image_page_start"), (F.col("end") + 1).alias("image_page_end"), body.alias("body_text"), F.array_join(F.transform(blocks, lambda b: b["html"]), "\n").alias("body_html"),
+        F.array_distinct(F.filter(F.transform("pages", lambda p: p["image"]), lambda i: i.isNotNull())).alias("image_files"), F.when(box.isNotNull(), F.array(*[box[k] for k in ("x1", "y1", "x2", "y2")])).alias("headword_bbox"),
+        F.get(F.transform("pages", lambda p: p["image"]), F.lit(0)).alias("headword_image"), "outline", F.lit(False).alias("is_cross_reference"),
+    )
+    told = told.withColumns({"cross_refs": F.slice(X.cross_references(F.col("body_text")), 1, 50), "char_count": F.length("body_text")})
+    return told.join(wanted.select("identifier", "eb_code", "volume_num", "alpha_range"), "identifier")
+
+
+def volume_records(pages: DataFrame, volumes: DataFrame) -> DataFrame:
+    """Records of all volumes but indexes: articles of dictionaries, treatises of volumes of dissertations."""
+    articles, essays = volume_articles(pages, volumes), volume_dissertations(pages, volumes)
+    return articles.unionByName(essays.select(*[F.col(c).cast(t).alias(c) for c, t in articles.dtypes]))
+
+
 def dissertations(pages: DataFrame) -> DataFrame:
     """(identifier, ordinal, start, end) of volumes of dissertations: bounds open on ever higher ordinals only,
     the first one right after the front matter."""

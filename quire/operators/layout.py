@@ -143,7 +143,7 @@ def page_head(c: Column, whole_words: Column) -> Column:
 def banner(c: Column, title_key: Column) -> Column:
     """The display form of the section head whose key is ``title_key``, else null."""
     heads = F.flatten(F.transform(F.filter(c, lambda b: b["label"] == "Section-Header"), lambda b: F.concat(F.transform(F.filter(b["heads"], lambda h: h["level"] <= 3), lambda h: h["text"]), F.array(b["text"]))))
-    return X.title(F.get(F.filter(heads, lambda t: X.key(t) == title_key), F.lit(0)))
+    return F.nullif(X.title(F.get(F.filter(heads, lambda t: X.key(t) == title_key), F.lit(0))), F.lit(""))
 
 
 def capital_banner(c: Column) -> Column:

@@ -121,17 +121,36 @@ def test_articles_of_a_volume(spark):
         ("v", 1, "1.jpg", page(2, "ABA", "It goes on here.", "ABADDON, a place. See HELL.")),
         ("v", 2, "2.jpg", page(3, "ALGEBRA", "A science.") + block("Section-Header", "1 1 2 2", "<h2>ALGEBRA</h2>")),
         ("v", 3, "3.jpg", page(4, "ALGEBRA", "More of it.")),
-        ("v", 4, "4.jpg", page(5, "AMB", "<b>AMBER</b>, a resin that is found upon the shore of the sea.")),
+        ("v", 4, "4.jpg", page(5, "AMB", "<b>AMBER</b>, a resin that is found upon the shore of the sea.", "AMBLE, in riding. See PACE.") + block("Section-Header", "1 1 2 2", "<h3>Not of a span</h3>")),
     ]
     table = spark.createDataFrame(pages, "identifier string, idx int, image string, raw string")
     volumes = spark.createDataFrame([("v", "EB.1", 1, "A-B", None, "t")], "identifier string, eb_code string, volume_num int, alpha_range string, volume_label string, title string")
     got = {r.headword: r for r in A.volume_articles(table, volumes).collect()}
-    assert set(got) == {"ABACUS", "ABADDON", "ALGEBRA", "AMBER"}
+    assert set(got) == {"ABACUS", "ABADDON", "ALGEBRA", "AMBER", "AMBLE"}
     assert got["ABACUS"].body_text.endswith("It goes on here.")
     assert (got["ABACUS"].printed_page_start, got["ABACUS"].printed_page_end) == (1, 2)
-    assert got["ABADDON"].is_cross_reference and got["ABADDON"].cross_refs == ["HELL"]
+    # "a place" is a definition, so ABADDON is more than a reference; AMBLE is not.
+    assert not got["ABADDON"].is_cross_reference and got["ABADDON"].cross_refs == ["HELL"]
+    assert got["AMBLE"].is_cross_reference and got["AMBLE"].cross_refs == ["PACE"] and got["AMBLE"].outline is None
+    assert got["AMBER"].headword_image == "4.jpg" and len(got["AMBER"].headword_bbox) == 4
     assert (got["ALGEBRA"].type, got["ALGEBRA"].image_page_start, got["ALGEBRA"].image_page_end) == ("treatise", 3, 4)
-    assert got["AMBER"].type == "article"
+    assert got["AMBER"].type == "article" and got["ALGEBRA"].outline == []
+
+
+def test_dissertations_of_a_volume(spark):
+    pages = [
+        ("d", 0, "0.jpg", page(1, "INDEX", "of matters")),
+        ("d", 1, "1.jpg", page(2, "PRELIMINARY DISSERTATIONS", "Half title.")),
+        ("d", 2, "2.jpg", page(3, "DISSERTATION FIRST", "One begins.") + block("Section-Header", "1 1 2 2", "<h3>O F M I N D</h3>")),
+        ("d", 3, "3.jpg", page(4, "DISSERTATION SECOND", "Two begins. See MORALS.")),
+        ("d", 4, "4.jpg", page(5, "DISSERTATION FIRST", "Two goes on.")),
+    ]
+    table = spark.createDataFrame(pages, "identifier string, idx int, image string, raw string")
+    volumes = spark.createDataFrame([("d", "EB.15", 1, "Preliminary dissertations", None, "t")], "identifier string, eb_code string, volume_num int, alpha_range string, volume_label string, title string")
+    got = A.volume_records(table, volumes).orderBy("seq").collect()
+    assert [(r.headword, r.type, r.printed_page_start, r.printed_page_end, r.image_page_start, r.image_page_end) for r in got] == [("DISSERTATION FIRST", "treatise", 2, 3, 2, 3), ("DISSERTATION SECOND", "treatise", 4, 5, 4, 5)]
+    assert got[0].body_text.startswith("Half title. One begins.") and got[1].body_text == "Two begins. See MORALS. Two goes on." and got[1].cross_refs == ["MORALS"]
+    assert [(o.level, o.label, o.printed_page, o.image_page) for o in got[0].outline] == [(3, "OFMIND", 3, 3)] and got[0].image_files == ["1.jpg", "2.jpg"]
 
 
 def test_dissertation_bounds(spark):
