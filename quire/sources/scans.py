@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire import schemas
@@ -49,7 +50,7 @@ def array_or_object(c, key: str, element: str):
 def mets_pages(spark: SparkSession, path: str) -> DataFrame:
     """(file, order, image) of METS files: the pages of their structure maps with the images' names.
 
-    A page that points to no image is left out; a file that isn't well formed gives no rows (see mets_errors).
+    A page that points to no image is left out; a file that isn't well formed gives no rows (mets_facts names it).
     """
     files = spark.read.schema("_ID string, `mets:FLocat` struct<`_xlink:href`:string>").option("rowTag", "mets:file").option("mode", "DROPMALFORMED").xml(path)
     files = files.select(F.input_file_name().alias("file"), F.col("_ID").alias("file_id"), F.regexp_extract(F.col("`mets:FLocat`.`_xlink:href`"), "([^/]+)$", 1).alias("image"))
@@ -57,25 +58,99 @@ def mets_pages(spark: SparkSession, path: str) -> DataFrame:
     maps = spark.read.schema(f"_ORDER int, `mets:div` array<{div}>").option("rowTag", "mets:div").option("mode", "DROPMALFORMED").xml(path)
     leaves = maps.select(F.input_file_name().alias("file"), F.explode("`mets:div`").alias("d"))
     ids = leaves.select("file", F.col("d._ORDER").alias("order"), F.explode("d.`mets:fptr`").alias("f")).select("file", "order", F.col("f._FILEID").alias("file_id"))
-    return ids.join(files.where("image rlike '(?i)\\\\.jpe?g$'"), ["file", "file_id"]).select("file", "order", "image").orderBy("file", "order", "image")
+    return ids.join(files.where("image rlike '(?i)\\.jpe?g$'"), ["file", "file_id"]).select("file", "order", "image").orderBy("file", "order", "image")
+
+
+def mets_facts(spark: SparkSession, path: str) -> DataFrame:
+    """(identifier, date_issued, rights, mets_error) of METS files, one row a file, read whole: they are small.
+
+    A file that isn't well formed has its parser's message in mets_error and nothing else.
+    """
+    texts = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), "([^/]+)-mets[.]xml$", 1).alias("identifier"), F.col("value").alias("xml"))
+    first = lambda tag: F.get(F.xpath("xml", F.lit(f"//*[local-name()='{tag}']//text()")), F.lit(0))
+    words = lambda c: F.nullif(F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit(""))
+    # Every element closes what opened last, or the parser stops: the tags of a sound file balance.
+    opened = F.regexp_count("xml", F.lit(r"<[A-Za-z][^<>]*[^/<>]>|<[A-Za-z]>"))
+    closed = F.regexp_count("xml", F.lit("</[A-Za-z]"))
+    broken = F.when(opened != closed, F.concat(opened.cast("string"), F.lit(" elements open and "), closed.cast("string"), F.lit(" close")))
+    rows = texts.withColumn("mets_error", broken)
+    sound = F.col("mets_error").isNull()
+    return rows.select("identifier", F.when(sound, words(first("dateIssued"))).alias("date_issued"), F.when(sound, words(first("accessCondition"))).alias("rights"), "mets_error")
 
 
 def image_counts(spark: SparkSession, glob: str) -> DataFrame:
-    """(identifier, n_images) of folders of page images; only names are read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").option("recursiveFileLookup", "true").load(glob).select("path")
+    """(identifier, n_images) of folders of page images; only names are read. A folder that is missing counts nothing."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").option("recursiveFileLookup", "true")
+    try:
+        files = names.load(glob).select("path")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        files = spark.createDataFrame([], "path string")
     return files.groupBy(F.regexp_extract("path", "([^/]+)/(?:image/)?[^/]+$", 1).alias("identifier")).agg(F.count("*").alias("n_images"))
 
 
+def images(spark: SparkSession, glob: str) -> DataFrame:
+    """(identifier, image, content, size) of page images; the bytes are read only where they are asked for."""
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").option("recursiveFileLookup", "true").load(glob)
+    return rows.select(F.regexp_extract("path", "([^/]+)/(?:image/)?[^/]+$", 1).alias("identifier"), F.regexp_extract("path", "([^/]+)$", 1).alias("image"), "content", F.col("length").alias("size"))
+
+
+def page_order(images: DataFrame, mets: DataFrame | None = None) -> DataFrame:
+    """(identifier, ord, image): the order of METS, then of the names; without METS that of the numbers in the names."""
+    number = F.try_to_number(F.regexp_extract("image", r"^([0-9]+)", 1), F.lit("9" * 18)).cast("bigint")
+    if mets is None:
+        order = [number.asc_nulls_last(), F.col("image")]
+        return images.select("identifier", "image", F.row_number().over(Window.partitionBy("identifier").orderBy(*order)).alias("ord"))
+    return mets.select("identifier", "image", F.row_number().over(Window.partitionBy("identifier").orderBy("order", "image")).alias("ord"))
+
+
 def manifest(spark: SparkSession, inventory_path: str, counts: DataFrame | None = None, mets: DataFrame | None = None) -> DataFrame:
-    """Volumes: what their titles say, with image and page counts where known, in order of code and volume."""
-    rows = inventory(spark, inventory_path).select("identifier", X.title_fields(F.col("title")).alias("f")).select("identifier", "f.*")
+    """Volumes: what their titles say, with image counts and METS facts where known, in order of code and volume.
+
+    ``mets`` has identifier and any of n_pages_mets, date_issued, rights, mets_error. Unknown counts don't match.
+    """
+    rows = inventory(spark, inventory_path).select(F.trim("identifier").alias("identifier"), X.title_fields(F.trim("title")).alias("f")).select("identifier", "f.*")
     rows = rows.join(counts, "identifier", "left") if counts is not None else rows.withColumn("n_images", F.lit(None).cast("bigint"))
-    rows = rows.join(mets, "identifier", "left") if mets is not None else rows.withColumn("n_pages_mets", F.lit(None).cast("bigint"))
-    rows = rows.withColumn("n_images", F.coalesce("n_images", F.lit(0))).withColumn("pages_match", F.col("n_images") == F.col("n_pages_mets"))
+    if mets is not None:
+        rows = rows.join(mets, "identifier", "left")
+    for name, kind in (("n_pages_mets", "bigint"), ("date_issued", "string"), ("rights", "string"), ("mets_error", "string")):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
+    rows = rows.withColumn("n_images", F.coalesce("n_images", F.lit(0))).withColumn("pages_match", F.coalesce(F.col("n_images") == F.col("n_pages_mets"), F.lit(False)))
     number = F.coalesce(F.try_to_number(F.split("eb_code", "[.]").getItem(1), F.lit("9999")).cast("int"), F.lit(999))
     return rows.orderBy(number, F.coalesce("volume_num", F.lit(0)), "identifier")
 
 
+def manifest_summary(volumes: DataFrame) -> DataFrame:
+    """(eb_code, edition_label, n_volumes, n_pages, mismatches) and the total over all, whose codes are null and level 3."""
+    mismatch = F.array_sort(F.collect_list(F.when(~F.col("pages_match"), F.col("identifier"))))
+    return volumes.groupingSets([[F.col("eb_code"), F.col("edition_label")], []], "eb_code", "edition_label").agg(F.grouping_id().alias("level"), F.count("*").alias("n_volumes"), F.sum("n_images").alias("n_pages"), mismatch.alias("mismatches"))
+
+
+def volume(volumes: DataFrame, identifier: str) -> DataFrame:
+    """The first volume of an identifier, one row; a ValueError where there is none."""
+    found = volumes.where(F.col("identifier") == identifier).limit(1)
+    if found.isEmpty():
+        raise ValueError(f"no volume {identifier!r} in the manifest")
+    return found
+
+
+def edition_records(spark: SparkSession, root: str, schema: str, editions: list[str] | None = None) -> DataFrame:
+    """Records below ``root``, a folder eb_code=<edition> for each edition: only those of ``editions`` are read.
+
+    Whole codes are compared, so EB.1 is not EB.10.
+    """
+    rows = spark.read.schema(f"{schema}, eb_code string").json(root)
+    return rows if editions is None else rows.where(F.col("eb_code").isin(editions))
+
+
+def archived_fixes(archived: DataFrame) -> DataFrame:
+    """(edition, old, new, n_editions, edit_distance): corrections that an earlier snapshot's records tell of."""
+    fix = F.col("provenance.headword_correction")
+    return archived.where(fix.isNotNull()).select("edition", fix["from"].alias("old"), fix["to"].alias("new"), fix["n_editions"].alias("n_editions"), fix["edit_distance"].alias("edit_distance")).distinct()
+
+
 def snapshot(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
     """Records as of a named snapshot, one folder each below ``root``."""
     return spark.read.schema(schema).json(f"{root}/snapshot={name}")
