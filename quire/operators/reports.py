@@ -37,7 +37,7 @@ def viewed(rows: DataFrame, headword: str, body: str, kinds: list[str] | None =
     return rows.where(F.contains(F.lower(F.coalesce(F.col(headword), F.lit(""))), wanted) | F.contains(F.lower(F.coalesce(F.col(body), F.lit(""))), wanted))
 
 
-def assembled(rows: DataFrame, part: str, order: str, text: Column, glue: str = "\n") -> DataFrame:
-    """(part, text): the texts of a part joined in order."""
+def assembled(rows: DataFrame, part: list[str], order: str, text: Column, glue: str = "\n") -> DataFrame:
+    """(part, text): the texts of a part joined in order. A part is one row, so it should be a volume at most."""
     listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), text.alias("t"))))
-    return rows.groupBy(part).agg(F.array_join(F.transform(listed, lambda x: x["t"]), glue).alias("text"))
+    return rows.groupBy(*part).agg(F.array_join(F.transform(listed, lambda x: x["t"]), glue).alias("text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -11,10 +11,28 @@ from quire.functions import text as X
 BAND, EDITS = 30, 2
 
 
-def occurrences(docs: DataFrame, text: str = "text", edition: str = "source", id: str = "doc_id") -> DataFrame:
-    """(id, edition, key) of every word of three letters or more."""
-    words = F.explode(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit("([A-Za-zÀ-ÿ]+)"), F.lit(1)))
-    return docs.select(F.col(id).alias("id"), F.col(edition).alias("edition"), words.alias("w")).select("id", "edition", X.key(F.col("w")).alias("key")).where(F.length("key") >= 3)
+def _words(text: str) -> Column:
+    """Different words of a text, an empty one perhaps among them."""
+    return F.array_distinct(F.split(F.coalesce(F.col(text), F.lit("")), "[^A-Za-zÀ-ÿ]+"))
+
+
+def words_of_documents(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """(id, word): every different word of each document, as it is written."""
+    return docs.select(F.col(id).alias("id"), F.explode(_words(text)).alias("word")).where("word <> ''")
+
+
+def keyed(words: DataFrame) -> DataFrame:
+    """(word, key) of every different word whose key has three letters or more."""
+    return words.select("word").distinct().withColumn("key", X.key(F.col("word"))).where(F.length("key") >= 3)
+
+
+def occurrences(docs: DataFrame, text: str = "text", edition: str = "source") -> DataFrame:
+    """(edition, key): every different word of three letters or more that an edition has.
+
+    Words are made different before their keys are taken, so a word costs one key an edition, however often it stands.
+    """
+    rows = docs.select(F.col(edition).alias("edition"), F.explode(_words(text)).alias("word")).where("word <> ''").distinct()
+    return rows.select("edition", X.key(F.col("word")).alias("key")).where(F.length("key") >= 3).distinct()
 
 
 def vocabulary(found: DataFrame) -> DataFrame:
@@ -22,15 +40,16 @@ def vocabulary(found: DataFrame) -> DataFrame:
     return found.groupBy("key").agg(F.array_sort(F.collect_set("edition")).alias("editions")).withColumn("n_editions", F.size("editions").cast("bigint"))
 
 
-def ordinal(df: DataFrame, block: str, order: list[str], name: str = "ordinal") -> DataFrame:
-    """``df`` with the place of each row (from 1) in the order of ``order``, which the blocks follow.
+def ordinal(df: DataFrame, block: str, order: list[str], name: str = "ordinal", part: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the place of each row (from 1, in each ``part``) in the order of ``order``, which the blocks follow.
 
-    Rows are numbered inside blocks; only one row a block meets in a single task.
+    Rows are numbered inside blocks; only one row a block meets in a single task, so blocks should hold some
+    thousands of rows (a billion blocks are the limit of what one task numbers).
     """
-    sizes = df.groupBy(block).agg(F.count("*").alias("_n"))
-    before = sizes.select(F.col(block), (F.sum("_n").over(Window.orderBy(block)) - F.col("_n")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(block).orderBy(*order))
-    return df.withColumn("_inside", inside).join(before, block).withColumn(name, F.col("_before") + F.col("_inside")).drop("_before", "_inside")
+    sizes = df.groupBy(*part, block).agg(F.count("*").alias("_n"))
+    before = sizes.select(*part, F.col(block), (F.sum("_n").over(Window.partitionBy(*part).orderBy(block)) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*part, block).orderBy(*order))
+    return df.withColumn("_inside", inside).join(before, [*part, block]).withColumn(name, F.col("_before") + F.col("_inside")).drop("_before", "_inside")
 
 
 def suggestions(vocab: DataFrame, most: int = 4) -> DataFrame:
@@ -73,44 +92,90 @@ def neighbours(vocab: DataFrame) -> DataFrame:
     return out.drop("at")
 
 
+def _by_block(rows: DataFrame) -> DataFrame:
+    """``rows`` (edition, key) with the block that stands for a part of the alphabet: order is kept between blocks."""
+    return rows.withColumn("block", F.left("key", F.lit(2)))
+
+
 def successors(found: DataFrame) -> DataFrame:
-    """(edition, key, successor): the next word that the edition has."""
-    return found.select("edition", "key").distinct().withColumn("successor", F.lead("key").over(Window.partitionBy("edition").orderBy("key")))
+    """(edition, key, successor): the next word that the edition has.
+
+    Words follow each other inside blocks of the alphabet; the first word of an edition's next block closes a
+    block, so an edition's words never meet in one task.
+    """
+    have = _by_block(found.select("edition", "key").distinct())
+    first = have.groupBy("edition", "block").agg(F.min("key").alias("first"))
+    after = first.select(F.col("edition").alias("_edition"), F.col("block").alias("_block"), F.lead("first").over(Window.partitionBy("edition").orderBy("block")).alias("_after"))
+    inside = F.lead("key").over(Window.partitionBy("edition", "block").orderBy("key"))
+    rows = have.withColumn("_inside", inside).join(after, F.col("edition").eqNullSafe(F.col("_edition")) & (F.col("block") == F.col("_block")))
+    return rows.select("edition", "key", F.coalesce("_inside", "_after").alias("successor"))
+
+
+#: Editions that may stand in a plan as a list; an edition is a work, not a document.
+MOST_EDITIONS = 1_000
 
 
 def absent_between(found: DataFrame, least: int = 3) -> DataFrame:
     """(edition, absorber, key): words that ``least`` other editions have and this one lacks, with the word of
-    this edition that stands right before each. A running last value stands in for a range join."""
-    have = found.select("edition", "key").distinct()
-    words = have.groupBy("key").agg(F.count("*").alias("n"))
-    editions = have.select("edition").distinct()
-    grid = _spread(words.where(F.col("n") >= least), editions)
-    marks = grid.join(have.withColumn("present", F.lit(True)), ["edition", "key"], "full").withColumn("present", F.coalesce("present", F.lit(False)))
-    before = F.last(F.when(F.col("present"), F.col("key")), ignorenulls=True).over(Window.partitionBy("edition").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
-    return marks.withColumn("absorber", before).where("not present and absorber is not null").select("edition", "absorber", "key")
+    this edition that stands right before each.
 
-
-def _spread(words: DataFrame, editions: DataFrame) -> DataFrame:
-    """Each word for each edition: the list of editions, a handful by nature, is a column of every word."""
-    listed = editions.agg(F.collect_set("edition").alias("all"))
-    return words.withColumn("one", F.lit(1)).join(F.broadcast(listed.withColumn("one", F.lit(1))), "one").select(F.explode("all").alias("edition"), "key")
+    A running last value inside blocks of the alphabet stands in for a range join; what an edition has last in
+    the blocks before comes from one row a block. More than MOST_EDITIONS editions raise a ValueError.
+    """
+    have = _by_block(found.select("edition", "key").distinct())
+    words = have.groupBy("block", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    editions = [r.edition for r in have.select("edition").distinct().limit(MOST_EDITIONS + 1).collect()]
+    if len(editions) > MOST_EDITIONS:
+        raise ValueError(f"more than {MOST_EDITIONS} editions")
+    every = F.explode(F.array(*[F.lit(e) for e in editions]).cast(f"array<{dict(found.dtypes)['edition']}>")).alias("edition")
+    blocks = words.select("block").distinct().select("block", every)
+    ends = have.groupBy("edition", "block").agg(F.max("key").alias("last"))
+    carried = blocks.join(ends, ["edition", "block"], "full")
+    carried = carried.withColumn("carried", F.last("last", ignorenulls=True).over(Window.partitionBy("edition").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))).select("edition", "block", "carried")
+    grid = words.select("block", "key", every)
+    marks = grid.join(have.withColumn("present", F.lit(True)), ["edition", "block", "key"], "full").withColumn("present", F.coalesce("present", F.lit(False)))
+    inside = F.last(F.when(F.col("present"), F.col("key")), ignorenulls=True).over(Window.partitionBy("edition", "block").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
+    out = marks.withColumn("inside", inside).where("not present").join(carried, ["edition", "block"])
+    return out.withColumn("absorber", F.coalesce("inside", "carried")).where("absorber is not null").select("edition", "absorber", "key")
 
 
 def oversized(sizes: DataFrame, word: str, edition: str, size: str, times: float = 3.0, more: float = 8000.0, least: int = 3) -> DataFrame:
-    """``sizes`` (one row a word and edition) that exceed the median of the word's other editions."""
-    other = sizes.select(F.col(word), F.col(edition).alias("_other"), F.col(size).alias("_size"))
-    others = sizes.join(other, word).where(F.col(edition) != F.col("_other")).groupBy(word, edition, size).agg(F.median("_size").alias("median_elsewhere"), F.count("*").alias("n_others"))
-    return others.where((F.col("n_others") >= least) & (F.col("median_elsewhere") > 0) & (F.col(size) > times * F.col("median_elsewhere")) & (F.col(size) - F.col("median_elsewhere") > more))
+    """``sizes`` (one row a word and edition) that exceed the median of the word's other editions.
+
+    The sizes of a word come as one sorted array, as long as it has editions; without one of them the median
+    is found by its place.
+    """
+    rows = sizes.where(F.col(size).isNotNull()).groupBy(word).agg(F.sort_array(F.collect_list(F.struct(F.col(size).alias("size"), F.col(edition).alias("edition")))).alias("_all"))
+    rows = rows.where(F.size("_all") > least).select(word, "_all", F.posexplode("_all").alias("_at", "_own"))
+    without = lambda k: F.get("_all", k + (k >= F.col("_at")).cast("int"))["size"].cast("double")
+    others = F.size("_all") - 1
+    half = F.floor(others / 2).cast("int")
+    median = F.when(others % 2 == 1, without(half)).otherwise((without(half - 1) + without(half)) / 2)
+    rows = rows.select(word, F.col("_own.edition").alias(edition), F.col("_own.size").alias(size), median.alias("median_elsewhere"), others.cast("bigint").alias("n_others"))
+    return rows.where((F.col("median_elsewhere") > 0) & (F.col(size) > times * F.col("median_elsewhere")) & (F.col(size) - F.col("median_elsewhere") > more))
+
+
+def begun(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """(token, key): different tokens that begin with the head of a word: all of its letters but one, five at least.
+
+    Tokens meet heads on their first five letters (heads that are shorter on three), so no frequent beginning
+    is held against all words.
+    """
+    heads = words.select("key", F.left("key", F.greatest(F.lit(5), F.length("key") - 1)).alias("head"))
+    out = None
+    for n, some in ((5, F.length("head") >= 5), (3, F.length("head") < 5)):
+        met = tokens.withColumn("block", F.left("token", F.lit(n))).join(heads.where(some).withColumn("block", F.left("head", F.lit(n))), "block")
+        met = met.where(F.startswith("token", F.col("head"))).select("token", "key")
+        out = met if out is None else out.union(met)
+    return out
 
 
 def contained(bodies: DataFrame, words: DataFrame) -> DataFrame:
-    """(id, key): words whose first letters (all but one, five at least) begin a word of the body.
+    """(id, key): words whose head begins a word of the body.
 
-    Different words of the bodies meet the heads on their first three letters, once for all bodies, so neither
-    a body nor a frequent word is held against all words.
+    ``bodies`` has (id, word) as words_of_documents gives them, ``words`` keys. Only the different words of all
+    bodies meet the heads, so a body is not held against all words.
     """
-    heads = words.select("key", F.left("key", F.greatest(F.lit(5), F.length("key") - 1)).alias("head"), F.left("key", F.lit(3)).alias("block"))
-    tokens = bodies.select("id", F.col("key").alias("token")).distinct()
-    different = bodies.select(F.col("key").alias("token"), F.left("key", F.lit(3)).alias("block")).distinct()
-    begun = different.join(heads, "block").where(F.startswith("token", F.col("head"))).select("token", "key")
-    return tokens.join(begun, "token").select("id", "key").distinct()
+    different = keyed(bodies).withColumnRenamed("key", "token")
+    met = begun(different.select("token").distinct(), words)
+    return bodies.join(different.join(met, "token"), "word").select("id", "key").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as X
 from quire.operators import repairs as P
 from quire.operators import reports as Q
+from quire.operators import vocabulary as V
 from quire.plans.common import Registry, table
 
 R = Registry()
@@ -76,11 +77,12 @@ def resume_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.progress(items, table(spark, sf_dir, "labels"), "doc_id", "batch")
 
 
-@R.query("select source, md5(string_agg(doc_id::varchar || ':' || coalesce(toxic::varchar, '[missing]'), chr(10) order by doc_id)) as text_md5 from documents left join labels using (doc_id) group by source")
+@R.query("select source, doc_id // 1000 as volume, md5(string_agg(doc_id::varchar || ':' || coalesce(toxic::varchar, '[missing]'), chr(10) order by doc_id)) as text_md5 from documents left join labels using (doc_id) group by all")
 def left_default_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     text = F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.coalesce(F.col("toxic").cast("string"), F.lit("[missing]")))
-    return Q.assembled(docs, "source", "doc_id", text).select("source", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    docs = docs.withColumn("volume", F.floor(F.col("doc_id") / 1000))
+    return Q.assembled(docs, ["source", "volume"], "doc_id", text).select("source", "volume", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 @R.query(
@@ -147,10 +149,9 @@ def viewer_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.query("select source, doc_id, ((row_number() over (partition by source order by doc_id) - 1) // 10)::bigint as page from documents")
 def paginate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quire.operators.sequences import _over
-
-    number = F.row_number().over(_over(["source"], ["doc_id"]))
-    return table(spark, sf_dir, "documents").select("source", "doc_id", F.floor((number - 1) / 10).cast("bigint").alias("page"))
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id").withColumn("block", F.floor(F.col("doc_id") / 4096))
+    numbered = V.ordinal(docs, "block", ["doc_id"], "number", part=("source",))
+    return numbered.select("source", "doc_id", F.floor((F.col("number") - 1) / 10).cast("bigint").alias("page"))
 
 
 _TITLE = "case when n_nationkey % 4 = 3 then 'Supplement to the third edition of the Encyclopaedia - Volume ' || n_nationkey || ', ' || n_name else 'Encyclopaedia; or, A dictionary - ' || case n_nationkey % 3 when 0 then 'First edition, 1771' when 1 then 'Second edition' else 'Seventh edition, 1842' end || case when n_nationkey % 5 = 4 then ', General index' else ', Volume ' || n_nationkey || ', ' || n_name || '-Z' end end || ' - EB.' || n_nationkey"
@@ -185,7 +186,7 @@ def paren_qualifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.query(
-    """select doc_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(left(text, 2000), '\\s+', ' ', 'g')), '([\\pL\\pN_])[­-]\\s+([a-z])', '\\1\\2', 'g'), '\\s+([,.;:)])', '\\1', 'g')) as cleaned from documents"""
+    """select doc_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')), '([\\pL\\pN_])[­-]\\s+([a-z])', '\\1\\2', 'g'), '\\s+([,.;:)])', '\\1', 'g')) as cleaned from documents"""
 )
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.clean(F.col("text")).alias("cleaned"))

@@ -13,15 +13,15 @@ R = Registry()
 
 _OCC = """occ as (select doc_id as id, source as edition, k as key from (select doc_id, source,
   regexp_replace(upper(replace(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ß', 'ss')), '[^A-Z]', '', 'g') as k from documents) where length(k) >= 3)"""
-_VOCAB = "vocab as (select key, list_sort(list(distinct edition)) as editions, count(distinct edition)::bigint as n_editions from occ group by key)"
-_FUZZY = f"""{_OCC}, {_VOCAB},
-placed as (select *, left(key, 2) as block, row_number() over (partition by left(key, 2) order by key) as at from vocab),
+VOCAB = "vocab as (select key, list_sort(list(distinct edition)) as editions, count(distinct edition)::bigint as n_editions from occ group by key)"
+FUZZY = """placed as (select *, left(key, 2) as block, row_number() over (partition by left(key, 2) order by key) as at from vocab),
 pairs as (select s.key as variant, s.editions[1] as edition, c.key as canonical, levenshtein(s.key, c.key)::bigint as edit_distance, c.n_editions
   from placed s join placed c on s.block = c.block and c.at - s.at >= -30 and c.at - s.at < 30
   where s.n_editions = 1 and c.n_editions > 1 and abs(length(s.key) - length(c.key)) <= 2
     and left(s.key, greatest(2, ceil(least(length(s.key), length(c.key)) / 2)::int)) = left(c.key, greatest(2, ceil(least(length(s.key), length(c.key)) / 2)::int))
     and not list_contains(c.editions, s.editions[1]) and levenshtein(s.key, c.key) <= 2),
 sug as (select variant, edition, row_number() over (partition by variant order by edit_distance, n_editions desc, canonical) as rank, canonical, edit_distance, n_editions from pairs qualify rank <= 4)"""
+_FUZZY = f"{_OCC}, {VOCAB}, {FUZZY}"
 
 
 def _occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +33,12 @@ def norm_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", X.key(F.col("p_name")).alias("name_key"), X.key(F.col("p_brand")).alias("brand_key"))
 
 
-@R.query(f"with {_OCC}, {_VOCAB} select key, editions[1] as edition from vocab where n_editions = 1")
+@R.query(f"with {_OCC}, {VOCAB} select key, editions[1] as edition from vocab where n_editions = 1")
 def vocab_singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.vocabulary(_occurrences(spark, sf_dir)).where("n_editions = 1").select("key", F.get("editions", F.lit(0)).alias("edition"))
 
 
-@R.query(f"with {_OCC}, {_VOCAB} select key, array_to_string(editions, ',') as editions, n_editions from vocab where n_editions > 1")
+@R.query(f"with {_OCC}, {VOCAB} select key, array_to_string(editions, ',') as editions, n_editions from vocab where n_editions > 1")
 def vocab_confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.vocabulary(_occurrences(spark, sf_dir)).where("n_editions > 1").select("key", F.array_join("editions", ",").alias("editions"), "n_editions")
 
@@ -58,7 +58,7 @@ def candidate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.query(
-    f"""with {_OCC}, {_VOCAB} select key, lag(key, 2) over w as before2, lag(key) over w as before1, lead(key) over w as after1, lead(key, 2) over w as after2
+    f"""with {_OCC}, {VOCAB} select key, lag(key, 2) over w as before2, lag(key) over w as before1, lead(key) over w as after1, lead(key, 2) over w as after2
 from vocab window w as (order by key)"""
 )
 def vocab_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,9 +111,9 @@ def reference_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.query(
-    f"""with {_OCC}, words as (select distinct k as key from (select regexp_replace(upper(replace(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ß', 'ss')), '[^A-Z]', '', 'g') as k from benchmark) where length(k) >= 9)
+    f"""with {_OCC}, words as (select distinct k as key from (select regexp_replace(upper(replace(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ß', 'ss')), '[^A-Z]', '', 'g') as k from benchmark) where length(k) >= 3)
 select distinct o.id, w.key from (select distinct id, key from occ) o join words w on left(o.key, 3) = left(w.key, 3) and starts_with(o.key, left(w.key, greatest(5, length(w.key) - 1)))"""
 )
 def body_token_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = V.occurrences(table(spark, sf_dir, "benchmark").withColumn("edition", F.lit("")), edition="edition", id="item_id").select("key").distinct()
-    return V.contained(_occurrences(spark, sf_dir), words)
+    words = V.keyed(V.words_of_documents(table(spark, sf_dir, "benchmark"), id="item_id")).select("key").distinct()
+    return V.contained(V.words_of_documents(table(spark, sf_dir, "documents")), words)
