@@ -18,7 +18,20 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch that a Python worker is given: texts may be long, and a worker holds a batch several times.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES at most from now on; a session that asks for smaller ones keeps its own."""
+    now = int("".join(c for c in spark.conf.get(_BATCH, "0") if c.isdigit()) or 0)
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -74,6 +87,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     when the application ends.
     """
     spark = df.sparkSession
+    bounded(spark)
     path = f"{shared_dir(spark)}/quire/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

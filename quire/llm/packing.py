@@ -28,7 +28,7 @@ from quire.llm.common import released, table
 LENGTH = 2048
 END_ID = 1
 #: Tokens that a pool holds before it is packed.
-POOL_TOKENS = 1 << 21
+POOL_TOKENS = 1 << 20
 #: Cost of a token, and of the square of a piece's tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 #: How a byte-level vocabulary writes bytes: printable ones as they are, the others from U+0100 on.
