@@ -25,7 +25,7 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def bounded(spark: SparkSession) -> None:
     """Arrow batches of BATCH_BYTES at most from now on; a session that asks for smaller ones keeps its own."""
-    now = int("".join(c for c in spark.conf.get(_BATCH, "0") if c.isdigit()) or 0)
+    now = int("".join(c for c in spark.conf.get(_BATCH) if c.isdigit()) or 0)
     if not 0 < now <= BATCH_BYTES:
         spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
 
