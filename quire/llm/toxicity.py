@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples.
 
-Examples and texts are TF-IDF vectors over the words that tell the labels apart. The nearest examples by
-cosine come from an inverted index with the maximum weight of each block of examples, which bounds what a
-block can still add, so that blocks are skipped without losing a neighbour. Votes are weighted by distance
-and calibrated on examples left out.
+Examples and texts are TF-IDF vectors over all words of the examples, each word weighted by how much it tells
+the labels apart (its phi coefficient, and a floor that keeps every word in). The nearest examples by cosine
+come from an inverted index with the maximum weight of each block of examples, which bounds what a block can
+still add, so that blocks are skipped without losing a neighbour. Votes are weighted by distance and
+calibrated on examples left out.
 """
 
 from __future__ import annotations
@@ -16,77 +17,102 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import remainder, stored, table
+from quire.llm.common import raw_text, released, remainder, stored, table
 from quire.llm.decontaminate import plain_words
 
-#: Bounds of the fitted classifier: labelled examples (smallest hash of the key), and words.
-MAX_EXAMPLES, MAX_WORDS = 16_384, 4_096
-#: Least chi-square of a word against the labels, and least examples that have it.
-LEAST_CHI2, LEAST_EXAMPLES = 24.0, 3
+#: Bound of the fitted classifier: labelled examples (smallest hash of the key).
+MAX_EXAMPLES = 4_096
+#: Weight of a word that tells nothing, beside the phi coefficient of others.
+FLOOR = 0.02
 NEIGHBOURS, BLOCK = 16, 128
-#: Blocks that are looked into at a time, best bounds first.
-GROUP = 16
+#: Blocks that are looked into first, those of the best bounds; texts that are scored together.
+GROUP, BATCH = 8, 32
+#: A list that more than this share of the examples are in is stored as a row of all of them.
+WIDE = 1 / 16
 
 
 class Index:
     """Block-max inverted index over unit vectors of examples, with the calibration of its votes."""
 
-    def __init__(self, words: list[bytes], idf: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, keys: list[int]) -> None:
+    def __init__(self, words: list[bytes], weight: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, keys: list[int]) -> None:
+        """weight: of each word, its inverse document frequency times how much it tells."""
         self.words = {w: i for i, w in enumerate(words)}
-        self.idf, self.toxic, self.keys = idf.astype(np.float64), toxic.astype(np.float64), keys
+        self.weight, self.toxic, self.keys = weight.astype(np.float64), toxic.astype(np.float64), keys
         self.n = len(vectors)
         self.blocks = -(-self.n // BLOCK)
-        owner = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
+        owner = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors]).astype(np.int32)
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
         value = np.concatenate([v for _, v in vectors] or [np.zeros(0)])
         order = np.lexsort((owner, term))
-        self.owner, self.value, term = owner[order], value[order], term[order]
-        cell = term * self.blocks + self.owner // BLOCK if self.n else term
-        self.start = np.searchsorted(cell, np.arange(len(words) * self.blocks + 1))
-        self.most = np.zeros(len(words) * self.blocks)
-        np.maximum.at(self.most, cell, self.value)
-        self.most = self.most.reshape(len(words), self.blocks)
+        owner, value, term = owner[order], value[order], term[order]
+        # Rounded up, so that a bound is never too low.
+        self.most = np.zeros((len(words), self.blocks), np.float32)
+        np.maximum.at(self.most, (term, owner // BLOCK), np.nextafter(value.astype(np.float32), np.float32(2)))
+        wide = np.bincount(term, minlength=len(words)) > max(4, WIDE * self.n)
+        self.row = np.where(wide, np.cumsum(wide) - 1, -1)
+        self.rows = np.zeros((int(wide.sum()), self.n))
+        self.rows[self.row[term[wide[term]]], owner[wide[term]]] = value[wide[term]]
+        narrow = ~wide[term]
+        self.owner, self.value = owner[narrow], value[narrow]
+        self.start = np.searchsorted(term[narrow], np.arange(len(words) + 1))
         empty = np.array([not len(t) for t, _ in vectors], bool)
-        #: Share of toxic examples among those without any telling word, and among all.
+        #: Share of toxic examples among all, and among those that have no word.
         self.base = float((self.toxic.sum() + 0.5) / (self.n + 1))
         self.blank = float((self.toxic[empty].sum() + self.base) / (empty.sum() + 1))
         self.slope, self.shift = 1.0, 0.0
-        self._memory: dict = {}
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_memory": {}}
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(counts), np.int64)
-        values = (1 + np.log(np.array([counts[t] for t in terms], float))) * self.idf[terms] if len(terms) else np.zeros(0)
-        return terms, values / max(np.sqrt((values**2).sum()), 1e-12)
+        terms = np.fromiter(counts.keys(), np.int64, len(counts))
+        values = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weight[terms]
+        order = np.argsort(terms)
+        return terms[order], values[order] / max(np.sqrt((values**2).sum()), 1e-12)
 
     def counts(self, text: bytes) -> dict[int, int]:
-        return Counter(self.words[w] for w in plain_words(text) if w in self.words)
+        known = self.words
+        return {known[w]: n for w, n in Counter(plain_words(text)).items() if w in known}
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The examples of the highest cosines over 0 (ties: the earlier), NEIGHBOURS at most, exactly."""
-        bound = values @ self.most[terms]
-        order = np.argsort(-bound, kind="stable")
-        best, at = np.zeros(0), np.zeros(0, np.int64)
-        for first in range(0, len(order), GROUP):
-            part = order[first : first + GROUP]
-            least = best[-1] if len(best) == NEIGHBOURS else 0.0
-            part = part[bound[part] >= max(least - 1e-12, 1e-12)]
-            if not len(part):
-                break
-            # The postings of all terms in these blocks, in one pass.
-            cells = (terms[:, None] * self.blocks + part).ravel()
-            lo = self.start[cells]
-            n = self.start[cells + 1] - lo
-            index = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
-            sums = np.bincount(self.owner[index], np.repeat(np.repeat(values, len(part)), n) * self.value[index])
-            found = np.flatnonzero(sums > 0)
-            found = found[found != skip]
-            best, at = np.concatenate([best, np.round(sums[found], 9)]), np.concatenate([at, found])
-            keep = np.lexsort((at, -best))[:NEIGHBOURS]
-            best, at = best[keep], at[keep]
-        return at, best
+        return self.nearest_all([(terms, values)], [skip])[0]
+
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], skip: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each of a batch. First its GROUP blocks of the best bounds are looked into; then those
+        whose bound reaches what the last neighbour has so far."""
+        m = len(queries)
+        if not m or not self.n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * m
+        who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
+        terms, values = (np.concatenate([q[k] for q in queries]) for k in (0, 1))
+        bound = np.stack([v.astype(np.float32) @ self.most[t] for t, v in queries]) if len(terms) else np.zeros((m, self.blocks), np.float32)
+        row = self.row[terms]
+        heavy = np.zeros((m, len(self.rows)))
+        heavy[who[row >= 0], row[row >= 0]] = values[row >= 0]
+        # The postings of all other words, in one pass.
+        few, mine, own = terms[row < 0], who[row < 0], values[row < 0]
+        lo = self.start[few]
+        n = self.start[few + 1] - lo
+        index = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+        sums = np.bincount(np.repeat(mine * self.n, n) + self.owner[index], np.repeat(own, n) * self.value[index], minlength=m * self.n).reshape(m, self.n)
+        cosine = np.zeros((m, self.n))
+        looked = np.zeros(bound.shape, bool)
+        np.put_along_axis(looked, np.argsort(-bound, axis=1, kind="stable")[:, :GROUP], True, axis=1)
+        todo = looked
+        for _ in range(2):
+            for b in np.flatnonzero(todo.any(axis=0)):
+                at = slice(b * BLOCK, min((b + 1) * BLOCK, self.n))
+                q = np.flatnonzero(todo[:, b])
+                cosine[q, at] = np.round(sums[q, at] + heavy[q] @ self.rows[:, at], 9)
+            if skip is not None:
+                cosine[np.arange(m)[np.array(skip) >= 0], np.array(skip)[np.array(skip) >= 0]] = 0
+            k = min(NEIGHBOURS, self.n)
+            last = np.partition(cosine, self.n - k, axis=1)[:, self.n - k]
+            todo = ~looked & (bound >= np.maximum(last[:, None] - 1e-5, 1e-12))
+        out = []
+        for i in range(m):
+            at = np.flatnonzero(cosine[i] >= max(last[i], 1e-12))
+            at = at[np.lexsort((at, -cosine[i, at]))][:NEIGHBOURS]
+            out.append((at, cosine[i, at]))
+        return out
 
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
         """Toxic share of the neighbours, each weighted by 1 / (0.05 + distance), with one vote of the base rate."""
@@ -94,11 +120,14 @@ class Index:
         return float(((weight * self.toxic[at]).sum() + self.base) / (weight.sum() + 1))
 
     def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]], most: int = 4096) -> None:
-        """Platt scaling of the votes that examples get from the others."""
+        """Platt scaling of the votes that examples get from the others, ``most`` of them at most, evenly picked."""
         x, y = [], []
-        for i in np.unique(np.linspace(0, self.n - 1, min(most, self.n)).astype(int)) if self.n else ():
-            if len(vectors[i][0]):
-                v = self.vote(*self.nearest(*vectors[i], skip=int(i)))
+        chosen = np.unique(np.linspace(0, self.n - 1, min(most, self.n)).astype(int)) if self.n else np.zeros(0, int)
+        chosen = [int(i) for i in chosen if len(vectors[i][0])]
+        for at in range(0, len(chosen), BATCH):
+            part = chosen[at : at + BATCH]
+            for i, found in zip(part, self.nearest_all([vectors[i] for i in part], part), strict=True):
+                v = self.vote(*found)
                 x.append(np.log(v / (1 - v)))
                 y.append(self.toxic[i])
         if len(set(y)) < 2:
@@ -113,18 +142,20 @@ class Index:
         if theta[0] > 0:
             self.slope, self.shift = float(theta[0]), float(theta[1])
 
-    def score(self, text: bytes) -> tuple[float, list[dict]]:
-        counts = self.counts(text)
-        if not counts:
-            return self.blank, []
-        if (key := tuple(sorted(counts.items()))) in self._memory:
-            return self._memory[key]
-        at, cosine = self.nearest(*self.vector(counts))
-        v = self.vote(at, cosine)
-        p = float(1 / (1 + np.exp(-np.clip(self.slope * np.log(v / (1 - v)) + self.shift, -30, 30))))
-        out = p, [{"doc_id": self.keys[i], "similarity": round(float(c), 6), "toxic": int(self.toxic[i])} for i, c in zip(at[:3], cosine[:3], strict=True)]
-        if len(self._memory) < 20_000:
-            self._memory[key] = out
+    def scores(self, texts: list[bytes]) -> list[tuple[float, list[dict]]]:
+        """Score and evidence of each text, in batches."""
+        out: list[tuple[float, list[dict]]] = []
+        for first in range(0, len(texts), BATCH):
+            counts = [self.counts(t) for t in texts[first : first + BATCH]]
+            found = iter(self.nearest_all([self.vector(c) for c in counts if c]))
+            for c in counts:
+                if not c:
+                    out.append((self.blank, []))
+                    continue
+                at, cosine = next(found)
+                v = self.vote(at, cosine)
+                p = float(1 / (1 + np.exp(-np.clip(self.slope * np.log(v / (1 - v)) + self.shift, -30, 30))))
+                out.append((p, [{"doc_id": self.keys[i], "similarity": round(float(x), 6), "toxic": int(self.toxic[i])} for i, x in zip(at[:3], cosine[:3], strict=True)]))
         return out
 
 
@@ -132,8 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     """An index of labelled examples.
 
     ``labels`` are the rows to learn from; null keys and null labels teach nothing, of a repeated key the
-    highest label counts. Words are chosen by chi-square over at most MAX_EXAMPLES examples; how many
-    documents have each chosen word is counted over all of ``docs``. Without examples every text scores 0.5.
+    highest label counts. At most MAX_EXAMPLES examples are taken, by hash; all of their words are in the
+    index, and how many documents have each is counted over all of ``docs``. Without examples every text
+    scores 0.5.
     """
     own = labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where("k is not null and y is not null").groupBy("k").agg(F.max("y").alias("y"))
     own = own.orderBy(F.xxhash64("k"), "k").limit(MAX_EXAMPLES)
@@ -152,14 +184,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         clean, bad = [seen[0][w] for w in words], [seen[1][w] for w in words]
         yield pa.RecordBatch.from_arrays([pa.array([*words, None], pa.binary()), pa.array([*clean, total[0]], pa.int64()), pa.array([*bad, total[1]], pa.int64())], ["w", "clean", "bad"])
 
-    told = examples.mapInArrow(tell, "w binary, clean bigint, bad bigint").groupBy("w").agg(F.sum("clean").alias("c"), F.sum("bad").alias("b"))
-    ends = examples.agg(F.sum((F.col("y") > 0).cast("bigint")), F.count("*")).first()
-    bad, clean = float(ends[0] or 0), float((ends[1] or 0) - (ends[0] or 0))
-    n = F.col("c") + F.col("b")
-    off = F.col("b") * clean - F.col("c") * bad
-    chi2 = off * off * F.lit(bad + clean) / (n * F.lit(max(bad, 1.0) * max(clean, 1.0)) * (F.lit(bad + clean) - n + F.lit(1.0)))
-    chosen = told.where(F.col("w").isNotNull() & (n >= LEAST_EXAMPLES) & (chi2 >= LEAST_CHI2)).orderBy(chi2.desc(), "w").limit(MAX_WORDS).select("w").collect()
-    words = sorted(bytes(r.w) for r in chosen)
+    told = examples.mapInArrow(released(tell), "w binary, clean bigint, bad bigint").groupBy("w").agg(F.sum("clean").alias("c"), F.sum("bad").alias("b"))
+    seen = {None if r.w is None else bytes(r.w): (r.c, r.b) for r in told.collect()}
+    clean, bad = seen.pop(None, (0, 0))
+    words = sorted(seen)
+    c, b = (np.array([seen[w][k] for w in words], float) for k in (0, 1))
+    # How much a word tells: the phi coefficient of having it and being toxic.
+    n, every = c + b, clean + bad
+    phi = np.abs(b * clean - c * bad) / np.sqrt(np.maximum(n * (every - n + 1) * max(bad, 1) * max(clean, 1), 1.0))
     place = {w: i for i, w in enumerate(words)}
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,23 +201,25 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                 df[[place[w] for w in place.keys() & set(plain_words(raw.as_py()))]] += 1
             total += len(batch)
         df[-1] = total
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df)), pa.int64()), pa.array(df, pa.int64())], ["i", "n"])
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], ["i", "n"])
 
     df = np.zeros(len(words) + 1)
-    for r in rows.select("t").mapInArrow(spread, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect():
+    # As many rows as words of the examples.
+    for r in rows.select("t").mapInArrow(released(spread), "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect():
         df[r.i] = r.n
-    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * (FLOOR + phi)
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(Counter(place[w] for w in plain_words(raw.as_py()) if w in place).items()) for raw in batch.column("t")]
+            found = [sorted((place[w], n) for w, n in Counter(plain_words(raw.as_py())).items()) for raw in batch.column("t")]
             yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int64())), pa.array([[c for _, c in f] for f in found], pa.list_(pa.int64()))], ["k", "y", "terms", "tf"])
 
     kinds = dict(examples.dtypes)
-    got = sorted((r.k, r.y, tuple(r.terms), tuple(r.tf)) for r in examples.mapInArrow(held, f"k {kinds['k']}, y {kinds['y']}, terms array<bigint>, tf array<bigint>").collect())
-    index = Index(words, idf, [], np.zeros(0), [])
+    got = sorted((r.k, r.y, tuple(r.terms), tuple(r.tf)) for r in examples.mapInArrow(released(held), f"k {kinds['k']}, y {kinds['y']}, terms array<bigint>, tf array<bigint>").collect())
+    index = Index(words, weight, [], np.zeros(0), [])
     vectors = [index.vector(dict(zip(t, c, strict=True))) for _, _, t, c in got]
-    index = Index(words, idf, vectors, np.array([y > 0 for _, y, _, _ in got], float), [k for k, *_ in got])
+    index = Index(words, weight, vectors, np.array([y > 0 for _, y, _, _ in got], float), [k for k, *_ in got])
     index.calibrate(vectors)
     return index
 
@@ -193,23 +227,23 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 def scored(docs: DataFrame, index: Index, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default) with score, predicted and evidence (nearest examples).
 
-    Whole texts; null counts as empty. A text without any telling word gets the share of toxic examples
-    among such texts. Columns of these names are replaced.
+    Whole texts; null counts as empty. A text without any word of the examples gets the share of toxic ones
+    among empty examples. Columns of these names are replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted", "evidence")]
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [index.score(raw.as_py()) for raw in batch.column(batch.num_columns - 1)]
+            found = index.scores([raw.as_py() or b"" for raw in raw_text(batch, text)])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([p for p, _ in found], pa.float64()), pa.array([int(p >= 0.5) for p, _ in found], pa.int32()), pa.array([e for _, e in found], evidence)],
+                [*batch.columns[: len(keep)], pa.array([p for p, _ in found], pa.float64()), pa.array([int(p >= 0.5) for p, _ in found], pa.int32()), pa.array([e for _, e in found], evidence)],
                 [*keep, "score", "predicted", "evidence"],
             )
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
     schema = ", ".join([*fields, "score double, predicted int, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>"])
-    return docs.select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_raw")).mapInArrow(run, schema)
+    return docs.select(*keep, *([] if text in keep else [text])).mapInArrow(released(run), schema)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
