@@ -74,3 +74,13 @@ def test_equals_sql(spark, name):
     assert sorted(got.columns) == sorted(want.columns)
     norm = lambda df: sorted(map(str, df[sorted(df.columns)].astype(object).where(df.notna(), None).map(lambda v: float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else v).itertuples(index=False, name=None)))
     assert norm(got) == norm(want)
+
+
+def test_whole_licence_texts_are_found_with_changes(spark):
+    words = licenses.WHOLE["mit"].split()
+    changed = " ".join([*LONG.split()[:50], *words[:60], "put", "in", *words[60:100], *words[103:], "after it"])
+    part = " ".join(licenses.WHOLE["zlib"].split()[:30])
+    n = len(licenses.re.findall("[A-Za-z0-9]+", " ".join(LONG.split()[:50])))
+    rows = {r.doc_id: r for r in licenses.scan(frame(spark, [changed, part, licenses.WHOLE["bsd"] + " " + licenses.WHOLE["isc"]])).collect()}
+    assert rows[None].labels == "mit" and max(s.n_words for s in rows[None].spans) > 150 and min(s.first_word for s in rows[None].spans) == n
+    assert rows[1].labels == "" and rows[2].labels == "bsd,isc"
