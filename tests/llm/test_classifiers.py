@@ -1,3 +1,7 @@
+import base64
+import random
+import string
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -104,3 +108,31 @@ def test_every_secret_of_a_word_is_masked(spark, tmp_path):
     assert not [t for t in texts if gh in t or live in t or other in t] and all(secrets.MASK in t for t in texts)
     login = spark.createDataFrame([("postgres://admin:hunter2secret@db",)], "text string")
     assert "hunter2secret" in {r.candidate for r in secrets.candidates(login).collect()}
+
+
+def test_forms_that_no_training_finding_has(spark):
+    rng = random.Random(3)
+    b64 = lambda n: base64.b64encode(rng.randbytes(n)).decode()
+    some = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    real = [
+        "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(b64(48) for _ in range(6)) + "\n-----END RSA PRIVATE KEY-----", f'{{"aws_secret_access_key": "{b64(30)}"}}', f"https://user:{some(16)}@host.example.org/x",
+        f"glpat-{some(20)}", f"rk_live_{some(24)}", f"xoxp-{rng.randint(10**11, 10**12)}-{rng.randbytes(16).hex()}", f"eyJ{some(30)}.eyJ{some(60)}.{some(43)}", f"SG.{some(22)}.{some(43)}", f"AccountKey={b64(64)};EndpointSuffix=core",
+        f"npm_{some(36)}", f"client_secret: {some(40)}", f"export DB_PASSWORD='{some(14)}'", f"AIza{some(35)}", "hf_" + "".join(rng.choice(string.ascii_letters) for _ in range(34)), f"-H 'Authorization: Bearer {some(40)}'",
+    ]
+    wrong = [
+        "the internationalization2024 of words", "see IMG_20240101_123456.jpg", "v1.2.3-beta.4+build.567", "https://en.wiki.example/wiki/Some_Long_Article_Title_2024", "call +49-30-1234567-890", f"md5 {rng.randbytes(16).hex()}", f"etag {rng.randbytes(20).hex()}",
+        "ISBN 978-3-16-148410-0", "2024-01-01T12:34:56.789Z", "data-test-id-1234567890-row", "com.example.project.module1.ClassName2", "0x7fffffffffffffff", "node_modules/@scope/package-name/dist/index2.js", "password: changeme123", "token=YOUR_TOKEN_HERE_123",
+    ]
+    rows = [(i, t, "en") for i, t in enumerate([*real, *wrong])]
+    scanner = secrets.trained(secrets.labelled_findings(spark), secrets.dictionary(spark.read.parquet(f"{SF}/documents.parquet")))
+    found = {r.doc_id for r in secrets.findings(frame(spark, rows), scanner).where("is_secret").collect()}
+    assert len(found & set(range(len(real)))) >= 14 and len(found - set(range(len(real)))) <= 3
+    # The name that a secret is assigned to is none.
+    names = secrets.findings(frame(spark, rows), scanner).where("candidate in ('password', 'client_secret', 'aws_secret_access_key')").collect()
+    assert names and not any(r.is_secret for r in names)
+
+
+def test_dictionary_counts_documents_and_is_bounded(spark):
+    rows = frame(spark, [(1, "many words, many MANY word", "x"), (2, "Words and more of many", "x"), (3, None, "x"), (4, "", "x"), (2, "Words and more of many", "x")])
+    assert secrets.dictionary(rows) == ["many", "more", "word", "words"]
+    assert secrets.dictionary(rows, most=2) == ["many", "words"] and secrets.dictionary(rows.limit(0)) == []
