@@ -9,7 +9,6 @@ calibrated on examples left out.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import raw_text, released, remainder, stored, table
-from quire.llm.decontaminate import plain_words
+from quire.llm.common import raw_text, released, remainder, stored, table, word_codes
+from quire.llm.decontaminate import _PLAIN
 
 #: Bound of the fitted classifier: labelled examples (smallest hash of the key).
 MAX_EXAMPLES = 4_096
@@ -31,12 +30,35 @@ GROUP, BATCH = 8, 32
 WIDE = 1 / 16
 
 
+def codes_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of a text's different words in order, and how often each stands."""
+    s = np.sort(word_codes(text.translate(_PLAIN)))
+    if not len(s):
+        return s, np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    return s[first], np.diff(np.append(first, len(s)))
+
+
+def known_counts(text: bytes, codes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a text's words among ``codes`` (in order), sorted, and their counts; other words are passed over."""
+    own, n = codes_of(text)
+    if not len(own) or not len(codes):
+        return np.zeros(0, np.int64), np.zeros(0)
+    at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+    hit = codes[at] == own
+    terms, n = place[at[hit]], n[hit]
+    order = np.argsort(terms)
+    return terms[order], n[order].astype(float)
+
+
 class Index:
     """Block-max inverted index over unit vectors of examples, with the calibration of its votes."""
 
-    def __init__(self, words: list[bytes], weight: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, keys: list[int]) -> None:
-        """weight: of each word, its inverse document frequency times how much it tells."""
-        self.words = {w: i for i, w in enumerate(words)}
+    def __init__(self, words: list[bytes] | np.ndarray, weight: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, keys: list[int]) -> None:
+        """words: as they are, or their codes. weight: of each, its inverse document frequency times how much it tells."""
+        codes = words if isinstance(words, np.ndarray) else np.concatenate([*[word_codes(w) for w in words], np.zeros(0, np.uint64)])
+        self.place = np.argsort(codes)
+        self.codes = codes[self.place]
         self.weight, self.toxic, self.keys = weight.astype(np.float64), toxic.astype(np.float64), keys
         self.n = len(vectors)
         self.blocks = -(-self.n // BLOCK)
@@ -62,14 +84,16 @@ class Index:
         self.slope, self.shift = 1.0, 0.0
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.fromiter(counts.keys(), np.int64, len(counts))
-        values = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weight[terms]
-        order = np.argsort(terms)
-        return terms[order], values[order] / max(np.sqrt((values**2).sum()), 1e-12)
+        terms = np.array(sorted(counts), np.int64)
+        return self.weighted(terms, np.array([counts[t] for t in terms.tolist()], float))
+
+    def weighted(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vector of a text's words, by their places and counts."""
+        values = (1 + np.log(counts)) * self.weight[terms]
+        return terms, values / max(np.sqrt((values**2).sum()), 1e-12)
 
-    def counts(self, text: bytes) -> dict[int, int]:
-        known = self.words
-        return {known[w]: n for w, n in Counter(plain_words(text)).items() if w in known}
+    def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return known_counts(text, self.codes, self.place)
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The examples of the highest cosines over 0 (ties: the earlier), NEIGHBOURS at most, exactly."""
@@ -147,9 +171,9 @@ class Index:
         out: list[tuple[float, list[dict]]] = []
         for first in range(0, len(texts), BATCH):
             counts = [self.counts(t) for t in texts[first : first + BATCH]]
-            found = iter(self.nearest_all([self.vector(c) for c in counts if c]))
+            found = iter(self.nearest_all([self.weighted(*c) for c in counts if len(c[0])]))
             for c in counts:
-                if not c:
+                if not len(c[0]):
                     out.append((self.blank, []))
                     continue
                 at, cosine = next(found)
@@ -164,8 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     ``labels`` are the rows to learn from; null keys and null labels teach nothing, of a repeated key the
     highest label counts. At most MAX_EXAMPLES examples are taken, by hash; all of their words are in the
-    index, and how many documents have each is counted over all of ``docs``. Without examples every text
-    scores 0.5.
+    index (by 64-bit codes), and how many documents have each is counted over all of ``docs``. Without examples
+    every text scores 0.5.
     """
     own = labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where("k is not null and y is not null").groupBy("k").agg(F.max("y").alias("y"))
     own = own.orderBy(F.xxhash64("k"), "k").limit(MAX_EXAMPLES)
@@ -174,52 +198,57 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     examples = stored(rows.join(F.broadcast(own), "k").groupBy("t").agg(F.min("k").alias("k"), F.max("y").alias("y")).select("k", "t", "y"), "examples")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        total = [0, 0]
+        seen: tuple[list, list] = ([], [])
         for batch in batches:
             for raw, y in zip(batch.column("t"), batch.column("y").to_pylist(), strict=True):
-                seen[y > 0].update(set(plain_words(raw.as_py())))
-                total[y > 0] += 1
-        words = [*(seen[0].keys() | seen[1].keys())]
-        clean, bad = [seen[0][w] for w in words], [seen[1][w] for w in words]
-        yield pa.RecordBatch.from_arrays([pa.array([*words, None], pa.binary()), pa.array([*clean, total[0]], pa.int64()), pa.array([*bad, total[1]], pa.int64())], ["w", "clean", "bad"])
-
-    told = examples.mapInArrow(released(tell), "w binary, clean bigint, bad bigint").groupBy("w").agg(F.sum("clean").alias("c"), F.sum("bad").alias("b"))
-    seen = {None if r.w is None else bytes(r.w): (r.c, r.b) for r in told.collect()}
-    clean, bad = seen.pop(None, (0, 0))
-    words = sorted(seen)
-    c, b = (np.array([seen[w][k] for w in words], float) for k in (0, 1))
+                seen[y > 0].append(codes_of(raw.as_py())[0])
+        every = np.unique(np.concatenate([*seen[0], *seen[1], np.zeros(0, np.uint64)]))
+        clean, bad = (np.bincount(np.searchsorted(every, np.concatenate([*x, every])), minlength=len(every)) - 1 for x in seen)
+        end = pa.nulls(1, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(every.view(np.int64)), end]), pa.array(np.append(clean, len(seen[0])).astype(np.int64)), pa.array(np.append(bad, len(seen[1])).astype(np.int64))],
+            ["w", "clean", "bad"],
+        )
+
+    told = examples.mapInArrow(released(tell), "w bigint, clean bigint, bad bigint").groupBy("w").agg(F.sum("clean").alias("c"), F.sum("bad").alias("b")).toArrow()
+    ends = told.filter(told.column("w").is_null()).to_pylist()
+    clean, bad = (float(sum(r[k] for r in ends)) for k in ("c", "b"))
+    told = told.filter(told.column("w").is_valid())
+    codes = told.column("w").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    codes, c, b = codes[order], told.column("c").to_numpy()[order].astype(float), told.column("b").to_numpy()[order].astype(float)
     # How much a word tells: the phi coefficient of having it and being toxic.
     n, every = c + b, clean + bad
     phi = np.abs(b * clean - c * bad) / np.sqrt(np.maximum(n * (every - n + 1) * max(bad, 1) * max(clean, 1), 1.0))
-    place = {w: i for i, w in enumerate(words)}
+    place = np.arange(len(codes))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, total = np.zeros(len(place) + 1, np.int64), 0
+        df, total = np.zeros(len(codes) + 1, np.int64), 0
         for batch in batches:
             for raw in batch.column("t"):
-                df[[place[w] for w in place.keys() & set(plain_words(raw.as_py()))]] += 1
+                df[known_counts(raw.as_py(), codes, place)[0]] += 1
             total += len(batch)
         df[-1] = total
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], ["i", "n"])
 
-    df = np.zeros(len(words) + 1)
     # As many rows as words of the examples.
-    for r in rows.select("t").mapInArrow(released(spread), "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect():
-        df[r.i] = r.n
+    counted = rows.select("t").mapInArrow(released(spread), "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(codes) + 1)
+    df[counted.column("i").to_numpy()] = counted.column("n").to_numpy()
     weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * (FLOOR + phi)
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted((place[w], n) for w, n in Counter(plain_words(raw.as_py())).items()) for raw in batch.column("t")]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int64())), pa.array([[c for _, c in f] for f in found], pa.list_(pa.int64()))], ["k", "y", "terms", "tf"])
+            found = [known_counts(raw.as_py(), codes, place) for raw in batch.column("t")]
+            lists = [pa.array([f[k] for f in found], pa.list_(kind)) for k, kind in ((0, pa.int64()), (1, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), *lists], ["k", "y", "terms", "tf"])
 
     kinds = dict(examples.dtypes)
-    got = sorted((r.k, r.y, tuple(r.terms), tuple(r.tf)) for r in examples.mapInArrow(released(held), f"k {kinds['k']}, y {kinds['y']}, terms array<bigint>, tf array<bigint>").collect())
-    index = Index(words, weight, [], np.zeros(0), [])
-    vectors = [index.vector(dict(zip(t, c, strict=True))) for _, _, t, c in got]
-    index = Index(words, weight, vectors, np.array([y > 0 for _, y, _, _ in got], float), [k for k, *_ in got])
+    got = examples.mapInArrow(released(held), f"k {kinds['k']}, y {kinds['y']}, terms array<bigint>, tf array<double>").toArrow().combine_chunks().sort_by("k")
+    index = Index(codes, weight, [], np.zeros(0), [])
+    vectors = [index.weighted(t.values.to_numpy(), n.values.to_numpy()) for t, n in zip(got.column("terms"), got.column("tf"), strict=True)]
+    index = Index(codes, weight, vectors, np.array([y > 0 for y in got.column("y").to_pylist()], float), got.column("k").to_pylist())
     index.calibrate(vectors)
     return index
 
