@@ -29,7 +29,7 @@ FREQUENT = 100_000
 #: Tokens with vectors of their own (the end among them), classes of the others by their last three bytes, and the
 #: length of vectors.
 KNOWN, ENDINGS, SIZE = 1_023, 512, 24
-NOISE, BATCH, RATE = 128, 256, 0.08
+NOISE, BATCH, RATE = 128, 512, 0.08
 #: Positions that are mixed before a task trains on them.
 MIXED = 200_000
 
@@ -90,6 +90,25 @@ def counted(texts: DataFrame) -> tuple[DataFrame, Counts]:
     return vocabulary, Counts(total[0] or 0, total[1], frequent, ids, n, words)
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _summed(places: list[np.ndarray], rows: list[np.ndarray], size: int) -> np.ndarray:
+    """Rows added up by their places."""
+    at, row = np.concatenate(places), np.concatenate(rows)
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    out = np.zeros((size, row.shape[1]), np.float32)
+    out[at[first]] = np.add.reduceat(row[order], first, axis=0)
+    return out
+
+
 class Bilinear:
     """Vectors of targets R and contexts Q, a transform for each of the two places, biases."""
 
@@ -105,29 +124,31 @@ class Bilinear:
         self.C1 = np.eye(SIZE, dtype=np.float32)
         self.C2 = np.eye(SIZE, dtype=np.float32) * np.float32(0.5)
         self.b = np.log(share).astype(np.float32)
+        self.log_noise = self.b.copy()
         self.squares = {n: np.full_like(getattr(self, n), 1e-2) for n in self.NAMES}
 
     def step(self, one: np.ndarray, two: np.ndarray, goal: np.ndarray, noise: np.ndarray) -> None:
         """A batch of contexts (the word before, the one before that) with their targets, against shared noise."""
         q1, q2 = self.Q[one], self.Q[two]
         r = q1 @ self.C1 + q2 @ self.C2
-        known = np.log(len(noise) * self.noise)
-        sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        up = (1 - sig((r * self.R[goal]).sum(1) + self.b[goal] - known[goal])).astype(np.float32)
-        down = -sig(r @ self.R[noise].T + self.b[noise] - known[noise]).astype(np.float32)
-        dr = up[:, None] * self.R[goal] + down @ self.R[noise]
-        grads = {n: np.zeros_like(getattr(self, n)) for n in ("R", "Q", "b")}
-        np.add.at(grads["R"], goal, up[:, None] * r)
-        np.add.at(grads["R"], noise, down.T @ r)
-        np.add.at(grads["b"], goal, up)
-        np.add.at(grads["b"], noise, down.sum(0))
-        np.add.at(grads["Q"], one, dr @ self.C1.T)
-        np.add.at(grads["Q"], two, dr @ self.C2.T)
-        grads |= {"C1": q1.T @ dr, "C2": q2.T @ dr}
-        for n, g in grads.items():
-            g /= len(goal)
-            self.squares[n] += g * g
-            setattr(self, n, getattr(self, n) + np.float32(RATE) * g / np.sqrt(self.squares[n]))
+        known = self.log_noise + np.float32(np.log(len(noise)))
+        rg, rn = self.R[goal], self.R[noise]
+        up = 1 - _sigmoid((r * rg).sum(1) + (self.b - known)[goal])
+        down = -_sigmoid(r @ rn.T + (self.b - known)[noise])
+        dr = up[:, None] * rg + down @ rn
+        n = np.float32(len(goal))
+        grads = {
+            "R": _summed([goal, noise], [up[:, None] * r, down.T @ r], len(self.R)),
+            "Q": _summed([one, two], [dr @ self.C1.T, dr @ self.C2.T], len(self.Q)),
+            "C1": q1.T @ dr,
+            "C2": q2.T @ dr,
+            "b": (np.bincount(goal, up, len(self.b)) + np.bincount(noise, down.sum(0), len(self.b))).astype(np.float32),
+        }
+        for name, g in grads.items():
+            g /= n
+            squares, own = self.squares[name], getattr(self, name)
+            squares += g * g
+            own += np.float32(RATE) * g / np.sqrt(squares)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
