@@ -95,6 +95,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns of these names under others, and the function that gives them their names back."""
+    other = {n: f"_own_{n}" for n in names if n in df.columns}
+    return df.withColumnsRenamed(other), lambda out: out.drop(*other).withColumnsRenamed({v: k for k, v in other.items()})
+
+
 def once(df: DataFrame, *columns: Column) -> DataFrame:
     """``df`` with further columns, each evaluated once a row.
 

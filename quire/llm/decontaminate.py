@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import distinct, raw_text, released, rolled, stored, table, word_codes
+from quire.llm.common import distinct, raw_text, released, rolled, set_aside, stored, table, word_codes
 
 SHINGLE, LEAST = 5, 0.8
 #: Bits that may differ. A window of similarity LEAST differs in 13 of 64 on average, in more than these once in
@@ -223,9 +223,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold no benchmark item stay."""
+    """Pipeline stage: documents that hold no benchmark item stay.
+
+    Null and empty texts hold none; repeated rows share their fate; with an empty benchmark all stay. A column
+    matches of ``docs`` is kept as it is.
+    """
     columns = docs.columns
-    return annotated(docs, table(spark, sf_dir, "benchmark")).where(F.size("matches") == 0).select(*columns)
+    renamed, back = set_aside(docs, "matches", "_found")
+    return back(annotated(renamed, table(spark, sf_dir, "benchmark")).where(F.size("matches") == 0)).select(*columns)
 
 
 QUERIES = {"op1_decontamination": op1_decontamination}

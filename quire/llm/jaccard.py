@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import distinct, give_back, most_frequent, released, rolled, stored, table, word_codes
+from quire.llm.common import distinct, give_back, most_frequent, released, rolled, set_aside, stored, table, word_codes
 from quire.llm.components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -472,8 +472,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = stored(joined(docs).where("component is not null").select("row", "doc_id", "component"), "joined")
     stay = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("m")).select("component", F.col("m.row").alias("stays"))
     gone = stored(found.join(stay, "component").where("row <> stays").select("row"), "gone")
+    gone = gone.withColumnRenamed("row", "_row")
     few = gone.count() <= BROADCAST_ROWS
-    return docs.select("*", F.monotonically_increasing_id().alias("_row")).join(F.broadcast(gone.withColumnRenamed("row", "_row")) if few else gone.withColumnRenamed("row", "_row"), "_row", "left_anti").select(*columns)
+    renamed, back = set_aside(docs, "_row")
+    kept = renamed.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(gone) if few else gone, "_row", "left_anti")
+    return back(kept.drop("_row")).select(*columns)
 
 
 _ORACLE = """

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import raw_text, released, remainder, table
+from quire.llm.common import raw_text, released, remainder, set_aside, table
 
 WINDOW = 256
 #: Filters of each width.
@@ -188,16 +188,23 @@ def identify(docs: DataFrame, net: ByteNet, text: str = "text", keep: list[str]
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a network that learned from those with another remainder than 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", remainder("doc_id", 4) == 2)
     net = train(docs.where("not held_out"))
     return identify(docs.select("doc_id", "held_out", "text"), net, keep=["doc_id", "held_out"])
 
 
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
-    """Pipeline stage: rows whose language is found with a score of ``least`` or more stay."""
+    """Pipeline stage: rows whose language is found with a score of ``least`` or more stay.
+
+    Null texts and texts without a letter have no language and go; repeated rows share their fate. Where no row
+    has both a text and a language nothing is learned, and nothing stays. Columns lang_pred and score of
+    ``docs`` are kept as they are.
+    """
     columns = docs.columns
     net = train(docs.where(remainder("doc_id", 4) != 2))
-    return identify(docs, net).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*columns)
+    renamed, back = set_aside(docs, "lang_pred", "score")
+    return back(identify(renamed, net).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))).select(*columns)
 
 
 QUERIES = {"op6_language_id": op6_language_id}

@@ -175,6 +175,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, notices and texts in all documents."""
     return scan(table(spark, sf_dir, "documents")).drop("spans")
 
 

@@ -306,6 +306,7 @@ def scored(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from those with another remainder than 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", remainder("doc_id", 10) == 0)
     return scored(docs, docs.where("not held_out"), keep=("held_out",))
 

@@ -190,6 +190,7 @@ def packed_digest(docs: DataFrame) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of LENGTH tokens."""
     return packed_digest(table(spark, sf_dir, "documents"))
 
 

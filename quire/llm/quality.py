@@ -96,6 +96,7 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all documents."""
     out = judged(table(spark, sf_dir, "documents"))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host", "host_docs"]
     return out.select(*columns, F.round("host_rate", 6).alias("host_rate"))

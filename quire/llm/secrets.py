@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import SPACE, most_frequent, once, stored, table
+from quire.llm.common import SPACE, most_frequent, once, set_aside, stored, table
 
 #: Names that secrets are assigned to, neighbours that speak against one, parts of paths that
 #: do so, and frequent letter groups and words that make up names and prose.
@@ -216,9 +216,11 @@ MASK = "[SECRET]"
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every row stays; its secrets are masked wherever they stand, and n_chars follows.
 
-    ``docs`` is a stored table, so its rows are numbered alike each time it is read.
+    Null and empty texts have none; repeated rows are masked each. ``docs`` is a stored table, so its rows are
+    numbered alike each time it is read.
     """
     columns = docs.columns
+    docs, back = set_aside(docs, "_row", "_masks")
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     found = findings(numbered, trained(labelled_findings(spark), dictionary(docs)), keep=("_row",)).where("is_secret")
     # Longer masks first: a shorter one may be part of them.
@@ -231,7 +233,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = out.withColumn("text", text)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.col("_masks").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    return back(out.drop("_row", "_masks")).select(*columns)
 
 
 QUERIES = {"op2_secret_scan": op2_secret_scan}

@@ -276,6 +276,7 @@ def scored(docs: DataFrame, index: Index, text: str = "text", keep: list[str] |
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels with another remainder than 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", remainder("doc_id", 5) == 0)
     index = fit(docs, table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0))
     return scored(docs, index, keep=["doc_id", "held_out"])
