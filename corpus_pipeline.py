@@ -18,7 +18,7 @@ from quire.llm.secrets import redacted
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last stage: pieces of sequences, as the packing query returns them."""
+    """Last stage: pieces of sequences, as the packing query returns them. Null texts are their end id alone."""
     return packed_digest(docs)
 
 
@@ -35,6 +35,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. An empty table gives no pieces; further columns travel along to the last stage."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
