@@ -10,6 +10,7 @@ cut into tasks. Scores use exact normalisers, made by batched matrix products fo
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ FREQUENT = 100_000
 #: Tokens with vectors of their own (the end among them), classes of the others by their last three bytes, and the
 #: length of vectors.
 KNOWN, ENDINGS, SIZE = 1_023, 512, 24
-NOISE, BATCH, RATE = 128, 512, 0.08
+NOISE, BATCH, RATE = 128, 256, 0.08
 #: Positions that are mixed before a task trains on them.
 MIXED = 200_000
 
@@ -91,22 +92,20 @@ def counted(texts: DataFrame) -> tuple[DataFrame, Counts]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.clip(x, -30, 30, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x *= np.float32(0.5)
+    x += np.float32(0.5)
+    return x
 
 
-def _summed(places: list[np.ndarray], rows: list[np.ndarray], size: int) -> np.ndarray:
-    """Rows added up by their places."""
+def _summed(places: list[np.ndarray], rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different places, and the sums of their rows."""
     at, row = np.concatenate(places), np.concatenate(rows)
     order = np.argsort(at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    out = np.zeros((size, row.shape[1]), np.float32)
-    out[at[first]] = np.add.reduceat(row[order], first, axis=0)
-    return out
+    return at[first], np.add.reduceat(row[order], first, axis=0)
 
 
 class Bilinear:
@@ -137,18 +136,18 @@ class Bilinear:
         down = -_sigmoid(r @ rn.T + (self.b - known)[noise])
         dr = up[:, None] * rg + down @ rn
         n = np.float32(len(goal))
-        grads = {
-            "R": _summed([goal, noise], [up[:, None] * r, down.T @ r], len(self.R)),
-            "Q": _summed([one, two], [dr @ self.C1.T, dr @ self.C2.T], len(self.Q)),
-            "C1": q1.T @ dr,
-            "C2": q2.T @ dr,
-            "b": (np.bincount(goal, up, len(self.b)) + np.bincount(noise, down.sum(0), len(self.b))).astype(np.float32),
-        }
-        for name, g in grads.items():
-            g /= n
-            squares, own = self.squares[name], getattr(self, name)
-            squares += g * g
-            own += np.float32(RATE) * g / np.sqrt(squares)
+        self._moved("R", *_summed([goal, noise], [up[:, None] * r, down.T @ r]), n)
+        self._moved("Q", *_summed([one, two], [dr @ self.C1.T, dr @ self.C2.T]), n)
+        self._moved("C1", slice(None), q1.T @ dr, n)
+        self._moved("C2", slice(None), q2.T @ dr, n)
+        self._moved("b", slice(None), (np.bincount(goal, up, len(self.b)) + np.bincount(noise, down.sum(0), len(self.b))).astype(np.float32), n)
+
+    def _moved(self, name: str, at: np.ndarray | slice, g: np.ndarray, n: np.float32) -> None:
+        """One step along the gradient. Rows that a batch doesn't touch have none, and stay as they are."""
+        g = g / n
+        squares = self.squares[name][at] + g * g
+        self.squares[name][at] = squares
+        getattr(self, name)[at] += np.float32(RATE) * g / np.sqrt(squares)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -172,15 +171,30 @@ class Bilinear:
         return t1, t2, norm
 
 
-def classed(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
-    known = len(ids)
-    return np.array([known + zlib.crc32(w[-3:]) % ENDINGS if (i := ids.get(w)) is None else i for w in words], np.int64)
+class Lookup:
+    """Places of the frequent tokens, and their classes."""
+
+    def __init__(self, counts: Counts) -> None:
+        self.place = {w: i for i, w in enumerate(counts.frequent)}
+        self.ids = counts.ids
+        known = len(self.ids)
+        # The last one stands for what is not there.
+        self.classes = np.array([*[self.ids[w] if w in self.ids else known + ending(w) for w in counts.frequent], 0], np.int64)
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each token its place (-1: not frequent) and class, and where the tokens are that aren't frequent."""
+        at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), np.int64, len(words))
+        classes = self.classes[at]
+        rare = np.flatnonzero(at < 0)
+        known, ids = len(self.ids), self.ids
+        classes[rare] = [known + zlib.crc32(w[-3:]) % ENDINGS if (i := ids.get(w)) is None else i for w in map(words.__getitem__, rare.tolist())]
+        return at, classes, rare
 
 
 def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]]:
     """The averaged model and the ids of its tokens. Each task returns its parameters once, in small blocks."""
     ids, sizes = counts.ids, counts.class_sizes()
-    start = Bilinear(sizes)
+    start, look = Bilinear(sizes), Lookup(counts)
     size, width = len(start.flat()), 512
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +211,7 @@ def fitted(texts: DataFrame, counts: Counts) -> tuple[Bilinear, dict[bytes, int]
 
         for batch in batches:
             for raw in batch.column(0):
-                a = np.concatenate([[0, 0], classed(ascii_words(raw.as_py() or b""), ids), [0]])
+                a = np.concatenate([[0, 0], look(ascii_words(raw.as_py() or b""))[1], [0]])
                 held.append(np.stack([a[1:-1], a[:-2], a[2:]]))
                 n += len(a) - 2
                 waiting += len(a) - 2
@@ -245,7 +259,8 @@ def scored(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "
     all_log = float(np.log10(counts.total + 0.1 * (counts.distinct + 1)))
     # Inside a class of endings; its unseen words share one more place.
     class_log = np.concatenate([np.zeros(own_classes), np.log10(counts.ending_tokens + 0.1 * (counts.ending_words + 1))])
-    part = {w: float(np.log10(c + 0.1)) for w, c in frequent.items()}
+    look = Lookup(counts)
+    logs = np.array([*[np.log10(c + 0.1) for c in frequent.values()], 0.0])
     columns = [key, *keep]
     kinds = dict(docs.select(*columns).dtypes)
 
@@ -256,19 +271,18 @@ def scored(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "
             rare_rows, rare_words, rare_n = [], [], []
             for row, raw in zip(batch.column(0).to_pylist(), batch.column(batch.num_columns - 1), strict=True):
                 words = [*ascii_words(raw.as_py() or b""), END]
-                a = np.concatenate([[0, 0], classed(words, ids)])
+                place, classes, where = look(words)
+                a = np.concatenate([[0, 0], classes])
                 one, two, goal = a[1:-1], a[:-2], a[2:]
                 model_log = float((t1[one, goal].astype(np.float64) + t2[two, goal] - norm[one, two]).sum() / np.log(10))
-                own = [part.get(w) for w in words]
-                found = [x for x in own if x is not None]
-                rare = Counter(w for w, x in zip(words, own, strict=True) if x is None and w != END)
-                lost_end = own[-1] is None
+                own = logs[place]
+                rare = Counter(w for w in map(words.__getitem__, where.tolist()) if w != END)
                 rows.append(row)
                 n.append(len(words))
-                known_n.append(len(found))
+                known_n.append(len(words) - len(where))
                 # Tokens of the joined kind bring the logarithm of their counts later, to both scores.
-                base.append(sum(found) + lost_end * unseen_end - len(words) * all_log)
-                lm.append(model_log + sum(x for x, g in zip(own, goal.tolist(), strict=True) if g >= own_classes and x is not None) - float(class_log[goal].sum()))
+                base.append(float(own.sum()) + (place[-1] < 0) * unseen_end - len(words) * all_log)
+                lm.append(model_log + float(own[goal >= own_classes].sum()) - float(class_log[goal].sum()))
                 rare_rows += [row] * len(rare)
                 rare_words += rare.keys()
                 rare_n += rare.values()
