@@ -14,13 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import raw_text, released, remainder, set_aside, table
+from quire.llm.common import raw_text, released, remainder, set_aside, stored, table
 
 WINDOW = 256
 #: Filters of each width.
 FILTERS = {2: 8, 3: 16, 4: 16}
 EMBED = 8
 UNKNOWN = "und"
+#: Chosen keys that may be broadcast; languages that a network may have, which bounds what reaches the driver.
+BROADCAST_ROWS, MOST_LANGS = 200_000, 1_000
 
 
 class ByteNet:
@@ -119,7 +121,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """A network for the languages of ``labelled``.
 
     Bounds: at most ``per_lang`` texts of a language (the smallest hash of the key in each of ``per_lang``
-    hash buckets, found by a map-side combined aggregate) with ``per_text`` windows each reach the driver.
+    hash buckets, found by a map-side combined aggregate) with ``per_text`` windows each reach the driver; more
+    than MOST_LANGS languages raise a ValueError.
     Rows with null text or null language teach nothing; without any row the network knows no language.
     """
     rows = labelled.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null and k is not null")
@@ -136,7 +139,11 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
                     out.append(found[i].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], ["l", "w"])
 
-    picked = rows.join(F.broadcast(chosen), ["k", "l"], "left_semi").select("l", F.col("t").cast("binary").alias("t"))
+    chosen = stored(chosen, "language-sample")
+    few = chosen.count() <= BROADCAST_ROWS
+    if chosen.select("l").distinct().count() > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    picked = rows.join(F.broadcast(chosen) if few else chosen, ["k", "l"], "left_semi").select("l", F.col("t").cast("binary").alias("t"))
     got = sorted((r.l, bytes(r.w)) for r in picked.mapInArrow(released(cut), "l string, w binary").collect())
     langs = sorted({name for name, _ in got})
     net = ByteNet(langs)

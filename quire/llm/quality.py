@@ -29,8 +29,8 @@ RULES = {
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (null text: zeros).
 
-    Repeated 5-word windows are looked for by hash first; a text with two equal hashes has its windows
-    compared as strings, so the count is exact.
+    Repeated 5-word windows are looked for by hash first; those of equal hashes are compared as strings, so the
+    count is exact.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<bigint>")
@@ -45,20 +45,21 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         F.when(n >= 5, F.transform(F.sequence(F.lit(1), n - 4), lambda i: F.xxhash64(F.slice("_words", i, 5)))).otherwise(none).alias("_hash"),
     )
-    window = lambda i: F.struct(F.array_join(F.slice("_words", i, 5), " ").alias("w"), i.alias("i"))
-    out = once(
-        out,
-        F.when(F.size(F.array_distinct("_hash")) < F.size("_hash"), F.sort_array(F.transform(F.sequence(F.lit(1), F.size("_hash")), window)))
-        .otherwise(F.array().cast("array<struct<w:string,i:int>>"))
-        .alias("_sorted"),
-    )
+    # Places whose hash stands twice; only their windows are written out and compared.
+    placed = F.sort_array(F.transform("_hash", lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i"))))
+    out = once(out, F.when(F.size(F.array_distinct("_hash")) < F.size("_hash"), placed).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")).alias("_placed"))
+    hash_at = lambda k: F.get("_placed", k)["h"]
+    again = lambda k: (hash_at(k).eqNullSafe(hash_at(k - 1)) & (k > 0)) | hash_at(k).eqNullSafe(hash_at(k + 1))
+    twice = F.when(F.size("_placed") > 0, F.filter(F.sequence(F.lit(0), F.size("_placed") - 1), again)).otherwise(F.array().cast("array<int>"))
+    window = lambda k: F.struct(F.array_join(F.slice("_words", F.get("_placed", k)["i"], 5), " ").alias("w"), F.get("_placed", k)["i"].alias("i"))
+    out = once(out, F.sort_array(F.transform(twice, window)).alias("_sorted"))
     at = lambda i: F.get("_sorted", i)
     same = lambda i: (at(i)["w"].eqNullSafe(at(i - 1)["w"]) & (i > 0)) | at(i)["w"].eqNullSafe(at(i + 1)["w"])
     found = F.filter(F.sequence(F.lit(0), F.size("_sorted") - 1), same)
     out = once(out, F.when(F.size("_sorted") > 0, F.sort_array(F.transform(found, lambda i: at(i)["i"]))).otherwise(F.array().cast("array<int>")).alias("_at"))
     gap = lambda total, k: total + F.least(F.lit(5), F.get("_at", k) - F.get("_at", k - 1))
     covered = F.when(F.size("_at") == 0, 0).when(F.size("_at") == 1, 5).otherwise(F.aggregate(F.sequence(F.lit(1), F.size("_at") - 1), F.lit(5), gap))
-    return out.withColumn("n_repeat_words", covered.cast("bigint")).drop("_words", "_lines", "_hash", "_sorted", "_at")
+    return out.withColumn("n_repeat_words", covered.cast("bigint")).drop("_words", "_lines", "_hash", "_placed", "_sorted", "_at")
 
 
 def prior(rates: DataFrame) -> dict[str, tuple[float, float]]:
