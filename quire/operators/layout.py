@@ -85,6 +85,10 @@ class _Blocks(HTMLParser):
         self._write(H.escape(data, quote=False))
 
 
+# Width of a margin note, how near it is to the page's left and right edges, and letters of a banner in capitals.
+NOTE_WIDTH, NOTE_LEFT, NOTE_RIGHT, BANNER_LETTERS = 110, 100, 60, 8
+
+
 def _parsed(raw: str | None) -> list[dict]:
     if not raw:
         return []
@@ -113,7 +117,7 @@ def boxed(c: Column) -> Column:
 def without_margin_notes(c: Column) -> Column:
     """Boxed blocks but narrow texts at the page's outer margins."""
     right = F.coalesce(F.array_max(F.transform(c, lambda b: b["box"]["x2"])), F.lit(0))
-    note = lambda b: F.coalesce((b["label"] == "Text") & (b["box"]["x2"] - b["box"]["x1"] < 110) & ((b["box"]["x1"] < 100) | (b["box"]["x2"] > right - 60)), F.lit(False))
+    note = lambda b: F.coalesce((b["label"] == "Text") & (b["box"]["x2"] - b["box"]["x1"] < NOTE_WIDTH) & ((b["box"]["x1"] < NOTE_LEFT) | (b["box"]["x2"] > right - NOTE_RIGHT)), F.lit(False))
     return F.filter(c, lambda b: ~note(b))
 
 
@@ -151,7 +155,7 @@ def capital_banner(c: Column) -> Column:
     heads = F.flatten(F.transform(F.filter(c, lambda b: b["label"] == "Section-Header"), lambda b: F.transform(F.filter(b["heads"], lambda h: h["level"] <= 2), lambda h: h["text"])))
     shown = F.transform(heads, lambda t: X.unspaced(X.trimmed(F.regexp_replace(t, r"\s+", " "))))
     letters, upper = (lambda t: F.length(F.regexp_replace(t, r"[^\p{L}]", ""))), (lambda t: F.length(F.regexp_replace(t, r"[^\p{Lu}]", "")))
-    return F.get(F.filter(shown, lambda t: (letters(t) >= 8) & (upper(t) * 5 >= letters(t) * 4)), F.lit(0))
+    return F.get(F.filter(shown, lambda t: (letters(t) >= BANNER_LETTERS) & (upper(t) * 5 >= letters(t) * 4)), F.lit(0))
 
 
 def outline(c: Column, page_no: Column, image_page: Column) -> Column:
