@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -47,3 +48,10 @@ def test_longest_first_to_the_cheapest_sequence():
     out = list(P.balance([(5, 0, 0), (9, 1, 0), (6, 2, 0)], length=8))
     assert out[0][:3] == (1, 0, 8) and sum(n for _, _, n, _, _ in out) == 20
     assert P.capacities(20, 8) == [8, 8, 4]
+
+
+def test_ascii_texts_are_cut_alike_by_both_patterns():
+    words, rng = P.word_tokens(public_tokenizers.path("byte_bpe_50k.json")), random.Random(1)
+    signs = [chr(i) for i in range(128)] + [" "] * 20 + ["'"] * 10 + list("stremvdll ") * 3
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(20_000)]
+    assert all(words.find(t) == words.find_ascii(t) for t in texts)
