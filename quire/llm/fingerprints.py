@@ -87,14 +87,14 @@ def _stretches(docs: DataFrame) -> list[int]:
     return sorted({least, *found})
 
 
-def with_next(docs: DataFrame, *fields: str) -> DataFrame:
+def with_next(docs: DataFrame, *fields: str, ids: DataFrame | None = None) -> DataFrame:
     """Rows (id, body, further columns) with ``next_<field>`` of the next row by id (ties by body); after the last comes the first.
 
     Ids are cut into stretches, and every stretch also takes in the row that begins the next one, so a window over one
     stretch knows all neighbours: one exchange, no sort of the whole, no join. A row without an id has no place in that
-    order and is its own next.
+    order and is its own next. ``ids`` has the same ids, where they are cheaper to read than from ``docs``.
     """
-    starts = _stretches(docs)
+    starts = _stretches(docs if ids is None else ids)
     if not starts:
         return docs.withColumns({f"next_{f}": F.col(f) for f in fields})
     last = len(starts) - 1
@@ -124,7 +124,7 @@ def edited(body: str, following: str) -> Column:
 def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and what they tell of both and of the next document."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("body"))
-    rows = with_next(fingerprints(docs, "body"), "body", "fingerprint")
+    rows = with_next(fingerprints(docs, "body"), "body", "fingerprint", ids=docs)
     rows = once(rows, edited("body", "next_body").alias("_edited"))
     rows = fingerprints(rows, "_edited", "edited_fingerprint")
     return rows.select(
