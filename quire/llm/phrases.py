@@ -28,7 +28,7 @@ SHARE = 80
 MOST_PHRASES = 2000
 SCALE = 2_000_000
 #: Codes that a task gathers before it counts them.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 #: Frequent words and pairs that a shard has, about: it holds their phrases' keys too.
 SHARD_KEYS = 1 << 16
 #: Pieces that one task adds up; more pieces make more tasks and a deeper tree.
@@ -47,7 +47,20 @@ _GAP[list(b" \t")] = True
 _GAPS = [bytes([b]) for b in np.flatnonzero(_GAP)]
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
-_BYTES = 1 << 20
+_BYTES = (1 << 20) - 64
+#: Bytes of texts that are looked at together; a longer text is taken whole.
+_SLICE = 2 << 20
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + _SLICE, "right")))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 class Words:
@@ -212,7 +225,7 @@ def _first_pass(texts: DataFrame) -> DataFrame:
         def _rows(n: int, langs: list, codes: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), n, np.int32)), pa.array(langs, pa.string()), pa.array(codes.view(np.int64)), pa.array(times)], ["n", "lang", "code", "times"])
 
-        for batch in batches:
+        for batch in _sliced(batches):
             words = Words(batch.column(0), batch.column(1))
             for lang, n in zip(words.langs.dictionary.to_pylist(), np.bincount(words.lang, minlength=len(words.langs.dictionary)).tolist(), strict=True):
                 totals[lang] = totals.get(lang, 0) + n
@@ -261,7 +274,7 @@ def _second_pass(texts: DataFrame, bits: np.ndarray, shards: int) -> DataFrame:
             held.clear()
             return _dealt(codes, times, shards)
 
-        for batch in batches:
+        for batch in _sliced(batches):
             for codes, good in _possible(Words(batch.column(0), batch.column(1)), member).values():
                 held.append(codes[good])
                 size += len(held[-1])
@@ -408,12 +421,11 @@ def _third_pass(texts: DataFrame, bits: np.ndarray, frequent: np.ndarray) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member, wanted = Members(pairs.value), Members(phrases.value)
         seen = np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in _sliced(batches):
             words = Words(batch.column(0), batch.column(1))
             grams = _possible(words, member)
-            raw, names = words.raw.tobytes(), words.langs.dictionary.to_pylist()
-            rows: list[list] = [[] for _ in range(4 + len(_PARTS))]
-            fresh = []
+            raw = words.raw.tobytes()
+            out, fresh = [], []
             for n in range(2, LONGEST + 1):
                 codes, good = grams[n]
                 at = np.flatnonzero(good)
@@ -422,20 +434,17 @@ def _third_pass(texts: DataFrame, bits: np.ndarray, frequent: np.ndarray) -> Dat
                 new = ~np.isin(different, seen, assume_unique=True)
                 at = at[first[new]]
                 fresh.append(different[new])
-                signed = lambda length, shift: grams[length][0][at + shift].view(np.int64).tolist()
+                signed = lambda length, shift: pa.array(grams[length][0][at + shift].view(np.int64))  # noqa: E731, B023
                 cuts = {f"l{k}": signed(k, 0) for k in range(1, n)} | {f"r{k}": signed(n - k, k) for k in range(1, n)} | ({"m": signed(2, 1)} if n == 4 else {})
                 spans = [(words.start[at + k].tolist(), words.stop[at + k].tolist()) for k in range(n)]
-                rows[0] += codes[at].view(np.int64).tolist()
-                rows[1] += [names[i] for i in words.lang[at].tolist()]
-                rows[2] += [" ".join(p) for p in zip(*[[raw[i:j].decode("utf-8", "replace") for i, j in zip(a, b, strict=True)] for a, b in spans], strict=True)]
-                rows[3] += [n] * len(at)
-                for k, part in enumerate(_PARTS):
-                    rows[4 + k] += cuts.get(part, [None] * len(at))
+                written = pa.array([" ".join(p) for p in zip(*[[raw[i:j].decode("utf-8", "replace") for i, j in zip(a, b, strict=True)] for a, b in spans], strict=True)], pa.string())
+                named = words.langs.dictionary.take(pa.array(words.lang[at]))
+                nulls = pa.nulls(len(at), pa.int64())
+                out.append(pa.RecordBatch.from_arrays([pa.array(codes[at].view(np.int64)), named, written, pa.array(np.full(len(at), n, np.int32)), *[cuts.get(p, nulls) for p in _PARTS]], ["phrase", "lang", "words", "n", *_PARTS]))
+            yield from out
             seen = np.union1d(seen, np.concatenate(fresh))
             # What was written out before is forgotten beyond a bound: it is then written again, and made one later.
             seen = seen if len(seen) <= GATHERED else np.zeros(0, np.uint64)
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.int64()] * len(_PARTS)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["phrase", "lang", "words", "n", *_PARTS])
 
     return texts.mapInArrow(released(run), f"phrase bigint, lang string, words string, n int, {', '.join(f'{p} bigint' for p in _PARTS)}")
 
