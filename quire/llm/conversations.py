@@ -55,12 +55,11 @@ def _faults() -> Column:
     return F.when(last == "", "b").when(F.col("_seen") > 1, "d").when(~last.isin(".", "!", "?"), "t").otherwise("")
 
 
-def ordered(rows: DataFrame) -> DataFrame:
+def ordered(rows: DataFrame, gone: str | None = None) -> DataFrame:
     """Rows of conversations in order, each conversation within one partition: by turn (nulls first), then role and
     text, so that ties have one order. Adds ``fault``. Both sorts spill; one exchange serves them."""
-    if "gone" not in rows.columns:
-        rows = rows.withColumn("gone", F.lit(False))
-    rows = rows.select(*COLUMNS[:2], F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), "gone")
+    absent = F.col(gone) if gone else F.lit(False)
+    rows = rows.select(*COLUMNS[:2], F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), absent.alias("gone"))
     equals = Window.partitionBy("conv_id", "gone", "role", "text").orderBy("turn")
     rows = rows.repartition("conv_id").withColumn("_seen", F.row_number().over(equals)).withColumn("fault", _faults())
     return rows.sortWithinPartitions("conv_id", "turn", "role", "text", "_seen").drop("_seen")
@@ -218,10 +217,10 @@ LEGAL = ("su", "ua", "au")
 _COUNTS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
 
 
-def summary(rows: DataFrame) -> DataFrame:
+def summary(rows: DataFrame, gone: str | None = None) -> DataFrame:
     """One row a conversation: conv_id, gaps, counts of faults, illegal neighbours, cost, audit, repaired_sha256.
 
-    ``rows`` as for ``repaired``; a column ``gone`` marks rows that only stand for their conversation. One without
+    ``rows`` as for ``repaired``; the column ``gone`` names marks rows that only stand for their conversation. One without
     other rows has zeros, an empty audit and the digest of the empty text. Turns are whole numbers.
     """
     bounded(rows.sparkSession)
@@ -264,12 +263,12 @@ def summary(rows: DataFrame) -> DataFrame:
 
         yield from _sized(rows_out(), [first.schema.field("conv_id").type, *[pa.int64()] * len(_COUNTS), pa.string(), pa.string()], ["conv_id", *_COUNTS, "audit", "repaired_sha256"])
 
-    return ordered(rows).mapInArrow(released(run), schema)
+    return ordered(rows, gone).mapInArrow(released(run), schema)
 
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and repairs of all conversations, after planted damage."""
-    return summary(damaged(table(spark, sf_dir, "conversations").select(*COLUMNS)))
+    return summary(damaged(table(spark, sf_dir, "conversations").select(*COLUMNS)), gone="gone")
 
 
 def _oracle() -> str:
