@@ -290,7 +290,7 @@ def _dealt(codes: np.ndarray, times: np.ndarray, shards: int) -> pa.RecordBatch:
     shard = (codes >> np.uint64(40)) % np.uint64(shards)
     order = np.argsort(shard, kind="stable")
     names, first = np.unique(shard[order], return_index=True)
-    ends = np.append(first[1:], len(order))
+    ends = np.append(first[1:], len(order))[: len(first)]
     pick = lambda a, kind: pa.array([a[order[i:j]].astype(kind).tobytes() for i, j in zip(first, ends, strict=True)], pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32), pa.int32()), pick(codes, "<u8"), pick(times, "<i8")], ["shard", "codes", "times"])
 
