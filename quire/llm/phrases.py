@@ -30,7 +30,7 @@ SCALE = 2_000_000
 #: Codes that a task gathers before it counts them.
 GATHERED = 1 << 20
 #: Frequent words and pairs that a shard has, about: it holds their phrases' keys too.
-SHARD_KEYS = 1 << 16
+SHARD_KEYS = 1 << 13
 #: Pieces that one task adds up; more pieces make more tasks and a deeper tree.
 FAN = 64
 #: Bits of the set that tells tasks which pairs may be frequent: 16 a member, 2**30 (128 MB) at most. Beyond that more
@@ -261,7 +261,8 @@ def _possible(words: Words, member: Members) -> dict[int, tuple[np.ndarray, np.n
 
 
 def _second_pass(texts: DataFrame, bits: np.ndarray, shards: int) -> DataFrame:
-    """shard, codes, times: candidates in the texts, counted in each task first and packed by shard."""
+    """shard, codes, times: candidates in the texts, counted in each task first and packed by shard. A flush has some
+    GATHERED codes, or those of a longest text, so 32 bits hold its counts."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +293,7 @@ def _dealt(codes: np.ndarray, times: np.ndarray, shards: int) -> pa.RecordBatch:
     names, first = np.unique(shard[order], return_index=True)
     ends = np.append(first[1:], len(order))[: len(first)]
     pick = lambda a, kind: pa.array([a[order[i:j]].astype(kind).tobytes() for i, j in zip(first, ends, strict=True)], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32), pa.int32()), pick(codes, "<u8"), pick(times, "<i8")], ["shard", "codes", "times"])
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32), pa.int32()), pick(codes, "<u8"), pick(times, "<u4")], ["shard", "codes", "times"])
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
@@ -321,15 +322,30 @@ def _blob(shard: int, salt: int, data: np.ndarray, kind: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([salt], pa.int32()), pa.array([data.astype(kind).tobytes()], pa.binary())], ["shard", "salt", "data"])
 
 
-def _in_tree(pieces: DataFrame, salts: int, add: Callable[[np.ndarray | None, bytes], np.ndarray], kind: str) -> DataFrame:
+def _united(blobs: Iterator[bytes]) -> np.ndarray:
+    """Different codes in order; sorted anew only when as many have come as are known."""
+    total, held, size = np.zeros(0, "<u8"), [], 0
+    for data in blobs:
+        held.append(np.frombuffer(data, "<u8"))
+        size += len(held[-1])
+        if size > max(len(total), GATHERED):
+            total, held, size = np.unique(np.concatenate([total, *held])), [], 0
+    return np.unique(np.concatenate([total, *held]))
+
+
+def _summed(blobs: Iterator[bytes]) -> np.ndarray:
+    total = np.frombuffer(next(blobs), "<i8").copy()
+    for data in blobs:
+        total += np.frombuffer(data, "<i8")
+    return total
+
+
+def _in_tree(pieces: DataFrame, salts: int, merged: Callable[[Iterator[bytes]], np.ndarray], kind: str) -> DataFrame:
     """One (shard, 0, data) a shard, of pieces (shard, salt, data); FAN salts meet in a task, level by level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (shard, salt), rows in _grouped(batches, 2):
-            total = None
-            for r in rows:
-                total = add(total, r[2])
-            yield _blob(shard, salt, total, kind)
+            yield _blob(shard, salt, merged(r[2] for r in rows), kind)
 
     while True:
         pieces = pieces.repartition("shard", "salt").sortWithinPartitions("shard", "salt").mapInArrow(released(run), _BLOBS)
@@ -342,14 +358,13 @@ def _in_tree(pieces: DataFrame, salts: int, add: Callable[[np.ndarray | None, by
 def counts_of(found: DataFrame) -> DataFrame:
     """shard, keys, counts (binaries of 64-bit numbers, in order of the slots): how often each key of a shard was found.
 
-    ``found``: shard, codes, times, stored. A shard's pieces are salted into tasks of about FAN pieces; each makes the
+    ``found``: shard, codes (64 bits each), times (32 bits), stored. A shard's pieces are salted into tasks of about FAN pieces; each makes the
     shard's perfect hash, adds its pieces up by slot, and the arrays are summed in a tree.
     """
     size = found.agg(F.count("*"), F.countDistinct("shard")).first()
     salts = max(1, -(-size[0] // (FAN * max(1, size[1]))))
     found = found.withColumn("salt", F.pmod(F.xxhash64("codes"), F.lit(salts)).cast("int"))
-    united = lambda total, data: np.frombuffer(data, "<u8") if total is None else np.union1d(total, np.frombuffer(data, "<u8"))
-    keys = stored(_in_tree(found.select("shard", "salt", F.col("codes").alias("data")), salts, united, "<u8").select("shard", F.col("data").alias("keys")), "phrase-keys")
+    keys = stored(_in_tree(found.select("shard", "salt", F.col("codes").alias("data")), salts, _united, "<u8").select("shard", F.col("data").alias("keys")), "phrase-keys")
     every = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     both = every.select("shard", "salt", F.lit(0).alias("kind"), F.col("keys").alias("codes"), F.lit(None).cast("binary").alias("times")).union(found.select("shard", "salt", F.lit(1).alias("kind"), "codes", "times"))
 
@@ -358,14 +373,13 @@ def counts_of(found: DataFrame) -> DataFrame:
             hashed = PerfectHash(np.frombuffer(next(rows)[3], "<u8"))
             total = np.zeros(len(hashed.keys), np.int64)
             for r in rows:
-                at, times = hashed(np.frombuffer(r[3], "<u8")), np.frombuffer(r[4], "<i8")
+                at, times = hashed(np.frombuffer(r[3], "<u8")), np.frombuffer(r[4], "<u4")
                 # Sums of doubles are exact here: a piece has fewer than 2**53 words.
                 total += np.bincount(at[at >= 0], times[at >= 0], len(total)).astype(np.int64)
             yield _blob(shard, salt, total, "<i8")
 
     arrays = both.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind").mapInArrow(released(run), _BLOBS)
-    summed = lambda total, data: np.frombuffer(data, "<i8") if total is None else total + np.frombuffer(data, "<i8")
-    sums = _in_tree(arrays, salts, summed, "<i8")
+    sums = _in_tree(arrays, salts, _summed, "<i8")
     return stored(keys.join(sums.select("shard", F.col("data").alias("counts")), "shard"), "phrase-counts")
 
 
