@@ -9,6 +9,7 @@ is stored there, and the arrays are summed in a tree. Parts of a cut are read fr
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,14 +29,14 @@ SHARE = 80
 MOST_PHRASES = 2000
 SCALE = 2_000_000
 #: Codes that a task gathers before it counts them.
-GATHERED = 1 << 20
+GATHERED = 1 << 21
 #: Frequent words and pairs that a shard has, about: it holds their phrases' keys too.
 SHARD_KEYS = 1 << 13
 #: Pieces that one task adds up; more pieces make more tasks and a deeper tree.
 FAN = 64
-#: Bits of the set that tells tasks which pairs may be frequent: 16 a member, 2**30 (128 MB) at most. Beyond that more
-#: candidates pass, and results stay the same.
-MEMBER_BITS, MOST_BITS = 16, 1 << 30
+#: Bits of the sets that tell tasks which pairs may be frequent, and which phrases to write out: 32 a member, 2**30
+#: (128 MB) at most. Beyond that more candidates pass, and results stay the same.
+MEMBER_BITS, MOST_BITS = 32, 1 << 30
 SPREAD = 64
 #: Parts that one task reads. Their sizes are one row a shard, of at most some ten thousand shards.
 ASKED = 1 << 20
@@ -48,6 +49,7 @@ _GAPS = [bytes([b]) for b in np.flatnonzero(_GAP)]
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
 _BYTES = (1 << 20) - 64
+_TEXT = np.uint64(xxhash.xxh3_64_intdigest(b"text") | 1)
 #: Bytes of texts that are looked at together; a longer text is taken whole.
 _SLICE = 2 << 20
 
@@ -64,7 +66,7 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Words:
-    """Words of a batch of texts: codes (of language and word), piece of each, place in ``raw``."""
+    """Words of a batch of texts: code (of language and word), piece, place in ``raw`` and checksum of the text of each."""
 
     def __init__(self, texts: pa.Array, langs: pa.Array) -> None:
         texts = pc.fill_null(texts.cast(pa.binary()), b"")
@@ -73,6 +75,7 @@ class Words:
         whole = pa.LargeListArray.from_arrays(pa.array([0, len(texts)], pa.int64()), texts.cast(pa.large_binary()))
         self.raw = _LOW[np.frombuffer(pc.binary_join(whole, pa.scalar(b"\n", pa.large_binary()))[0].as_py(), np.uint8)] if len(texts) else np.zeros(0, np.uint8)
         self.langs = pc.fill_null(langs, "und").dictionary_encode()
+        prints = np.array([zlib.crc32(t.as_buffer()) for t in texts], np.uint32)
         ends = np.cumsum(sizes + 1)
         codes, starts, stops, pieces = [], [], [], []
         at, n_pieces, raw = 0, 0, self.raw
@@ -95,6 +98,7 @@ class Words:
         self.start, self.stop, self.piece = (np.concatenate(x) if x else none for x in (starts, stops, pieces))
         text = np.searchsorted(ends, self.start, "right")
         self.lang = self.langs.indices.to_numpy(zero_copy_only=False)[text] if len(text) else none
+        self.text = prints[text] if len(text) else np.zeros(0, np.uint32)
         names = np.array([xxhash.xxh3_64_intdigest(b"lang " + v.encode()) for v in self.langs.dictionary.to_pylist()], np.uint64)
         self.code = mixed(np.concatenate(codes) + names[self.lang]) if len(text) else np.zeros(0, np.uint64)
 
@@ -199,15 +203,14 @@ class PerfectHash:
         return np.where(known, at, -1)
 
 
-def _counted(codes: list[np.ndarray], times: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Different codes and their counts."""
-    if not codes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    all_codes = np.concatenate(codes)
-    if times is None:
-        return np.unique(all_codes, return_counts=True)
-    different, inverse = np.unique(all_codes, return_inverse=True)
-    return different, np.bincount(inverse, np.concatenate(times).astype(np.float64), len(different)).astype(np.int64)
+    return np.unique(np.concatenate(codes) if codes else np.zeros(0, np.uint64), return_counts=True)
+
+
+def _witnessed(codes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """A code for each pair of a phrase and a text that holds it."""
+    return mixed(codes + text.astype(np.uint64) * _TEXT)
 
 
 def _first_pass(texts: DataFrame) -> DataFrame:
@@ -261,39 +264,46 @@ def _possible(words: Words, member: Members) -> dict[int, tuple[np.ndarray, np.n
 
 
 def _second_pass(texts: DataFrame, bits: np.ndarray, shards: int) -> DataFrame:
-    """shard, codes, times: candidates in the texts, counted in each task first and packed by shard. A flush has some
-    GATHERED codes, or those of a longest text, so 32 bits hold its counts."""
+    """shard, codes, times, texts: candidates in the texts, counted in each task first and packed by shard, each with
+    the checksum of a text that holds it. A flush has some GATHERED codes, or those of a longest text, so 32 bits hold
+    its counts."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = Members(shared.value)
         held: list[np.ndarray] = []
+        prints: list[np.ndarray] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            codes, times = _counted(held)
+            codes = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            different, first, times = np.unique(codes, return_index=True, return_counts=True)
+            seen = np.concatenate(prints)[first] if prints else np.zeros(0, np.uint32)
             held.clear()
-            return _dealt(codes, times, shards)
+            prints.clear()
+            return _dealt(different, times, seen, shards)
 
         for batch in _sliced(batches):
-            for codes, good in _possible(Words(batch.column(0), batch.column(1)), member).values():
+            words = Words(batch.column(0), batch.column(1))
+            for codes, good in _possible(words, member).values():
                 held.append(codes[good])
+                prints.append(words.text[: len(codes)][good])
                 size += len(held[-1])
             if size >= GATHERED:
                 yield out()
                 size = 0
         yield out()
 
-    return texts.mapInArrow(released(run), "shard int, codes binary, times binary")
+    return texts.mapInArrow(released(run), "shard int, codes binary, times binary, texts binary")
 
 
-def _dealt(codes: np.ndarray, times: np.ndarray, shards: int) -> pa.RecordBatch:
+def _dealt(codes: np.ndarray, times: np.ndarray, texts: np.ndarray, shards: int) -> pa.RecordBatch:
     shard = (codes >> np.uint64(40)) % np.uint64(shards)
     order = np.argsort(shard, kind="stable")
     names, first = np.unique(shard[order], return_index=True)
     ends = np.append(first[1:], len(order))[: len(first)]
     pick = lambda a, kind: pa.array([a[order[i:j]].astype(kind).tobytes() for i, j in zip(first, ends, strict=True)], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32), pa.int32()), pick(codes, "<u8"), pick(times, "<u4")], ["shard", "codes", "times"])
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32), pa.int32()), pick(codes, "<u8"), pick(times, "<u4"), pick(texts, "<u4")], ["shard", "codes", "times", "texts"])
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
@@ -318,11 +328,11 @@ def _grouped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tu
 _BLOBS = "shard int, salt int, data binary"
 
 
-def _blob(shard: int, salt: int, data: np.ndarray, kind: str) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([salt], pa.int32()), pa.array([data.astype(kind).tobytes()], pa.binary())], ["shard", "salt", "data"])
+def _blob(shard: int, salt: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([salt], pa.int32()), pa.array([data], pa.binary())], ["shard", "salt", "data"])
 
 
-def _united(blobs: Iterator[bytes]) -> np.ndarray:
+def _united(blobs: Iterator[bytes]) -> bytes:
     """Different codes in order; sorted anew only when as many have come as are known."""
     total, held, size = np.zeros(0, "<u8"), [], 0
     for data in blobs:
@@ -330,22 +340,28 @@ def _united(blobs: Iterator[bytes]) -> np.ndarray:
         size += len(held[-1])
         if size > max(len(total), GATHERED):
             total, held, size = np.unique(np.concatenate([total, *held])), [], 0
-    return np.unique(np.concatenate([total, *held]))
+    return np.unique(np.concatenate([total, *held])).astype("<u8").tobytes()
+
+
+#: What a slot holds: how often its phrase was found, and the checksum of a text with it.
+_SLOT = np.dtype([("count", "<i8"), ("text", "<u4")])
 
 
-def _summed(blobs: Iterator[bytes]) -> np.ndarray:
-    total = np.frombuffer(next(blobs), "<i8").copy()
+def _summed(blobs: Iterator[bytes]) -> bytes:
+    total = np.frombuffer(next(blobs), _SLOT).copy()
     for data in blobs:
-        total += np.frombuffer(data, "<i8")
-    return total
+        other = np.frombuffer(data, _SLOT)
+        total["count"] += other["count"]
+        total["text"] = np.minimum(total["text"], other["text"])
+    return total.tobytes()
 
 
-def _in_tree(pieces: DataFrame, salts: int, merged: Callable[[Iterator[bytes]], np.ndarray], kind: str) -> DataFrame:
+def _in_tree(pieces: DataFrame, salts: int, merged: Callable[[Iterator[bytes]], bytes]) -> DataFrame:
     """One (shard, 0, data) a shard, of pieces (shard, salt, data); FAN salts meet in a task, level by level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (shard, salt), rows in _grouped(batches, 2):
-            yield _blob(shard, salt, merged(r[2] for r in rows), kind)
+            yield _blob(shard, salt, merged(r[2] for r in rows))
 
     while True:
         pieces = pieces.repartition("shard", "salt").sortWithinPartitions("shard", "salt").mapInArrow(released(run), _BLOBS)
@@ -356,30 +372,35 @@ def _in_tree(pieces: DataFrame, salts: int, merged: Callable[[Iterator[bytes]],
 
 
 def counts_of(found: DataFrame) -> DataFrame:
-    """shard, keys, counts (binaries of 64-bit numbers, in order of the slots): how often each key of a shard was found.
+    """shard, keys (64-bit numbers in order), counts (of _SLOT, in order of the slots): how often each key of a shard was found.
 
-    ``found``: shard, codes (64 bits each), times (32 bits), stored. A shard's pieces are salted into tasks of about FAN pieces; each makes the
+    ``found``: shard, codes (64 bits each), times and texts (32 bits), stored. A shard's pieces are salted into tasks of about FAN pieces; each makes the
     shard's perfect hash, adds its pieces up by slot, and the arrays are summed in a tree.
     """
     size = found.agg(F.count("*"), F.countDistinct("shard")).first()
     salts = max(1, -(-size[0] // (FAN * max(1, size[1]))))
     found = found.withColumn("salt", F.pmod(F.xxhash64("codes"), F.lit(salts)).cast("int"))
-    keys = stored(_in_tree(found.select("shard", "salt", F.col("codes").alias("data")), salts, _united, "<u8").select("shard", F.col("data").alias("keys")), "phrase-keys")
+    keys = stored(_in_tree(found.select("shard", "salt", F.col("codes").alias("data")), salts, _united).select("shard", F.col("data").alias("keys")), "phrase-keys")
     every = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = every.select("shard", "salt", F.lit(0).alias("kind"), F.col("keys").alias("codes"), F.lit(None).cast("binary").alias("times")).union(found.select("shard", "salt", F.lit(1).alias("kind"), "codes", "times"))
+    both = every.select("shard", "salt", F.lit(0).alias("kind"), F.col("keys").alias("codes"), *[F.lit(None).cast("binary").alias(c) for c in ("times", "texts")])
+    both = both.union(found.select("shard", "salt", F.lit(1).alias("kind"), "codes", "times", "texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (shard, salt), rows in _grouped(batches, 2):
             hashed = PerfectHash(np.frombuffer(next(rows)[3], "<u8"))
-            total = np.zeros(len(hashed.keys), np.int64)
+            total = np.zeros(len(hashed.keys), _SLOT)
+            total["text"] = 0xFFFFFFFF
             for r in rows:
-                at, times = hashed(np.frombuffer(r[3], "<u8")), np.frombuffer(r[4], "<u4")
+                at, times, texts = hashed(np.frombuffer(r[3], "<u8")), np.frombuffer(r[4], "<u4"), np.frombuffer(r[5], "<u4")
+                known = at >= 0
                 # Sums of doubles are exact here: a piece has fewer than 2**53 words.
-                total += np.bincount(at[at >= 0], times[at >= 0], len(total)).astype(np.int64)
-            yield _blob(shard, salt, total, "<i8")
+                total["count"] += np.bincount(at[known], times[known], len(total)).astype(np.int64)
+                # A piece has a code once.
+                total["text"][at[known]] = np.minimum(total["text"][at[known]], texts[known])
+            yield _blob(shard, salt, total.tobytes())
 
     arrays = both.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind").mapInArrow(released(run), _BLOBS)
-    sums = _in_tree(arrays, salts, _summed, "<i8")
+    sums = _in_tree(arrays, salts, _summed)
     return stored(keys.join(sums.select("shard", F.col("data").alias("counts")), "shard"), "phrase-counts")
 
 
@@ -410,7 +431,7 @@ def _read(counts: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
             if first[2] == 0:
                 hashed = PerfectHash(np.frombuffer(first[3], "<u8"))
                 # Counts are in order of the slots.
-                values = np.frombuffer(first[4], "<i8")
+                values = np.frombuffer(first[4], _SLOT)["count"]
             else:
                 waiting.append(first)
             for r in rows:
@@ -428,26 +449,23 @@ _PARTS = ("l1", "r1", "l2", "r2", "l3", "r3", "m")
 
 
 def _third_pass(texts: DataFrame, bits: np.ndarray, frequent: np.ndarray) -> DataFrame:
-    """phrase (code), lang, words (joined by spaces), n, parts: phrases that may be frequent, written out once a task."""
+    """phrase (code), lang, words (joined by spaces), n, parts: frequent phrases, written out where they stand in the
+    text that was noted for them, so not by every task (and rarely some others)."""
     context = texts.sparkSession.sparkContext
     pairs, phrases = context.broadcast(bits), context.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member, wanted = Members(pairs.value), Members(phrases.value)
-        seen = np.zeros(0, np.uint64)
         for batch in _sliced(batches):
             words = Words(batch.column(0), batch.column(1))
             grams = _possible(words, member)
             raw = words.raw.tobytes()
-            out, fresh = [], []
+            out = []
             for n in range(2, LONGEST + 1):
                 codes, good = grams[n]
                 at = np.flatnonzero(good)
-                at = at[wanted(codes[at])]
-                different, first = np.unique(codes[at], return_index=True)
-                new = ~np.isin(different, seen, assume_unique=True)
-                at = at[first[new]]
-                fresh.append(different[new])
+                at = at[wanted(_witnessed(codes[at], words.text[at]))]
+                at = at[np.unique(codes[at], return_index=True)[1]]
                 signed = lambda length, shift: pa.array(grams[length][0][at + shift].view(np.int64))  # noqa: E731, B023
                 cuts = {f"l{k}": signed(k, 0) for k in range(1, n)} | {f"r{k}": signed(n - k, k) for k in range(1, n)} | ({"m": signed(2, 1)} if n == 4 else {})
                 spans = [(words.start[at + k].tolist(), words.stop[at + k].tolist()) for k in range(n)]
@@ -456,9 +474,6 @@ def _third_pass(texts: DataFrame, bits: np.ndarray, frequent: np.ndarray) -> Dat
                 nulls = pa.nulls(len(at), pa.int64())
                 out.append(pa.RecordBatch.from_arrays([pa.array(codes[at].view(np.int64)), named, written, pa.array(np.full(len(at), n, np.int32)), *[cuts.get(p, nulls) for p in _PARTS]], ["phrase", "lang", "words", "n", *_PARTS]))
             yield from out
-            seen = np.union1d(seen, np.concatenate(fresh))
-            # What was written out before is forgotten beyond a bound: it is then written again, and made one later.
-            seen = seen if len(seen) <= GATHERED else np.zeros(0, np.uint64)
 
     return texts.mapInArrow(released(run), f"phrase bigint, lang string, words string, n int, {', '.join(f'{p} bigint' for p in _PARTS)}")
 
@@ -483,8 +498,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                slots = PerfectHash(np.frombuffer(keys, "<u8")).keys
-                yield pa.RecordBatch.from_arrays([pa.array(slots[np.frombuffer(values, "<i8") >= least].view(np.int64))], ["code"])
+                slots, held = PerfectHash(np.frombuffer(keys, "<u8")).keys, np.frombuffer(values, _SLOT)
+                enough = held["count"] >= least
+                yield pa.RecordBatch.from_arrays([pa.array(_witnessed(slots[enough], held["text"][enough]).view(np.int64))], ["code"])
 
     codes = stored(counts.select("keys", "counts").mapInArrow(released(frequent), "code bigint"), "phrase-frequent")
     written = stored(_third_pass(texts, bits, _members(codes, codes.count())).dropDuplicates(["phrase"]), "phrases")
