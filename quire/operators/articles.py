@@ -16,6 +16,9 @@ from quire.operators import sequences as S
 # Labels of blocks that carry a record's text.
 BODY_LABELS = ["Text", "List-Group", "Complex-Block", "Table", "Equation-Block", "Caption", "Footnote", "Section-Header"]
 PARAGRAPH_LABELS = ["Text", "List-Group", "Complex-Block"]
+# Whole blocks that are added to the entry that is open, and what no record takes in.
+APPENDED_LABELS = ["Table", "Equation-Block", "Caption", "Footnote"]
+MARGINAL_LABELS = ["Page-Header", "Page-Footer"]
 # What sets editions apart; others have neither margin notes nor heads of whole words, and one volume.
 EDITIONS = [
     # code, margin notes, several volumes, heads are whole words
@@ -66,18 +69,70 @@ def opening_letters(pages: DataFrame) -> DataFrame:
     return volumes.join(found, "identifier", "left").select("identifier", F.coalesce(F.nullif(own, F.lit("")), "opening", F.lit("A")).alias("alpha0"))
 
 
+def _pieces(b: Column) -> Column:
+    """A block's paragraphs as (para, line, n_lines, text, html, p); run-on paragraphs are one piece a line."""
+
+    def of_one(p: Column, i: Column) -> Column:
+        lines = F.coalesce(X.run_on_lines(p["text"]), F.array(p["text"]))
+        made = lambda t, j, n: F.struct(i.cast("int").alias("para"), j.cast("int").alias("line"), n.alias("n_lines"), t.alias("text"), F.when(n > 1, F.lit("")).otherwise(p["html"]).alias("html"), p.alias("p"))
+        return X.let(lines, lambda held: F.transform(held, lambda t, j: made(t, j, F.size(held))))
+
+    return F.flatten(F.transform(b["paras"], of_one))
+
+
+def stream(pages: DataFrame) -> DataFrame:
+    """The ordered stream of pages' pieces: (identifier, idx, block, para, line) with text, html, and hw where one opens.
+
+    Paragraphs, which may open a record, come from blocks of PARAGRAPH_LABELS; a block of APPENDED_LABELS is one piece
+    that only adds to what is open. Pages may carry a span (``start``, ``title_key``): in it every block but heads and
+    feet of pages is one piece (``in_span``). A span begins at its banner where its first page has a trigram, which is
+    what comes before belongs to the dictionary; without the banner, all of that page does.
+    """
+    if "start" not in pages.columns:
+        pages = pages.withColumns({"start": F.lit(None).cast("int"), "title_key": F.lit(None).cast("string")})
+    carried = ["identifier", "idx", "image", "head", "start", "title_key", *[c for c in ("end", "title") if c in pages.columns]]
+    found = F.filter(F.transform("blocks", lambda b, i: F.when(L.is_banner(b, F.col("title_key")), i)), lambda i: i.isNotNull())
+    first = F.when(F.col("head.trigram").isNull(), F.lit(0)).otherwise(F.coalesce(F.get(found, F.lit(0)), F.size("blocks")))
+    pages = pages.withColumn("span_block", F.when(F.col("start").isNull(), F.size("blocks")).when(F.col("idx") > F.col("start"), F.lit(0)).otherwise(first))
+    rows = pages.select(*carried, "span_block", F.posexplode("blocks").alias("block", "b")).withColumn("in_span", F.col("block") >= F.col("span_block"))
+    b = F.col("b")
+    whole = F.array(F.struct(F.lit(-1).alias("para"), F.lit(-1).alias("line"), F.lit(1).alias("n_lines"), b["text"].alias("text"), b["html"].alias("html"), F.get(F.slice(b["paras"], 1, 0), F.lit(0)).alias("p")))
+    taken = (F.col("in_span") & ~b["label"].isin(MARGINAL_LABELS)) | (~F.col("in_span") & b["label"].isin(APPENDED_LABELS))
+    rows = rows.withColumn("piece", F.explode(F.when(taken, whole).when(~F.col("in_span") & b["label"].isin(PARAGRAPH_LABELS), _pieces(b))))
+    rows = rows.select(*carried, "block", "in_span", b["label"].alias("label"), b["box"].alias("box"), "piece.*")
+    own = X.headword(F.col("p.text"), F.col("p.bold"), F.col("p.bold_tail"), F.col("p.lead"), F.col("head.trigram"))
+    hw = F.when(F.col("para") >= 0, F.when(F.col("n_lines") > 1, X.run_on_headword(F.col("text"), F.col("head.trigram"))).otherwise(own))
+    # A line that opens a record is a paragraph of its own.
+    return rows.withColumn("hw", hw).withColumn("html", F.when((F.col("n_lines") > 1) & F.col("hw").isNotNull(), F.concat(F.lit("<p>"), "text", F.lit("</p>"))).otherwise(F.col("html")))
+
+
+def body_starts(pages: DataFrame) -> DataFrame:
+    """(identifier, body_start, opener, multivol): where a volume's entries begin, which is the first page with a
+    headword of its opening letter in a text block, else its first page; and the key of what its range begins with."""
+    heads = paragraphs(pages).where((F.col("label") == "Text") & F.col("hw").isNotNull()).join(opening_letters(pages), "identifier")
+    first = heads.where(F.left("hw.base", F.lit(1)) == F.col("alpha0")).groupBy("identifier").agg(F.min("idx").alias("first"))
+    span = F.regexp_replace("alpha_range", r"(?i)^\s*Part\s+[\dIVXLC]+\s*,\s*", "")
+    opener = F.when(F.col("alpha_range").isNotNull(), X.key(F.get(F.split(span, "-"), F.lit(0))))
+    volumes = pages.withColumn("opener", opener).groupBy("identifier").agg(F.min("idx").alias("least"), F.max("opener").alias("opener"), F.bool_or("multivol").alias("multivol"))
+    return volumes.join(first, "identifier", "left").select("identifier", F.coalesce("first", "least").alias("body_start"), "opener", "multivol")
+
+
+def read_from(bodies: DataFrame, spans: DataFrame) -> DataFrame:
+    """(identifier, body_start): where reading begins. A volume of a set may open in the middle of a treatise, which its
+    range then names; one without a range opens with its first treatise before the body."""
+    early = bodies.where("multivol").join(spans.select("identifier", "start", "title_key"), "identifier").where(F.col("start") < F.col("body_start"))
+    named = (F.length("opener") >= 4) & (F.left("title_key", F.lit(5)) == F.left("opener", F.lit(5)))
+    lead = early.where(F.col("opener").isNull() | named).groupBy("identifier").agg(F.min("start").alias("lead"))
+    return bodies.join(lead, "identifier", "left").select("identifier", F.coalesce("lead", "body_start").alias("body_start"))
+
+
 def paragraphs(pages: DataFrame) -> DataFrame:
     """One row a paragraph: its place, page, block and text; run-on paragraphs one row a line."""
-    rows = pages.select("identifier", "idx", "image", "head", F.posexplode("blocks").alias("block", "b")).where(F.col("b.label").isin(PARAGRAPH_LABELS))
-    rows = rows.select("identifier", "idx", "image", "head", "block", F.col("b.label").alias("label"), F.col("b.box").alias("box"), F.posexplode("b.paras").alias("para", "p"))
-    lines = F.coalesce(X.run_on_lines(F.col("p.text")), F.array(F.col("p.text")))
-    rows = rows.withColumn("n_lines", F.size(lines)).select("*", F.posexplode(lines).alias("line", "text"))
-    whole = X.headword(F.col("p.text"), F.col("p.bold"), F.col("p.bold_tail"), F.col("p.lead"), F.col("head.trigram"))
-    return rows.withColumn("hw", F.when(F.col("n_lines") > 1, X.run_on_headword(F.col("text"), F.col("head.trigram"))).otherwise(whole))
+    return stream(pages).where("para >= 0")
 
 
 def treatise_spans(pages: DataFrame, starts: DataFrame) -> DataFrame:
-    """(identifier, start, end, title): gaps of two trigrams or more whose pages have a running head or banner.
+    """(identifier, start, end, title_key, title): gaps of two trigrams or more whose pages have a running head or banner.
 
     ``starts`` has the page (idx) where a volume's body begins; gaps are cut there. Spans of one title that
     follow within three pages are one.
@@ -107,7 +162,7 @@ def treatise_spans(pages: DataFrame, starts: DataFrame) -> DataFrame:
     start = F.when(first & before.isNotNull(), F.col("lo") - 1).when(second & large1.isNull() & large0.isNotNull(), F.col("lo") - 1).otherwise(F.col("lo"))
     out = spans.select("identifier", start.alias("start"), F.col("hi").alias("end"), title_key.alias("title_key"), X.display_title(title).alias("title")).where("title is not null")
     merged = S.merged_spans(out.select("identifier", "start", "end", "title_key"), _V, "title_key")
-    return merged.join(out.select("identifier", "start", "title"), ["identifier", "start"]).select("identifier", "start", "end", "title")
+    return merged.join(out.select("identifier", "start", "title"), ["identifier", "start"]).select("identifier", "start", "end", "title_key", "title")
 
 
 def _banner(blocks: str) -> Column:
@@ -118,41 +173,59 @@ def _capital(blocks: str) -> Column:
     return F.when(F.col(blocks).isNotNull(), L.capital_banner(F.col(blocks)))
 
 
+def in_spans(pages: DataFrame, spans: DataFrame) -> DataFrame:
+    """Pages with the span they lie in (start, end, title_key, title; nulls outside): the last one that began, if it
+    hasn't ended. One look-up by the first page and a running value; no join of ranges."""
+    begun = pages.join(spans.select("identifier", F.col("start").alias("idx"), F.struct("start", "end", "title_key", "title").alias("span")), ["identifier", "idx"], "left")
+    last = F.last("span", ignorenulls=True).over(Window.partitionBy(*_V).orderBy("idx"))
+    begun = begun.withColumn("span", last).withColumn("span", F.when(F.col("span.end") >= F.col("idx"), F.col("span")))
+    return begun.select("*", "span.*").drop("span")
+
+
 def records(pages: DataFrame, spans: DataFrame, starts: DataFrame) -> DataFrame:
-    """Raw records in order: (identifier, seq, headword fields, first and last pages, body, images)."""
-    placed = pages.join(starts, "identifier").where((F.col("idx") >= F.col("body_start")) & (F.col("head.mode") != "plate"))
-    inside = placed.select("identifier", "idx", "head").join(spans, "identifier").where((F.col("idx") >= F.col("start")) & (F.col("idx") <= F.col("end"))).select("identifier", "idx", "start", "end", "title").dropDuplicates(["identifier", "idx"])
-    lines = paragraphs(placed).join(inside, ["identifier", "idx"], "left")
-    # On a span's first page with a trigram, what stands before the banner belongs to the dictionary.
-    banner_at = F.min(F.when((F.col("label") == "Section-Header") & (X.key(F.col("text")) == X.key(F.col("title"))), F.col("block"))).over(Window.partitionBy("identifier", "idx"))
-    lines = lines.withColumn("banner_at", banner_at)
-    early = (F.col("idx") == F.col("start")) & F.col("head.trigram").isNotNull() & (F.col("block") < F.coalesce("banner_at", F.lit(0)))
-    lines = lines.withColumn("in_span", F.col("start").isNotNull() & ~early)
+    """Raw records in order: (identifier, seq, headword fields, first and last pages, body, images).
+
+    Plates are left out unless they lie in a treatise. A treatise holds all its blocks; an entry its paragraphs and
+    the tables, equations, captions and notes after them. What follows a treatise before a headword is nobody's.
+    """
+    placed = in_spans(pages.join(starts, "identifier").where(F.col("idx") >= F.col("body_start")), spans)
+    lines = stream(placed.where((F.col("head.mode") != "plate") | F.col("start").isNotNull()))
     order = ["idx", "block", "para", "line"]
     w = Window.partitionBy(*_V).orderBy(*order)
-    new_span = F.col("in_span") & ~F.coalesce(F.lag(F.when(F.col("in_span"), F.col("start"))).over(w).eqNullSafe(F.col("start")), F.lit(False))
-    leaves = ~F.col("in_span") & F.coalesce(F.lag("in_span").over(w), F.lit(False)) & F.col("hw").isNull()
+    lines = lines.withColumn("before", F.lag(F.when(F.col("in_span"), F.col("start")).otherwise(F.lit(-1))).over(w))
+    new_span = F.col("in_span") & ~F.col("before").eqNullSafe(F.col("start"))
+    leaves = ~F.col("in_span") & F.coalesce(F.col("before") >= 0, F.lit(False)) & F.col("hw").isNull()
     opens = new_span | (~F.col("in_span") & F.col("hw").isNotNull()) | leaves
     found = S.segments(lines.withColumns({"opens": opens, "closed": leaves}), _V, order, F.col("opens"))
     place = F.struct(*order)
     first = lambda c: F.min_by(c, place)
     page_no = F.col("head.page_no")
-    body = F.transform(F.array_sort(F.collect_list(F.struct(place.alias("o"), X.clean(F.col("text")).alias("t"), F.col("p.html").alias("h")))), lambda x: x)
+    head_place = F.when(~F.col("in_span") | (F.col("label") == "Section-Header"), place)
     out = found.groupBy("identifier", F.col("segment").alias("seq")).agg(
         first("hw").alias("hw"),
         first("title").alias("title"),
-        first("image").alias("headword_image"),
-        first("box").alias("box"),
+        first("image").alias("first_image"),
+        F.min_by("box", head_place).alias("box"),
         first("in_span").alias("treatise"),
         F.bool_or("closed").alias("closed"),
+        first("start").alias("span_start"),
+        first("end").alias("span_end"),
         first(page_no).alias("opening_page"),
         F.min_by(page_no, F.when(page_no.isNotNull(), place)).alias("first_page"),
         F.max_by(page_no, F.when(page_no.isNotNull(), place)).alias("printed_page_end"),
-        (F.min("idx") + 1).alias("image_page_start"),
-        (F.max("idx") + 1).alias("image_page_end"),
-        body.alias("parts"),
+        F.min("idx").alias("lo"),
+        F.max("idx").alias("hi"),
+        F.array_sort(F.collect_list(F.struct(place.alias("o"), X.clean(F.col("text")).alias("t"), F.col("html").alias("h")))).alias("parts"),
         F.transform(F.array_sort(F.collect_set(F.struct("idx", "image"))), lambda x: x["image"]).alias("image_files"),
     )
+    # A treatise is headed by its first page, even where its text begins on the next.
+    images = pages.select("identifier", F.col("idx").alias("span_start"), F.col("image").alias("span_image"))
+    out = out.join(images, ["identifier", "span_start"], "left")
+    out = out.withColumns({
+        "headword_image": F.when(F.col("treatise"), F.col("span_image")).otherwise(F.col("first_image")),
+        "image_page_start": F.when(F.col("treatise"), F.col("span_start")).otherwise(F.col("lo")),
+        "image_page_end": F.when(F.col("treatise"), F.col("span_end")).otherwise(F.col("hi")),
+    })
     # Text after a treatise that no headword opens belongs to nothing.
     out = out.where("not closed")
     name = F.when(F.col("treatise"), F.col("title")).otherwise(F.col("hw.full"))
@@ -170,7 +243,7 @@ def records(pages: DataFrame, spans: DataFrame, starts: DataFrame) -> DataFrame:
         "image_page_start",
         "image_page_end",
         X.clean(text).alias("body_text"),
-        F.array_join(F.array_distinct(F.transform("parts", lambda x: x["h"])), "\n").alias("body_html"),
+        F.array_join(F.filter(F.transform("parts", lambda x: x["h"]), lambda h: h != ""), "\n").alias("body_html"),
         F.array_distinct(F.filter("image_files", lambda i: i.isNotNull())).alias("image_files"),
         F.when(F.col("box").isNotNull(), F.array(*[F.col(f"box.{k}") for k in ("x1", "y1", "x2", "y2")])).alias("headword_bbox"),
         "headword_image",
@@ -180,7 +253,7 @@ def records(pages: DataFrame, spans: DataFrame, starts: DataFrame) -> DataFrame:
 def outlines(pages: DataFrame, spans: DataFrame) -> DataFrame:
     """(identifier, start, outline): the lower headings of a span's pages in order."""
     own = pages.join(spans.select("identifier", "start", "end"), "identifier").where((F.col("idx") >= F.col("start")) & (F.col("idx") <= F.col("end")))
-    own = own.select("identifier", "start", F.struct("idx", L.outline(F.col("blocks"), F.col("head.page_no"), F.col("idx") + 1).alias("o")).alias("e"))
+    own = own.select("identifier", "start", F.struct("idx", L.outline(F.col("blocks"), F.col("head.page_no"), F.col("idx")).alias("o")).alias("e"))
     listed = own.groupBy("identifier", "start").agg(F.array_sort(F.collect_list("e")).alias("l"))
     return listed.select("identifier", "start", F.flatten(F.transform("l", lambda x: x["o"])).alias("outline"))
 
@@ -204,13 +277,10 @@ def volume_articles(pages: DataFrame, volumes: DataFrame) -> DataFrame:
     """Articles of dictionary volumes: pages and the volumes' manifest in, clean records out."""
     wanted = volumes.where(~is_index(F.col("volume_num"), F.col("volume_label"), F.col("title")) & ~is_dissertation(F.col("alpha_range"), F.col("volume_label")))
     table = page_table(pages, wanted)
-    letters = opening_letters(table)
-    heads = paragraphs(table).where("hw is not null").join(letters, "identifier").where(F.startswith(X.key(F.col("hw.base")), F.col("alpha0")))
-    starts = table.groupBy("identifier").agg(F.bool_or("multivol").alias("multivol")).join(heads.groupBy("identifier").agg(F.min("idx").alias("first")), "identifier", "left")
-    starts = starts.select("identifier", F.when(F.col("multivol"), F.lit(0)).otherwise(F.coalesce("first", F.lit(0))).alias("body_start"))
-    spans = treatise_spans(table, starts)
-    out = cleaned(records(table, spans, starts))
-    told = outlines(table, spans).select("identifier", (F.col("start") + 1).alias("image_page_start"), F.lit("treatise").alias("type"), "outline")
+    bodies = body_starts(table)
+    spans = treatise_spans(table, bodies.select("identifier", F.when(F.col("multivol"), F.lit(0)).otherwise(F.col("body_start")).alias("body_start")))
+    out = cleaned(records(table, spans, read_from(bodies, spans)))
+    told = outlines(table, spans).select("identifier", F.col("start").alias("image_page_start"), F.lit("treatise").alias("type"), "outline")
     out = out.join(told, ["identifier", "image_page_start", "type"], "left")
     return out.join(wanted.select("identifier", "eb_code", "volume_num", "alpha_range"), "identifier")
 
@@ -237,7 +307,7 @@ def volume_dissertations(pages: DataFrame, volumes: DataFrame) -> DataFrame:
     told = told.select(
         "identifier", F.col("ordinal").cast("bigint").alias("seq"), F.lit(0).alias("sub_seq"), name.alias("headword"), name.alias("base_headword"), F.lit(None).cast("string").alias("qualifier"),
         F.lit("treatise").alias("type"), F.lit("treatise").alias("detected_by"), F.get(numbers, F.lit(0)).alias("printed_page_start"), F.element_at(F.concat(F.array(F.lit(None).cast("int")), numbers), -1).alias("printed_page_end"),
-        (F.col("start") + 1).alias("image_page_start"), (F.col("end") + 1).alias("image_page_end"), body.alias("body_text"), F.array_join(F.transform(blocks, lambda b: b["html"]), "\n").alias("body_html"),
+        F.col("start").alias("image_page_start"), F.col("end").alias("image_page_end"), body.alias("body_text"), F.array_join(F.transform(blocks, lambda b: b["html"]), "\n").alias("body_html"),
         F.array_distinct(F.filter(F.transform("pages", lambda p: p["image"]), lambda i: i.isNotNull())).alias("image_files"), F.when(box.isNotNull(), F.array(*[box[k] for k in ("x1", "y1", "x2", "y2")])).alias("headword_bbox"),
         F.get(F.transform("pages", lambda p: p["image"]), F.lit(0)).alias("headword_image"), "outline", F.lit(False).alias("is_cross_reference"),
     )

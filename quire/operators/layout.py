@@ -144,9 +144,19 @@ def page_head(c: Column, whole_words: Column) -> Column:
     return X.let(heads, lambda h: X.let(named(h), lambda names: read(F.filter(h, is_number), names)))
 
 
+def _names(b: Column) -> Column:
+    """What a section head calls itself: its h1 to h3, then its whole text."""
+    return F.concat(F.transform(F.filter(b["heads"], lambda h: h["level"] <= 3), lambda h: h["text"]), F.array(b["text"]))
+
+
+def is_banner(b: Column, title_key: Column) -> Column:
+    """True for a section head whose key is ``title_key``."""
+    return (b["label"] == "Section-Header") & F.exists(_names(b), lambda t: X.key(t) == title_key)
+
+
 def banner(c: Column, title_key: Column) -> Column:
     """The display form of the section head whose key is ``title_key``, else null."""
-    heads = F.flatten(F.transform(F.filter(c, lambda b: b["label"] == "Section-Header"), lambda b: F.concat(F.transform(F.filter(b["heads"], lambda h: h["level"] <= 3), lambda h: h["text"]), F.array(b["text"]))))
+    heads = F.flatten(F.transform(F.filter(c, lambda b: b["label"] == "Section-Header"), _names))
     return F.nullif(X.title(F.get(F.filter(heads, lambda t: X.key(t) == title_key), F.lit(0))), F.lit(""))
 
 

@@ -133,7 +133,7 @@ def test_articles_of_a_volume(spark):
     assert not got["ABADDON"].is_cross_reference and got["ABADDON"].cross_refs == ["HELL"]
     assert got["AMBLE"].is_cross_reference and got["AMBLE"].cross_refs == ["PACE"] and got["AMBLE"].outline is None
     assert got["AMBER"].headword_image == "4.jpg" and len(got["AMBER"].headword_bbox) == 4
-    assert (got["ALGEBRA"].type, got["ALGEBRA"].image_page_start, got["ALGEBRA"].image_page_end) == ("treatise", 3, 4)
+    assert (got["ALGEBRA"].type, got["ALGEBRA"].image_page_start, got["ALGEBRA"].image_page_end) == ("treatise", 2, 3)
     assert got["AMBER"].type == "article" and got["ALGEBRA"].outline == []
 
 
@@ -148,9 +148,9 @@ def test_dissertations_of_a_volume(spark):
     table = spark.createDataFrame(pages, "identifier string, idx int, image string, raw string")
     volumes = spark.createDataFrame([("d", "EB.15", 1, "Preliminary dissertations", None, "t")], "identifier string, eb_code string, volume_num int, alpha_range string, volume_label string, title string")
     got = A.volume_records(table, volumes).orderBy("seq").collect()
-    assert [(r.headword, r.type, r.printed_page_start, r.printed_page_end, r.image_page_start, r.image_page_end) for r in got] == [("DISSERTATION FIRST", "treatise", 2, 3, 2, 3), ("DISSERTATION SECOND", "treatise", 4, 5, 4, 5)]
+    assert [(r.headword, r.type, r.printed_page_start, r.printed_page_end, r.image_page_start, r.image_page_end) for r in got] == [("DISSERTATION FIRST", "treatise", 2, 3, 1, 2), ("DISSERTATION SECOND", "treatise", 4, 5, 3, 4)]
     assert got[0].body_text.startswith("Half title. One begins.") and got[1].body_text == "Two begins. See MORALS. Two goes on." and got[1].cross_refs == ["MORALS"]
-    assert [(o.level, o.label, o.printed_page, o.image_page) for o in got[0].outline] == [(3, "OFMIND", 3, 3)] and got[0].image_files == ["1.jpg", "2.jpg"]
+    assert [(o.level, o.label, o.printed_page, o.image_page) for o in got[0].outline] == [(3, "OFMIND", 3, 2)] and got[0].image_files == ["1.jpg", "2.jpg"]
 
 
 def test_dissertation_bounds(spark):
