@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
+from quire.operators import provenance as N
 from quire.operators import repairs as P
 from quire.operators import reports as Q
 from quire.operators import vocabulary as V
@@ -53,6 +54,24 @@ def reapply_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.reapplied(_parts(spark, sf_dir), _fixes(spark), wrong, ["p_type"], "p_name").select("p_partkey", "p_name", "raw_p_name")
 
 
+_NOTED = f"""{_FIX}, noted as (select p_partkey, upper(p_name) as was, upper(split_part(p_name, ' ', 1)) as old_base, upper(new) as new,
+  old is not null and upper(split_part(p_name, ' ', 1)) = upper(old) as done, old in ({", ".join(f"'{a}'" for a, _ in WRONG)}) as wrong from part left join fixes using (p_type))"""
+
+
+@R.query(
+    f"""with {_NOTED} select p_partkey, case when done and not wrong then regexp_replace(was, '(^|[^A-Za-z])' || old_base || '($|[^A-Za-z-])', '\\1' || new || '\\2') else was end as headword,
+  case when done and not wrong then new else old_base end as base_headword, case when done and not wrong then was end as raw_headword, case when done and not wrong then old_base end as corrected_from from noted"""
+)
+def corrections_noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as records of editions: corrected twice (the second time changes nothing), then the wrong ones undone."""
+    parts = _parts(spark, sf_dir)
+    records = parts.select("p_partkey", F.col("p_type").alias("eb_code"), F.upper("p_name").alias("headword"), F.upper(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("base_headword"), F.lit("article").alias("type"))
+    fixes = _fixes(spark).select(F.col("p_type").alias("eb_code"), F.upper("old").alias("variant"), F.upper("new").alias("canonical"), F.lit(3).alias("n_editions"), F.lit(1).alias("edit_distance"))
+    wrong = spark.createDataFrame([(a.upper(), b.upper()) for a, b in WRONG], "old string, new string")
+    out = N.uncorrected(N.corrected(N.corrected(records, fixes), fixes), wrong)
+    return out.select("p_partkey", "headword", "base_headword", "provenance.raw_headword", F.col("provenance.headword_correction.from").alias("corrected_from"))
+
+
 @R.query("select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts, event_id) as n from events) where n = 1")
 def merge_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.first_wins(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value")

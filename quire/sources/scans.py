@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,35 +50,58 @@ def array_or_object(c, key: str, element: str):
     return F.coalesce(F.from_json(c, f"struct<{key}:array<{element}>>")[key], F.from_json(c, f"array<{element}>"))
 
 
+_METS = "date_issued string, rights string, mets_error string, pages array<struct<order:int,image:string>>"
+
+
+def _read_mets(xml: bytes | None) -> dict:
+    """Facts and pages of one METS document, by the names of its elements without their prefixes."""
+    out = {"date_issued": None, "rights": None, "mets_error": None, "pages": []}
+    try:
+        root = ElementTree.fromstring(xml or b"")
+    except ElementTree.ParseError as e:
+        return {**out, "mets_error": str(e)}
+    images: dict[str, str] = {}
+    places: list[tuple[int, str]] = []
+    for el in root.iter():
+        name, told = el.tag.rsplit("}", 1)[-1], " ".join("".join(el.itertext()).split())
+        if name == "file":
+            for link in el:
+                href = next((v for k, v in link.attrib.items() if k.rsplit("}", 1)[-1] == "href"), "")
+                if href.startswith("file://") and "image/" in href:
+                    images[el.get("ID", "")] = href.rsplit("/", 1)[-1]
+        elif name == "div" and (order := el.get("ORDER", "")).strip().isdecimal():
+            places += [(int(order), f.get("FILEID", "")) for f in el if f.tag.rsplit("}", 1)[-1] == "fptr"]
+        elif name == "dateIssued":
+            out["date_issued"] = out["date_issued"] or told or None
+        elif name == "accessCondition":
+            out["rights"] = out["rights"] or told or None
+    return {**out, "pages": [{"order": o, "image": images[f]} for o, f in sorted(places) if f in images]}
+
+
+def mets(spark: SparkSession, path: str) -> DataFrame:
+    """(identifier, file, date_issued, rights, n_pages_mets, pages, mets_error) of METS files, one row a file.
+
+    A file that isn't well formed has its parser's message in mets_error, and no facts or pages; comments, CDATA and
+    nested divisions are read as XML has them. Pages (order, image) are those of the structure map that point to images;
+    a division whose order is no number is none. Files without a byte give no row. The files are small and are read whole, each by one task.
+    """
+    read = F.pandas_udf(lambda xml: pd.DataFrame([_read_mets(x) for x in xml]), f"struct<{', '.join(f.replace(' ', ':', 1) for f in _METS.split(', '))}>")
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "([^/]+?)(?:-mets)?[.]xml$", 1).alias("identifier"), F.col("path").alias("file"), read("content").alias("m"))
+    files = files.select("identifier", "file", "m.*")
+    return files.withColumn("n_pages_mets", F.when(F.col("mets_error").isNull(), F.size("pages")).cast("bigint"))
+
+
 def mets_pages(spark: SparkSession, path: str) -> DataFrame:
     """(file, order, image) of METS files: the pages of their structure maps with the images' names.
 
     A page that points to no image is left out; a file that isn't well formed gives no rows (mets_facts names it).
     """
-    files = spark.read.schema("_ID string, `mets:FLocat` struct<`_xlink:href`:string>").option("rowTag", "mets:file").option("mode", "DROPMALFORMED").xml(path)
-    files = files.select(F.input_file_name().alias("file"), F.col("_ID").alias("file_id"), F.regexp_extract(F.col("`mets:FLocat`.`_xlink:href`"), "([^/]+)$", 1).alias("image"))
-    div = "struct<_ORDER:int,`mets:fptr`:array<struct<_FILEID:string>>>"
-    maps = spark.read.schema(f"_ORDER int, `mets:div` array<{div}>").option("rowTag", "mets:div").option("mode", "DROPMALFORMED").xml(path)
-    leaves = maps.select(F.input_file_name().alias("file"), F.explode("`mets:div`").alias("d"))
-    ids = leaves.select("file", F.col("d._ORDER").alias("order"), F.explode("d.`mets:fptr`").alias("f")).select("file", "order", F.col("f._FILEID").alias("file_id"))
-    return ids.join(files.where("image rlike '(?i)\\.jpe?g$'"), ["file", "file_id"]).select("file", "order", "image").orderBy("file", "order", "image")
+    return mets(spark, path).select("file", F.explode("pages").alias("p")).select("file", "p.order", "p.image").orderBy("file", "order", "image")
 
 
 def mets_facts(spark: SparkSession, path: str) -> DataFrame:
-    """(identifier, date_issued, rights, mets_error) of METS files, one row a file, read whole: they are small.
-
-    A file that isn't well formed has its parser's message in mets_error and nothing else.
-    """
-    texts = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), "([^/]+)-mets[.]xml$", 1).alias("identifier"), F.col("value").alias("xml"))
-    first = lambda tag: F.get(F.xpath("xml", F.lit(f"//*[local-name()='{tag}']//text()")), F.lit(0))
-    words = lambda c: F.nullif(F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit(""))
-    # Every element closes what opened last, or the parser stops: the tags of a sound file balance.
-    opened = F.regexp_count("xml", F.lit(r"<[A-Za-z][^<>]*[^/<>]>|<[A-Za-z]>"))
-    closed = F.regexp_count("xml", F.lit("</[A-Za-z]"))
-    broken = F.when(opened != closed, F.concat(opened.cast("string"), F.lit(" elements open and "), closed.cast("string"), F.lit(" close")))
-    rows = texts.withColumn("mets_error", broken)
-    sound = F.col("mets_error").isNull()
-    return rows.select("identifier", F.when(sound, words(first("dateIssued"))).alias("date_issued"), F.when(sound, words(first("accessCondition"))).alias("rights"), "mets_error")
+    """(identifier, date_issued, rights, n_pages_mets, mets_error) of METS files, as ``manifest`` takes them."""
+    return mets(spark, path).select("identifier", "date_issued", "rights", "n_pages_mets", "mets_error")
 
 
 def image_counts(spark: SparkSession, glob: str) -> DataFrame:

@@ -39,6 +39,17 @@ def test_mets(spark, tmp_path):
     assert facts["2"].mets_error and facts["2"].date_issued is None
 
 
+def test_mets_that_is_odd_or_broken(spark, tmp_path):
+    odd = METS.replace("<mets:dmdSec>", "<!-- <a> & <b --><mets:dmdSec><note><![CDATA[<open>]]></note>").replace('<mets:div ORDER="2">', '<mets:div ORDER="x"/><mets:div><mets:div ORDER="2">').replace('<mets:div ORDER="1">', '</mets:div><mets:div ORDER="1">')
+    for name, text in {"1": odd, "2": "<mets><a><b>x</a></b></mets>", "3": " ", "4": "<mets a='1' a='2'/>", "5": "<mets/>"}.items():
+        (tmp_path / f"{name}-mets.xml").write_text(text)
+    facts = {r.identifier: r for r in scans.mets_facts(spark, str(tmp_path)).collect()}
+    assert (facts["1"].date_issued, facts["1"].rights, facts["1"].n_pages_mets, facts["1"].mets_error) == ("1771", "Public domain", 2, None)
+    assert all(facts[k].mets_error and facts[k].n_pages_mets is None and facts[k].date_issued is None for k in "234")
+    assert "mismatched tag" in facts["2"].mets_error and (facts["5"].n_pages_mets, facts["5"].mets_error) == (0, None)
+    assert [(r.order, r.image) for r in scans.mets_pages(spark, str(tmp_path)).collect()] == [(1, "20.jpg"), (2, "30.jpg")]
+
+
 def test_images(spark, tmp_path):
     for name in ("a/image/100.jpg", "a/image/20.jpg", "a/image/x.txt", "b/3.jpg"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
