@@ -71,7 +71,7 @@ def absorbed_entries(records: DataFrame, editions: list[str], times: float = 3.0
     large = V.oversized(sizes, "key", "edition", "size", times, more, least).select("key", "edition", "median_elsewhere")
     large = rows.join(large, ["key", "edition"]).where((F.col("char_count") > times * F.col("median_elsewhere")) & (F.col("char_count") - F.col("median_elsewhere") > more))
     large = large.withColumnRenamed("key", "absorber")
-    beside = large.select("edition", "file", "line", "absorber").join(V.absent_between(found, least), ["edition", "absorber"])
+    beside = large.select("edition", "file", "line", "absorber").join(V.absent_between(found, least, large), ["edition", "absorber"])
 
     words = found.groupBy("key").agg(F.count("*").alias("n_editions")).where(F.col("n_editions") >= least)
     tokens = large.select("edition", "file", "line", "absorber", F.explode(F.array_distinct(F.regexp_extract_all(F.upper(F.coalesce("body_text", F.lit(""))), F.lit(r"(?U)(\w+)"), F.lit(1)))).alias("token"))

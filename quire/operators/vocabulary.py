@@ -111,32 +111,37 @@ def successors(found: DataFrame) -> DataFrame:
     return rows.select("edition", "key", F.coalesce("_inside", "_after").alias("successor"))
 
 
-#: Editions that may stand in a plan as a list; an edition is a work, not a document.
-MOST_EDITIONS = 1_000
-
-
-def absent_between(found: DataFrame, least: int = 3) -> DataFrame:
+def _ranked(found: DataFrame, least: int) -> DataFrame:
+    """(key, upto, is_word): every key, how many words of ``least`` editions or more are not after it, and whether it is
+    one. Places run inside blocks of the alphabet and start where the blocks before end, so no task has all words."""
+    keys = found.select("edition", "key").distinct().groupBy("key").agg((F.count("*") >= least).alias("is_word"))
+    keys = keys.withColumn("block", F.left("key", F.lit(2)))
+    own = keys.groupBy("block").agg(F.count_if("is_word").alias("n"))
+    # One row a pair of letters.
+    before = own.select("block", F.coalesce(F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inside = F.sum(F.col("is_word").cast("bigint")).over(Window.partitionBy("block").orderBy("key"))
+    return keys.withColumn("inside", inside).join(before, "block").select("key", (F.col("before") + F.col("inside")).alias("upto"), "is_word")
+
+
+def absent_between(found: DataFrame, least: int = 3, absorbers: DataFrame | None = None) -> DataFrame:
     """(edition, absorber, key): words that ``least`` other editions have and this one lacks, with the word of
-    this edition that stands right before each.
+    this edition that stands right before each; only behind ``absorbers`` (edition, absorber) where they are given.
 
-    A running last value inside blocks of the alphabet stands in for a range join; what an edition has last in
-    the blocks before comes from one row a block. More than MOST_EDITIONS editions raise a ValueError.
+    A join of intervals by ranks: between a word and its successor an edition has none, so what it lacks there are
+    the ranks between theirs. Only these are written out, and meet their words by rank; no table of all words and
+    editions is made, and any number of editions will do.
     """
-    have = _by_block(found.select("edition", "key").distinct())
-    words = have.groupBy("block", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    editions = [r.edition for r in have.select("edition").distinct().limit(MOST_EDITIONS + 1).collect()]
-    if len(editions) > MOST_EDITIONS:
-        raise ValueError(f"more than {MOST_EDITIONS} editions")
-    every = F.explode(F.array(*[F.lit(e) for e in editions]).cast(f"array<{dict(found.dtypes)['edition']}>")).alias("edition")
-    blocks = words.select("block").distinct().select("block", every)
-    ends = have.groupBy("edition", "block").agg(F.max("key").alias("last"))
-    carried = blocks.join(ends, ["edition", "block"], "full")
-    carried = carried.withColumn("carried", F.last("last", ignorenulls=True).over(Window.partitionBy("edition").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))).select("edition", "block", "carried")
-    grid = words.select("block", "key", every)
-    marks = grid.join(have.withColumn("present", F.lit(True)), ["edition", "block", "key"], "full").withColumn("present", F.coalesce("present", F.lit(False)))
-    inside = F.last(F.when(F.col("present"), F.col("key")), ignorenulls=True).over(Window.partitionBy("edition", "block").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
-    out = marks.withColumn("inside", inside).where("not present").join(carried, ["edition", "block"])
-    return out.withColumn("absorber", F.coalesce("inside", "carried")).where("absorber is not null").select("edition", "absorber", "key")
+    held = found.where(F.col("edition").isNotNull() & F.col("key").isNotNull())
+    places = _ranked(held, least)
+    spans = successors(held)
+    if absorbers is not None:
+        spans = spans.join(absorbers.select("edition", F.col("absorber").alias("key")).distinct(), ["edition", "key"], "left_semi")
+    after = places.select(F.col("key").alias("successor"), (F.col("upto") - F.col("is_word").cast("bigint")).alias("hi"))
+    most = places.agg(F.max("upto")).first()[0] or 0
+    spans = spans.join(places.select("key", F.col("upto").alias("lo")), "key").join(after, "successor", "left")
+    spans = spans.withColumn("hi", F.coalesce("hi", F.lit(most))).where("hi > lo")
+    lacking = spans.select("edition", F.col("key").alias("absorber"), F.explode(F.sequence(F.col("lo") + 1, F.col("hi"))).alias("upto"))
+    return lacking.join(places.where("is_word").select("upto", "key"), "upto").select("edition", "absorber", "key")
 
 
 def oversized(sizes: DataFrame, word: str, edition: str, size: str, times: float = 3.0, more: float = 8000.0, least: int = 3) -> DataFrame:
