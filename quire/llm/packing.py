@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import os
 import re
 from array import array
@@ -35,30 +36,45 @@ LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 #: How a byte-level vocabulary writes bytes: printable ones as they are, the others from U+0100 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = {b: b if b in _PRINTED else 256 + sum(o not in _PRINTED for o in range(b)) for b in range(256)}
+_BLANK = chr(BYTES[32])
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 class WordTokens:
     """Ids of texts by their pre-tokens, remembered: a byte-level BPE merges inside pre-tokens only.
 
-    ``limit`` pre-tokens of ``LONG`` characters at most are remembered; longer ones are worked out each time.
-    Texts that hold a special token are encoded whole.
+    About ``limit`` pre-tokens of ``LONG`` characters at most are remembered; longer ones are worked out each time. When
+    they are too many, those that most texts had stay, half of ``limit`` at most. Texts that hold a special token are
+    encoded whole.
     """
 
     LONG, PIECE = 64, 20_000
 
     def __init__(self, path: str, limit: int = 150_000) -> None:
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model = self.tokenizer.model
         self.find = regex.compile(public_tokenizers.PATTERN).findall
         # The same for texts in ASCII, where letters, digits and white space can be listed; the standard module is quicker.
         plain = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\t-\r A-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]").replace(r"\s", r"[\t-\r ]").replace(r"\S", r"[^\t-\r ]")
         self.find_ascii = re.compile(plain).findall
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
+        self.place: dict[str, int] = {}
+        self.start, self.length, self.ids = array("i"), array("i"), array("I")
+        self.texts = np.zeros(limit, np.uint32)
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.start, self.length, self.ids = array("q"), array("q"), array("I")
+        """Keeps the pre-tokens that most texts had, and only such as two texts had."""
+        texts = self.texts[: len(self.start)]
+        least = 2 if len(texts) <= self.limit // 2 else max(2, int(np.partition(texts, -(self.limit // 2) - 1)[-(self.limit // 2) - 1]) + 1)
+        kept = {w: at for w, at in self.place.items() if texts[at] >= least}
+        at = np.fromiter(kept.values(), np.int64, len(kept))
+        start, length, ids = (np.frombuffer(a, k).copy() for a, k in ((self.start, np.int32), (self.length, np.int32), (self.ids, np.uint32)))
+        n = length[at]
+        ends = np.cumsum(n, dtype=np.int32)
+        index = np.repeat(start[at] - (ends - n), n) + np.arange(n.sum())
+        self.place = dict(zip(kept, range(len(kept)), strict=True))
+        self.start, self.length, self.ids = (array(k, a.tobytes()) for k, a in (("i", ends - n), ("i", n), ("I", ids[index].astype(np.uint32))))
+        self.texts = np.concatenate([texts[at], np.zeros(max(0, self.limit - len(at)), np.uint32)])
 
     def learn(self, word: str) -> int:
         """The place of a pre-token: the model's ids of its bytes as the vocabulary writes them."""
@@ -67,7 +83,9 @@ class WordTokens:
             at = len(self.start)
             if len(word) <= self.LONG:
                 self.place[word] = at
-            ids = [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(BYTES))]
+            # Most are a blank and printable signs, which the vocabulary writes as they are.
+            plain = word[0] == " " and word[1:].isascii() and word[1:].isalnum()
+            ids = [t.id for t in self.model.tokenize(_BLANK + word[1:] if plain else word.encode().decode("latin-1").translate(BYTES))]
             self.start.append(len(self.ids))
             self.length.append(len(ids))
             self.ids.extend(ids)
@@ -87,12 +105,17 @@ class WordTokens:
     def _ids(self, words: list[str]) -> np.ndarray:
         if len(self.start) > self.limit:
             self.forget()
-        places = list(map(self.place.get, words))
-        if None in places:
-            places = [self.learn(w) if p is None else p for w, p in zip(words, places, strict=True)]
-        at = np.array(places, np.int64)
-        n = np.frombuffer(self.length, np.int64)[at]
-        index = np.repeat(np.frombuffer(self.start, np.int64)[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), np.int32, len(words))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            at[new] = [self.learn(words[i]) for i in new]
+        if len(self.texts) < len(self.start):
+            self.texts = np.concatenate([self.texts, np.zeros(len(self.start), np.uint32)])
+        self.texts[at] += 1
+        n = np.frombuffer(self.length, np.int32)[at]
+        ends = np.cumsum(n, dtype=np.int32)
+        index = np.repeat(np.frombuffer(self.start, np.int32)[at] - (ends - n), n)
+        index += np.arange(len(index), dtype=np.int32)
         # A copy, which lets the arrays grow again.
         return np.frombuffer(self.ids, np.uint32)[index]
 
