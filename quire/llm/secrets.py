@@ -33,6 +33,10 @@ LEAST = 0.5
 #: Signs that part the values of a query string, of JSON or of a CSV line; a value that something is assigned to.
 PARTS = r"[,;&?|<>(){}\[\]]+"
 VALUE = "[:=][\"']?([A-Za-z0-9+/_=.~!@^-]{6,})"
+#: What a name is assigned: all up to the quote that closes it, or to the end of the word; and the next field of a query.
+WHOLE = rf"(?i)(?:{NAMES})[\"']?(?:[:=]+|=>)(?:\"([^\"]+)|'([^']+)|([^\"'&]+))"
+#: Signs that no candidate but a whole value holds.
+ODD = r"[^A-Za-z0-9+/_=.~!@^-]"
 FEATURES = ["length", "digits", "upper", "lower", "signs", "switches", "letter_runs", "hexadecimal", "covered", "known", "a_name", "prefixed", "assigned", "named", "against", "path"]
 
 
@@ -41,7 +45,9 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> Dat
 
     A word holds candidates if it has sixteen characters or more with letters and digits or a usual prefix, if it assigns
     something to one of NAMES, or if it follows such a name and a sign of assignment. Every assigned value and
-    every other run in each part of the word is one; ``own`` is the part that it stands in.
+    every other run in each part of the word is one; ``own`` is the part that it stands in. What such a name is
+    assigned is one as a whole too, whatever signs are in it (``whole``, also beside the candidates that are pieces of
+    it). A candidate has six characters at least; shorter ones can't be told from words.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.withColumn("_path", F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit(""))
@@ -55,15 +61,24 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> Dat
     rows = rows.withColumn("word", F.explode("_places"))
     around = lambda lo, hi: F.lower(F.array_join(F.filter(F.array(*[at(F.col("word") + k) for k in range(lo, hi)]), lambda x: x.isNotNull()), " "))
     rows = once(rows, at(F.col("word")).alias("_word"), around(-3, 0).alias("before"), around(1, 4).alias("after"))
-    rows = rows.withColumn("own", F.explode(F.split("_word", PARTS))).where(F.length("own") >= 6)
+    # Named values of the word, or the word itself, without quotes and closing signs, where it follows a name.
+    named = F.filter(F.flatten(F.array(*[F.regexp_extract_all("_word", F.lit(WHOLE), F.lit(k)) for k in (1, 2, 3)])), lambda v: v != "")
+    after_name = F.coalesce(follows(F.col("word")), F.lit(False))
+    bare_word = F.array(F.btrim("_word", F.lit("\"'`")))
+    closed = F.transform(F.when(after_name, bare_word).otherwise(named), lambda v: F.rtrim(F.rtrim(v, F.lit(".,;:!)]}\"'")), F.lit("\"'")))
+    rows = once(rows, F.filter(closed, lambda v: F.length(v) >= 6).alias("_named"))
+    rows = rows.withColumn("own", F.explode(F.concat(F.filter(F.split("_word", PARTS), lambda o: F.length(o) >= 6), F.when(F.exists("_named", lambda v: v.rlike(PARTS) | v.rlike(ODD)), F.array("_word")).otherwise(F.array().cast("array<string>")))))
     # Assigned values, and their pieces where more signs stand in them; then bare runs of what values leave.
     values = F.regexp_extract_all("own", F.lit(VALUE), F.lit(1))
     pieces = F.flatten(F.transform(F.col("_values"), lambda v: F.split(v, "[=@]+(?=[^=@])")))
     bare = F.regexp_extract_all(F.regexp_replace("own", VALUE, " "), F.lit("([A-Za-z0-9+/_=.-]{6,})"), F.lit(1))
     rows = once(rows, values.alias("_values"), bare.alias("_bare"))
     runs = F.when(F.size("_values") == 0, F.col("_bare")).otherwise(F.filter("_bare", long))
-    rows = rows.withColumn("candidate", F.explode(F.array_distinct(F.transform(F.concat("_values", pieces, runs), lambda c: F.rtrim(c, F.lit(".,;:!"))))))
-    return rows.where(F.length("candidate") >= 6).drop("_words", "_places", "_word", "_values", "_bare")
+    some = F.transform(F.concat("_values", pieces, runs), lambda c: F.rtrim(c, F.lit(".,;:!")))
+    entire = (F.col("own") == F.col("_word")) & F.exists("_named", lambda v: v.rlike(PARTS) | v.rlike(ODD))
+    rows = rows.withColumn("candidate", F.explode(F.array_distinct(F.when(entire, F.filter("_named", lambda v: v.rlike(PARTS) | v.rlike(ODD))).otherwise(some))))
+    rows = rows.withColumn("whole", F.get(F.filter("_named", lambda v: F.contains(v, F.col("candidate"))), F.lit(0)))
+    return rows.where(F.length("candidate") >= 6).drop("_words", "_places", "_word", "_values", "_bare", "_named")
 
 
 @dataclass
@@ -191,14 +206,14 @@ def trained(findings: DataFrame, words: list[str] | None = None) -> Scanner:
 
 
 def findings(docs: DataFrame, scanner: Scanner, text: str = "text", path: str = "source", keep: tuple[str, ...] = ("doc_id",), least: float = LEAST) -> DataFrame:
-    """Candidates of the whole texts, one row each: ``keep``, word, candidate, probability, is_secret.
+    """Candidates of the whole texts, one row each: ``keep``, word, candidate, whole (the named value it is in), probability, is_secret.
 
     Null and empty texts have none; a null path tells nothing. Repeated rows are scanned each.
     """
     kept = docs.select(*[F.col(k).alias(f"_k_{k}") for k in keep], F.col(text).alias("text"), (F.col(path) if path in docs.columns else F.lit(None)).cast("string").alias("source"))
     rows = featured(candidates(kept), scanner.words).drop("text", "source")
     judged = scanner.model.transform(rows).withColumn("probability", F.round(F.element_at(vector_to_array("probability"), 2), 6))
-    return judged.select(*[F.col(f"_k_{k}").alias(k) for k in keep], "word", "candidate", "probability", (F.col("probability") >= least).alias("is_secret"))
+    return judged.select(*[F.col(f"_k_{k}").alias(k) for k in keep], "word", "candidate", "whole", "probability", (F.col("probability") >= least).alias("is_secret"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +239,8 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     found = findings(numbered, trained(labelled_findings(spark), dictionary(docs)), keep=("_row",)).where("is_secret")
     # Longer masks first: a shorter one may be part of them.
-    masks = stored(found.groupBy("_row").agg(F.collect_set("candidate").alias("_masks")), "masks")
+    # A piece of a named value takes the whole value with it.
+    masks = stored(found.groupBy("_row").agg(F.collect_set(F.coalesce("whole", "candidate")).alias("_masks")), "masks")
     longest = F.sort_array(F.transform("_masks", lambda m: F.struct(F.length(m).alias("n"), m.alias("m"))), asc=False)
     masks = masks.withColumn("_masks", F.transform(longest, lambda x: x["m"]))
     few = masks.count() <= BROADCAST_ROWS

@@ -110,6 +110,21 @@ def test_every_secret_of_a_word_is_masked(spark, tmp_path):
     assert "hunter2secret" in {r.candidate for r in secrets.candidates(login).collect()}
 
 
+def test_named_values_are_masked_whole(spark, tmp_path):
+    lines = {
+        "use password=Tr0ub4dor#3$xx9Q now": ["Tr0ub4dor", "xx9Q"],
+        "the db password: s3cr3t(9)key7Q, he said": ["s3cr3t", "key7Q"],
+        "set password = hunter2#rest99X8 and go": ["hunter2", "rest99X8"],
+        """{"user":"alice","password":"aB3#dE5{fG7}hJ9"}""": ["aB3", "dE5", "fG7", "hJ9"],
+        "https://host.example/cb?token=ghp_aB3dE5fG7hJ9kL1mN3pQ5rS7tU9vW1xY3zA5&page=12": ["ghp_aB3"],
+    }
+    frame(spark, [(i, t, "en") for i, t in enumerate(lines)]).write.parquet(str(tmp_path / "docs"))
+    out = {r.doc_id: r.text for r in secrets.redacted(spark, spark.read.parquet(str(tmp_path / "docs")), str(SF)).collect()}
+    for i, (line, pieces) in enumerate(lines.items()):
+        assert secrets.MASK in out[i] and not [p for p in pieces if p in out[i]], (line, out[i])
+    assert out[0] == f"use password={secrets.MASK} now" and '"user":"alice"' in out[3] and "&page=12" in out[4]
+
+
 def test_forms_that_no_training_finding_has(spark):
     rng = random.Random(3)
     b64 = lambda n: base64.b64encode(rng.randbytes(n)).decode()
