@@ -95,12 +95,12 @@ def absorbed_entries(records: DataFrame, editions: list[str], times: float = 3.0
 def batch_items(candidates: DataFrame, size: int = 25) -> DataFrame:
     """(batch, i, v, ed, sug, snip): candidates numbered from 0 in their order, in compact form, ``size`` a batch.
 
-    Candidates are the few words that one edition has alone; their numbers run through one task.
+    Numbers run inside blocks of an even size of that order and start where the blocks before end.
     """
     best, first = F.get("suggestions", F.lit(0)), F.get("records", F.lit(0))
-    order = Window.orderBy(best["edit_distance"], best["n_editions"].desc(), F.size("suggestions"), "edition", first["file"], first["line"], "variant")
+    order = F.struct(best["edit_distance"], -best["n_editions"], F.size("suggestions"), F.col("edition"), first["file"], first["line"], F.col("variant"))
     short = F.transform("suggestions", lambda s: F.struct(s["norm"].alias("n"), s["edit_distance"].alias("d"), s["n_editions"].alias("ne")))
-    rows = candidates.withColumn("i", F.row_number().over(order) - 1)
+    rows = V.ordinal(V.blocked(candidates.withColumn("_order", order), "_order"), "block", ["_order"], "i").withColumn("i", F.col("i") - 1)
     return rows.select(F.floor(F.col("i") / size).alias("batch"), "i", F.col("variant").alias("v"), F.col("edition").alias("ed"), short.alias("sug"), F.col("snippet").alias("snip"))
 
 

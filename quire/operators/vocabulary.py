@@ -10,6 +10,9 @@ from quire.functions import text as X
 #: Positions before and after a word that are looked at (the word at the end is left out), and edit distance.
 BAND, EDITS = 30, 2
 
+#: Rows that a block of an order holds on average, blocks at most, and keys sampled for each.
+BLOCK_ROWS, BLOCKS, SAMPLED = 100_000, 2_048, 32
+
 
 def _words(text: str) -> Column:
     """Different words of a text, an empty one perhaps among them."""
@@ -40,11 +43,37 @@ def vocabulary(found: DataFrame) -> DataFrame:
     return found.groupBy("key").agg(F.array_sort(F.collect_set("edition")).alias("editions")).withColumn("n_editions", F.size("editions").cast("bigint"))
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """``rows``, written once to the folder of spark.checkpoint.dir where the session names one: what asks for them
+    several times, or loses an executor, does not make them from the start. Without a folder they stay as declared."""
+    return rows.checkpoint() if rows.sparkSession.conf.get("spark.checkpoint.dir", "") else rows
+
+
+def blocked(rows: DataFrame, key: str, size: int = BLOCK_ROWS, most: int = BLOCKS, sampled: int = SAMPLED) -> DataFrame:
+    """``rows`` with ``block`` (from 0): blocks follow each other in the order of ``key`` and hold about ``size`` rows
+    each (an equal share of all rows where these would be more than ``most`` blocks), whatever the keys begin with.
+
+    The cuts between blocks are keys of a sample, chosen by their hashes, so all that ask see the same cuts; the
+    sample holds ``sampled`` keys a block, 65,536 at most on average. Rows of one key share a block; a null key is in
+    the first. Few rows are one block. Rows are asked for four times (number, sample, and twice by ``ordinal``), so they are settled.
+    """
+    rows = settled(rows)
+    n = rows.agg(F.count("*")).scalar()
+    blocks = F.least(F.ceil(n / size), F.lit(most))
+    share = F.when(blocks > 1, blocks * sampled / n).otherwise(0.0)
+    chosen = rows.select(F.col(key).alias("k")).where("k is not null").where(F.pmod(F.xxhash64("k"), F.lit(2**40)) < share * float(2**40))
+    cuts = chosen.agg(F.filter(F.array_sort(F.collect_set("k")), lambda _, i: i % sampled == sampled - 1)).scalar()
+    # How many cuts are not after the key, by halving: a cut outside the array is null and isn't taken.
+    steps = F.array(*[F.lit(2**i) for i in range((2 * most).bit_length(), -1, -1)])
+    place = F.aggregate("_steps", F.lit(0), lambda at, step: at + F.when(F.get("_cuts", at + step - 1) <= F.col(key), step).otherwise(0))
+    return rows.withColumn("_cuts", cuts).withColumn("_steps", steps).withColumn("block", place).drop("_cuts", "_steps")
+
+
 def ordinal(df: DataFrame, block: str, order: list[str], name: str = "ordinal", part: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with the place of each row (from 1, in each ``part``) in the order of ``order``, which the blocks follow.
 
-    Rows are numbered inside blocks; only one row a block meets in a single task, so blocks should hold some
-    thousands of rows (a billion blocks are the limit of what one task numbers).
+    Rows are numbered inside blocks; only one row a block meets in a single task. ``blocked`` makes blocks of an even
+    size of any order.
     """
     sizes = df.groupBy(*part, block).agg(F.count("*").alias("_n"))
     before = sizes.select(*part, F.col(block), (F.sum("_n").over(Window.partitionBy(*part).orderBy(block)) - F.col("_n")).alias("_before"))
@@ -56,17 +85,15 @@ def suggestions(vocab: DataFrame, most: int = 4) -> DataFrame:
     """(variant, edition, rank, canonical, edit_distance, n_editions): for words that one edition has alone,
     the closest words that two or more have, in the band around it in the sorted vocabulary.
 
-    Words whose first half agrees share their first two letters, so each pair of letters is a block of its
-    own; blocks are cut into buckets of a band's width, and a singleton looks into three of them.
+    The places of all words are cut into buckets of a band's width, and a singleton looks into three of them.
     """
-    placed = vocab.withColumn("block", F.left("key", F.lit(2))).withColumn("at", F.row_number().over(Window.partitionBy("block").orderBy("key")))
-    placed = placed.withColumn("bucket", F.floor(F.col("at") / BAND))
-    single = placed.where("n_editions = 1").select(F.col("key").alias("variant"), F.get("editions", F.lit(0)).alias("edition"), "block", F.col("at").alias("at1"), F.explode(F.array(*[F.col("bucket") + d for d in (-1, 0, 1)])).alias("bucket"))
-    known = placed.where("n_editions > 1").select(F.col("key").alias("canonical"), "editions", "n_editions", "block", "at", "bucket")
+    placed = ordinal(blocked(vocab, "key"), "block", ["key"], "at").withColumn("bucket", F.floor(F.col("at") / BAND))
+    single = placed.where("n_editions = 1").select(F.col("key").alias("variant"), F.get("editions", F.lit(0)).alias("edition"), F.col("at").alias("at1"), F.explode(F.array(*[F.col("bucket") + d for d in (-1, 0, 1)])).alias("bucket"))
+    known = placed.where("n_editions > 1").select(F.col("key").alias("canonical"), "editions", "n_editions", "at", "bucket")
     short = F.least(F.length("variant"), F.length("canonical"))
     lead = F.greatest(F.lit(2), F.ceil(short / 2)).cast("int")
     pairs = (
-        single.join(known, ["block", "bucket"])
+        single.join(known, "bucket")
         .where((F.col("at") - F.col("at1") >= -BAND) & (F.col("at") - F.col("at1") < BAND) & (F.abs(F.length("variant") - F.length("canonical")) <= EDITS))
         .where((F.left("variant", lead) == F.left("canonical", lead)) & ~F.array_contains("editions", F.col("edition")))
         .withColumn("edit_distance", X.near(F.col("variant"), F.col("canonical"), EDITS))
@@ -85,25 +112,20 @@ def summary(found: DataFrame) -> DataFrame:
 
 def neighbours(vocab: DataFrame) -> DataFrame:
     """(key, before2, before1, after1, after2) in the sorted vocabulary: numbered by blocks, then met by number."""
-    placed = ordinal(vocab.select("key").withColumn("block", F.left("key", F.lit(2))), "block", ["key"], "at").select("key", "at")
+    placed = ordinal(blocked(vocab.select("key"), "key"), "block", ["key"], "at").select("key", "at")
     out = placed
     for name, d in (("before2", -2), ("before1", -1), ("after1", 1), ("after2", 2)):
         out = out.join(placed.select(F.col("key").alias(name), (F.col("at") - d).alias("at")), "at", "left")
     return out.drop("at")
 
 
-def _by_block(rows: DataFrame) -> DataFrame:
-    """``rows`` (edition, key) with the block that stands for a part of the alphabet: order is kept between blocks."""
-    return rows.withColumn("block", F.left("key", F.lit(2)))
-
-
 def successors(found: DataFrame) -> DataFrame:
     """(edition, key, successor): the next word that the edition has.
 
-    Words follow each other inside blocks of the alphabet; the first word of an edition's next block closes a
+    Words follow each other inside blocks of an even size; the first word of an edition's next block closes a
     block, so an edition's words never meet in one task.
     """
-    have = _by_block(found.select("edition", "key").distinct())
+    have = blocked(found.select("edition", "key").distinct(), "key")
     first = have.groupBy("edition", "block").agg(F.min("key").alias("first"))
     after = first.select(F.col("edition").alias("_edition"), F.col("block").alias("_block"), F.lead("first").over(Window.partitionBy("edition").orderBy("block")).alias("_after"))
     inside = F.lead("key").over(Window.partitionBy("edition", "block").orderBy("key"))
@@ -113,11 +135,11 @@ def successors(found: DataFrame) -> DataFrame:
 
 def _ranked(found: DataFrame, least: int) -> DataFrame:
     """(key, upto, is_word): every key, how many words of ``least`` editions or more are not after it, and whether it is
-    one. Places run inside blocks of the alphabet and start where the blocks before end, so no task has all words."""
+    one. Places run inside blocks of an even size and start where the blocks before end, so no task has all words."""
     keys = found.select("edition", "key").distinct().groupBy("key").agg((F.count("*") >= least).alias("is_word"))
-    keys = keys.withColumn("block", F.left("key", F.lit(2)))
+    keys = blocked(keys, "key")
     own = keys.groupBy("block").agg(F.count_if("is_word").alias("n"))
-    # One row a pair of letters.
+    # One row a block.
     before = own.select("block", F.coalesce(F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inside = F.sum(F.col("is_word").cast("bigint")).over(Window.partitionBy("block").orderBy("key"))
     return keys.withColumn("inside", inside).join(before, "block").select("key", (F.col("before") + F.col("inside")).alias("upto"), "is_word")
