@@ -80,6 +80,24 @@ def test_jsonl(spark, tmp_path):
     assert scans.volume_metadata(spark, str(tmp_path / "metadata.json")).first().n_pages == 3
 
 
+@pytest.mark.parametrize("split", ["64", "1000", "128m"])
+def test_line_numbers_over_splits(spark, tmp_path, split):
+    """Files of many splits, of one, of none; splits end inside lines, at their ends and inside characters."""
+    texts = {"a": [f"{i} " + "é" * (i % 40) for i in range(300)], "b": ["", "x", "", "", "last"], "c": ["one"], "d": []}
+    for name, lines in texts.items():
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines) + ("\n" if name != "b" else ""), encoding="utf-8")
+    (tmp_path / "d.txt").write_text("")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = scans.numbered_lines(spark, str(tmp_path))
+        got = {(r.file[-5], r.line, r.text) for r in rows.collect()}
+        assert rows.count() == len(got)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert got == {(name, i, line) for name, lines in texts.items() for i, line in enumerate(lines)}
+
+
 def test_array_or_object(spark):
     rows = spark.createDataFrame([('{"results": [{"i": 1}]}',), ('[{"i": 2}, {"i": 3}]',), ("nothing",), (None,)], "j string")
     got = [r.v for r in rows.select(scans.array_or_object(rows.j, "results", "struct<i:int>").alias("v")).collect()]
