@@ -6,7 +6,7 @@ is_cross_reference; other columns are carried where a record is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -196,6 +196,27 @@ def without_blank_leaves(records: DataFrame) -> DataFrame:
     return records.where(~((F.col("type").eqNullSafe("treatise")) & F.coalesce(F.col("base_headword").rlike("^VOL[IVXLC]+$"), F.lit(False)) & blank))
 
 
+def counted(records: DataFrame, types: list[str], detectors: list[str]) -> tuple[DataFrame, Observation]:
+    """``records`` as they are, and the counts that the next write of them leaves in the observation: no second job.
+
+    ``count_of`` gives the count of a pair; pairs of other types or detectors are in ``total`` alone. Counts are those
+    of tasks that succeeded; a stage that is run again for a lost executor may add its rows once more, so check
+    ``total`` against the written table where executors were lost.
+    """
+    told = Observation()
+    pairs = {_pair(t, d): F.count_if(F.col("type").eqNullSafe(t) & F.col("detected_by").eqNullSafe(d)) for t in types for d in detectors}
+    return records.observe(told, F.count(F.lit(1)).alias("total"), *[n.alias(name) for name, n in pairs.items()]), told
+
+
+def _pair(type_: str, detector: str) -> str:
+    return f"{type_}|{detector}"
+
+
+def count_of(told: Observation, type_: str, detector: str) -> int:
+    """How many records of a type and detector the write behind an observation had."""
+    return told.get[_pair(type_, detector)]
+
+
 def tallies(records: DataFrame) -> DataFrame:
     """(type, detected_by, n) with totals (nulls) of each type and of all."""
     return records.rollup("type", "detected_by").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))

@@ -11,6 +11,7 @@ from quire.operators import repairs as P
 from quire.operators import reports as Q
 from quire.operators import vocabulary as V
 from quire.plans.common import Registry, table
+from quire.streaming import resume
 
 R = Registry()
 
@@ -84,7 +85,24 @@ def last_good_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.query("select doc_id, source from documents where doc_id not in (select doc_id from labels)")
 def todo_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id", "source")
+    return resume.todo(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"]).select("doc_id", "source")
+
+
+@R.query(
+    """with p as (select source, doc_id, coalesce(toxic = 0, false) as ok, toxic from documents left join labels using (doc_id))
+select source as identifier, count(*) as n_pages, count(*) filter (ok) as n_ocr_ok, coalesce(string_agg(doc_id::varchar, ',' order by doc_id) filter (not ok), '') as failed_pages,
+  coalesce(sum(doc_id) filter (ok), 0)::bigint as total_tokens, bool_and(ok) as complete,
+  md5(string_agg('<!-- page ' || doc_id || ' | image ' || doc_id || ' -->' || chr(10) || chr(10) || case when ok then 'label ' || toxic else '[OCR FAILED]' end || chr(10) || chr(10), '' order by doc_id)) as text_md5
+from p group by source"""
+)
+def volume_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as volumes, documents as their pages, labels as what a model has answered: toxic ones as failures."""
+    order = table(spark, sf_dir, "documents").select(F.col("source").alias("identifier"), F.col("doc_id").cast("string").alias("image"), F.col("doc_id").cast("int").alias("ord"))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("image"), F.col("doc_id").cast("bigint").alias("token_count"), F.concat(F.lit("label "), F.col("toxic").cast("string")).alias("markdown"), (F.col("toxic") != 0).alias("error"))
+    told = order.join(labels, "image").drop("ord")
+    states = resume.volume_states(order, told).withColumn("failed_pages", F.array_join("failed_pages", ","))
+    texts = resume.volume_texts(order, told).select("identifier", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return states.join(texts, "identifier")
 
 
 @R.query(

@@ -6,6 +6,8 @@ VOLUMES = (
 )
 PAGES = "identifier string, idx int, image string, markdown string, raw string, token_count bigint, error boolean, error_kind string, msg string"
 PAGE_LINE = "image string, markdown string, raw string, token_count bigint, error boolean, error_kind string, msg string"
+ANSWERS = f"identifier string, {PAGE_LINE}"
+STATES = "identifier string, n_pages bigint, n_ocr_ok bigint, failed_pages array<string>, total_tokens bigint, complete boolean, elapsed_s double, closed_at double"
 BLOCKS = (
     "array<struct<pos:int,label:string,bbox:string,text:string,html:string,"
     "paras:array<struct<text:string,html:string,bold:string,bold_tail:string,lead:string>>,heads:array<struct<level:int,text:string>>>>"
