@@ -16,14 +16,17 @@ def value(spark, column):
         (X.key, "Botan y, &c.", "BOTANYC"),
         (X.key, "ÆGIS", "GIS"),
         (X.key, None, ""),
-        (X.title, "BEE - HIV E S.", "BEE-HIVES"),
-        (X.title, "HORTI CULTUR E,", "HORTICULTURE"),
+        (X.title, "  A 1 , ", "A1"),
+        (X.title, "\t;.:,", ""),
+        (X.title, ".Q\u00a0Q-\nQ", "QQ-Q"),
         (X.title, None, None),
         (X.display_title, None, None),
-        (X.unspaced, "O P T I C S.", "OPTICS."),
-        (X.unspaced, " T H E  E Y E; of  L I G H T", "THEEYE; of LIGHT"),
-        (X.unspaced, "I am a B. C D", "I am aB. CD"),
-        (X.unspaced, "CHAP. V. Of the ROOTS.", "CHAP. V. Of the ROOTS."),
+        (X.unspaced, "x y", "xy"),
+        (X.unspaced, "   ", ""),
+        (X.unspaced, "x 1 y", "x 1 y"),
+        (X.unspaced, "p q; r s", "pq; rs"),
+        (X.unspaced, "ab c  d e.f", "ab cd e.f"),
+        (X.unspaced, None, ""),
         (X.unspaced, "", ""),
         (X.clean, "a  hyphen- \n ated word , and", "a hyphenated word, and"),
         (X.clean, "café- bar", "cafébar"),
@@ -36,7 +39,8 @@ def value(spark, column):
         (X.word_count, "one, two-three é4", 4),
         (X.dissertation_ordinal, "DISSETATION THIRD", 3),
         (X.dissertation_ordinal, "FIRST DISSERTATION", 1),
-        (X.display_title, "SHIP BUILDIN G.", "SHIP-BUILDING"),
+        (X.display_title, "no such title", "no such title"),
+        *[(X.display_title, " ".join(k) + ".", shown) for k, shown in X.DISPLAY_TITLES.items()],
         (X.without_catchword, "so it ends. BALA-", "so it ends."),
         (X.images_named, '<img src="x" alt="a map">', '<span class="image">a map</span>'),
         (X.paragraphs, "a & b\n\nc", "<p>a &amp; b</p>\n<p>c</p>"),
@@ -55,16 +59,22 @@ def test_boxes(spark):
 @pytest.mark.parametrize(
     ("headword", "body", "wanted"),
     [
-        ("MARTEN", "MARTEN, in natural history. See MUSTELA.", True),
-        ("ELBOW", "Elbow, the bend of the arm. See BONES.", False),
-        ("X", "X, no pointer.", False),
-        ("MARTEN", "marten (the) ; See B", True),
-        ("TAR", "TAR, a word used among sailors. See NAVY", True),
-        ("TAR", "TAR, among sailors, black. See NAVY", False),
-        ("TAR", "TAR, in. See NAVY", False),
+        # The rule's parts one by one: headword, a parenthesis, one domain clause, then the reference.
+        ("", "See Z", True),
+        ("Q7", "q7. See Z", True),
+        ("Q7", "Q8. See Z", False),
+        ("Q7", "Q7 () See Z", True),
+        ("Q7", "Q7 (one) (two) See Z", False),
+        ("Q7", "Q7 (one), in 2 trades. See Z", True),
+        ("Q7", "Q7, in trades, of old. See Z", False),
+        ("Q7", "Q7, in what See Z calls so. See Z", True),
+        ("Q7", "Q7, under trades. See Z", False),
+        ("Q7", "Q7, in. See Z", False),
+        ("Q7", "Q7", False),
+        ("Q7", "  ", False),
         (None, "See NAVY", True),
-        ("TAR", None, False),
-        ("TAR", "TAR: Seen, and See", False),
+        ("Q7", None, False),
+        ("Q7", "Q7: Seen, and See", False),
     ],
 )
 def test_redirects(spark, headword, body, wanted):
