@@ -37,9 +37,19 @@ LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = {b: b if b in _PRINTED else 256 + sum(o not in _PRINTED for o in range(b)) for b in range(256)}
 _BLANK = chr(BYTES[32])
+#: Latin letters, all in U+00C0 to U+024F but two signs, and characters of Latin texts: those and ASCII, and signs and
+#: marks that are neither letters, numbers nor white space.
+_LATIN_LETTERS = r"A-Za-z\xB5\xC0-\xD6\xD8-\xF6\xF8-\u024F"
+LATIN = r"\x00-\x7F\xA1-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF-\u024F\u2010-\u2027\u2030-\u205E"
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+def _listed(letters: str) -> str:
+    """The pattern of pre-tokens for texts whose only letters are ``letters``."""
+    plain = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"[^\t-\r {letters}0-9]")
+    return plain.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", "[0-9]").replace(r"\s", r"[\t-\r ]").replace(r"\S", r"[^\t-\r ]")
+
+
 class WordTokens:
     """Ids of texts by their pre-tokens, remembered: a byte-level BPE merges inside pre-tokens only.
 
@@ -50,13 +60,16 @@ class WordTokens:
 
     LONG, PIECE = 64, 20_000
 
-    def __init__(self, path: str, limit: int = 150_000) -> None:
+    def __init__(self, path: str, limit: int = 500_000) -> None:
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.model = self.tokenizer.model
+        # What it is asked for is new; remembering it there again would only take time.
+        self.model._resize_cache(0)
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        # The same for texts in ASCII, where letters, digits and white space can be listed; the standard module is quicker.
-        plain = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\t-\r A-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]").replace(r"\s", r"[\t-\r ]").replace(r"\S", r"[^\t-\r ]")
-        self.find_ascii = re.compile(plain).findall
+        # The same for Latin texts, where letters, digits and white space can be listed; the standard module is quicker.
+        self.latin = re.compile(f"[{LATIN}]*").fullmatch
+        self.find_latin = re.compile(_listed(_LATIN_LETTERS)).findall
+        self.find_ascii = re.compile(_listed("A-Za-z")).findall
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.place: dict[str, int] = {}
         self.start, self.length, self.ids = array("i"), array("i"), array("I")
@@ -76,25 +89,28 @@ class WordTokens:
         self.start, self.length, self.ids = (array(k, a.tobytes()) for k, a in (("i", ends - n), ("i", n), ("I", ids[index].astype(np.uint32))))
         self.texts = np.concatenate([texts[at], np.zeros(max(0, self.limit - len(at)), np.uint32)])
 
-    def learn(self, word: str) -> int:
-        """The place of a pre-token: the model's ids of its bytes as the vocabulary writes them."""
-        at = self.place.get(word)
-        if at is None:
-            at = len(self.start)
-            if len(word) <= self.LONG:
-                self.place[word] = at
-            # Most are a blank and printable signs, which the vocabulary writes as they are.
-            plain = word[0] == " " and word[1:].isascii() and word[1:].isalnum()
-            ids = [t.id for t in self.model.tokenize(_BLANK + word[1:] if plain else word.encode().decode("latin-1").translate(BYTES))]
-            self.start.append(len(self.ids))
-            self.length.append(len(ids))
-            self.ids.extend(ids)
-        return at
+    def learn(self, words: list[str]) -> list[int]:
+        """The places of pre-tokens: the model's ids of their bytes as the vocabulary writes them."""
+        place, tokenize, ids, start, length = self.place, self.model.tokenize, self.ids, self.start, self.length
+        out = []
+        for word in words:
+            at = place.get(word)
+            if at is None:
+                at = len(start)
+                if len(word) <= self.LONG:
+                    place[word] = at
+                # Most are a blank and printable signs, which the vocabulary writes as they are.
+                own = [t.id for t in tokenize(_BLANK + word[1:] if word[0] == " " and word.isascii() and word[1:].isalnum() else word.encode().decode("latin-1").translate(BYTES))]
+                start.append(len(ids))
+                length.append(len(own))
+                ids.extend(own)
+            out.append(at)
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         if not text or any(s in text for s in self.special):
             return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4")
-        words = self.find_ascii(text) if text.isascii() else self.find(text)
+        words = (self.find_ascii if text.isascii() else self.find_latin if self.latin(text) else self.find)(text)
         if len(words) > self.PIECE:
             # A very long text, piece by piece: pre-tokens don't reach over its ends.
             parts = [self._ids(words[at : at + self.PIECE]) for at in range(0, len(words), self.PIECE)]
@@ -108,7 +124,7 @@ class WordTokens:
         at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), np.int32, len(words))
         new = np.flatnonzero(at < 0).tolist()
         if new:
-            at[new] = [self.learn(words[i]) for i in new]
+            at[new] = self.learn([words[i] for i in new])
         if len(self.texts) < len(self.start):
             self.texts = np.concatenate([self.texts, np.zeros(len(self.start), np.uint32)])
         self.texts[at] += 1

@@ -55,3 +55,12 @@ def test_ascii_texts_are_cut_alike_by_both_patterns():
     signs = [chr(i) for i in range(128)] + [" "] * 20 + ["'"] * 10 + list("stremvdll ") * 3
     texts = ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(20_000)]
     assert all(words.find(t) == words.find_ascii(t) for t in texts)
+
+
+def test_latin_texts_are_cut_like_any_other():
+    words = P.WordTokens(public_tokenizers.path("byte_bpe_50k.json"), limit=50)
+    signs, rng = [c for c in map(chr, range(0x2060)) if words.latin(c)], random.Random(4)
+    for _ in range(400):
+        text = "".join(rng.choice(signs) if rng.random() < 0.4 else rng.choice(" \n'stedé1²") for _ in range(80))
+        assert words.latin(text) is None or words.find_latin(text) == words.find(text)
+        assert words.encode(text)[:-1].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
