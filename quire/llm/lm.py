@@ -91,12 +91,12 @@ def counted(texts: DataFrame) -> tuple[DataFrame, Counts]:
     return vocabulary, Counts(total[0] or 0, total[1], frequent, ids, n, words)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x *= np.float32(0.5)
-    np.tanh(x, out=x)
-    x *= np.float32(0.5)
-    x += np.float32(0.5)
-    return x
+def _sigmoid(x: np.ndarray, over: float = 1) -> np.ndarray:
+    """``over`` times the sigmoid of -x, in x's place. Where the power is infinite the result is zero."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += np.float32(1)
+    return np.divide(np.float32(over), x, out=x)
 
 
 def _summed(places: list[np.ndarray], rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,12 +105,8 @@ def _summed(places: list[np.ndarray], rows: list[np.ndarray]) -> tuple[np.ndarra
     # Short numbers sort much faster; there are KNOWN and ENDINGS classes.
     order = at.astype(np.uint16 if KNOWN + ENDINGS < 1 << 16 else np.int64).argsort(kind="stable")
     s = at.take(order)
-    fresh = np.concatenate([[True], s[1:] != s[:-1]])
-    own = np.empty(len(at), np.int64)
-    own[order] = fresh.cumsum() - 1
-    n, width = int(own[order[-1]]) + 1, row.shape[1]
-    index = (own * width)[:, None] + np.arange(width)
-    return s[fresh], np.bincount(index.ravel(), row.ravel(), n * width).reshape(n, width).astype(np.float32)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    return s[first], np.add.reduceat(row.take(order, 0), first, axis=0)
 
 
 class Bilinear:
@@ -135,10 +131,12 @@ class Bilinear:
         """A batch of contexts (the word before, the one before that) with their targets, against shared noise."""
         q1, q2 = self.Q.take(one, 0), self.Q.take(two, 0)
         r = q1 @ self.C1 + q2 @ self.C2
-        known = self.log_noise + np.float32(np.log(len(noise)))
+        against = self.log_noise + np.float32(np.log(len(noise))) - self.b
         rg, rn = self.R.take(goal, 0), self.R.take(noise, 0)
-        up = 1 - _sigmoid((r * rg).sum(1) + (self.b - known)[goal])
-        down = -_sigmoid(r @ rn.T + (self.b - known)[noise])
+        up = _sigmoid((r * rg).sum(1) - against[goal])
+        odds = r @ -rn.T
+        odds += against[noise]
+        down = _sigmoid(odds, -1)
         dr = up[:, None] * rg + down @ rn
         n = np.float32(len(goal))
         self._moved("R", *_summed([goal, noise], [up[:, None] * r, down.T @ r]), n)
@@ -179,10 +177,11 @@ class Bilinear:
         """Scores of (word before, target) with the bias, of (word before that, target), and the natural
         logarithm of the normaliser of each context; all in batched matrix products."""
         t1, t2 = self.Q @ self.C1 @ self.R.T + self.b, self.Q @ self.C2 @ self.R.T
-        norm = np.empty((len(self.Q), len(self.Q)), np.float32)
-        e1, e2 = np.exp(t1 - t1.max(1, keepdims=True)), np.exp(t2 - t2.max(1, keepdims=True))
-        norm[:] = np.log(np.maximum(e1 @ e2.T, 1e-37)) + t1.max(1)[:, None] + t2.max(1)[None]
-        return t1, t2, norm
+        # In double precision no sum of products falls to zero.
+        e1, e2 = (np.exp(t - t.max(1, keepdims=True), dtype=np.float64) for t in (t1, t2))
+        norm = np.log(e1 @ e2.T)
+        norm += t1.max(1)[:, None] + t2.max(1)[None]
+        return t1, t2, norm.astype(np.float32)
 
 
 class Lookup:
