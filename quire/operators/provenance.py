@@ -76,6 +76,26 @@ def uncorrected(records: DataFrame, wrong: DataFrame) -> DataFrame:
     return rows.withColumns({**restored, "provenance": F.when(back, bare).otherwise(note)}).drop("_old", "_new", "_wrong")
 
 
+def completed(records: DataFrame) -> DataFrame:
+    """Records with qualifiers and printed end pages that earlier steps left out or got wrong.
+
+    Where there is no qualifier, what stands in the parentheses at the headword's end becomes it, if the base is in
+    capitals and the headword begins as it does. A printed end page that the images contradict is replaced and kept in
+    provenance. Run again it changes nothing, for both hold then.
+    """
+    rows = _filled(records)
+    pattern = r"^\s*(.+?)\s*\(([^)]+)\)\s*$"
+    base, named = F.coalesce("base_headword", F.lit("")), F.coalesce("headword", F.lit(""))
+    capitals = base.rlike(r"\A[A-Z][A-Z'\-. ]+\z") & F.startswith(F.upper(F.trim(F.regexp_extract(named, pattern, 1))), F.left(base, F.lit(3)))
+    missing = (F.coalesce("qualifier", F.lit("")) == "") & capitals & named.rlike(pattern)
+    rows = rows.withColumn("qualifier", F.when(missing, F.trim(F.regexp_extract(named, pattern, 2))).otherwise(F.col("qualifier")))
+    pages = [F.col(c) for c in ("printed_page_start", "printed_page_end", "image_page_start", "image_page_end")]
+    told = P.page_end(*pages)
+    moved = pages[1].isNotNull() & ~told.eqNullSafe(pages[1])
+    note = F.when(moved, F.col("provenance").withField("raw_printed_page_end", pages[1].cast("int"))).otherwise(F.col("provenance"))
+    return rows.withColumns({"provenance": note, "printed_page_end": told.cast(records.schema["printed_page_end"].dataType)})
+
+
 def absorbed_split(records: DataFrame, candidates: DataFrame, answers: DataFrame) -> DataFrame:
     """Records (keys file, line) cut where answers say that other entries begin, children right behind (``sub`` from 1).
 

@@ -87,7 +87,12 @@ def progress(items: DataFrame, done: DataFrame, key: str, batch: str) -> DataFra
     return out.withColumn("complete", F.col("items") == F.col("done"))
 
 
+#: Fixed value: how far a printed end page may be from what the images say.
+PAGE_TOLERANCE = 50
+
+
 def page_end(start: Column, end: Column, image_start: Column, image_end: Column) -> Column:
-    """A printed end page before its start, or far from what the images say, becomes what they say."""
+    """A printed end page before its start, or far from what the images say, becomes what they say; where one of the
+    four is null nothing is known and it stays."""
     expected = start + (image_end - image_start)
-    return F.when(start.isNotNull() & end.isNotNull() & ((end < start) | (F.abs(end - expected) > 3)), expected).otherwise(end)
+    return F.when(expected.isNotNull() & ((end < start) | (F.abs(end - expected) > PAGE_TOLERANCE)), expected).otherwise(end)

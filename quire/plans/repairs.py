@@ -143,7 +143,7 @@ def split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.query(
-    """select l_orderkey, l_linenumber, case when l_partkey is not null and l_suppkey is not null and (l_suppkey < l_partkey or abs(l_suppkey - (l_partkey + l_linenumber)) > 3) then l_partkey + l_linenumber else l_suppkey end as page_end
+    """select l_orderkey, l_linenumber, case when l_partkey is not null and l_suppkey is not null and (l_suppkey < l_partkey or abs(l_suppkey - (l_partkey + l_linenumber)) > 50) then l_partkey + l_linenumber else l_suppkey end as page_end
 from lineitem"""
 )
 def page_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +152,34 @@ def page_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("l_orderkey", "l_linenumber", end.alias("page_end"))
 
 
+_PART_RECORDS = """r as (select p_partkey, upper(p_name) || case when p_partkey % 3 = 0 then ' (' || lower(p_type) || ', of ' || p_brand || ') ' else '' end as headword,
+  case p_partkey % 5 when 0 then p_name when 1 then 'X' || upper(p_name) else upper(p_name) end as base_headword, case when p_partkey % 7 = 0 then 'own' end as qualifier,
+  p_size as ps, case when p_partkey % 11 > 0 then p_size + (p_partkey % 140)::int - 30 end as pe, 4 as image_start, case when p_partkey % 13 > 0 then 4 + p_size // 2 end as image_end from part)"""
+
+
+def _part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as records: some with what they are in parentheses, some with bases that don't fit, end pages of all kinds."""
+    name, k = F.upper("p_name"), F.col("p_partkey")
+    told = F.concat(F.lit(" ("), F.lower("p_type"), F.lit(", of "), F.col("p_brand"), F.lit(") "))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", F.concat(name, F.when(k % 3 == 0, told).otherwise("")).alias("headword"), F.when(k % 5 == 0, F.col("p_name")).when(k % 5 == 1, F.concat(F.lit("X"), name)).otherwise(name).alias("base_headword"),
+        F.when(k % 7 == 0, "own").alias("qualifier"), F.col("p_size").alias("printed_page_start"), F.when(k % 11 > 0, F.col("p_size") + (k % 140).cast("int") - 30).alias("printed_page_end"),
+        F.lit(4).alias("image_page_start"), F.when(k % 13 > 0, 4 + F.floor(F.col("p_size") / 2).cast("int")).alias("image_page_end"),
+    )
+
+
+@R.query(
+    f"""with {_PART_RECORDS}, t as (select *, ps + (image_end - image_start) as expected, regexp_extract(headword, '\\(([^)]+)\\)\\s*$', 1) as inside from r),
+f as (select *, expected is not null and pe is not null and (pe < ps or abs(pe - expected) > 50) as moved from t)
+select p_partkey, case when qualifier is null and inside <> '' and regexp_full_match(base_headword, '[A-Z][A-Z''. -]+') and starts_with(headword, left(base_headword, 3)) then inside else qualifier end as qualifier,
+  case when moved then expected else pe end as printed_page_end, case when moved then pe end as raw_printed_page_end from f"""
+)
+def completed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completed twice, which is as once."""
+    out = N.completed(N.completed(_part_records(spark, sf_dir)))
+    return out.select("p_partkey", "qualifier", "printed_page_end", F.col("provenance.raw_printed_page_end").alias("raw_printed_page_end"))
+
+
 _TEXT = "coalesce(text, '')"
 
 
@@ -184,6 +212,29 @@ def viewer_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.viewed(docs, "head", "text", ["en", "de"], "lang", "MIT").select("doc_id", "source", "n_chars")
 
 
+@R.query(
+    f"""with r as (select d.doc_id, split_part({_TEXT}, chr(10), 1) as head, {_TEXT} as body, case when coalesce(toxic, 0) = 1 then 'treatise' else 'article' end as type, quality = 5 as xref, n_chars,
+  doc_id::int % 90 as ps, doc_id::int % 90 + coalesce(quality, 0) * 9 - 5 as pe from documents d left join labels l using (doc_id)),
+f as (select *, list_filter([case when rtrim(trim(body), '.,') = rtrim(trim(head), '.,') then 'empty-body' when len(regexp_extract_all(body, '[A-Za-zÀ-ÿ0-9]+')) <= 4 and not coalesce(xref, false) and type <> 'treatise' then 'fragment' end,
+  case when ps <> 0 and pe <> 0 and pe < ps then 'page-end<start' end, case when ps <> 0 and pe <> 0 and type <> 'treatise' and pe - ps > 30 then 'page-span-large' end,
+  case when type <> 'treatise' and n_chars > 25000 then 'long-maybe-bleed' end], lambda x: x is not null) as flags from r)
+select doc_id, type, ps, pe, n_chars as cc, array_to_string(flags, ',') as flags, md5(case when type = 'treatise' and length(body) > 12000 then left(body, 12000) || ' …[treatise body truncated in viewer — full ' || n_chars || ' chars in JSONL]' else body end) as body_md5
+from f where type in ('article', 'treatise') and not coalesce(xref, false) and len(flags) > 0"""
+)
+def viewer_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the viewer lists without references and with problems only; a document is a record."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    first, none = (F.col("doc_id") % 90).cast("int"), F.lit(None).cast("string")
+    records = docs.select(
+        F.get(F.split(F.coalesce("text", F.lit("")), "\n"), F.lit(0)).alias("headword"), none.alias("base_headword"), none.alias("qualifier"), F.when(F.col("toxic") == 1, "treatise").otherwise("article").alias("type"),
+        F.col("doc_id").cast("string").alias("detected_by"), (F.col("quality") == 5).alias("is_cross_reference"), first.alias("printed_page_start"), (first + F.coalesce("quality", F.lit(0)) * 9 - 5).alias("printed_page_end"),
+        F.lit(0).alias("image_page_start"), F.lit(0).alias("image_page_end"), F.col("n_chars").alias("char_count"), F.lit(None).cast("array<string>").alias("cross_refs"), F.lit(None).cast("array<string>").alias("outline"),
+        F.struct(none.alias("headword_image")).alias("provenance"), F.col("text").alias("body_text"),
+    )
+    shown = Q.viewed(Q.viewer_rows(records), "headword", "body", ["article", "treatise"], "type", redirect="xref", flags="flags")
+    return shown.select(F.col("by").cast("bigint").alias("doc_id"), "type", "ps", "pe", "cc", F.array_join("flags", ",").alias("flags"), F.md5(F.col("body").cast("binary")).alias("body_md5"))
+
+
 @R.query("select source, doc_id, ((row_number() over (partition by source order by doc_id) - 1) // 10)::bigint as page from documents")
 def paginate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("source", "doc_id").withColumn("block", F.floor(F.col("doc_id") / 4096))
