@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.operators import sequences as S
 from quire.operators import vocabulary as V
 from quire.plans.common import Registry, table
+from quire.sources import sinks
 
 R = Registry()
 
@@ -127,3 +128,20 @@ def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = F.lead("at").over(S._over(["doc_id"], ["at"])).isNotNull()
     placed = docs.withColumn("end", run).withColumn("more", more).where("more").groupBy("doc_id").agg(F.array_sort(F.collect_list("end")).alias("ends"))
     return placed.select("doc_id", F.array_join(S.spaced_points(F.col("ends"), 400), ",").alias("kept"))
+
+
+@R.query(
+    """with v as (select 'p' || p_partkey as identifier, case when p_size % 5 > 0 then 'EB.' || p_size end as eb_code, case when p_partkey % 9 > 0 then p_partkey % 40 end as volume_num, p_size * 10 as n_images, p_size from part),
+c as (select *, (row_number() over (order by case when eb_code is null then 999 else p_size end, coalesce(volume_num, 0), identifier) - 1) // 3 as chunk from v)
+select chunk::bigint as chunk, count(*) as n_volumes, sum(n_images)::bigint as n_pages, array_to_string(list_sort(list(distinct coalesce(eb_code, '?'))), ',') as codes, string_agg(identifier, ',' order by identifier) as identifiers from c group by chunk"""
+)
+def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part is a volume, its size the edition."""
+    size = F.col("p_size")
+    volumes = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("identifier"), F.when(size % 5 > 0, F.concat(F.lit("EB."), size.cast("string"))).alias("eb_code"),
+        F.when(F.col("p_partkey") % 9 > 0, F.col("p_partkey") % 40).alias("volume_num"), (size * 10).alias("n_images"),
+    )
+    plan = sinks.planned(volumes)
+    ids = plan.groupBy("chunk").agg(F.array_join(F.array_sort(F.collect_list("identifier")), ",").alias("identifiers"))
+    return sinks.plan_report(plan).join(ids, "chunk")

@@ -6,7 +6,7 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire import schemas
@@ -158,8 +158,12 @@ def manifest(spark: SparkSession, inventory_path: str, counts: DataFrame | None
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(kind))
     rows = rows.withColumn("n_images", F.coalesce("n_images", F.lit(0))).withColumn("pages_match", F.coalesce(F.col("n_images") == F.col("n_pages_mets"), F.lit(False)))
-    number = F.coalesce(F.try_to_number(F.split("eb_code", "[.]").getItem(1), F.lit("9999")).cast("int"), F.lit(999))
-    return rows.orderBy(number, F.coalesce("volume_num", F.lit(0)), "identifier")
+    return rows.orderBy(edition_number(), F.coalesce("volume_num", F.lit(0)), "identifier")
+
+
+def edition_number() -> Column:
+    """Number of the column eb_code; 999 where it has none."""
+    return F.coalesce(F.try_to_number(F.split("eb_code", "[.]").getItem(1), F.lit("9999")).cast("int"), F.lit(999))
 
 
 def manifest_summary(volumes: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators.reports import assembled
+from quire.operators.sequences import chunked
+from quire.operators.vocabulary import ordinal
+from quire.sources import scans
 
 
 def csv_manifest(rows: DataFrame, path: str, columns: list[str]) -> None:
@@ -49,6 +52,20 @@ def chunks(rows: DataFrame, path: str, chunk: str, value: str) -> None:
     rows.select(chunk, F.col(value).cast("string").alias("value")).write.mode("overwrite").partitionBy(chunk).text(path)
 
 
+def planned(volumes: DataFrame, size: int = 3, codes: list[str] | None = None) -> DataFrame:
+    """The manifest's volumes, only those of editions ``codes`` where given, with ``chunk`` from 0: ``size`` volumes each in
+    the manifest's order. They are numbered edition by edition."""
+    kept = volumes if codes is None else volumes.where(F.col("eb_code").isin(codes))
+    kept = kept.withColumn("_edition", scans.edition_number()).withColumn("_volume", F.coalesce("volume_num", F.lit(0)))
+    return chunked(ordinal(kept, "_edition", ["_volume", "identifier"], "_at"), "_at", size).drop("_edition", "_volume", "_at")
+
+
+def plan_report(plan: DataFrame) -> DataFrame:
+    """(chunk, n_volumes, n_pages, codes) of planned volumes; an unknown code shows as a question mark."""
+    codes = F.array_join(F.array_sort(F.collect_set(F.coalesce("eb_code", F.lit("?")))), ",")
+    return plan.groupBy("chunk").agg(F.count("*").alias("n_volumes"), F.coalesce(F.sum("n_images"), F.lit(0)).cast("bigint").alias("n_pages"), codes.alias("codes"))
+
+
 def batches(rows: DataFrame, path: str, batch: str) -> None:
     rows.write.mode("overwrite").partitionBy(batch).json(path)
 
