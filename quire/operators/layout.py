@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import html as H
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ class _Blocks(HTMLParser):
         for _, b, p, _ in self.open:
             for part in (b, p):
                 if part is not None:
-                    part["html"] += markup
+                    part["html"].append(markup)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         found = {k: v or "" for k, v in attrs}
@@ -39,14 +40,14 @@ class _Blocks(HTMLParser):
         markup = f"<{tag}{''.join(f' {k}="{H.escape(v)}"' for k, v in found.items())}>"
         block = para = head = None
         if tag == "div" and found.get("data-label"):
-            block = {"pos": len(self.blocks), "label": found["data-label"], "bbox": found.get("data-bbox", ""), "text": "", "html": "", "paras": [], "heads": []}
+            block = {"pos": len(self.blocks), "label": found["data-label"], "bbox": found.get("data-bbox", ""), "text": [], "html": [], "paras": [], "heads": []}
             self.blocks.append(block)
         elif tag == "p":
-            para = {"text": "", "html": "", "bold": None, "bold_tail": "", "lead": "", "_kids": 0, "_bold": 0}
+            para = {"text": [], "html": [], "bold": None, "bold_tail": "", "lead": "", "_kids": 0, "_bold": 0}
             for b in self._each():
                 b["paras"].append(para)
         elif len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
-            head = {"level": int(tag[1]), "text": ""}
+            head = {"level": int(tag[1]), "text": []}
             for b in self._each():
                 b["heads"].append(head)
         else:
@@ -73,7 +74,7 @@ class _Blocks(HTMLParser):
         for depth, (_, b, p, h) in enumerate(self.open):
             for part in (b, p, h):
                 if part is not None:
-                    part["text"] += data
+                    part["text"].append(data)
             if p is not None:
                 inside = len(self.open) - 1 - depth
                 if p["bold"] is not None and p["_kids"] == 1 and inside >= 1:
@@ -89,24 +90,43 @@ class _Blocks(HTMLParser):
 NOTE_WIDTH, NOTE_LEFT, NOTE_RIGHT, BANNER_LETTERS = 110, 100, 60, 8
 
 
+#: Characters of pages that are parsed before their blocks are handed on; a longer page is parsed alone.
+SLICE = 1 << 18
+
+_PARA = pa.struct([(k, pa.string()) for k in ("text", "html", "bold", "bold_tail", "lead")])
+_HEAD = pa.struct([("level", pa.int32()), ("text", pa.string())])
+_BLOCK = pa.struct([("pos", pa.int32()), *[(k, pa.string()) for k in ("label", "bbox", "text", "html")], ("paras", pa.list_(_PARA)), ("heads", pa.list_(_HEAD))])
+
+
 def _parsed(raw: str | None) -> list[dict]:
     if not raw:
         return []
     parser = _Blocks()
     parser.feed(raw)
     parser.close()
-    for b in parser.blocks:
-        b["paras"] = [{k: v for k, v in p.items() if k[0] != "_"} for p in b["paras"]]
-    return parser.blocks
-
-
-def _all_parsed(raw: pd.Series) -> pd.Series:
-    return raw.map(_parsed)
+    # A paragraph or heading of nested blocks is one object: its pieces are joined once.
+    whole = {id(x): {k: "".join(v) if isinstance(v, list) else v for k, v in x.items() if k[0] != "_"} for b in parser.blocks for x in (*b["paras"], *b["heads"])}
+    told = lambda found: [whole[id(x)] for x in found]
+    return [b | {"text": "".join(b["text"]), "html": "".join(b["html"]), "paras": told(b["paras"]), "heads": told(b["heads"])} for b in parser.blocks]
+
+
+def _all_parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Blocks of pages, some pages at a time: blocks are many times as large as their pages, and a batch has any number of these."""
+    for raw in batches:
+        held, size = [], 0
+        for page in raw:
+            held.append(_parsed(text := page.as_py()))
+            size += len(text or "")
+            if size >= SLICE:
+                yield pa.array(held, pa.list_(_BLOCK))
+                held, size = [], 0
+        if held:
+            yield pa.array(held, pa.list_(_BLOCK))
 
 
 def blocks(raw: Column | str) -> Column:
     """Labelled blocks of a page's layout HTML, however broken; null and empty pages have none."""
-    return F.pandas_udf(_all_parsed, schemas.BLOCKS)(raw)
+    return F.arrow_udf(_all_parsed, schemas.BLOCKS)(raw)
 
 
 def boxed(c: Column) -> Column:
