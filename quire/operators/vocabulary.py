@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +18,9 @@ BAND, EDITS = 30, 2
 BLOCK_ROWS, BLOCKS, SAMPLED = 100_000, 2_048, 32
 
 
+_WORD = re.compile("[A-Za-zÀ-ÿ]+")
+
+
 def _words(text: str) -> Column:
     """Different words of a text, an empty one perhaps among them."""
     return F.array_distinct(F.split(F.coalesce(F.col(text), F.lit("")), "[^A-Za-zÀ-ÿ]+"))
@@ -29,13 +36,28 @@ def keyed(words: DataFrame) -> DataFrame:
     return words.select("word").distinct().withColumn("key", X.key(F.col("word"))).where(F.length("key") >= 3)
 
 
+def _edition_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different keys of (text, edition) rows, by edition: a word is read once a batch and edition. Words have no other signs than
+    letters to ÿ, so what is left of their capitals in ASCII is what X.key leaves."""
+    names = ["edition", "key"]
+    for batch in batches:
+        editions = batch.column(1).dictionary_encode(null_encoding="encode")
+        words: dict[int, set[str]] = {}
+        for text, e in zip(batch.column(0), editions.indices.to_pylist(), strict=True):
+            words.setdefault(e, set()).update(_WORD.findall(text.as_py() or ""))
+        for e, own in words.items():
+            keys = {k for w in own if len(k := w.upper().encode("ascii", "ignore")) >= 3}
+            named = pa.repeat(editions.dictionary[e], len(keys))
+            yield pa.RecordBatch.from_arrays([named, pa.array(list(keys), pa.binary()).cast(pa.string())], names)
+
+
 def occurrences(docs: DataFrame, text: str = "text", edition: str = "source") -> DataFrame:
     """(edition, key): every different word of three letters or more that an edition has.
 
-    Words are made different before their keys are taken, so a word costs one key an edition, however often it stands.
+    Tasks make words different before their keys are taken, so only the keys of a batch's editions are exchanged.
     """
-    rows = docs.select(F.col(edition).alias("edition"), F.explode(_words(text)).alias("word")).where("word <> ''").distinct()
-    return rows.select("edition", X.key(F.col("word")).alias("key")).where(F.length("key") >= 3).distinct()
+    rows = docs.select(F.col(text).alias("text"), F.col(edition).alias("edition"))
+    return rows.mapInArrow(_edition_keys, f"edition {dict(rows.dtypes)['edition']}, key string").distinct()
 
 
 def vocabulary(found: DataFrame) -> DataFrame:
