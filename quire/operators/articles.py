@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as X
 from quire.operators import layout as L
 from quire.operators import sequences as S
+from quire.operators.vocabulary import settled
 
 # Labels of blocks that carry a record's text.
 BODY_LABELS = ["Text", "List-Group", "Complex-Block", "Table", "Equation-Block", "Caption", "Footnote", "Section-Header"]
@@ -276,7 +277,8 @@ def cleaned(rows: DataFrame) -> DataFrame:
 def volume_articles(pages: DataFrame, volumes: DataFrame) -> DataFrame:
     """Articles of dictionary volumes: pages and the volumes' manifest in, clean records out."""
     wanted = volumes.where(~is_index(F.col("volume_num"), F.col("volume_label"), F.col("title")) & ~is_dissertation(F.col("alpha_range"), F.col("volume_label")))
-    table = page_table(pages, wanted)
+    # Pages are asked for by bodies, spans, records and outlines: they are parsed once.
+    table = settled(page_table(pages, wanted))
     bodies = body_starts(table)
     spans = treatise_spans(table, bodies.select("identifier", F.when(F.col("multivol"), F.lit(0)).otherwise(F.col("body_start")).alias("body_start")))
     out = cleaned(records(table, spans, read_from(bodies, spans)))
