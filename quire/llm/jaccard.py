@@ -5,7 +5,8 @@ shingle sets are one class. Most texts have nothing in common, so all distances
 around pivots would part nothing; supports are split first: two sets within the radius share a shingle of
 their prefixes (in one common order, rare shingles first). The class with most shared shingles among those
 that hold a prefix shingle is its pivot, and the region of a pivot takes in every class that shares such a
-shingle with it, so any two classes that may link meet in a region. A region of bounded size is joined
+shingle with it, so any two classes that may link meet in a region. Bits of their sets then tell which of a region's
+classes cannot link at all, before any text moves. A region of bounded size is joined
 exactly in one task. A larger one gets pivots of its own: every class goes to the cell of the nearest,
 classes within the window of the triangle inequality (twice the radius) of another cell are replicated into
 it, the core of a cell (within the radius of its pivot, so in one component) goes no further unless the
@@ -44,6 +45,8 @@ HOT = 200_000
 CHECKED = 64
 #: Rows of 8 bytes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Classes whose signatures meet in a task, and tiles of so many that a region may have; larger regions go on whole.
+SIGNED, SIGNED_TILES = 512, 32
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
@@ -102,21 +105,29 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     return keys[order], np.array([r.n for r in rows], np.int64)[order], whole
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """Bits of a set: two to four a shingle, a power of two in all, so a longer signature folds into a shorter one."""
+    bits = np.zeros(max(64, 1 << (2 * len(shingles) - 1).bit_length()), bool)
+    bits[(shingles & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
 def sketched(texts: DataFrame) -> DataFrame:
-    """``texts`` (column raw and others) with n and class (null without shingles) in the place of raw."""
+    """``texts`` (column raw and others) with n, class and signature (both null without shingles) in the place of raw."""
     keep = [c for c in texts.columns if c != "raw"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, codes = [], []
+            n, codes, signed = [], [], []
             for raw in batch.column("raw"):
                 s = shingle_set(raw.as_py())
                 n.append(len(s))
                 codes.append(class_code(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(n, pa.int64()), pa.array(codes, pa.int64())], [*keep, "n", "class"])
+                signed.append(signature(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(n, pa.int64()), pa.array(codes, pa.int64()), pa.array(signed, pa.binary())], [*keep, "n", "class", "signature"])
 
     kinds = dict(texts.dtypes)
-    return texts.mapInArrow(released(run), ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "n bigint, class bigint"]))
+    return texts.mapInArrow(released(run), ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "n bigint, class bigint, signature binary"]))
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -276,6 +287,73 @@ def first_regions(shared: DataFrame) -> DataFrame:
     return stored(found.distinct(), "regions")
 
 
+def _signed_pairs(n: np.ndarray, signed: list[bytes]) -> np.ndarray:
+    """Which pairs of sets of sizes ``n`` can link, by their signatures: a bit that only one has stands for a shingle that
+    the other lacks. Lengths of sets that can link differ by a factor of two at most."""
+    m, length = len(n), np.array(list(map(len, signed)))
+    near = np.zeros((m, m), bool)
+    for size in np.unique(length):
+        at = np.flatnonzero((length == size) | (length == 2 * size))
+        rows = [np.frombuffer(signed[i], np.uint8) for i in at]
+        rows = np.stack([r if len(r) == size else r[:size] | r[size:] for r in rows])
+        own = np.zeros(len(at), np.float64)
+        both = np.zeros((len(at), len(at)), np.float64)
+        for k in range(0, int(size), 512):
+            bits = np.unpackbits(rows[:, k : k + 512], axis=1).astype(np.float32)
+            own += bits.sum(1)
+            both += bits @ bits.T
+        # Of a's shingles b has as many at most; and the other way round.
+        most = n[at][:, None] - own[:, None] + both
+        most = np.minimum(most, most.T)
+        own_length = length[at] == size
+        here = (own_length[:, None] | own_length[None]) & ((100 + PERCENT) * most >= PERCENT * (n[at][:, None] + n[at][None]))
+        near[np.ix_(at, at)] |= here
+    np.fill_diagonal(near, False)
+    return near
+
+
+def _parted(group: pa.Table) -> pa.Table:
+    """(region, class, n) of the classes of a tile, or of two, that another one of them can link with. Where the region is
+    one tile, each of its parts that hang together becomes a region of its own."""
+    rows = group.select(["region", "mine", "tiles", "class", "n", "signature"]).to_pydict()
+    near = _signed_pairs(np.array(rows["n"], np.float64), rows["signature"])
+    if rows["tiles"][0] > 1:
+        mine = np.array(rows["mine"])
+        # A pair of one tile is looked at where that tile meets itself.
+        near &= (mine[:, None] != mine[None]) | (mine.min() == mine.max())
+        at, part = np.flatnonzero(near.any(1)), None
+    else:
+        part = np.full(len(near), -1)
+        for root in np.flatnonzero(near.any(1)):
+            todo = [root] if part[root] < 0 else []
+            part[todo] = root
+            while todo:
+                new = np.flatnonzero(near[todo.pop()] & (part < 0))
+                part[new] = root
+                todo += new.tolist()
+        at = np.flatnonzero(part >= 0)
+    name = rows["region"][0]
+    names = [name if part is None else f"{name}:{rows['class'][part[i]]}" for i in at]
+    return pa.table([pa.array(names, pa.string()), pa.array([rows["class"][i] for i in at], pa.int64()), pa.array([rows["n"][i] for i in at], pa.int64())], ["region", "class", "n"])
+
+
+def parted(members: DataFrame, signed: DataFrame) -> DataFrame:
+    """Regions (region, class, n) without classes that no other of the region can link with, and in parts where signatures
+    part them, so that texts move only to others that they may be similar to. Most classes share a shingle by chance,
+    and with more texts more do.
+
+    ``signed`` has class and signature. Tiles of a region of more than SIGNED classes meet in pairs; one of more than
+    SIGNED_TILES tiles is left as it is, and pivots part it.
+    """
+    sizes = members.groupBy("region").agg(F.ceil(F.count("*") / SIGNED).cast("int").alias("tiles"))
+    rows = stored(members.join(sizes, "region"), "region-sizes")
+    mine = F.pmod(F.xxhash64("class", F.lit(-3)), "tiles").cast("int")
+    each = rows.where(F.col("tiles") <= SIGNED_TILES).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    each = each.join(signed, "class").select("region", "tiles", "mine", F.least("mine", "other").alias("t"), F.greatest("mine", "other").alias("u"), "class", "n", "signature")
+    found = each.groupBy("region", "t", "u").applyInArrow(_parted, "region string, class bigint, n bigint").distinct()
+    return stored(found.union(rows.where(F.col("tiles") > SIGNED_TILES).select("region", "class", "n")), "parts")
+
+
 def _similar(a: np.ndarray, b: np.ndarray) -> tuple[float, bool]:
     """Distance of two sets, and whether they link."""
     shared = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
@@ -440,14 +518,15 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     frequent, counts, total = frequent_shingles(rows.select("raw"))
     regions = first_regions(shared_keys(rows.select("raw"), frequent, counts, total))
     member = regions.select("pivot", "class").union(regions.select("pivot", F.col("pivot").alias("class")).distinct())
-    wanted = stored(member.select("class").distinct().join(classes, "class").select("class", "h", "n", (F.col("n_copies") == 1).alias("alone")), "wanted")
+    regions = stored(member.join(classes, "class").select(F.col("pivot").cast("string").alias("region"), "class", "n"), "members")
+    signed = sketches.join(regions.select("class").distinct(), "class", "left_semi").select("class", "signature").dropDuplicates(["class"])
+    regions = parted(regions, signed)
+    wanted = stored(regions.select("class").distinct().join(classes, "class").select("class", "h", (F.col("n_copies") == 1).alias("alone")), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
-    asked = wanted.select("class", "h", "alone")
-    found = rows.select("h", "raw").join(F.broadcast(asked) if few else asked, "h").select("class", "alone", "raw")
+    found = rows.select("h", "raw").join(F.broadcast(wanted) if few else wanted, "h").select("class", "alone", "raw")
     # Of copies one text is enough; those that have none need no exchange.
     single, copies = (found.where(c).select("class", "raw").mapInArrow(released(_packed), "class bigint, raw binary") for c in ("alone", "not alone"))
     texts = stored(single.union(copies.groupBy("class").agg(F.min("raw").alias("raw"))), "texts")
-    regions = stored(member.join(wanted, "class").select(F.col("pivot").cast("string").alias("region"), "class", "n"), "members")
     label = components(region_links(regions, texts))
 
     named = classes.join(label.select(F.col("node").alias("class"), "label"), "class", "left").withColumn("label", F.coalesce("label", "class"))

@@ -111,3 +111,33 @@ def test_rows_may_come_in_another_order(spark):
     docs = families(31, 5, 4)
     df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in docs], SCHEMA).repartition(3)
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.joined(df.orderBy(J.F.rand())).collect()), key=str) == brute(docs)
+
+
+@pytest.mark.parametrize("signed", [512, 5])
+def test_texts_that_share_a_shingle_by_chance_do_not_move(spark, monkeypatch, signed):
+    random.seed(7)
+    monkeypatch.setattr(J, "SIGNED", signed)
+    words = [f"w{k}" for k in range(4000)]
+    # One passage in all of them; two are near copies.
+    texts = [" ".join([*random.sample(words, 40), *words[:12], *random.sample(words, 40)]) for _ in range(30)]
+    docs = [*enumerate(texts), (30, texts[3] + " more words here")]
+    moved = []
+    links = J.region_links
+    monkeypatch.setattr(J, "region_links", lambda regions, texts: moved.append((texts.count(), regions.count())) or links(regions, texts))
+    got = J.joined(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(docs)
+    assert moved[0][0] == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_signatures_leave_no_link_out(seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (3, 4, 30, 33, 40, 64, 65, 500)]
+    sets += [np.unique(np.concatenate([s[: int(len(s) * share)], rng.integers(0, 1 << 63, more).astype(np.uint64)])) for s in sets for share in (0.82, 0.9, 1.0) for more in (0, 1, len(s) // 9, len(s) // 4)]
+    near = J._signed_pairs(np.array(list(map(len, sets)), np.float64), [J.signature(s) for s in sets])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            shared = len(np.intersect1d(a, b))
+            assert near[i, j] or i == j or 100 * shared < 80 * (len(a) + len(b) - shared)
