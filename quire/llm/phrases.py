@@ -1,10 +1,9 @@
 """Collocations: phrases of two to four words that stand together more often than their parts suggest.
 
 Phrases are known by 64-bit codes of language and words. Pairs of words that are frequent enough make longer phrases
-possible (a phrase can't be more frequent than any part of it), and these candidates are the keys of minimal perfect
-hashes. Keys are dealt into shards by their codes, each small enough for one task; the texts' phrases, counted within
-each task first, are dealt the same way, tasks add them up in numpy arrays by slot, after comparing with the key that
-is stored there, and the arrays are summed in a tree. Parts of a cut are read from these arrays by slot.
+possible (a phrase can't be more frequent than any part of it). Shorter codes, counted first, tell which words and pairs,
+and then which longer phrases, may be frequent at all; only these candidates are the keys of minimal perfect hashes. Keys are dealt into shards by their codes, each small enough for one task; the texts' phrases, counted within
+each task first, are dealt the same way, tasks add them up in numpy arrays by slot, and these are summed in a tree. Parts of a cut are read from these arrays by slot.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import common
-from quire.llm.common import bounded, mixed, released, rolled, stored, table
+from quire.llm.common import bounded, give_back, mixed, released, rolled, stored, table
 
 LONGEST = 4
 LEAST = 30
@@ -38,6 +37,10 @@ FAN = 64
 #: (128 MB) at most. Beyond that more candidates pass, and results stay the same.
 MEMBER_BITS, MOST_BITS = 32, 1 << 30
 SPREAD = 64
+#: Bits of the codes that tell what may be frequent, and bytes of texts whose codes meet in a task: about two million.
+#: A shorter code only lets more pass, which is then counted by whole codes.
+SHORT, SHORT_BYTES = 36, 8 << 20
+_SHORT = np.uint64((1 << SHORT) - 1)
 #: Parts that one task reads. Their sizes are one row a shard, of at most some ten thousand shards.
 ASKED = 1 << 20
 
@@ -203,52 +206,128 @@ class PerfectHash:
         return np.where(known, at, -1)
 
 
-def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Different codes and their counts."""
-    return np.unique(np.concatenate(codes) if codes else np.zeros(0, np.uint64), return_counts=True)
-
-
 def _witnessed(codes: np.ndarray, text: np.ndarray) -> np.ndarray:
     """A code for each pair of a phrase and a text that holds it."""
     return mixed(codes + text.astype(np.uint64) * _TEXT)
 
 
-def _first_pass(texts: DataFrame) -> DataFrame:
-    """n (0: all words of a language, 1, 2), lang (of n 0), code, times: words and pairs, counted in each task first."""
+def _added(codes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different codes in order, the sums of their times, and of each code a place where it stands."""
+    code, n = np.concatenate(codes), np.concatenate(times)
+    order = code.argsort(kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(n[order], first) if len(code) else n, order[first]
+
+
+class Gathered:
+    """Codes of a task with their counts, and the checksum of a text with each: made different whenever GATHERED have
+    come, handed on when as many different ones are held (or so many in all that a count might need more than 32 bits)."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes, self.times, self.texts, self.fresh, self.known, self.total = [], [], [], 0, 0, 0
+
+    def add(self, codes: np.ndarray, texts: np.ndarray | None = None) -> None:
+        self.codes.append(codes)
+        self.times.append(np.ones(len(codes), np.int64))
+        self.texts.append(np.zeros(len(codes), np.uint32) if texts is None else texts)
+        self.fresh += len(codes)
+        self.total += len(codes)
+
+    def full(self) -> bool:
+        if self.fresh >= GATHERED:
+            self.settle()
+        return self.known >= GATHERED or self.total >= 1 << 31
+
+    def settle(self) -> None:
+        codes, times, at = _added(self.codes, self.times)
+        self.codes, self.times, self.texts = [codes], [times], [np.concatenate(self.texts)[at]]
+        self.fresh, self.known = 0, len(codes)
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.codes:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.settle()
+        out = self.codes[0], self.times[0], self.texts[0]
+        self.clear()
+        return out
+
+
+def _planed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, each of these planes compressed by itself: the low bytes of steps are random, the others not."""
+    codec = pa.Codec("zstd")
+    planes = [codec.compress(np.ascontiguousarray(plane), asbytes=True) for plane in values.view(np.uint8).reshape(-1, values.itemsize).T]
+    return np.array([len(values), *map(len, planes)], "<u4").tobytes() + b"".join(planes)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {1: [], 2: []}
-        size, totals = 0, {}
 
-        def out(n: int) -> pa.RecordBatch:
-            codes, times = _counted(held[n])
-            held[n].clear()
-            return _rows(n, [None] * len(codes), codes, times)
+def _unplaned(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    n, *sizes = np.frombuffer(data, "<u4", width + 1).tolist()
+    ends = np.cumsum([4 * (width + 1), *sizes]).tolist()
+    planes = [np.frombuffer(pa.Codec("zstd").decompress(data[i:j], n, asbytes=True), np.uint8) for i, j in zip(ends, ends[1:], strict=False)]
+    return np.stack(planes, 1).view(kind).ravel()
+
+
+def _short(short: np.ndarray, times: np.ndarray, shards: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Steps between codes of SHORT bits, in order, and their counts, by shard."""
+    edges = np.searchsorted(short, (np.arange(shards + 1, dtype=np.uint64) * np.uint64(-(-(1 << SHORT) // shards))))
+    for shard in np.flatnonzero(np.diff(edges)).tolist():
+        own = slice(edges[shard], edges[shard + 1])
+        yield shard, _planed(np.diff(short[own], prepend=np.uint64(0)).astype("<u8")), _planed(times[own].astype("<u4"))
+
+
+def _perhaps_frequent(texts: DataFrame, found: Callable[[Words], list[np.ndarray]], least: int, shards: int) -> DataFrame:
+    """code of what ``found`` gives ``least`` times or more in all texts, cut to SHORT bits, and (lang, n) of all words of
+    each language where code is null. Counts of codes that are cut alike are added up, so none is missed, and what
+    passes is counted anew by whole codes. A code with its count takes about three bytes where a row takes eleven."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, totals = Gathered(), {}
+        names = ["shard", "lang", "times", "steps", "counts"]
 
-        def _rows(n: int, langs: list, codes: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), n, np.int32)), pa.array(langs, pa.string()), pa.array(codes.view(np.int64)), pa.array(times)], ["n", "lang", "code", "times"])
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = list(_short(*held.taken()[:2], shards))
+            for at in range(0, len(rows), 64):
+                own, *data = zip(*rows[at : at + 64], strict=True)
+                none = [pa.nulls(len(own), kind) for kind in (pa.string(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *none, *[pa.array(d, pa.binary()) for d in data]], names)
 
         for batch in _sliced(batches):
             words = Words(batch.column(0), batch.column(1))
             for lang, n in zip(words.langs.dictionary.to_pylist(), np.bincount(words.lang, minlength=len(words.langs.dictionary)).tolist(), strict=True):
                 totals[lang] = totals.get(lang, 0) + n
-            pairs, within = words.grams(2)
-            held[1].append(words.code)
-            held[2].append(pairs[within])
-            size += 2 * len(words.code)
-            if size >= GATHERED:
-                yield out(1)
-                yield out(2)
-                size = 0
-        yield out(1)
-        yield out(2)
-        yield _rows(0, list(totals), np.zeros(len(totals), np.uint64), np.array(list(totals.values()), np.int64))
-
-    return texts.mapInArrow(released(run), "n int, lang string, code bigint, times bigint")
-
-
-def _possible(words: Words, member: Members) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By length: codes, and which of them are words or phrases all of whose words and pairs may be frequent."""
+            for codes in found(words):
+                held.add(codes & _SHORT)
+            if held.full():
+                yield from out()
+        yield from out()
+        none = [pa.nulls(len(totals), pa.binary())] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(totals), -1, np.int32)), pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64()), *none], names)
+
+    def add(group: pa.Table) -> pa.Table:
+        if group.column("shard")[0].as_py() < 0:
+            sums = group.group_by("lang").aggregate([("times", "sum")])
+            return pa.table([pa.nulls(len(sums), pa.int64()), sums.column("lang"), sums.column("times_sum")], ["code", "lang", "n"])
+        codes, times, _ = _added([np.cumsum(_unplaned(d.as_py(), "<u8")) for d in group.column("steps")], [_unplaned(d.as_py(), "<u4").astype(np.int64) for d in group.column("counts")])
+        codes = codes[times >= least]
+        give_back()
+        return pa.table([pa.array(codes.view(np.int64)), pa.nulls(len(codes), pa.string()), pa.nulls(len(codes), pa.int64())], ["code", "lang", "n"])
+
+    runs = texts.mapInArrow(released(run), "shard int, lang string, times bigint, steps binary, counts binary")
+    return stored(runs.groupBy("shard").applyInArrow(add, "code bigint, lang string, n bigint"), "phrase-perhaps")
+
+
+def _pairs(words: Words) -> list[np.ndarray]:
+    pairs, within = words.grams(2)
+    return [words.code, pairs[within]]
+
+
+def _possible(words: Words, member: Members, longer: Members | None = None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length: codes, and which of them are words or phrases all of whose words and pairs (and where ``longer`` is given
+    all longer parts too) may be frequent."""
     ones, _ = words.grams(1)
     out = {1: (ones, member(ones))}
     pairs, within = words.grams(2)
@@ -256,43 +335,42 @@ def _possible(words: Words, member: Members) -> dict[int, tuple[np.ndarray, np.n
     out[2] = pairs, good
     for n in range(3, LONGEST + 1):
         codes, _ = words.grams(n)
-        held = good[: len(codes)].copy()
-        for k in range(1, n - 1):
-            held &= good[k : k + len(codes)]
+        held = good[: len(codes)] & good[1 : 1 + len(codes)]
+        at = np.flatnonzero(held)
+        if longer is not None:
+            held[at] = longer(codes[at])
         out[n] = codes, held
+        good = held
     return out
 
 
-def _second_pass(texts: DataFrame, bits: np.ndarray, shards: int) -> DataFrame:
-    """shard, codes, times, texts: candidates in the texts, counted in each task first and packed by shard, each with
-    the checksum of a text that holds it. A flush has some GATHERED codes, or those of a longest text, so 32 bits hold
-    its counts."""
+def _longer(texts: DataFrame, bits: np.ndarray, least: int, shards: int) -> DataFrame:
+    """Phrases of three words and more that may be frequent, as _perhaps_frequent gives them."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        member = Members(shared.value)
-        held: list[np.ndarray] = []
-        prints: list[np.ndarray] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            codes = np.concatenate(held) if held else np.zeros(0, np.uint64)
-            different, first, times = np.unique(codes, return_index=True, return_counts=True)
-            seen = np.concatenate(prints)[first] if prints else np.zeros(0, np.uint32)
-            held.clear()
-            prints.clear()
-            return _dealt(different, times, seen, shards)
+    def found(words: Words) -> list[np.ndarray]:
+        grams = _possible(words, Members(shared.value))
+        return [codes[good] for codes, good in (grams[n] for n in range(3, LONGEST + 1))]
+
+    return _perhaps_frequent(texts, found, least, shards).where("code is not null")
 
+
+def _count_pass(texts: DataFrame, bits: np.ndarray, more: np.ndarray, shards: int) -> DataFrame:
+    """shard, codes, times, texts: candidates in the texts, counted in each task first and packed by shard, each with
+    the checksum of a text that holds it."""
+    context = texts.sparkSession.sparkContext
+    shared, longer = context.broadcast(bits), context.broadcast(more)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        member, member_longer = Members(shared.value), Members(longer.value)
+        held = Gathered()
         for batch in _sliced(batches):
             words = Words(batch.column(0), batch.column(1))
-            for codes, good in _possible(words, member).values():
-                held.append(codes[good])
-                prints.append(words.text[: len(codes)][good])
-                size += len(held[-1])
-            if size >= GATHERED:
-                yield out()
-                size = 0
-        yield out()
+            for codes, good in _possible(words, member, member_longer).values():
+                held.add(codes[good], words.text[: len(codes)][good])
+            if held.full():
+                yield _dealt(*held.taken(), shards)
+        yield _dealt(*held.taken(), shards)
 
     return texts.mapInArrow(released(run), "shard int, codes binary, times binary, texts binary")
 
@@ -325,14 +403,13 @@ def _grouped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tu
             pass
 
 
-_BLOBS = "shard int, salt int, data binary"
-
+_BLOBS = "shard int, salt int, keys binary, counts binary"
 
-def _blob(shard: int, salt: int, data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([salt], pa.int32()), pa.array([data], pa.binary())], ["shard", "salt", "data"])
+#: What a slot holds: how often its phrase was found, and the checksum of a text with it.
+_SLOT = np.dtype([("count", "<i8"), ("text", "<u4")])
 
 
-def _united(blobs: Iterator[bytes]) -> bytes:
+def _united(blobs: Iterator[bytes]) -> np.ndarray:
     """Different codes in order; sorted anew only when as many have come as are known."""
     total, held, size = np.zeros(0, "<u8"), [], 0
     for data in blobs:
@@ -340,68 +417,61 @@ def _united(blobs: Iterator[bytes]) -> bytes:
         size += len(held[-1])
         if size > max(len(total), GATHERED):
             total, held, size = np.unique(np.concatenate([total, *held])), [], 0
-    return np.unique(np.concatenate([total, *held])).astype("<u8").tobytes()
-
+    return np.unique(np.concatenate([total, *held])).astype("<u8")
 
-#: What a slot holds: how often its phrase was found, and the checksum of a text with it.
-_SLOT = np.dtype([("count", "<i8"), ("text", "<u4")])
 
+def _by_slot(pieces: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    """Keys of all pieces (keys, values of _SLOT) in order, and the sums of their values by the slots of the keys' hash."""
+    hashed = PerfectHash(_united(k for k, _ in pieces))
+    total = np.zeros(len(hashed.keys), _SLOT)
+    total["text"] = 0xFFFFFFFF
+    for keys, values in pieces:
+        at, own = hashed(np.frombuffer(keys, "<u8")), np.frombuffer(values, _SLOT)
+        # A piece has a key once.
+        total["count"][at] += own["count"]
+        total["text"][at] = np.minimum(total["text"][at], own["text"])
+    return np.sort(hashed.keys).astype("<u8").tobytes(), total.tobytes()
 
-def _summed(blobs: Iterator[bytes]) -> bytes:
-    total = np.frombuffer(next(blobs), _SLOT).copy()
-    for data in blobs:
-        other = np.frombuffer(data, _SLOT)
-        total["count"] += other["count"]
-        total["text"] = np.minimum(total["text"], other["text"])
-    return total.tobytes()
 
+def counts_of(found: DataFrame, salts: int) -> DataFrame:
+    """shard, keys (64-bit numbers in order), counts (of _SLOT, in order of the slots): how often each key of a shard was found.
 
-def _in_tree(pieces: DataFrame, salts: int, merged: Callable[[Iterator[bytes]], bytes]) -> DataFrame:
-    """One (shard, 0, data) a shard, of pieces (shard, salt, data); FAN salts meet in a task, level by level."""
+    ``found``: shard, codes (64 bits each), times and texts (32 bits). A shard's pieces are salted into ``salts`` tasks; each
+    makes the perfect hash of its keys and adds its pieces up by slot; FAN of these meet in a task, level by level, by
+    the slots of the hash of all their keys. Codes are shuffled once; only what was added up travels again.
+    """
+    piece = found.withColumn("salt", F.pmod(F.xxhash64("codes"), F.lit(salts)).cast("int")).select("shard", "salt", "codes", "times", "texts")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (shard, salt), rows in _grouped(batches, 2):
-            yield _blob(shard, salt, merged(r[2] for r in rows))
+            pieces = []
+            for r in rows:
+                own = np.zeros(len(r[2]) // 8, _SLOT)
+                own["count"], own["text"] = np.frombuffer(r[3], "<u4"), np.frombuffer(r[4], "<u4")
+                pieces.append((r[2], own.tobytes()))
+                if len(pieces) > FAN:
+                    pieces = [_named(*_by_slot(pieces))]
+            yield _blob(shard, salt, *_by_slot(pieces))
+
+    def further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (shard, salt), rows in _grouped(batches, 2):
+            yield _blob(shard, salt, *_by_slot([_named(r[2], r[3]) for r in rows]))
 
-    while True:
-        pieces = pieces.repartition("shard", "salt").sortWithinPartitions("shard", "salt").mapInArrow(released(run), _BLOBS)
-        if salts <= 1:
-            return pieces
+    dealt = lambda df: df.repartition("shard", "salt").sortWithinPartitions("shard", "salt")
+    sums = dealt(piece).mapInArrow(released(first), _BLOBS)
+    while salts > 1:
         salts = -(-salts // FAN)
-        pieces = pieces.withColumn("salt", F.floor(F.col("salt") / FAN).cast("int"))
+        sums = dealt(sums.withColumn("salt", F.floor(F.col("salt") / FAN).cast("int"))).mapInArrow(released(further), _BLOBS)
+    return stored(sums.select("shard", "keys", "counts"), "phrase-counts")
 
 
-def counts_of(found: DataFrame) -> DataFrame:
-    """shard, keys (64-bit numbers in order), counts (of _SLOT, in order of the slots): how often each key of a shard was found.
+def _named(keys: bytes, values: bytes) -> tuple[bytes, bytes]:
+    """Keys in order of their slots, as their values are."""
+    return PerfectHash(np.frombuffer(keys, "<u8")).keys.tobytes(), values
 
-    ``found``: shard, codes (64 bits each), times and texts (32 bits), stored. A shard's pieces are salted into tasks of about FAN pieces; each makes the
-    shard's perfect hash, adds its pieces up by slot, and the arrays are summed in a tree.
-    """
-    size = found.agg(F.count("*"), F.countDistinct("shard")).first()
-    salts = max(1, -(-size[0] // (FAN * max(1, size[1]))))
-    found = found.withColumn("salt", F.pmod(F.xxhash64("codes"), F.lit(salts)).cast("int"))
-    keys = stored(_in_tree(found.select("shard", "salt", F.col("codes").alias("data")), salts, _united).select("shard", F.col("data").alias("keys")), "phrase-keys")
-    every = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = every.select("shard", "salt", F.lit(0).alias("kind"), F.col("keys").alias("codes"), *[F.lit(None).cast("binary").alias(c) for c in ("times", "texts")])
-    both = both.union(found.select("shard", "salt", F.lit(1).alias("kind"), "codes", "times", "texts"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (shard, salt), rows in _grouped(batches, 2):
-            hashed = PerfectHash(np.frombuffer(next(rows)[3], "<u8"))
-            total = np.zeros(len(hashed.keys), _SLOT)
-            total["text"] = 0xFFFFFFFF
-            for r in rows:
-                at, times, texts = hashed(np.frombuffer(r[3], "<u8")), np.frombuffer(r[4], "<u4"), np.frombuffer(r[5], "<u4")
-                known = at >= 0
-                # Sums of doubles are exact here: a piece has fewer than 2**53 words.
-                total["count"] += np.bincount(at[known], times[known], len(total)).astype(np.int64)
-                # A piece has a code once.
-                total["text"][at[known]] = np.minimum(total["text"][at[known]], texts[known])
-            yield _blob(shard, salt, total.tobytes())
 
-    arrays = both.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind").mapInArrow(released(run), _BLOBS)
-    sums = _in_tree(arrays, salts, _summed)
-    return stored(keys.join(sums.select("shard", F.col("data").alias("counts")), "shard"), "phrase-counts")
+def _blob(shard: int, salt: int, keys: bytes, counts: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([salt], pa.int32()), pa.array([keys], pa.binary()), pa.array([counts], pa.binary())], ["shard", "salt", "keys", "counts"])
 
 
 def _read(counts: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
@@ -448,17 +518,17 @@ def _read(counts: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
 _PARTS = ("l1", "r1", "l2", "r2", "l3", "r3", "m")
 
 
-def _third_pass(texts: DataFrame, bits: np.ndarray, frequent: np.ndarray) -> DataFrame:
+def _last_pass(texts: DataFrame, bits: np.ndarray, more: np.ndarray, frequent: np.ndarray) -> DataFrame:
     """phrase (code), lang, words (joined by spaces), n, parts: frequent phrases, written out where they stand in the
     text that was noted for them, so not by every task (and rarely some others)."""
     context = texts.sparkSession.sparkContext
-    pairs, phrases = context.broadcast(bits), context.broadcast(frequent)
+    pairs, longer, phrases = context.broadcast(bits), context.broadcast(more), context.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        member, wanted = Members(pairs.value), Members(phrases.value)
+        member, member_longer, wanted = Members(pairs.value), Members(longer.value), Members(phrases.value)
         for batch in _sliced(batches):
             words = Words(batch.column(0), batch.column(1))
-            grams = _possible(words, member)
+            grams = _possible(words, member, member_longer)
             raw = words.raw.tobytes()
             out = []
             for n in range(2, LONGEST + 1):
@@ -484,16 +554,21 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     A-Z are lower-cased; phrases lie within pieces between ``[.,;:!?\\x0A-\\x0D]``, of words between spaces and tabs.
     Null texts count as empty, null languages as ``und``; repeated rows count each. A phrase has ``least`` occurrences
     at least, and no longer one with ``share`` percent of its own around it. An empty table gives no phrases. Whole
-    texts are read three times; no text is shuffled, only codes counted within a task.
+    texts are read four times; no text is shuffled, only codes counted within a task.
     """
     spark = docs.sparkSession
     bounded(spark)
     texts = docs.select(F.col(text).cast("binary").alias("raw"), F.col(lang).cast("string").alias("lang"))
-    first = stored(_first_pass(texts).groupBy("n", "lang", "code").agg(F.sum("times").alias("f")).where((F.col("n") == 0) | (F.col("f") >= least)), "phrase-words")
-    n_frequent = first.where("n > 0").count()
-    bits = _members(first.where("n > 0"), n_frequent)
+    size = texts.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
+    pieces = size // SHORT_BYTES + 1
+    first = _perhaps_frequent(texts, _pairs, least, pieces)
+    short = first.where("code is not null")
+    n_frequent = short.count()
+    bits = _members(short, n_frequent)
+    longer = _longer(texts, bits, least, pieces)
+    more = _members(longer, longer.count())
     shards = -(-max(1, n_frequent) // SHARD_KEYS)
-    counts = counts_of(stored(_second_pass(texts, bits, shards), "phrase-found"))
+    counts = counts_of(_count_pass(texts, bits, more, shards), size // (FAN * _SLICE) + 1)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -503,7 +578,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
                 yield pa.RecordBatch.from_arrays([pa.array(_witnessed(slots[enough], held["text"][enough]).view(np.int64))], ["code"])
 
     codes = stored(counts.select("keys", "counts").mapInArrow(released(frequent), "code bigint"), "phrase-frequent")
-    written = stored(_third_pass(texts, bits, _members(codes, codes.count())).dropDuplicates(["phrase"]), "phrases")
+    written = stored(_last_pass(texts, bits, more, _members(codes, codes.count())).dropDuplicates(["phrase"]), "phrases")
     ask = F.array(*[F.struct(F.col(p).alias("code"), F.lit(k).alias("part")) for k, p in enumerate(("phrase", *_PARTS[:6]))])
     asked = written.select("phrase", F.explode(ask).alias("q")).select("q.code", "phrase", "q.part").where("code is not null")
     part = lambda k: F.max(F.when(F.col("part") == k, F.col("f"))).alias(("a", *_PARTS)[k])
@@ -516,7 +591,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     floor = lambda k: F.expr(f"cast(cast({SCALE} as decimal(20,0)) * cast(a as decimal(18,0)) div (cast(l{k} as decimal(18,0)) + cast(r{k} as decimal(18,0))) as bigint)")
     cut = lambda k: F.when(F.col(f"l{k}").isNotNull(), F.struct(floor(k).alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")))
     scored = kept.withColumn("cut", F.least(*[cut(k) for k in range(1, LONGEST)]))
-    totals = first.where("n = 0").select("lang", F.col("f").alias("n"))
+    totals = first.where("code is null").select("lang", "n")
     # One row a language; a language has any number of phrases.
     out = scored.select("lang", F.col("words").alias("phrase"), "a", "cut.l", "cut.r", "cut.score").join(totals, "lang")
     return out.select("lang", "phrase", "a", "l", "r", "n", "score")

@@ -229,6 +229,30 @@ def test_no_phrases(spark):
     assert K.collocations(docs).count() == 0 and K.collocations(docs.limit(0)).count() == 0
 
 
+def test_only_phrases_that_may_be_frequent_are_counted_by_whole_codes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    # Every pair is frequent, longer phrases are rare but for one.
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 12, 60)) + ". red fox ran far" for _ in range(120)]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(3)
+    seen = []
+    counts = K.counts_of
+    monkeypatch.setattr(K, "counts_of", lambda *a: seen.append(counts(*a)) or seen[0])
+    found = K.best(K.collocations(docs, least=30, share=80), most=500).collect()
+    assert sorted(tuple(r) for r in found) == mined([("en", t) for t in texts], 30, 80, 500)
+    keys = sum(len(r["keys"]) // 8 for r in seen[0].collect())
+    # 16 words, 147 pairs, two triples and one phrase of four; some others may pass for frequent.
+    assert 166 <= keys < 1_000
+
+
+def test_short_codes_come_back():
+    short = np.array([0, 1, 5, 1 << 20, (1 << 36) - 1], np.uint64)
+    times = np.array([1, 300, 1, 70_000, 2], np.int64)
+    for shards in (1, 3):
+        rows = list(K._short(short, times, shards))
+        assert np.concatenate([np.cumsum(K._unplaned(s, "<u8")) for _, s, _ in rows]).tolist() == short.tolist()
+        assert np.concatenate([K._unplaned(n, "<u4") for *_, n in rows]).tolist() == times.tolist()
+
+
 def test_perfect_hash_knows_its_keys_only():
     rng = np.random.default_rng(1)
     codes = np.unique(rng.integers(0, 1 << 63, 50_000).astype(np.uint64))
