@@ -18,6 +18,9 @@ BAND, EDITS = 30, 2
 BLOCK_ROWS, BLOCKS, SAMPLED = 100_000, 2_048, 32
 
 
+#: Heads of words that travel to the tasks, and words that a task remembers.
+HEADS = 200_000
+
 _WORD = re.compile("[A-Za-zÀ-ÿ]+")
 
 
@@ -204,13 +207,17 @@ def oversized(sizes: DataFrame, word: str, edition: str, size: str, times: float
     return rows.where((F.col("median_elsewhere") > 0) & (F.col(size) > times * F.col("median_elsewhere")) & (F.col(size) - F.col("median_elsewhere") > more))
 
 
+def _head(key: Column) -> Column:
+    return F.left(key, F.greatest(F.lit(5), F.length(key) - 1))
+
+
 def begun(tokens: DataFrame, words: DataFrame) -> DataFrame:
     """(token, key): different tokens that begin with the head of a word: all of its letters but one, five at least.
 
     Tokens meet heads on their first five letters (heads that are shorter on three), so no frequent beginning
     is held against all words.
     """
-    heads = words.select("key", F.left("key", F.greatest(F.lit(5), F.length("key") - 1)).alias("head"))
+    heads = words.select("key", _head(F.col("key")).alias("head"))
     out = None
     for n, some in ((5, F.length("head") >= 5), (3, F.length("head") < 5)):
         met = tokens.withColumn("block", F.left("token", F.lit(n))).join(heads.where(some).withColumn("block", F.left("head", F.lit(n))), "block")
@@ -219,12 +226,46 @@ def begun(tokens: DataFrame, words: DataFrame) -> DataFrame:
     return out
 
 
-def contained(bodies: DataFrame, words: DataFrame) -> DataFrame:
-    """(id, key): words whose head begins a word of the body.
+def contained(docs: DataFrame, words: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """(id, key): words (``words``, different keys) whose head begins a word of the text.
 
-    ``bodies`` has (id, word) as words_of_documents gives them, ``words`` keys. Only the different words of all
-    bodies meet the heads, so a body is not held against all words.
+    Up to HEADS heads travel to the tasks, which look the beginnings of each different word up; nothing but ids is
+    exchanged then, and what ids of several rows have. With more heads, the different words of all texts meet them.
     """
-    different = keyed(bodies).withColumnRenamed("key", "token")
-    met = begun(different.select("token").distinct(), words)
-    return bodies.join(different.join(met, "token"), "word").select("id", "key").distinct()
+    heads = words.select("key", _head(F.col("key")).alias("head")).limit(HEADS + 1).collect()
+    if len(heads) > HEADS:
+        bodies = words_of_documents(docs, text, id)
+        different = keyed(bodies).withColumnRenamed("key", "token")
+        met = begun(different.select("token").distinct(), words)
+        return bodies.join(different.join(met, "token"), "word").select("id", "key").distinct()
+    by_head: dict[str, list[str]] = {}
+    for r in heads:
+        by_head.setdefault(r.head, []).append(r.key)
+    shared = docs.sparkSession.sparkContext.broadcast(by_head)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of, lengths = shared.value, sorted(set(map(len, shared.value)))
+        seen: dict[str, tuple[str, ...]] = {}
+        for batch in batches:
+            found, at = [], []
+            for k, raw in enumerate(batch.column(0)):
+                own: set[str] = set()
+                for word in set(_WORD.findall(raw.as_py() or "")):
+                    if (keys := seen.get(word)) is None:
+                        token = word.upper().encode("ascii", "ignore").decode()
+                        keys = tuple(key for n in lengths if n <= len(token) for key in keys_of.get(token[:n], ()))
+                        if len(seen) >= HEADS:
+                            seen.clear()
+                        seen[word] = keys
+                    own.update(keys)
+                found += own
+                at += [k] * len(own)
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(at, pa.int64())), pa.array(found, pa.string())], ["id", "key"])
+
+    again = docs.groupBy(F.col(id).alias("_again")).agg(F.count("*").alias("_n")).where("_n > 1").select("_again")
+    again = settled(again)
+    again = F.broadcast(again) if again.limit(HEADS + 1).count() <= HEADS else again
+    rows = docs.select(F.col(text).alias("text"), F.col(id).alias("id"))
+    met = lambda some: some.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, key string")
+    same = F.col("id").eqNullSafe(F.col("_again"))
+    return met(rows.join(again, same, "left_anti")).union(met(rows.join(again, same, "left_semi")).distinct())

@@ -164,3 +164,19 @@ def test_short_words_are_matched_in_bodies(spark, tmp_path):
     want = {(k, w) for k, t in docs.items() for w in keys if re.search(r"\b" + w[: max(5, len(w) - 1)], t.upper())}
     got = [tuple(r) for r in body_token_match(spark, str(tmp_path)).collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_bodies_are_matched_without_an_exchange_of_their_words(spark, monkeypatch):
+    from quire.operators import vocabulary as V
+
+    docs = [(1, "Straße, straßen: ÉTUDE étude"), (1, "STRASSENBAHN"), (2, "Études of it, tude"), (2, None), (None, "abacus abaci"), (None, "abacus"), (3, "ab")]
+    bodies = spark.createDataFrame(docs, "doc_id bigint, text string")
+    words = spark.createDataFrame([("STRASSE",), ("TUDE",), ("ABACUS",), ("ABA",), ("STRASSENBAHNEN",)], "key string")
+    want = {(1, "STRASSE"), (1, "TUDE"), (2, "TUDE"), (None, "ABACUS"), (None, "ABA")}
+    found = V.contained(bodies, words)
+    # Ids are counted and joined; words are met by no join.
+    assert "word#" not in found._jdf.queryExecution().toString()
+    for heads in (V.HEADS, 2):
+        monkeypatch.setattr(V, "HEADS", heads)
+        got = [tuple(r) for r in V.contained(bodies, words).collect()]
+        assert set(got) == want and len(got) == len(want), heads
