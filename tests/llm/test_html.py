@@ -1,6 +1,7 @@
 import re
 
 import pyarrow.parquet as pq
+import pytest
 
 from quire.llm import html as H
 
@@ -105,3 +106,45 @@ def test_given_pages_without_telling_elements():
     own = [(x, H.main_text(x, None), plain(x), H.inferred([plain(y) for y in group[: H.SAMPLES]])) for group in hosts.values() if len(group) >= 3 for x in group]
     assert len(own) > 100 and all(H.main_text(bare_page, wrapper) == true for _, true, bare_page, wrapper in own)
     assert not any(H.main_text(bare_page, None) == true for _, true, bare_page, _ in own)
+
+
+def test_all_pages_of_a_host_count(spark):
+    """Two hundred articles, of which every fiftieth has a list of links that the others haven't."""
+    more = lambda i: f'<ul class="more"><li><a href="/m{i}">Further reading number {i}</a></li><li><a href="/n{i}">Still more of it, {i}</a></li></ul>' if i % 50 == 7 else ""
+    rows = [(i, f"https://w.example/{i}", bare(i).replace("use here.</p>", "use here.</p>" + more(i)), "x", "y") for i in range(200)]
+    rows += [(i, f"https://w.example/{i}", rows[0][2], "x", "y") for i in range(200, 220)] + [(None, "https://w.example/", rows[57][2], "x", "y")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [(r.host, r.n_pages) for r in H.wrappers(df).collect()] == [("w.example", 200)]
+    want = lambda i: f"Headline {i} about things\n\nParagraph one of page {i} goes on for quite some time indeed.\n\nAlarm {i} was raised.\n\nRelated work {i}\n\nSources\n\nMore on {i}: text continues with many words.\n\nKept {i}."
+    for parts in (1, 7):
+        text = {r.page_id: r.text for r in H.extracted(df.repartition(parts)).collect()}
+        assert [text[i] for i in range(200)] == [want(i) for i in range(200)] and text[210] == want(0) and text[None] == want(57)
+
+
+@pytest.mark.parametrize("broadcast", [H.BROADCAST_BYTES, -1])
+def test_wrappers_of_the_cluster_are_those_of_one_place(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(H, "BROADCAST_BYTES", broadcast)
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()
+    hosts = {}
+    for p in pages:
+        hosts.setdefault(p["url"].split("/")[2], []).append(re.sub(r"<(/?)(?:article|nav|footer)>", r"<\1div>", p["html"]))
+    df = spark.createDataFrame([(i, f"https://{h}/{i}", x, "x", "y") for h, own in hosts.items() for i, x in enumerate(own)], SCHEMA)
+    found = {r.host: (H.json.loads(r.wrapper)["parts"], r.n_pages) for r in H.wrappers(df.repartition(5)).collect()}
+    assert found == {h: (H.inferred(own)["parts"], len(set(own))) for h, own in hosts.items()}
+
+
+def test_one_page_in_ten_may_differ():
+    pages = [bare(i) for i in range(39)] + ["<html><body><p>Not found</p></body></html>"]
+    wrapper = H.inferred(pages)
+    text = H.main_text(bare(5), wrapper)
+    assert text.startswith("Headline 5") and text.endswith("Kept 5.") and "terms of use" not in text and "Teaser" not in text
+
+
+def test_wrappers_stay_small_where_names_never_repeat():
+    pages = [f'<body><div class="top">Home</div><div class="post-{i}"><h1>Title {i}</h1><p>Text of the article {i}, of some length.</p></div><div class="ad"><p>Buy</p></div></body>' for i in range(3 * H.WIDE)]
+    wrapper = H.inferred(pages)
+    assert len(H.json.dumps(wrapper)) < 2000
+    assert all(H.main_text(p, wrapper).endswith(f"Title {i}\n\nText of the article {i}, of some length.") for i, p in enumerate(pages))
+    long = "<body><article>" + "".join(f"<h2>Part {i}</h2><p>Text {i}</p>" for i in range(3000)) + "</article></body>"
+    own = H.inferred([long, long.replace("Text", "Words")])
+    assert H.main_text(long, own) == "\n\n".join(x for i in range(3000) for x in (f"Part {i}", f"Text {i}"))
